@@ -95,3 +95,11 @@ def hash_bit(c: ColumnOrName, seed: int = 0) -> Column:
     key = F.pmod(col(c).cast("bigint"), F.lit(4294967296))
     mixed = F.pmod(key * F.lit(40503) + F.lit(seed * 69069 + 7), F.lit(4294967296))
     return F.shiftright(mixed, 16).bitwiseAND(F.lit(1)).cast("int")
+
+
+def mix_hash(c: ColumnOrName, seed: int = 0, modulus: int = 4294967296) -> Column:
+    """Stable integer hash of a key in [0, modulus): an integer mix that any
+    SQL engine reproduces (unlike engine-specific hash functions)."""
+    key = F.pmod(col(c).cast("bigint"), F.lit(4294967296))
+    mixed = F.pmod(key * F.lit(40503) + F.lit(seed * 69069 + 7), F.lit(4294967296))
+    return F.pmod(F.shiftright(mixed, 8), F.lit(modulus))

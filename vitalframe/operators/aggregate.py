@@ -65,6 +65,9 @@ def share_within(df: DataFrame, group: Sequence[str], cols: Sequence[str], name:
     return out.withColumn(name, F.col("n") / F.col("_total") * F.lit(100.0)).drop("_total")
 
 
+_GRID = 200
+
+
 def quantile_by(df: DataFrame, keys: Sequence[str], value: str, q: float, name: str = "q",
                 accuracy: int = 10000, max_candidates: int = 2_000_000) -> DataFrame:
     """Exact quantile (linear interpolation, R type 7) per group, in bounded memory.
@@ -93,13 +96,16 @@ def quantile_by(df: DataFrame, keys: Sequence[str], value: str, q: float, name:
         if big.limit(1).count() == 0:
             break
         raw = v.join(big, keys, "inner").filter(in_range)
-        m = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"))
+        # an approximate quantile grid per group (fixed probabilities), read
+        # at the relative rank of the two needed order statistics
+        grid = [i / _GRID for i in range(_GRID + 1)]
+        sk = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"),
+                                    F.percentile_approx("_v", grid, accuracy).alias("_g"))
         rel = (F.col("_lo") - F.col("_below")).cast("double") / F.col("_m")
-        qs = big.join(m, keys).select(*keys, F.greatest(F.lit(0.0), rel - F.lit(margin)).alias("_ql"),
-                                      F.least(F.lit(1.0), rel + F.lit(1.0) / F.col("_m") + F.lit(margin)).alias("_qh"))
-        br = raw.join(qs, keys).groupBy(*keys).agg(
-            F.percentile_approx("_v", F.array(F.first("_ql"), F.first("_qh")), accuracy).alias("_br"))
-        br = br.select(*keys, F.col("_br")[0].alias("_na"), F.col("_br")[1].alias("_nb"))
+        i_lo = F.greatest(F.lit(0), F.floor((rel - F.lit(margin)) * _GRID).cast("int"))
+        i_hi = F.least(F.lit(_GRID), F.ceil((rel + F.lit(1.0) / F.col("_m") + F.lit(margin)) * _GRID).cast("int"))
+        br = big.join(sk, keys).select(*keys, F.element_at("_g", i_lo + 1).alias("_na"),
+                                       F.element_at("_g", i_hi + 1).alias("_nb"))
         part = raw.join(br, keys).groupBy(*keys).agg(
             F.sum(F.when(F.col("_v") < F.col("_na"), 1).otherwise(0)).alias("_add"))
         dist = vc.join(big.select(*keys, "_a", "_b"), keys).filter(in_range).join(br, keys) \

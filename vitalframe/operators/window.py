@@ -114,3 +114,28 @@ def number_patients(df: DataFrame, order: Sequence[str], name: str = "id_nr") ->
     ids = d.join(F.broadcast(sizes), "_pid").select(
         *keys, (F.col("_offset") + F.col("_local")).cast("bigint").alias(name))
     return ids
+
+
+def prefix_sums(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str],
+                inclusive: bool = True, partitions: int | None = None) -> DataFrame:
+    """Running sums of ``cols`` along ``order`` within ``keys``, without
+    putting a whole group in one task.
+
+    Rows are range-partitioned on (keys, order); each partition computes
+    local running sums, and a small table of per-(partition, group) totals
+    (one row per partition and group) gives every partition its offset.
+    Rows should be unique per (keys, order) (aggregate ties first).
+    """
+    keys, cols = list(keys), list(cols)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = df.repartitionByRange(n, *keys, order).withColumn("_pid", F.spark_partition_id())
+    frame = (_UNB, 0) if inclusive else (_UNB, -1)
+    w = Window.partitionBy("_pid", *keys).orderBy(order).rowsBetween(*frame)
+    x = x.withColumns({f"_loc_{c}": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in cols})
+    tot = x.groupBy("_pid", *keys).agg(*[F.sum(c).alias(f"_tot_{c}") for c in cols])
+    wo = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(_UNB, -1)
+    offs = tot.select("_pid", *keys, *[F.coalesce(F.sum(f"_tot_{c}").over(wo), F.lit(0)).alias(f"_off_{c}")
+                                       for c in cols])
+    x = x.join(offs, ["_pid", *keys], "left")
+    return x.withColumns({f"cum_{c}": F.col(f"_loc_{c}") + F.col(f"_off_{c}") for c in cols}) \
+            .drop("_pid", *[f"_loc_{c}" for c in cols], *[f"_off_{c}" for c in cols])
