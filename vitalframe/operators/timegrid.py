@@ -104,7 +104,7 @@ def expand_infusions(df: DataFrame, keys: Sequence[str], start: str, end: str, r
         .withColumn("_closing", F.lit(2))
     full = rows.unionByName(missing, allowMissingColumns=True)
     fill_cols = ["_rate"] + [c for c in close_keys + carry if c not in keys]
-    full = locf(full, keys, "_t", fill_cols, chunk=chunk, tiebreak=["_closing", "_rate"])
+    full = locf(full, keys, "_t", fill_cols, chunk=chunk, tiebreak=["_closing"] + fill_cols)
     out_t = floor_to("_t", step)
     group = keys + [c for c in close_keys + carry if c not in keys]
     return full.groupBy(*group, out_t.alias("t")).agg(F.avg("_rate").alias("rate"))
