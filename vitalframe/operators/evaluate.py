@@ -43,10 +43,10 @@ def youden_threshold(df: DataFrame, by: Sequence[str] = ("target",)) -> DataFram
     by = list(by)
     c = _score_counts(df, by).withColumn("_o", -F.col("p"))
     cs = prefix_sums(c, by, "_o", ["pos", "neg"])
-    tot = c.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.max("p").alias("_pmax"))
+    tot = c.groupBy(*by).agg(F.sum("pos").alias("_tp"), F.sum("neg").alias("_tn"), F.max("p").alias("_pmax"))
     x = cs.join(tot, by)
-    j = F.coalesce(F.try_divide(F.col("cum_pos"), F.col("P")), F.lit(0.0)) - \
-        F.coalesce(F.try_divide(F.col("cum_neg"), F.col("N")), F.lit(0.0))
+    j = F.coalesce(F.try_divide(F.col("cum_pos"), F.col("_tp")), F.lit(0.0)) - \
+        F.coalesce(F.try_divide(F.col("cum_neg"), F.col("_tn")), F.lit(0.0))
     cand = x.select(*by, j.alias("j"), F.col("p").alias("thr"))
     sentinel = tot.select(*by, F.lit(0.0).alias("j"), (F.col("_pmax") + F.lit(1.0)).alias("thr"))
     allc = cand.unionByName(sentinel)
@@ -61,8 +61,8 @@ def auc(df: DataFrame, by: Sequence[str] = ("target",)) -> DataFrame:
     cs = prefix_sums(c, by, "p", ["neg"], inclusive=False)
     part = cs.groupBy(*by).agg(
         F.sum(F.col("pos") * (F.col("cum_neg") + F.col("neg") / F.lit(2.0))).alias("_u"),
-        F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return part.select(*by, F.try_divide(F.col("_u"), F.col("P") * F.col("N")).alias("auc"))
+        F.sum("pos").alias("_tp"), F.sum("neg").alias("_tn"))
+    return part.select(*by, F.try_divide(F.col("_u"), (F.col("_tp") * F.col("_tn")).cast("double")).alias("auc"))
 
 
 def accuracy(df: DataFrame, thresholds: DataFrame, by: Sequence[str] = ("target",)) -> DataFrame:
@@ -99,7 +99,7 @@ def bce_with_logits(x, y):
 
 def masked_loss(df: DataFrame, categorical: Sequence[str], regression: Sequence[str] = (),
                 weights: Mapping[str, float] | None = None, norm_seq_len: bool = True,
-                key: str = "pat_id", step: str = "step_key") -> DataFrame:
+                key: str = "pat_id") -> DataFrame:
     """Masked sequence loss over wide prediction rows.
 
     Columns ``y_<t>`` / ``s_<t>`` per target. A step with any missing target
@@ -108,6 +108,19 @@ def masked_loss(df: DataFrame, categorical: Sequence[str], regression: Sequence[
     divided by (valid steps + 1) when ``norm_seq_len``; result: the mean over
     patients (one row).
     """
+    return _masked(df, categorical, regression, weights, norm_seq_len, [key]).agg(
+        F.avg("loss").alias("loss"))
+
+
+def fold_losses(df: DataFrame, fold: str, categorical: Sequence[str], regression: Sequence[str] = (),
+                weights: Mapping[str, float] | None = None, norm_seq_len: bool = True,
+                key: str = "pat_id") -> DataFrame:
+    """Masked loss per fold (mean over the fold's patients)."""
+    per = _masked(df, categorical, regression, weights, norm_seq_len, [fold, key])
+    return per.groupBy(fold).agg(F.avg("loss").alias("loss"))
+
+
+def _masked(df, categorical, regression, weights, norm_seq_len, group):
     weights = dict(weights or {})
     ts = list(categorical) + list(regression)
     valid = F.lit(True)
@@ -121,9 +134,9 @@ def masked_loss(df: DataFrame, categorical: Sequence[str], regression: Sequence[
     for t in regression:
         terms.append(F.pow(F.col(f"s_{t}") - F.col(f"y_{t}"), 2))
     step_loss = F.when(valid, sum(terms[1:], terms[0])).otherwise(F.lit(0.0))
-    per = df.groupBy(key).agg(F.sum(step_loss).alias("_l"), F.sum(valid.cast("int")).alias("_v"))
+    per = df.groupBy(*group).agg(F.sum(step_loss).alias("_l"), F.sum(valid.cast("int")).alias("_v"))
     denom = (F.col("_v") + F.lit(1)).cast("double") if norm_seq_len else F.lit(1.0)
-    return per.agg(F.avg(F.col("_l") / denom).alias("loss"))
+    return per.select(*group, (F.col("_l") / denom).alias("loss"))
 
 
 def mean_fold_loss(df: DataFrame, loss: str = "loss", fold: str = "fold") -> DataFrame:

@@ -82,39 +82,35 @@ def fit_yeojohnson(df: DataFrame, group=GROUP, value: str = "value", lo: float =
     """Maximum-likelihood lambda per group by a zooming grid search.
 
     log L(l) = -n/2 * ln(var_pop(yj(x, l))) + (l - 1) * sum(sign(x) ln(|x| + 1)).
-    Each pass evaluates ``points`` lambdas for every group in ONE aggregate
-    (2 sums per lambda, no row blow-up), keeps the best, and narrows the grid
-    around it. Constant groups get NULL.
+    Each pass pairs every value with the ``points`` candidate lambdas of its
+    group (an ``explode`` feeding a partial hash aggregate in the same stage,
+    so the pairs never reach the shuffle), keeps the best lambda per group
+    and narrows the grid around it. Constant groups get NULL.
     """
     group = list(group)
-    x = df.select(*group, F.col(value).alias("_x")).filter(F.col("_x").isNotNull())
+    x = df.select(*group, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
     base = x.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum(F.signum("_x") * F.log1p(F.abs("_x"))).alias("_c"),
         F.stddev_pop("_x").alias("_sd0"))
     step = (hi - lo) / (points - 1)
-    centre = base.select(*group, "_n", "_c", "_sd0", F.lit((lo + hi) / 2.0).alias("_lam"))
     half = (points - 1) // 2
+    centre = base.select(*group, F.lit((lo + hi) / 2.0).alias("_lam"))
     for _ in range(passes):
-        lams = [F.col("_lam") + F.lit((k - half) * step) for k in range(points)]
-        j = x.join(centre.select(*group, "_lam"), group)
-        aggs = []
-        for k, lam in enumerate(lams):
-            y = yj(F.col("_x"), lam)
-            aggs += [F.sum(y).alias(f"_s{k}"), F.sum(y * y).alias(f"_q{k}")]
-        sums = j.groupBy(*group).agg(*aggs)
-        c = centre.join(sums, group)
-        lls = []
-        for k in range(points):
-            n = F.col("_n").cast("double")
-            var = (F.col(f"_q{k}") - F.col(f"_s{k}") * F.col(f"_s{k}") / n) / n
-            lam = F.col("_lam") + F.lit((k - half) * step)
-            ll = F.when(var > 0, -n / 2.0 * F.log(var) + (lam - F.lit(1.0)) * F.col("_c"))
-            lls.append(F.struct(F.coalesce(ll, F.lit(float("-inf"))).alias("ll"), F.lit(-k).alias("k"), lam.alias("lam")))
-        best = F.greatest(*lls)
-        centre = c.select(*group, "_n", "_c", "_sd0", best["lam"].alias("_lam"))
+        offs = F.array(*[F.lit(float((k - half) * step)) for k in range(points)])
+        j = x.join(centre, group).select(*group, "_x", F.explode(offs).alias("_off"), "_lam")
+        j = j.withColumn("_l", F.col("_lam") + F.col("_off"))
+        y = yj(F.col("_x"), F.col("_l"))
+        sums = j.groupBy(*group, "_l").agg(F.sum(y).alias("_s"), F.sum(y * y).alias("_q"))
+        c = sums.join(base, group)
+        n = F.col("_n").cast("double")
+        var = (F.col("_q") - F.col("_s") * F.col("_s") / n) / n
+        ll = F.when(var > 0, -n / 2.0 * F.log(var) + (F.col("_l") - F.lit(1.0)) * F.col("_c"))
+        scored = c.select(*group, F.struct(F.coalesce(ll, F.lit(float("-inf"))).alias("ll"),
+                                           (-F.abs(F.col("_l"))).alias("tie"), F.col("_l").alias("lam")).alias("_b"))
+        centre = scored.groupBy(*group).agg(F.max("_b").alias("_b")).select(*group, F.col("_b.lam").alias("_lam"))
         step = step * 2.0 / (points - 1)
-    return centre.select(*group, F.when(F.col("_sd0") > 0, F.col("_lam")).alias("lambda"))
+    return base.join(centre, group).select(*group, F.when(F.col("_sd0") > 0, F.col("_lam")).alias("lambda"))
 
 
 def yeojohnson(df: DataFrame, group=GROUP, out_keys=OUT_KEYS, value: str = "value") -> DataFrame:

@@ -60,19 +60,19 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     x = df.withColumn("_chunk", _chunk_col(order[0], chunk))
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     wall = Window.partitionBy(*keys, "_chunk")
-    x = x.withColumns({"_lag": F.lag(value, 1).over(w), "_lead": F.lead(value, 1).over(w),
-                       "_rn": F.row_number().over(w), "_cnt": F.count(F.lit(1)).over(wall)})
+    x = x.withColumns({"__lag": F.lag(value, 1).over(w), "__lead": F.lead(value, 1).over(w),
+                       "__rn": F.row_number().over(w), "__cnt": F.count(F.lit(1)).over(wall)})
     ordkey = F.struct(*[F.col(c) for c in order])
-    summ = x.groupBy(*keys, "_chunk").agg(F.min_by(value, ordkey).alias("_first"),
-                                          F.max_by(value, ordkey).alias("_last"))
+    summ = x.groupBy(*keys, "_chunk").agg(F.min_by(value, ordkey).alias("__first"),
+                                          F.max_by(value, ordkey).alias("__last"))
     wc = Window.partitionBy(*keys).orderBy("_chunk")
-    summ = summ.select(*keys, "_chunk", F.lag("_last", 1).over(wc).alias("_prev"),
-                       F.lead("_first", 1).over(wc).alias("_next"))
+    summ = summ.select(*keys, "_chunk", F.lag("__last", 1).over(wc).alias("__prev"),
+                       F.lead("__first", 1).over(wc).alias("__next"))
     x = x.join(summ, keys + ["_chunk"], "left")
     return x.withColumns({
-        lag_name: F.when(F.col("_rn") == 1, F.col("_prev")).otherwise(F.col("_lag")),
-        lead_name: F.when(F.col("_rn") == F.col("_cnt"), F.col("_next")).otherwise(F.col("_lead")),
-    }).drop("_chunk", "_lag", "_lead", "_rn", "_cnt", "_prev", "_next")
+        lag_name: F.when(F.col("__rn") == 1, F.col("__prev")).otherwise(F.col("__lag")),
+        lead_name: F.when(F.col("__rn") == F.col("__cnt"), F.col("__next")).otherwise(F.col("__lead")),
+    }).drop("_chunk", "__lag", "__lead", "__rn", "__cnt", "__prev", "__next")
 
 
 def rank_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn") -> DataFrame:

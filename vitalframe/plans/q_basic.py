@@ -263,8 +263,8 @@ def neighbours_chunked(spark, sf):
     return WN.neighbours(o, ["pat_id", "measure_norm"], ["rel_time", "value"], "value", chunk=1440)
 
 
-@register("rank_in_group", "select pat_id, rel_time, value, row_number() over (partition by pat_id order by rel_time, "
-          "value, measure) as rn from obs", ("obs",))
+@register("rank_in_group", "select pat_id, rel_time, value, cast(row_number() over (partition by pat_id order by rel_time, "
+          "value, measure) as integer) as rn from obs", ("obs",))
 def rank_in_group(spark, sf):
     o = A.obs(spark, sf)
     return WN.rank_in_group(o, ["pat_id"], ["rel_time", "value", "measure"]).select("pat_id", "rel_time", "value", "rn")

@@ -186,8 +186,8 @@ DIAGS = ("ICH", "MISC", "SAH", "Stroke", "TBI")
 
 
 @register("one_hot", "select pat_id, " + ", ".join(
-    [f"case when db = '{v}' then 1.0 else 0.0 end as db_{v}" for v in DBS]
-    + [f"case when diagnosis = '{v}' then 1.0 else 0.0 end as diagnosis_{v}" for v in DIAGS]) + " from patients",
+    [f"case when db = '{v}' then 1.0::double else 0.0::double end as db_{v}" for v in DBS]
+    + [f"case when diagnosis = '{v}' then 1.0::double else 0.0::double end as diagnosis_{v}" for v in DIAGS]) + " from patients",
           ("patients",))
 def one_hot(spark, sf):
     p = A.patients(spark, sf).select("pat_id", "db", "diagnosis")
@@ -205,8 +205,8 @@ def zscore_static(spark, sf):
 
 
 @register("static_targets", """
-select pat_id, case when regexp_matches(coalesce(sex, ''), 'M') then 1.0 else 0.0 end as sex,
-  case when regexp_matches(outcome, 'died') then 1.0 else 0.0 end as outcome from patients""", ("patients",))
+select pat_id, case when regexp_matches(coalesce(sex, ''), 'M') then 1.0::double else 0.0::double end as sex,
+  case when regexp_matches(outcome, 'died') then 1.0::double else 0.0::double end as outcome from patients""", ("patients",))
 def static_targets(spark, sf):
     return CO.static_targets(A.patients(spark, sf), exitus="died")
 
@@ -314,7 +314,7 @@ def expand_charted(spark, sf):
     return r6(TG.expand_charted(c, ["pat_id", "drug"], "t", "rate", step=60), "rate")
 
 
-@register("expand_bolus", "select distinct pat_id, drug, unnest(range(t, t + 121)) as t, 1.0 as value from bolus",
+@register("expand_bolus", "select distinct pat_id, drug, unnest(range(t, t + 121)) as t, 1.0::double as value from bolus",
           ("bolus",))
 def expand_bolus(spark, sf):
     return TG.expand_bolus(A.bolus(spark, sf), ["pat_id", "drug"], "t")
@@ -322,14 +322,14 @@ def expand_bolus(spark, sf):
 
 @register("expand_bolus_first_dose", """
 , f as (select pat_id, drug, min(t) as t from bolus group by 1, 2)
-select distinct pat_id, drug, t, 1.0 as value from (
+select distinct pat_id, drug, t, 1.0::double as value from (
   select pat_id, drug, unnest(range(t, t + 121)) as t from f union all select pat_id, drug, t from bolus)""", ("bolus",))
 def expand_bolus_first_dose(spark, sf):
     return TG.expand_bolus(A.bolus(spark, sf), ["pat_id", "drug"], "t", mode="first_dose_only")
 
 
 @register("expand_bolus_endpoints", """
-select distinct pat_id, drug, t, 1.0 as value from (
+select distinct pat_id, drug, t, 1.0::double as value from (
   select pat_id, drug, t from bolus union all select pat_id, drug, t + 120 from bolus)""", ("bolus",))
 def expand_bolus_endpoints(spark, sf):
     return TG.expand_bolus(A.bolus(spark, sf), ["pat_id", "drug"], "t", mode="endpoints_only")
