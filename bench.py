@@ -32,8 +32,9 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus),
                           conf={"spark.driver.memory": "16g"})
+    only = [q for q in os.environ.get("BENCH_ONLY", "").split(",") if q]
     times = {}
-    for name in HEADLINE:
+    for name in only or HEADLINE:
         fn = QUERIES[name]
         fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
         runs = []

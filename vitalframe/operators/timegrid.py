@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalframe.functions.scalar import floor_to, minutes_between
-from vitalframe.operators.window import locf
 
 OBS_KEYS = ("pat_id", "db", "category", "measure", "measure_norm")
 
@@ -79,47 +78,91 @@ def to_wide(df: DataFrame, keys: Sequence[str], name: str, value: str, values: S
     return df.groupBy(*keys).pivot(name, list(values)).agg(F.avg(value))
 
 
+def _carry_forward_expand(rows: DataFrame, keys: list[str], extra: list[str], step: int,
+                          chunk: int = 4096) -> DataFrame:
+    """Grid completion + carry-forward + mean per step, on rows already
+    hash-partitioned by ``keys``.
+
+    ``rows``: keys, extra (e.g. unit), _t, _rate, _closing, _lo, _hi. Per
+    distinct time the per-``extra`` sums and counts are kept, and the row that
+    wins the tie order (closing flag, rate, extra) is the value carried into
+    the following gap. A lead over the distinct times bounds the gap; gap
+    points are generated by explode (arrays of at most ``chunk`` points).
+    Every aggregate and window is keyed by ``keys`` plus more columns, so
+    after the single shuffle on ``keys`` no further exchange is planned.
+    """
+    dtypes = dict(rows.dtypes)
+    order = F.struct(F.col("_closing"), F.col("_rate"), *[F.col(c) for c in extra])
+    val = F.struct(F.col("_rate").alias("rate"), *[F.col(c) for c in extra])
+    per_x = rows.groupBy(*keys, "_t", *extra).agg(
+        F.sum("_rate").alias("_sum"), F.count("_rate").alias("_cnt"),
+        F.max(order).alias("_ord"), F.max_by(val, order).alias("_win"),
+        F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
+    # one row per distinct time; the real rows of that time (one per extra value) ride along
+    per_t = per_x.groupBy(*keys, "_t").agg(
+        F.collect_list(F.struct(*[F.col(c) for c in extra], F.col("_sum"), F.col("_cnt"))).alias("_real"),
+        F.max_by("_win", "_ord").alias("_win"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
+    per_t = per_t.withColumn("_next", F.lead("_t").over(Window.partitionBy(*keys).orderBy("_t")))
+    first = F.col("_lo") + (F.floor((F.col("_t") - F.col("_lo")) / F.lit(step)) + F.lit(1)).cast("bigint") * F.lit(step)
+    upto = F.least(F.coalesce(F.col("_next") - F.lit(1), F.col("_hi")), F.col("_hi"))
+
+    def seg(kind, g0, g1, src, total, count):
+        return F.struct(F.lit(kind).alias("kind"), g0.cast("bigint").alias("g0"), g1.cast("bigint").alias("g1"),
+                        *[src[c].cast(dtypes[c]).alias(c) for c in extra],
+                        total.cast("double").alias("sum"), count.cast("bigint").alias("cnt"))
+
+    real = F.transform("_real", lambda r: seg(0, F.col("_t"), F.col("_t"), r, r["_sum"], r["_cnt"]))
+    starts = F.when(first <= upto, F.sequence(first, upto, F.lit(step * chunk).cast("bigint"))) \
+        .otherwise(F.array().cast("array<bigint>"))
+    win = F.col("_win")
+    gaps = F.transform(starts, lambda c: seg(1, c, F.least(c + F.lit(step * (chunk - 1)), upto), win, win["rate"],
+                                             F.when(win["rate"].isNull(), 0).otherwise(1)))
+    x = per_t.select(*keys, F.explode(F.concat(real, gaps)).alias("_s"))
+    x = x.select(*keys, *[F.col(f"_s.{c}").alias(c) for c in extra], F.col("_s.sum").alias("_sum"),
+                 F.col("_s.cnt").alias("_cnt"),
+                 F.explode(F.sequence(F.col("_s.g0"), F.col("_s.g1"), F.lit(step).cast("bigint"))).alias("_t"))
+    return x.groupBy(*keys, *extra, floor_to("_t", step).alias("t")).agg(
+        F.try_divide(F.sum("_sum"), F.sum("_cnt").cast("double")).alias("rate"))
+
+
 def expand_infusions(df: DataFrame, keys: Sequence[str], start: str, end: str, rate: str,
-                     step: int = 1, carry: Sequence[str] = (), close_keys: Sequence[str] = (),
-                     chunk: int | None = 1440) -> DataFrame:
+                     step: int = 1, close_keys: Sequence[str] = ()) -> DataFrame:
     """Infusion intervals -> one rate per grid step.
 
     A 0-rate row is added at each (keys + close_keys) group's last end; the
-    grid runs from the group's first start to its last end; rate and
-    ``carry`` columns are carried forward in time (so gaps between intervals
-    keep the previous rate, as in the reference); then the mean rate per
-    step. Carry-forward runs as a chunked two-level scan.
+    grid runs from the group's first start to its last end; rates (and the
+    ``close_keys`` values, e.g. the unit) are carried forward, so gaps between
+    intervals keep the previous rate, as in the reference; then the mean
+    rate per step. One shuffle on ``keys``; bounds and closing rows come from
+    windows on that partitioning, not from extra aggregate-and-join passes.
     """
-    keys, carry, close_keys = list(keys), list(carry), list(close_keys)
-    base = df.select(*keys, *close_keys, *[c for c in carry if c not in close_keys],
-                     F.col(start).cast("bigint").alias("_t"), F.col(end).cast("bigint").alias("_end"),
-                     F.col(rate).cast("double").alias("_rate"), F.lit(0).alias("_closing"))
-    closing = df.groupBy(*keys, *close_keys).agg(F.max(end).cast("bigint").alias("_end")) \
-        .select(*keys, *close_keys, F.col("_end").alias("_t"), "_end",
-                F.lit(0.0).alias("_rate"), F.lit(1).alias("_closing"))
-    rows = base.unionByName(closing, allowMissingColumns=True)
-    bounds = rows.groupBy(*keys).agg(F.min("_t").alias("_lo"), F.max("_end").alias("_hi"))
-    grid = explode_grid(bounds.filter(F.col("_lo") <= F.col("_hi")), "_lo", "_hi", step, "_t").drop("_lo", "_hi")
-    missing = grid.join(rows.select(*keys, "_t").distinct(), keys + ["_t"], "left_anti") \
-        .withColumn("_closing", F.lit(2))
-    full = rows.unionByName(missing, allowMissingColumns=True)
-    fill_cols = ["_rate"] + [c for c in close_keys + carry if c not in keys]
-    full = locf(full, keys, "_t", fill_cols, chunk=chunk, tiebreak=["_closing"] + fill_cols)
-    out_t = floor_to("_t", step)
-    group = keys + [c for c in close_keys + carry if c not in keys]
-    return full.groupBy(*group, out_t.alias("t")).agg(F.avg("_rate").alias("rate"))
+    keys, extra = list(keys), [c for c in close_keys if c not in keys]
+    base = df.select(*keys, *extra, F.col(start).cast("bigint").alias("_t"), F.col(end).cast("bigint").alias("_end"),
+                     F.col(rate).cast("double").alias("_rate")).repartition(*keys)
+    wu = Window.partitionBy(*keys, *extra)
+    wk = Window.partitionBy(*keys)
+    x = base.withColumn("_uend", F.max("_end").over(wu)) \
+        .withColumn("_one", F.row_number().over(wu.orderBy("_t", "_rate", "_end")) == 1)
+    x = x.withColumn("_lo", F.least(F.min("_t").over(wk), F.min("_uend").over(wk))) \
+        .withColumn("_hi", F.max("_end").over(wk))
+    row = F.struct(F.col("_t"), F.col("_rate"), F.lit(0).alias("_closing"))
+    close = F.struct(F.col("_uend").alias("_t"), F.lit(0.0).alias("_rate"), F.lit(1).alias("_closing"))
+    x = x.select(*keys, *extra, "_lo", "_hi",
+                 F.explode(F.when(F.col("_one"), F.array(row, close)).otherwise(F.array(row))).alias("_r"))
+    x = x.select(*keys, *extra, "_lo", "_hi", "_r.*")
+    return _carry_forward_expand(x, keys, extra, step)
 
 
 def expand_charted(df: DataFrame, keys: Sequence[str], t: str, rate: str, step: int = 1,
-                   carry: Sequence[str] = (), chunk: int | None = 1440) -> DataFrame:
+                   carry: Sequence[str] = ()) -> DataFrame:
     """Charted rates -> one rate per step: grid from first to last charting,
-    carry forward, mean per step. Text rates become numbers after filling."""
+    carry forward, mean per step (text rates are read as numbers)."""
     keys, carry = list(keys), list(carry)
-    rows = df.select(*keys, *carry, F.col(t).cast("bigint").alias("_t"), F.col(rate).alias("_rate"))
-    full = complete_grid(rows, keys, "_t", step)
-    full = locf(full, keys, "_t", ["_rate"] + carry, chunk=chunk, tiebreak=["_rate"])
-    return full.groupBy(*keys, *carry, floor_to("_t", step).alias("t")).agg(
-        F.avg(F.col("_rate").try_cast("double")).alias("rate"))
+    x = df.select(*keys, *carry, F.col(t).cast("bigint").alias("_t"),
+                  F.col(rate).try_cast("double").alias("_rate")).repartition(*keys)
+    wk = Window.partitionBy(*keys)
+    x = x.withColumns({"_lo": F.min("_t").over(wk), "_hi": F.max("_t").over(wk), "_closing": F.lit(0)})
+    return _carry_forward_expand(x, keys, carry, step)
 
 
 def expand_bolus(df: DataFrame, keys: Sequence[str], t: str, window: int = 120,

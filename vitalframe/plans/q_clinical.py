@@ -291,8 +291,7 @@ select pat_id, drug, unit, t, round(avg(rate), 6) as rate from f group by 1, 2,
 def expand_infusions(spark, sf):
     """Intervals -> per-step rates (30-day steps of the adapter clock), closing 0-rate row, carry forward."""
     i = A.infusions(spark, sf)
-    out = TG.expand_infusions(i, ["pat_id", "drug"], "t_start", "t_end", "rate", step=1,
-                              close_keys=["unit"], chunk=12)
+    out = TG.expand_infusions(i, ["pat_id", "drug"], "t_start", "t_end", "rate", step=1, close_keys=["unit"])
     return r6(out, "rate")
 
 
