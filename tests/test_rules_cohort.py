@@ -125,3 +125,40 @@ def test_weight_height(spark):
                                "pat_id long, label string, unit string, value double")
     assert CO.mean_weight(df, "pat_id").first().mean_weight == 85.0
     assert CO.mean_height(df, "pat_id").first().mean_height == 180.0
+
+
+def test_lab_lists(spark):
+    df = spark.createDataFrame([("C-Reactive Protein", 5.0), ("Platelet Count", 200.0), ("INR(PT)", 1.1),
+                                ("Urea Nitrogen", 20.0), ("Lymphs", None), ("Hematocrit", 40.0), ("Calcium, Total", 2.0)],
+                               "label string, value double")
+    got = {}
+    for r in HA.lab_labels(df).collect():
+        got.setdefault(r.label, []).append(r.measure)
+    assert got["C-Reactive Protein"] == ["CRP"]
+    assert got["Platelet Count"] == ["Thrombocyten"]
+    assert got["INR(PT)"] == ["INR", "INR"]   # in both lists, as in the reference union
+    assert got["Urea Nitrogen"] == ["Harnstoff-N"]
+    assert "Lymphs" not in got            # no numeric value
+    assert got["Hematocrit"] == ["Hk"]
+    e = spark.createDataFrame([("bedside glucose",), ("O2 Sat (%)",), ("urinary sodium",), ("PT - INR",), ("total protein",)],
+                              "label string")
+    got = {r.label: r.measure for r in R.rename_lists(e, [R.EICU_BGA, R.EICU_LAB_1, R.EICU_LAB_2]).collect()}
+    assert got["bedside glucose"] == "Glu" and got["O2 Sat (%)"] == "sO2" and "urinary sodium" not in got
+    assert got["PT - INR"] == "INR" and got["total protein"] == "Eiweiß"
+
+
+def test_eicu_sources(spark):
+    w = spark.createDataFrame([(1, 10, 80.0, 12.0, None, 5.0)], "pid long, t long, heartrate double, icp double, "
+                              "sao2 double, cvp double")
+    got = {r.measure: r.value for r in HA.eicu_vitals_long(w, ["pid", "t"]).collect()}
+    assert got == {"HF": 80.0, "ICP": 12.0}
+    r = spark.createDataFrame([("Total RR", "18"), ("RR (patient)", "12"), ("PEEP", "5 cm"), ("Set RR", "10"),
+                               ("Mean Airway Pressure", "9")], "label string, value_text string")
+    got = {x.label: (x.measure, x.value) for x in HA.eicu_respiratory(r).collect()}
+    assert got == {"Total RR": ("Freq gesamt", 18.0), "RR (patient)": ("Freq spontan", 12.0), "PEEP": ("PEEP", 5.0),
+                   "Mean Airway Pressure": ("Pmean", 9.0)}
+    p = spark.createDataFrame([("Pupils", "Right Pupil Size", "3 mm"), ("Pupils", "Left Pupil", "x")],
+                              "celllabel string, cellattribute string, cellattributevalue string")
+    assert [(x.measure, x.value) for x in HA.eicu_pupils(p).collect()] == [("Pupille re", 3.0)]
+    g = spark.createDataFrame([("GCS Total", "15"), ("Eyes", "4")], "label string, value_text string")
+    assert sorted(x.measure for x in HA.eicu_gcs(g).collect()) == ["GCS_auge", "GCS_total"]

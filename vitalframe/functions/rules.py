@@ -227,3 +227,106 @@ def patch_labels(c: Column | str, patches: Sequence[tuple[str, str]] = LABEL_PAT
     for pattern, new in patches:
         out = F.when(F.coalesce(out.rlike(pattern), F.lit(False)), F.lit(new)).otherwise(out)
     return out
+
+
+@dataclass(frozen=True)
+class RenameList:
+    """A label list: keep labels containing any ``include`` keyword, drop those
+    matching ``exclude`` (before renaming), rename (regex replacements in
+    order), drop those matching ``exclude_after``, rename again; optionally
+    require a numeric value."""
+    include: tuple[str, ...]
+    renames: tuple[tuple[str, str], ...] = ()
+    exclude: str | None = None
+    exclude_after: str | None = None
+    renames_after: tuple[tuple[str, str], ...] = ()
+    require_value: bool = False
+
+
+def rename_list_label(label: Column, rl: RenameList, value: Column | None = None) -> Column:
+    """The list's normalised label, or NULL when the row is not in the list."""
+    ok = F.coalesce(label.rlike("|".join(rl.include)), F.lit(False))
+    if rl.exclude:
+        ok = ok & ~F.coalesce(label.rlike(rl.exclude), F.lit(False))
+    mid = rewrite(label, rl.renames)
+    if rl.exclude_after:
+        ok = ok & ~F.coalesce(mid.rlike(rl.exclude_after), F.lit(False))
+    if rl.require_value and value is not None:
+        ok = ok & value.isNotNull()
+    return F.when(ok, rewrite(mid, rl.renames_after))
+
+
+def rename_lists(df: DataFrame, lists: Sequence[RenameList], label: str = "label", out: str = "measure",
+                 value: str | None = None) -> DataFrame:
+    """Apply several label lists in ONE pass; a row in two lists yields two
+    rows (the reference unions the per-list subsets)."""
+    v = F.col(value) if value else None
+    arr = F.array(*[rename_list_label(F.col(label), rl, v) for rl in lists])
+    return df.withColumn(out, F.explode(F.filter(arr, lambda x: x.isNotNull())))
+
+
+# ---- fixed values: laboratory and blood-gas label lists ----------------------
+MIMIC_BGA = RenameList(BGA_INCLUDE, BGA_RENAMES_1, exclude_after=" ", renames_after=BGA_RENAMES_2)
+
+MIMIC_LAB_1 = RenameList(
+    ("MC", "Hct", "RBC", "RDW", "WBC", "INR", "PTT", "Baso", "Chole", "Eos", "Fibri", "Mono", "Lymphs", "Polys",
+     "Amyl", "Phosph", "Plat", "Thy", "Leuk"),
+    (("Fibrinogen, Functional", "Fibrinogen"), ("Cholesterol, Total", "Cholesterin"),
+     ("Thyroid Stimulating Hormone", "TSH"), ("Platelet Count", "Thrombocyten")),
+    exclude_after=" |7|NRBC|siderin|Thy", require_value=True,
+    renames_after=((r"INR\(PT\)", "INR"), ("WBC", "Leukocyten"), ("RBC", "Erythrocyten"), ("Basophils", "Basophile"),
+                   ("Eosinophils", "Eosinophile"), ("Lymphs", "Lymphocyten"), ("RDW", "EVB"),
+                   ("fibrinogen", "Fibrinogen"), ("PTT", "aPTT"), ("Hct", "Hk"), ("Monocytes", "Monocyten"),
+                   ("Monos", "Monocyten"), ("Polys", "Neutrophile"), ("Amylase", "pankreasspez"),
+                   ("Phosphate", "Phosphat")))
+
+MIMIC_LAB_2 = RenameList(
+    ("Albu", "C-", "Alk", "ALT", "AST", "Crea", "Dim", "Prot", "T3", "T4", "Dehy", "Lipase", "Magn", "Triglycerid",
+     "Trop", "Urea", "Glut", "PT", "Hema"),
+    (("C-Reactive Protein", "CRP"), (r"Triiodothyronine \(T3\)", "fT3"), (r"INR\(PT\)", "INR"),
+     (r"Thyroxine \(T4\)", "fT4"), (r"Alanine Aminotransferase \(ALT\)", "ALT"),
+     (r"Asparate Aminotransferase \(AST\)", "AST"), (r"Lactate Dehydrogenase \(LD\)", "LDH"),
+     (r"Creatine Kinase \(CK\)", "CK"), ("Creatine Kinase, MB Isoenzyme", "CK-MB"), ("Troponin T", "Troponin"),
+     ("Urea Nitrogen", "Harnstoff-N"), ("Gamma Glutamyltransferase", "GGT"), ("Alkaline Phosphatase", "Alk")),
+    exclude_after=" |<|PTT", require_value=True,
+    renames_after=(("Albumin", "Albumin"), ("Lipase", "Lipase"), ("Magnesium", "Magnesium"), ("Hematocrit", "Hk"),
+                   ("PT", "TZ"), ("Creatinine", "Kreatinin"), ("D-Dimer", "D-Dimere"), ("Protein", "Eiweiß"),
+                   ("Triglycerides", "Triglyceride")))
+
+EICU_BGA = RenameList(
+    ("Carbox", "calc", "chlori", "HCO", "bili", "glucose", "Hgb", "Base", "potass", "sodiu", "O2", "pH", "lactat",
+     "bicar", "anion"),
+    (("Carboxyhemoglobin", "FCOHb"), ("calcium", "Ca"), ("ionized Ca", "Ca"), ("total bilirubin", "Bili"),
+     ("potassium", "K"), ("bicarbonate", "HCO3"), ("anion gap", "Anionen_Lücke"), ("sodium", "Na"),
+     ("paCO2", "PCO2"), ("paO2", "PO2"), ("O2 Sat", "sO2"), (r"\ \(%\)", ""), ("FiO2", "FO2"), ("chloride", "Cl"),
+     ("bedside ", ""), ("glucose", "Glu"), ("Hgb", "Hb_BGA"), ("Base Excess", "SBE"), ("lactate", "Lac")),
+    exclude="-hs|pre|direct| in | ratio|urina|Tot|LPM|Conten|CSF|Defic")
+
+EICU_LAB_1 = RenameList(
+    ("MC", "Hct", "RBC", "RDW", "WBC", "INR", "PTT", "baso", "chole", "eos", "fibri", "mono", "lymphs", "poly",
+     "amyl", "phosph", "plat", "TSH"),
+    (("PT - INR", "INR"), ("WBC x 1000", "Leukocyten"), ("RBC", "Erythrocyten"), ("-basos", "Basophile"),
+     ("total cholesterol", "Cholesterin"), ("-eos", "Eosinophile"), ("-lymphs", "Lymphocyten"), ("RDW", "EVB"),
+     ("fibrinogen", "Fibrinogen"), ("PTT", "aPTT"), ("Hct", "Hk"), ("-monos", "Monocyten"),
+     ("-polys", "Neutrophile"), ("amylase", "pankreasspez"), ("phosphate", "Phosphat"),
+     ("platelets x 1000", "Thrombocyten")),
+    exclude="ionized|-hs|pre|direct| in | ratio")
+
+EICU_LAB_2 = RenameList(
+    ("albumin", "CRP", "alk", "ALT", "AST", "crea", "CPK", "dim", "total prot", "CPK-MB", "T3", "T4", "LDH",
+     "lipase", "magn", "trig", "trop", "BUN", "PT"),
+    (("albumin", "Albumin"), ("alkaline phos.", "Alk"), (r"\ \(SGPT\)|\ \(SGOT\)", ""), ("CPK", "CK"),
+     ("creatinine", "Kreatinin"), ("total protein", "Eiweiß"), ("T3", "fT3"), ("T4", "fT4"), ("lipase", "Lipase"),
+     ("magnesium", "Magnesium"), ("triglycerides", "Triglyceride"), ("PT", "TZ"), ("BUN", "Harnstoff-N"),
+     ("troponin - I", "Troponin")),
+    exclude="ionized|pre|direct| in | ratio|INDEX|urin|3RU|free | - T|-hs|- INR|PTT")
+
+# eICU respiratory charting labels (whole-label rewrites)
+EICU_RESP_FAMILIES = (
+    Family(("PEEP|RR |RASS|FiO|Total RR",), "Respiratory|CPAP|Set|Spont|above|Unable",
+           ((("RASS",), "RASS"), (("RR", "patient"), "Freq spontan"), (("Total RR",), "Freq gesamt")), name="resp"),
+    Family(("Mean Airway Pressure|Peak Insp. Pressure",), None,
+           ((("Mean Airway Pressure",), "Pmean"), (("Peak Insp. Pressure",), "Ppeak")), name="airway"),
+)
+# eICU nurse-charting GCS components; one charted row may match several
+EICU_GCS_PATTERNS = {"GCS_auge": "Eyes", "GCS_verbal": "Verbal", "GCS_motor": "Motor", "GCS_total": "GCS Total"}

@@ -86,9 +86,46 @@ def multi_match_labels(df: DataFrame, label: str, patterns: Mapping[str, str], o
 
 
 def bga_labels(df: DataFrame, label: str = "label", out: str = "measure") -> DataFrame:
-    """Blood-gas label normalisation: include list, first renames, drop labels
-    that still contain a blank, then the remaining renames."""
-    x = df.filter(str_detect(label, "|".join(R.BGA_INCLUDE)))
-    x = x.withColumn(out, R.rewrite(F.col(label), R.BGA_RENAMES_1))
-    x = x.filter(~F.coalesce(F.col(out).rlike(" "), F.lit(False)))
-    return x.withColumn(out, R.rewrite(F.col(out), R.BGA_RENAMES_2))
+    """MIMIC blood-gas label normalisation (include list, renames, labels
+    still containing a blank dropped, renames)."""
+    return R.rename_lists(df, [R.MIMIC_BGA], label, out)
+
+
+def lab_labels(df: DataFrame, lists=(R.MIMIC_LAB_1, R.MIMIC_LAB_2), label: str = "label", out: str = "measure",
+               value: str | None = "value") -> DataFrame:
+    """Laboratory label normalisation with two lists in one pass; a label
+    in both lists appears twice (as in the reference's union)."""
+    return R.rename_lists(df, list(lists), label, out, value)
+
+
+def eicu_vitals_long(df: DataFrame, ids: Sequence[str], renames: Mapping[str, str] = EICU_VITAL_RENAMES,
+                     dropped: Sequence[str] = EICU_DROPPED_VITALS) -> DataFrame:
+    """eICU wide vital rows -> long rows named by the common vocabulary;
+    columns in ``dropped`` are not unpivoted; NULL values dropped."""
+    cols = [c for c in df.columns if c not in ids and c not in dropped]
+    x = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols])
+    long = x.unpivot(list(ids), cols, "measure", "value").filter(F.col("value").isNotNull())
+    return long.withColumn("measure", F.coalesce(R.map_values("measure", dict(renames), None), F.col("measure")))
+
+
+def eicu_respiratory(df: DataFrame, label: str = "label", value_text: str = "value_text") -> DataFrame:
+    """Respiratory chart rows -> PEEP / RASS / rates / FiO2 / airway pressures, numeric values."""
+    x = R.normalise_labels(df, R.EICU_RESP_FAMILIES, label, "measure")
+    from vitalframe.functions.scalar import parse_number
+    return x.withColumn("value", parse_number(value_text))
+
+
+def eicu_pupils(df: DataFrame, label: str = "celllabel", attribute: str = "cellattribute",
+                value_text: str = "cellattributevalue") -> DataFrame:
+    """Pupil size from nurse assessments: side from the attribute, number from the text."""
+    from vitalframe.functions.scalar import parse_number
+    x = df.filter(str_detect(label, "Pup") & str_detect(attribute, "Left|Right"))
+    x = x.withColumn("value", parse_number(value_text)).filter(F.col("value").isNotNull())
+    return x.withColumn("measure", F.when(F.col(attribute).rlike("Right"), "Pupille re").otherwise("Pupille li"))
+
+
+def eicu_gcs(df: DataFrame, label: str = "label", value_text: str = "value_text") -> DataFrame:
+    """GCS components from nurse charting; one row can feed several components."""
+    from vitalframe.functions.scalar import parse_number
+    x = df.withColumn("value", parse_number(value_text)).filter(F.col("value").isNotNull())
+    return multi_match_labels(x, label, R.EICU_GCS_PATTERNS)

@@ -403,10 +403,10 @@ def feature_diff(spark, sf):
 
 @register("to_long", """
 select pat_id, obs_time, measure, value from (
-  unpivot wide_vitals on hr, icp, sao2, temperature into name measure value value) where value is not null""",
+  unpivot wide_vitals on heartrate, icp, sao2, temperature into name measure value value) where value is not null""",
           ("wide_vitals",))
 def to_long(spark, sf):
-    return TG.to_long(A.wide_vitals(spark, sf), ["pat_id", "obs_time"], ["hr", "icp", "sao2", "temperature"])
+    return TG.to_long(A.wide_vitals(spark, sf), ["pat_id", "obs_time"], ["heartrate", "icp", "sao2", "temperature"])
 
 
 @register("to_wide", """

@@ -385,3 +385,13 @@ def assemble_sources(spark, sf):
         drugs = HA.assemble_source(drugs.withColumn("measure", F.col("measure_norm")), db, drug_class="drug_class")
         parts += [meas, drugs]
     return RL.stack(*parts)
+
+
+@register("eicu_vitals_long", """
+select pat_id, obs_time, case measure when 'heartrate' then 'HF' when 'icp' then 'ICP' when 'sao2' then 'SpO2'
+  when 'temperature' then 'Temp' else measure end as measure, value
+from (unpivot wide_vitals on heartrate, icp, sao2, temperature into name measure value value) where value is not null""",
+          ("wide_vitals",))
+def eicu_vitals_long(spark, sf):
+    """eICU-style wide vital rows -> long rows with the common measure names (fixed rename map)."""
+    return HA.eicu_vitals_long(A.wide_vitals(spark, sf), ["pat_id", "obs_time"])

@@ -114,7 +114,7 @@ def bolus(spark: SparkSession, sf_dir: str) -> DataFrame:
 def wide_vitals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("pat_id"), F.col("l_linenumber").cast("bigint").alias("obs_time"),
-        F.col("l_quantity").alias("hr"), F.col("l_extendedprice").alias("icp"),
+        F.col("l_quantity").alias("heartrate"), F.col("l_extendedprice").alias("icp"),
         F.col("l_discount").alias("sao2"), F.col("l_tax").alias("temperature"))
 
 
@@ -193,7 +193,7 @@ select o_custkey as pat_id, l_returnflag as drug, l_linestatus as unit,
 from lineitem join orders on l_orderkey = o_orderkey""",
     "bolus": f"select pat_id, 'Mannitol' as drug, rel_time as t from (select {_OBS_COLS} from events) where category = 'Med'",
     "wide_vitals": """
-select l_orderkey as pat_id, cast(l_linenumber as bigint) as obs_time, l_quantity as hr,
+select l_orderkey as pat_id, cast(l_linenumber as bigint) as obs_time, l_quantity as heartrate,
   l_extendedprice as icp, l_discount as sao2, l_tax as temperature from lineitem""",
     "text_values": """
 select event_id, user_id as pat_id, props as raw_text,
