@@ -150,18 +150,61 @@ def normalise_minmax(spark, sf):
     return r6(NO.normalise(A.obs(spark, sf), "minmax"), "value")
 
 
-@register("normalise_yeojohnson")
+def _yj_sql(x: str, lam: str) -> str:
+    return (f"(case when {x} >= 0 then (case when abs({lam}) < 1e-12 then ln(1 + {x}) "
+            f"else (pow({x} + 1, {lam}) - 1) / (case when abs({lam}) < 1e-12 then 1.0 else {lam} end) end) "
+            f"else (case when abs({lam} - 2) < 1e-12 then -ln(1 - {x}) "
+            f"else -(pow(1 - {x}, 2 - {lam}) - 1) / (case when abs({lam} - 2) < 1e-12 then 1.0 else 2 - {lam} end) end) end)")
+
+
+def yeojohnson_fit_sql(src: str, points: int = 41, passes: int = 4, lo: float = -5.0, hi: float = 5.0) -> str:
+    """The zooming maximum-likelihood grid search in SQL (same grid, same tie order)."""
+    step = (hi - lo) / (points - 1)
+    half = (points - 1) // 2
+    parts = [f"""
+, yx as (select db, measure_norm, cast(value as double) as x from {src} where value is not null),
+yb as (select db, measure_norm, count(*) as n, sum(sign(x) * ln(1 + abs(x))) as c, stddev_pop(x) as sd0 from yx group by 1, 2),
+c0 as (select db, measure_norm, {(lo + hi) / 2.0!r} as lam from yb)"""]
+    for p in range(passes):
+        offs = ", ".join(repr(float((k - half) * step)) for k in range(points))
+        parts.append(f"""
+, j{p} as (select yx.db, yx.measure_norm, yx.x, c{p}.lam + o.off as l from yx join c{p} using (db, measure_norm),
+           (select unnest([{offs}]::double[]) as off) o),
+s{p} as (select db, measure_norm, l, sum({_yj_sql('x', 'l')}) as s, sum(pow({_yj_sql('x', 'l')}, 2)) as q
+          from j{p} group by 1, 2, 3),
+ll{p} as (select s{p}.db, s{p}.measure_norm, l, case when (q - s * s / n) / n > 0
+            then -n / 2.0 * ln((q - s * s / n) / n) + (l - 1.0) * c else '-inf'::double end as ll
+          from s{p} join yb using (db, measure_norm)),
+c{p + 1} as (select db, measure_norm, l as lam from (select *, row_number() over (partition by db, measure_norm
+            order by ll desc, abs(l), l desc) as rn from ll{p}) where rn = 1)""")
+        step = step * 2.0 / (points - 1)
+    parts.append(f"""
+, ylam as (select yb.db, yb.measure_norm, case when yb.sd0 > 0 then c{passes}.lam end as "lambda"
+           from yb join c{passes} using (db, measure_norm))""")
+    return "".join(parts)
+
+
+@register("yeojohnson_lambda", "with obs_dirty as (" + A.SQL["obs_dirty"] + ")" + yeojohnson_fit_sql("obs_dirty")
+          + " select db, measure_norm, \"lambda\" from ylam")
+def yeojohnson_lambda(spark, sf):
+    """Fitted Yeo-Johnson lambda per source x feature of the shifted values (negatives included)."""
+    # lambda is a grid point reached by the same float additions in both engines: not rounded
+    return NO.fit_yeojohnson(A.obs_dirty(spark, sf))
+
+
+@register("normalise_yeojohnson", "with obs as (" + A.SQL["obs"] + ")"
+          + ", me as (select * from obs where category <> 'Med')" + yeojohnson_fit_sql("me") + f"""
+, dr as (select * from obs where category = 'Med' and not regexp_matches(measure_norm, 'Manni')),
+t as (select me.*, {_yj_sql("me.value", "ylam.\"lambda\"")} as y from me join ylam using (db, measure_norm)),
+z as (select t.*, (y - avg(y) over (partition by db, measure_norm)) / nullif(stddev_samp(y) over (partition by db, measure_norm), 0)
+      as v from t)
+select pat_id, rel_time, db, category, measure, round(avg(v), 6) as value from z group by 1, 2, 3, 4, 5
+union all {DRUG_NORM_SQL}""")
 def normalise_yeojohnson(spark, sf):
     """Yeo-Johnson (lambda by maximum likelihood per source x feature), standardised; drugs min-max."""
     return r6(NO.normalise(A.obs(spark, sf), "yeojohnson"), "value")
 
 
-@register("yeojohnson_lambda")
-def yeojohnson_lambda(spark, sf):
-    """Fitted Yeo-Johnson lambda per source x feature of the shifted values (negatives included)."""
-    return r6(NO.fit_yeojohnson(A.obs_dirty(spark, sf)), "lambda")
-
-
 FEATURES = ("Vital_ICP", "Vital_HF", "Labor_CRP", "BGA_SBE", "Med_Opioid")
 GRID_SQL = """
 , r as (select pat_id, category, measure, cast(floor(rel_time / 60) * 60 as bigint) as rel_time,
