@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The reference works on stored tables only: it has no watermark, event-time
+window, stateful operator or late-data handling. Every vitalframe operator is
+a batch DataFrame function; nothing here adds streaming-only behaviour.
+"""
