@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalframe.functions.scalar import floor_to, minutes_between
+from vitalframe.session import spread
 
 OBS_KEYS = ("pat_id", "db", "category", "measure", "measure_norm")
 
@@ -175,7 +176,7 @@ def expand_bolus(df: DataFrame, keys: Sequence[str], t: str, window: int = 120,
     t and t+window.
     """
     keys = list(keys)
-    d = df.select(*keys, F.col(t).cast("bigint").alias("_t"))
+    d = spread(df.select(*keys, F.col(t).cast("bigint").alias("_t")))
     if mode == "per_dose":
         x = d.withColumn("_e", F.col("_t") + F.lit(window))
         x = explode_grid(x, "_t", "_e", 1, "t")

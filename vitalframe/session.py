@@ -56,3 +56,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss, unlike a local checkpoint."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a narrow input over the available cores before a row-multiplying
+    step (explode over candidates or grid points).
+
+    Large inputs already arrive in many file splits and are returned
+    unchanged (no extra shuffle); only inputs with fewer partitions than the
+    default parallelism (e.g. one small file) are redistributed.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
