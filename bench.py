@@ -22,7 +22,7 @@ HEADLINE = [
     "critical_phase_prevalence", "critical_phases_hourly", "label_grid", "resample_5min", "drop_jumps",
     "clip_outliers", "quantile_by", "normalise_z", "normalise_yeojohnson", "feature_grid", "training_table",
     "expand_infusions", "expand_bolus", "locf_chunked", "to_sequences", "auc", "youden_threshold",
-    "masked_loss", "number_patients", "impute_by_group",
+    "masked_loss", "number_patients", "impute_by_group", "prepare_training_table",
 ]
 
 

@@ -59,3 +59,17 @@ def test_pushdown_and_pruning(spark):
 def test_expansion_single_shuffle(spark):
     text = _plan(QUERIES["expand_infusions"](spark, SF001))
     assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_pipeline_end_to_end(spark):
+    from vitalframe.plans.pipeline import training_table
+    from vitalframe.plans.q_model import FEATURES
+    from vitalframe.sources import adapters as A
+    out = training_table(A.obs(spark, SF001), A.patients(spark, SF001), FEATURES, method="z", z_max=4.0,
+                         min_vital_rows=5)
+    cols = set(out.columns)
+    assert {"pat_id", "rel_time", "horizon_h", "critical_short", "critical_long", "icp_pred", "sex", "outcome",
+            "rel_time_norm"} <= cols and set(FEATURES) <= cols
+    n = out.count()
+    assert n > 0 and n % 14 == 0
+    assert out.filter(F.col("Med_Opioid").isNull()).count() == 0

@@ -459,3 +459,12 @@ def mean_fold_loss(spark, sf):
     x = s.join(folds, "pat_id")
     fl = EV.fold_losses(x, "fold5", ["quality", "toxic"], weights=LOSS_WEIGHTS)
     return r6(EV.mean_fold_loss(fl, "loss", "fold5"), "mean_loss")
+
+
+@register("prepare_training_table")
+def prepare_training_table(spark, sf):
+    """End-to-end: clean + resample 5 min + outliers + few-vitals rule (staged), hourly phases and 14
+    horizons, 60-min Yeo-Johnson normalisation, wide grid, labels and static targets in one table."""
+    from vitalframe.plans.pipeline import training_table as tt
+    out = tt(A.obs(spark, sf), A.patients(spark, sf), FEATURES, z_max=4.0, min_vital_rows=25)
+    return r6(out, *FEATURES, "icp_pred", "rel_time_norm")
