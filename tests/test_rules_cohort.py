@@ -162,3 +162,23 @@ def test_eicu_sources(spark):
     assert [(x.measure, x.value) for x in HA.eicu_pupils(p).collect()] == [("Pupille re", 3.0)]
     g = spark.createDataFrame([("GCS Total", "15"), ("Eyes", "4")], "label string, value_text string")
     assert sorted(x.measure for x in HA.eicu_gcs(g).collect()) == ["GCS_auge", "GCS_total"]
+
+
+def test_small_helpers(spark):
+    import os
+    import tempfile
+    from vitalframe.operators import relational as RL
+    from vitalframe.operators import sequences as SQ
+    from vitalframe.sources import io
+    df = spark.createDataFrame([(1, "Labetalol-k", "mg/hour", "Alive", None, 1.0, 0.0)],
+                               "pat_id long, drug string, unit string, unit_status string, hosp_status string, "
+                               "critical_short double, icp_pred double")
+    r = HA.clean_rates(df).first()
+    assert (r.drug, r.unit) == ("Labetolol", "mghr")
+    o = CO.align_outcome(df).first()
+    assert (o.outcome, o.outcome_hospital) == ("survived", "survived")
+    assert RL.cols_like(df, "unit") == ["unit", "unit_status"] and RL.cols_like(df, "crit", "starts") == ["critical_short"]
+    cat, rest = SQ.split_targets(df.select("pat_id", "critical_short", "icp_pred"), ["critical_short"])
+    assert cat.columns == ["pat_id", "critical_short"] and rest.columns == ["pat_id", "icp_pred"]
+    path = os.path.join(tempfile.mkdtemp(prefix="run-", dir="/tmp"), "seq")
+    assert io.cache_sequences(df, path).count() == 1 and io.cache_sequences(df, path).count() == 1
