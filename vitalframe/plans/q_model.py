@@ -461,7 +461,65 @@ def mean_fold_loss(spark, sf):
     return r6(EV.mean_fold_loss(fl, "loss", "fold5"), "mean_loss")
 
 
-@register("prepare_training_table")
+def _pipeline_sql() -> str:
+    feats = ", ".join(f"avg(case when category = '{f.split('_', 1)[0]}' and measure = '{f.split('_', 1)[1]}' then value end)"
+                      f" as \"{f}\"" for f in FEATURES)
+    fg_cols = ", ".join((f'coalesce(w."{f}", 0.0) as "{f}"' if f.startswith("Med_") else f'w."{f}"') for f in FEATURES)
+    out_cols = ", ".join(f'round("{f}", 6) as "{f}"' for f in FEATURES)
+    return (f"with obs as ({A.SQL['obs']}), patients as ({A.SQL['patients']})" + """
+, o1 as (select * from obs where value is not null and not (not regexp_matches(measure, 'ICP|CPP|SBE') and value < 0)),
+o2 as (select pat_id, db, category, measure, measure_norm, rel_time,
+         case when regexp_matches(measure, 'SpO2|sO2') and value > 100.0 then 100.0 else value end as value from o1),
+o3 as (select * from o2 where value is not null and rel_time > 0 and rel_time < 48153),
+r5 as (select pat_id, db, category, measure, measure_norm, cast(floor(rel_time / 5) * 5 as bigint) as rel_time,
+         case when category = 'Med' then max(value) else avg(value) end as value from o3 group by 1, 2, 3, 4, 5, 6),
+sts as (select db, measure_norm, avg(value) as mu, stddev_samp(value) as sd from r5 group by 1, 2),
+pm as (select db, measure_norm, pat_id, max(value) as pmax from r5 group by 1, 2, 3),
+co as (select r5.pat_id, r5.db, r5.category, r5.measure, r5.measure_norm, r5.rel_time,
+         case when coalesce(abs((r5.value - sts.mu) / nullif(sts.sd, 0)) >= 4.0, false) then pm.pmax else r5.value end as value
+       from r5 join sts on r5.db = sts.db and r5.measure_norm = sts.measure_norm
+       join pm on r5.db = pm.db and r5.measure_norm = pm.measure_norm and r5.pat_id = pm.pat_id),
+jp as (select *, coalesce(abs(lag(value) over w - value), 0) + coalesce(abs(lead(value) over w - value), 0) as jump
+       from co window w as (partition by pat_id, measure_norm order by rel_time, category, measure)),
+jq as (select db, measure_norm, quantile_cont(jump, 0.999) as thr from jp group by 1, 2),
+dj as (select jp.pat_id, jp.db, jp.category, jp.measure, jp.measure_norm, jp.rel_time, jp.value
+       from jp join jq on jp.db = jq.db and jp.measure_norm = jq.measure_norm where jp.jump <= jq.thr),
+few as (select pat_id from dj where category = 'Vital' group by 1 having count(*) <= 25),
+cl as (select * from dj where pat_id not in (select pat_id from few))"""
+            + ISLANDS_SQL.format(b=60).replace("from obs where measure = 'ICP'", "from cl where measure = 'ICP'") + """
+, hz as (select unnest([0,1,2,3,4,5,6,7,8,9,10,11,12,24]) as horizon_h),
+lab as (select pat_id, (rel_time_hour - horizon_h) * 60 as rel_time, horizon_h, critical_short, critical_long
+        from phases cross join hz),
+r60 as (select pat_id, db, category, measure, measure_norm, cast(floor(rel_time / 60) * 60 as bigint) as rel_time,
+          case when category = 'Med' then max(value) else avg(value) end as value from cl group by 1, 2, 3, 4, 5, 6),
+me as (select * from r60 where category <> 'Med')""" + yeojohnson_fit_sql("me") + f"""
+, t as (select me.*, {_yj_sql("me.value", 'ylam."lambda"')} as y from me join ylam using (db, measure_norm)),
+z as (select t.*, (y - avg(y) over (partition by db, measure_norm)) / nullif(stddev_samp(y) over (partition by db, measure_norm), 0)
+      as v from t),
+dr as (select * from r60 where category = 'Med' and not regexp_matches(measure_norm, 'Manni')),
+dn as (select o.*, (coalesce(o.value, 0.0) - s.lo) / nullif(s.hi - s.lo, 0) as v from dr o join
+       (select db, measure_norm, min(coalesce(value, 0.0)) as lo, max(coalesce(value, 0.0)) as hi from dr group by 1, 2) s
+       on o.db = s.db and o.measure_norm = s.measure_norm),
+nm as (select pat_id, rel_time, db, category, measure, avg(v) as value from z group by 1, 2, 3, 4, 5
+       union all select pat_id, rel_time, db, category, measure, max(v) from dn group by 1, 2, 3, 4, 5),
+w as (select pat_id, rel_time, {feats} from nm group by 1, 2),
+b as (select pat_id, max(rel_time) as hi from nm group by 1),
+g as (select pat_id, unnest(range(0, hi + 1, 60)) as rel_time from b),
+fg as (select pat_id, rel_time, {fg_cols} from g full join w using (pat_id, rel_time)),
+icp as (select pat_id, cast(floor(rel_time / 60) * 60 as bigint) as rel_time, avg(value) as icp_pred
+        from cl where measure = 'ICP' group by pat_id, category, 2),
+gi as (select fg.*, icp.icp_pred from fg left join icp using (pat_id, rel_time)),
+gh as (select gi.*, cast(hz.horizon_h as integer) as horizon_h from gi cross join hz),
+tg as (select pat_id, case when regexp_matches(coalesce(sex, ''), 'M') then 1.0::double else 0.0::double end as sex,
+  case when regexp_matches(outcome, 'died') then 1.0::double else 0.0::double end as outcome from patients),
+fin as (select gh.*, lab.critical_short, lab.critical_long, tg.sex, tg.outcome
+        from gh left join lab using (pat_id, rel_time, horizon_h) left join tg using (pat_id))
+select pat_id, rel_time, horizon_h, {out_cols}, round(icp_pred, 6) as icp_pred, critical_short, critical_long, sex, outcome,
+  round((rel_time - min(rel_time) over ()) * 1.0 / (max(rel_time) over () - min(rel_time) over ()), 6) as rel_time_norm
+from fin""")
+
+
+@register("prepare_training_table", _pipeline_sql())
 def prepare_training_table(spark, sf):
     """End-to-end: clean + resample 5 min + outliers + few-vitals rule (staged), hourly phases and 14
     horizons, 60-min Yeo-Johnson normalisation, wide grid, labels and static targets in one table."""
