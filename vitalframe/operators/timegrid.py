@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalframe.functions.scalar import floor_to, minutes_between
-from vitalframe.session import spread
 
 OBS_KEYS = ("pat_id", "db", "category", "measure", "measure_norm")
 
@@ -168,27 +167,41 @@ def expand_charted(df: DataFrame, keys: Sequence[str], t: str, rate: str, step:
 
 def expand_bolus(df: DataFrame, keys: Sequence[str], t: str, window: int = 120,
                  mode: str = "per_dose", value: float = 1.0) -> DataFrame:
-    """Single doses -> an effect window of ``window`` minutes at ``value``.
+    """Single doses -> an effect window of ``window`` minutes at ``value``,
+    one row per (keys, minute).
 
-    mode ``per_dose``: every dose covers t..t+window;
-    ``first_dose_only``: only the group's first dose gets the window, later
-    doses stay single minutes; ``endpoints_only``: each dose contributes only
-    t and t+window.
+    mode ``per_dose``: every dose covers t..t+window; ``first_dose_only``:
+    only the group's first dose gets the window, later doses stay single
+    minutes; ``endpoints_only``: each dose contributes only t and t+window.
+
+    The doses are shuffled once by ``keys``; overlapping windows are merged
+    into disjoint intervals first (running maximum of window ends), so every
+    minute is generated exactly once and no distinct over the exploded rows
+    (``window`` times the doses) is needed.
     """
     keys = list(keys)
-    d = spread(df.select(*keys, F.col(t).cast("bigint").alias("_t")))
+    d = df.select(*keys, F.col(t).cast("bigint").alias("_t")).repartition(*keys) \
+        .dropDuplicates(keys + ["_t"])
+    w = Window.partitionBy(*keys).orderBy("_t")
     if mode == "per_dose":
-        x = d.withColumn("_e", F.col("_t") + F.lit(window))
-        x = explode_grid(x, "_t", "_e", 1, "t")
+        prev_end = F.max(F.col("_t") + F.lit(window)).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        start = (prev_end.isNull() | (F.col("_t") > prev_end + F.lit(1))).cast("int")
+        x = d.withColumn("_start", start).withColumn(
+            "_isl", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        iv = x.groupBy(*keys, "_isl").agg(F.min("_t").alias("_a"), (F.max("_t") + F.lit(window)).alias("_b"))
+        out = explode_grid(iv, "_a", "_b", 1, "t").select(*keys, "t")
     elif mode == "first_dose_only":
-        first = d.groupBy(*keys).agg(F.min("_t").alias("_t"))
-        win = explode_grid(first.withColumn("_e", F.col("_t") + F.lit(window)), "_t", "_e", 1, "t")
-        x = win.select(*keys, "t").unionByName(d.select(*keys, F.col("_t").alias("t")))
+        x = d.withColumn("_first", F.min("_t").over(Window.partitionBy(*keys)))
+        first = x.filter(F.col("_t") == F.col("_first")).withColumn("_e", F.col("_t") + F.lit(window))
+        win = explode_grid(first, "_t", "_e", 1, "t").select(*keys, "t")
+        later = x.filter(F.col("_t") > F.col("_first") + F.lit(window)).select(*keys, F.col("_t").alias("t"))
+        out = win.unionByName(later)
     elif mode == "endpoints_only":
-        x = d.select(*keys, F.explode(F.array(F.col("_t"), F.col("_t") + F.lit(window))).alias("t"))
+        out = d.select(*keys, F.explode(F.array(F.col("_t"), F.col("_t") + F.lit(window))).alias("t")) \
+            .dropDuplicates(keys + ["t"])
     else:
         raise ValueError(f"unknown bolus mode {mode!r}")
-    return x.select(*keys, "t").distinct().withColumn("value", F.lit(value))
+    return out.withColumn("value", F.lit(value))
 
 
 def to_relative_time(df: DataFrame, stays: DataFrame, key: str, obs_time: str, admit_time: str,
