@@ -2,10 +2,10 @@
 
 The stages follow the reference's order (clean, resample, de-outlier, label
 phases, resample coarser, normalise, pivot, attach labels and targets). The
-cleaned 5-minute table is written once as a stage table under the session's
-checkpoint folder (partitioned by source and category, clustered by
-patient), which cuts the lineage and survives executor loss; every later
-stage reads that table.
+resampled 5-minute table and the cleaned one are written as stage tables
+under the session's checkpoint folder (partitioned by source and category,
+clustered by patient), which cuts the lineage and survives executor loss;
+later stages read them.
 """
 
 from __future__ import annotations
@@ -23,13 +23,22 @@ from vitalframe.sources.io import stage
 
 
 def clean_observations(obs: DataFrame, bucket_minutes: int = 5, z_max: float = clean.Z_MAX,
-                       min_vital_rows: int = clean.MIN_VITAL_ROWS, time_bound: int | None = clean.TIME_BOUND) -> DataFrame:
-    """Row rules, time bound, resample, distribution and temporal outliers, few-vitals rule."""
+                       min_vital_rows: int = clean.MIN_VITAL_ROWS, time_bound: int | None = clean.TIME_BOUND,
+                       stage_dir: str | None = None) -> DataFrame:
+    """Row rules, time bound, resample, distribution and temporal outliers, few-vitals rule.
+
+    With ``stage_dir`` the resampled, clipped table is written once before
+    the jump filter, whose exact quantile step reads its input twice (size
+    check, then ranking): both reads then come from the stage table instead
+    of recomputing the scan, resampling and clipping.
+    """
     o = clean.drop_negative(obs)
     o = clean.clip_saturation(o)
     o = clean.bound_time(o, upper=time_bound)
     r = timegrid.resample(o, bucket_minutes)
     r = clean.clip_outliers(r, z_max=z_max)
+    if stage_dir:
+        r = stage(r, os.path.join(stage_dir, "obs_resampled"), partition_by=["db", "category"], cluster_by=["pat_id"])
     r = clean.drop_jumps(r)
     return clean.min_observations(r, n_max=min_vital_rows)
 
@@ -41,9 +50,9 @@ def training_table(obs: DataFrame, patients: DataFrame, feature_names: Sequence[
     """One table: patient x grid time x horizon, normalised features, the
     phase labels of that horizon and the static targets."""
     spark = obs.sparkSession
-    cleaned = clean_observations(obs, fine, z_max, min_vital_rows)
-    path = stage_path or os.path.join(checkpoint_dir(spark), "stages", uuid.uuid4().hex, "obs_clean")
-    cleaned = stage(cleaned, path, partition_by=["db", "category"], cluster_by=["pat_id"])
+    root = stage_path or os.path.join(checkpoint_dir(spark), "stages", uuid.uuid4().hex)
+    cleaned = clean_observations(obs, fine, z_max, min_vital_rows, stage_dir=root)
+    cleaned = stage(cleaned, os.path.join(root, "obs_clean"), partition_by=["db", "category"], cluster_by=["pat_id"])
     ph = phases.critical_phases(cleaned, bucket_minutes=60)
     labels = phases.shift_labels(ph, horizons).select(
         "pat_id", (F.col("rel_time_hour") * 60).alias("rel_time"), "horizon_h", "critical_short", "critical_long")
