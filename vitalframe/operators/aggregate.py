@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,10 +80,22 @@ def quantile_by(df: DataFrame, keys: Sequence[str], value: str, q: float, name:
     m/accuracy) brackets the two order statistics the answer needs, rows
     below the bracket are only counted, and the narrowing repeats until the
     bracket is small. No task ever sorts a whole hot group.
+
+    Eager, like an estimator's fit: the (value, count) table is persisted
+    while the size check and the ranking read it, the small result (one row
+    per group) is cached and returned, and the intermediate is released.
     """
     keys = list(keys)
     v = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    vc = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    vc = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _quantile_from_counts(v, vc, keys, q, name, accuracy, max_candidates)
+    finally:
+        vc.unpersist()
+
+
+def _quantile_from_counts(v: DataFrame, vc: DataFrame, keys: list[str], q: float, name: str,
+                          accuracy: int, max_candidates: int) -> DataFrame:
     tot = vc.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d"))
     h = (F.col("_n") - F.lit(1)).cast("double") * F.lit(float(q))
     state = tot.select(*keys, "_d", F.floor(h).cast("bigint").alias("_lo"), (h - F.floor(h)).alias("_frac"),
@@ -127,7 +140,9 @@ def quantile_by(df: DataFrame, keys: Sequence[str], value: str, q: float, name:
         F.max(F.when(hi_row, F.col("_v"))).alias("_x1"),
         F.first("_frac").alias("_frac"))
     x1 = F.coalesce(F.col("_x1"), F.col("_x0"))
-    return picked.select(*keys, (F.col("_x0") + (x1 - F.col("_x0")) * F.col("_frac")).alias(name))
+    out = picked.select(*keys, (F.col("_x0") + (x1 - F.col("_x0")) * F.col("_frac")).alias(name)).cache()
+    out.count()
+    return out
 
 
 def attach_stats(df: DataFrame, keys: Sequence[str], value: str = "value",
