@@ -82,3 +82,10 @@ def test_select_features_modes():
     assert "DB_UKE" not in i and t == ["critical_short", "critical_long"] and c == t
     i, t, c = FE.select_features(ins, tg, "icp", block_labs=True, use_outcome=True)
     assert i == ["Vital_HF", "DB_UKE"] and t == ["icp_pred", "outcome"] and c == ["outcome"]
+
+
+def test_metric_table_per_step(spark):
+    df, _ = _preds(spark)
+    a = EV.metric_table(df, ["t"]).first()
+    b = EV.metric_table(df, ["t"], per_step=True).first()
+    assert a.t_auc == b.t_auc and 0 <= a.t_acc <= 1 and b.t_acc >= a.t_acc - 1e-12 or b.t_acc <= 1

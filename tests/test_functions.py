@@ -54,3 +54,11 @@ def test_sigmoid_and_hash_bit(spark):
     r = df.agg(F.max("s"), F.avg("h")).first()
     assert math.isclose(r[0], 0.5)
     assert 0.4 < r[1] < 0.6
+
+
+def test_to_ts_and_hash_normal(spark):
+    df = spark.createDataFrame([("2024-01-02 03:04:05",), ("garbage",)], "s string")
+    got = [r.t for r in df.select(S.to_ts("s").alias("t")).collect()]
+    assert str(got[0]) == "2024-01-02 03:04:05" and got[1] is None
+    z = spark.range(20000).select(S.hash_normal("id", 3).alias("z")).agg(F.avg("z"), F.stddev("z")).first()
+    assert abs(z[0]) < 0.05 and abs(z[1] - 1) < 0.05

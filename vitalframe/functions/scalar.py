@@ -81,25 +81,57 @@ def sigmoid(c: ColumnOrName) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-col(c)))
 
 
-def jitter(c: ColumnOrName, std: float, seed: int = 0) -> Column:
-    """Gaussian noise augmentation ``x + std * N(0, 1)`` (seeded, per partition)."""
-    return col(c) + F.lit(std) * F.randn(seed)
+def jitter(c: ColumnOrName, std: float, seed: int = 0, key: ColumnOrName | None = None) -> Column:
+    """Gaussian noise augmentation ``x + std * N(0, 1)``.
+
+    With ``key`` (an integer row identity) the normal draw is a Box-Muller
+    transform of two stable hashes of (key, seed): the same noise on every
+    rerun, whatever the partitioning. Without it, Spark's seeded ``randn``.
+    """
+    if key is None:
+        return col(c) + F.lit(std) * F.randn(seed)
+    return col(c) + F.lit(std) * hash_normal(key, seed)
+
+
+def hash_normal(key: ColumnOrName, seed: int = 0) -> Column:
+    """Standard normal draw from a key: Box-Muller on two 24-bit uniform hashes."""
+    scale = float(1 << 24)
+    u1 = (mix_hash(key, 2 * seed, 1 << 24).cast("double") + F.lit(0.5)) / F.lit(scale)
+    u2 = (mix_hash(key, 2 * seed + 1, 1 << 24).cast("double") + F.lit(0.5)) / F.lit(scale)
+    return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2.0 * 3.141592653589793) * u2)
 
 
 def hash_bit(c: ColumnOrName, seed: int = 0) -> Column:
-    """Deterministic 0/1 draw from an integer key, reproducible in any SQL engine.
+    """Deterministic 0/1 draw from an integer key, reproducible in any SQL engine."""
+    return mix_hash(c, seed, 2).cast("int")
 
-    A multiplicative integer mix of key and seed modulo 2**32, bit 16; the
-    operands stay far below the BIGINT range, so ANSI overflow cannot occur.
-    """
-    key = F.pmod(col(c).cast("bigint"), F.lit(4294967296))
-    mixed = F.pmod(key * F.lit(40503) + F.lit(seed * 69069 + 7), F.lit(4294967296))
-    return F.shiftright(mixed, 16).bitwiseAND(F.lit(1)).cast("int")
+
+_M32 = 4294967296
+_MUL = 0x45D9F3B      # 32-bit mixing multiplier: products stay below 2**59, far from BIGINT overflow
+_GOLD = 0x9E3779B9    # seed spreading constant
 
 
-def mix_hash(c: ColumnOrName, seed: int = 0, modulus: int = 4294967296) -> Column:
-    """Stable integer hash of a key in [0, modulus): an integer mix that any
-    SQL engine reproduces (unlike engine-specific hash functions)."""
-    key = F.pmod(col(c).cast("bigint"), F.lit(4294967296))
-    mixed = F.pmod(key * F.lit(40503) + F.lit(seed * 69069 + 7), F.lit(4294967296))
-    return F.pmod(F.shiftright(mixed, 8), F.lit(modulus))
+def mix_hash(c: ColumnOrName, seed: int = 0, modulus: int = _M32) -> Column:
+    """Stable integer hash of a key in [0, modulus).
+
+    The key is reduced mod 2**32, offset by the seed, and put through two
+    xor-shift / multiply rounds and a final xor-shift (mod 2**32). Only
+    64-bit integer arithmetic, so any SQL engine reproduces it exactly
+    (see ``mix_hash_sql``), unlike engine-specific hash functions.
+    """
+    h = F.pmod(F.pmod(col(c).cast("bigint"), F.lit(_M32)) + F.lit((seed * _GOLD) % _M32), F.lit(_M32))
+    for _ in range(2):
+        h = F.pmod(h.bitwiseXOR(F.shiftright(h, 16)) * F.lit(_MUL), F.lit(_M32))
+    h = h.bitwiseXOR(F.shiftright(h, 16))
+    return F.pmod(h, F.lit(modulus))
+
+
+def mix_hash_sql(c: str, seed: int = 0, modulus: int = _M32) -> str:
+    """The same hash as DuckDB SQL text."""
+    def pm(x):
+        return f"((({x}) % {_M32} + {_M32}) % {_M32})"
+    h = pm(f"{pm(c)} + {(seed * _GOLD) % _M32}")
+    for _ in range(2):
+        h = pm(f"xor({h}, {h} >> 16) * {_MUL}")
+    h = f"xor({h}, {h} >> 16)"
+    return f"(({h}) % {modulus})"

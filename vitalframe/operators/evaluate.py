@@ -74,12 +74,13 @@ def accuracy(df: DataFrame, thresholds: DataFrame, by: Sequence[str] = ("target"
 
 
 def metrics(df: DataFrame, per_step: bool = False) -> DataFrame:
-    """One row per target: auc and acc (threshold per target, or per step)."""
-    thr = youden_threshold(df, ["target", "step"] if per_step else ["target"])
-    acc = accuracy(df, thr, ["target", "step"] if per_step else ["target"])
-    if per_step:
-        acc = df.filter(F.col("y").isNotNull()).join(thr, ["target", "step"]).groupBy("target").agg(
-            F.avg(((sigmoid("score") > F.col("threshold")).cast("double") == F.col("y")).cast("double")).alias("acc"))
+    """One row per target: auc and acc. The accuracy threshold is the
+    target's Youden threshold, or with ``per_step`` the one of each step."""
+    by = ["target", "step"] if per_step else ["target"]
+    thr = youden_threshold(df, by)
+    x = df.filter(F.col("y").isNotNull()).join(thr, by)
+    hit = ((sigmoid("score") > F.col("threshold")).cast("double") == F.col("y")).cast("double")
+    acc = x.groupBy("target").agg(F.avg(hit).alias("acc"))
     return auc(df).join(acc, "target")
 
 

@@ -60,11 +60,19 @@ def sigmoid(spark, sf):
     return r6(s.select("pat_id", "step_key", S.sigmoid("s_quality").alias("p_quality")), "p_quality")
 
 
-@register("jitter")
+_U1 = f"(cast({S.mix_hash_sql('step_key', 14, 1 << 24)} as double) + 0.5) / 16777216.0"
+_U2 = f"(cast({S.mix_hash_sql('step_key', 15, 1 << 24)} as double) + 0.5) / 16777216.0"
+
+
+@register("jitter", f"""
+select pat_id, step_key, s_quality,
+  round(s_quality + 0.1 * sqrt(-2.0 * ln({_U1})) * cos(2.0 * 3.141592653589793 * {_U2}), 6) as s_quality_jitter
+from scores""", ("scores",))
 def jitter(spark, sf):
-    """Gaussian noise augmentation of the values (seeded; no SQL twin)."""
-    o = A.obs(spark, sf)
-    return o.select("pat_id", "rel_time", "value", S.jitter("value", 0.1, seed=7).alias("value_jitter"))
+    """Gaussian noise augmentation of stored scores, std 0.1, reproducible per row (hash-based draw)."""
+    s = A.scores(spark, sf)
+    out = s.select("pat_id", "step_key", "s_quality", S.jitter("s_quality", 0.1, seed=7, key="step_key").alias("s_quality_jitter"))
+    return r6(out, "s_quality_jitter")
 
 
 @register("stay_key", "select pat_id, concat(cast(pat_id as varchar), '_', coalesce(sex, 'NA')) as stay_id from patients",
@@ -155,7 +163,7 @@ def impute_by_group(spark, sf):
 
 
 @register("impute_sex", """
-select pat_id, coalesce(sex, case when ((((pat_id % 4294967296) * 40503 + 7) % 4294967296) >> 16) & 1 = 0
+select pat_id, coalesce(sex, case when """ + S.mix_hash_sql("pat_id", 0, 2) + """ = 0
   then 'M' else 'F' end) as sex from patients""", ("patients",))
 def impute_sex(spark, sf):
     return CO.impute_sex(A.patients(spark, sf).select("pat_id", "sex"))

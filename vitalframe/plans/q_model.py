@@ -13,6 +13,7 @@ from vitalframe.operators import normalise as NO
 from vitalframe.operators import phases as PH
 from vitalframe.operators import sequences as SQ
 from vitalframe.operators import timegrid as TG
+from vitalframe.functions.scalar import mix_hash_sql
 from vitalframe.plans.common import r6
 from vitalframe.plans.q_phases import ISLANDS_SQL
 from vitalframe.plans.registry import register
@@ -313,7 +314,7 @@ def pad_sequences(spark, sf):
 
 @register("sample_block", SEQ_FLAT_SQL + """
 , st as (select distinct pat_id, seq_len,
-   case when seq_len > 24 then (((((pat_id % 4294967296) * 40503 + 7) % 4294967296) >> 8) % 4294967296) % (seq_len - 24 + 1)
+   case when seq_len > 24 then """ + mix_hash_sql("pat_id", 0) + """ % (seq_len - 24 + 1)
         else 0 end as start from s),
 blk as (select st.pat_id, st.start, st.seq_len, s.pos - st.start + greatest(24 - st.seq_len, 0) as bpos, s.*
       exclude (pat_id, seq_len, pos, rel_time) from st join s on s.pat_id = st.pat_id
@@ -342,7 +343,7 @@ def class_weights(spark, sf):
 
 
 def _mix(col: str, seed: int, m: int) -> str:
-    return f"(((((({col} % 4294967296) + 4294967296) % 4294967296) * 40503 + {seed * 69069 + 7}) % 4294967296) >> 8) % {m}"
+    return mix_hash_sql(col, seed, m)
 
 
 @register("apply_split", f"""
