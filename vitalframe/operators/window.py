@@ -75,8 +75,16 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     }).drop("_chunk", "__lag", "__lead", "__rn", "__cnt", "__prev", "__next")
 
 
-def rank_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn") -> DataFrame:
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+def rank_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn",
+                  skew_safe: bool = False) -> DataFrame:
+    """Row number within ``keys`` along ``order`` (``order`` should be unique
+    within a group). ``skew_safe`` computes it as a running count over range
+    partitions (``prefix_sums``), so a group holding a large share of the
+    rows is numbered by many tasks instead of one."""
+    if not skew_safe:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    x = prefix_sums(df.withColumn("_one", F.lit(1)), keys, list(order), ["_one"])
+    return x.withColumnRenamed("cum__one", name).withColumn(name, F.col(name).cast("int")).drop("_one")
 
 
 def group_size(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
@@ -116,7 +124,7 @@ def number_patients(df: DataFrame, order: Sequence[str], name: str = "id_nr") ->
     return ids
 
 
-def prefix_sums(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str],
+def prefix_sums(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], cols: Sequence[str],
                 inclusive: bool = True, partitions: int | None = None) -> DataFrame:
     """Running sums of ``cols`` along ``order`` within ``keys``, without
     putting a whole group in one task.
@@ -127,10 +135,11 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[s
     Rows should be unique per (keys, order) (aggregate ties first).
     """
     keys, cols = list(keys), list(cols)
+    order = [order] if isinstance(order, str) else list(order)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    x = df.repartitionByRange(n, *keys, order).withColumn("_pid", F.spark_partition_id())
+    x = df.repartitionByRange(n, *keys, *order).withColumn("_pid", F.spark_partition_id())
     frame = (_UNB, 0) if inclusive else (_UNB, -1)
-    w = Window.partitionBy("_pid", *keys).orderBy(order).rowsBetween(*frame)
+    w = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(*frame)
     x = x.withColumns({f"_loc_{c}": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in cols})
     tot = x.groupBy("_pid", *keys).agg(*[F.sum(c).alias(f"_tot_{c}") for c in cols])
     wo = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(_UNB, -1)

@@ -270,6 +270,15 @@ def rank_in_group(spark, sf):
     return WN.rank_in_group(o, ["pat_id"], ["rel_time", "value", "measure"]).select("pat_id", "rel_time", "value", "rn")
 
 
+@register("rank_in_group_skew_safe", "select pat_id, rel_time, value, cast(row_number() over (partition by pat_id "
+          "order by rel_time, value, measure) as integer) as rn from obs", ("obs",))
+def rank_in_group_skew_safe(spark, sf):
+    """Row numbers per patient as running counts over range partitions (no single task per patient)."""
+    o = A.obs(spark, sf)
+    return WN.rank_in_group(o, ["pat_id"], ["rel_time", "value", "measure"], skew_safe=True) \
+        .select("pat_id", "rel_time", "value", "rn")
+
+
 @register("group_size", "select *, count(*) over (partition by pat_id, measure) as n from obs", ("obs",))
 def group_size(spark, sf):
     return WN.group_size(A.obs(spark, sf), ["pat_id", "measure"])
