@@ -91,3 +91,18 @@ def test_to_long_and_wide(spark):
     wide = TG.to_wide(lg, ["pat_id", "t"], "measure", "value", ["hr", "icp"])
     r = wide.first()
     assert r.hr == 80.0 and r.icp is None
+
+
+def test_hot_key_paths_agree(spark):
+    # one (patient, drug) holds a third of the rows
+    rows = [(0, "P", "mg", t, t + (t % 7), float(t % 11)) for t in range(0, 3000, 3)]
+    rows += [(p, "P", "mg" if p % 2 else "ml", t, t + 5, float(p + t % 5)) for p in range(1, 40) for t in range(0, 150, 6)]
+    df = spark.createDataFrame(rows, "pat_id long, drug string, unit string, s long, e long, r double")
+    a = TG.expand_infusions(df, ["pat_id", "drug"], "s", "e", "r", close_keys=["unit"])
+    b = TG.expand_infusions(df, ["pat_id", "drug"], "s", "e", "r", close_keys=["unit"], chunk=100)
+    assert sorted(a.collect()) == sorted(b.select(*a.columns).collect())
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "_chunk" in plan
+    c = TG.expand_charted(df, ["pat_id", "drug"], "s", "r")
+    d = TG.expand_charted(df, ["pat_id", "drug"], "s", "r", chunk=100)
+    assert sorted(c.collect()) == sorted(d.select(*c.columns).collect())

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalframe.functions.scalar import floor_to, minutes_between
+from vitalframe.operators.window import neighbours
 
 OBS_KEYS = ("pat_id", "db", "category", "measure", "measure_norm")
 
@@ -79,7 +80,7 @@ def to_wide(df: DataFrame, keys: Sequence[str], name: str, value: str, values: S
 
 
 def _carry_forward_expand(rows: DataFrame, keys: list[str], extra: list[str], step: int,
-                          chunk: int = 4096) -> DataFrame:
+                          chunk: int = 4096, lead_chunk: int | None = None) -> DataFrame:
     """Grid completion + carry-forward + mean per step, on rows already
     hash-partitioned by ``keys``.
 
@@ -102,7 +103,10 @@ def _carry_forward_expand(rows: DataFrame, keys: list[str], extra: list[str], st
     per_t = per_x.groupBy(*keys, "_t").agg(
         F.collect_list(F.struct(*[F.col(c) for c in extra], F.col("_sum"), F.col("_cnt"))).alias("_real"),
         F.max_by("_win", "_ord").alias("_win"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
-    per_t = per_t.withColumn("_next", F.lead("_t").over(Window.partitionBy(*keys).orderBy("_t")))
+    if lead_chunk is None:
+        per_t = per_t.withColumn("_next", F.lead("_t").over(Window.partitionBy(*keys).orderBy("_t")))
+    else:  # two-level scan: no task holds a whole (patient, drug) series
+        per_t = neighbours(per_t, keys, ["_t"], "_t", "_prev", "_next", chunk=lead_chunk).drop("_prev")
     first = F.col("_lo") + (F.floor((F.col("_t") - F.col("_lo")) / F.lit(step)) + F.lit(1)).cast("bigint") * F.lit(step)
     upto = F.least(F.coalesce(F.col("_next") - F.lit(1), F.col("_hi")), F.col("_hi"))
 
@@ -126,43 +130,62 @@ def _carry_forward_expand(rows: DataFrame, keys: list[str], extra: list[str], st
 
 
 def expand_infusions(df: DataFrame, keys: Sequence[str], start: str, end: str, rate: str,
-                     step: int = 1, close_keys: Sequence[str] = ()) -> DataFrame:
+                     step: int = 1, close_keys: Sequence[str] = (), chunk: int | None = None) -> DataFrame:
     """Infusion intervals -> one rate per grid step.
 
     A 0-rate row is added at each (keys + close_keys) group's last end; the
     grid runs from the group's first start to its last end; rates (and the
     ``close_keys`` values, e.g. the unit) are carried forward, so gaps between
     intervals keep the previous rate, as in the reference; then the mean
-    rate per step. One shuffle on ``keys``; bounds and closing rows come from
-    windows on that partitioning, not from extra aggregate-and-join passes.
+    rate per step.
+
+    ``chunk=None``: one shuffle on ``keys``; bounds and closing rows come from
+    windows on that partitioning (fastest when no (patient, drug) series is
+    a large share of the data). ``chunk=<width>``: hot-key safe; rows are
+    first aggregated per (keys, time), bounds and closing rows are small
+    aggregates joined back, and the next-time lookup is a two-level scan over
+    time chunks, so no task ever holds a whole series.
     """
     keys, extra = list(keys), [c for c in close_keys if c not in keys]
     base = df.select(*keys, *extra, F.col(start).cast("bigint").alias("_t"), F.col(end).cast("bigint").alias("_end"),
-                     F.col(rate).cast("double").alias("_rate")).repartition(*keys)
-    wu = Window.partitionBy(*keys, *extra)
-    wk = Window.partitionBy(*keys)
-    x = base.withColumn("_uend", F.max("_end").over(wu)) \
-        .withColumn("_one", F.row_number().over(wu.orderBy("_t", "_rate", "_end")) == 1)
-    x = x.withColumn("_lo", F.least(F.min("_t").over(wk), F.min("_uend").over(wk))) \
-        .withColumn("_hi", F.max("_end").over(wk))
-    row = F.struct(F.col("_t"), F.col("_rate"), F.lit(0).alias("_closing"))
-    close = F.struct(F.col("_uend").alias("_t"), F.lit(0.0).alias("_rate"), F.lit(1).alias("_closing"))
-    x = x.select(*keys, *extra, "_lo", "_hi",
-                 F.explode(F.when(F.col("_one"), F.array(row, close)).otherwise(F.array(row))).alias("_r"))
-    x = x.select(*keys, *extra, "_lo", "_hi", "_r.*")
-    return _carry_forward_expand(x, keys, extra, step)
+                     F.col(rate).cast("double").alias("_rate"))
+    if chunk is None:
+        base = base.repartition(*keys)
+        wu = Window.partitionBy(*keys, *extra)
+        wk = Window.partitionBy(*keys)
+        x = base.withColumn("_uend", F.max("_end").over(wu)) \
+            .withColumn("_one", F.row_number().over(wu.orderBy("_t", "_rate", "_end")) == 1)
+        x = x.withColumn("_lo", F.least(F.min("_t").over(wk), F.min("_uend").over(wk))) \
+            .withColumn("_hi", F.max("_end").over(wk))
+        row = F.struct(F.col("_t"), F.col("_rate"), F.lit(0).alias("_closing"))
+        close = F.struct(F.col("_uend").alias("_t"), F.lit(0.0).alias("_rate"), F.lit(1).alias("_closing"))
+        x = x.select(*keys, *extra, "_lo", "_hi",
+                     F.explode(F.when(F.col("_one"), F.array(row, close)).otherwise(F.array(row))).alias("_r"))
+        x = x.select(*keys, *extra, "_lo", "_hi", "_r.*")
+        return _carry_forward_expand(x, keys, extra, step)
+    closing = base.groupBy(*keys, *extra).agg(F.max("_end").alias("_t")) \
+        .select(*keys, *extra, "_t", F.col("_t").alias("_end"), F.lit(0.0).alias("_rate"), F.lit(1).alias("_closing"))
+    rows = base.withColumn("_closing", F.lit(0)).unionByName(closing)
+    bounds = rows.groupBy(*keys).agg(F.min("_t").alias("_lo"), F.max("_end").alias("_hi"))
+    x = rows.join(bounds, keys).drop("_end")
+    return _carry_forward_expand(x, keys, extra, step, lead_chunk=chunk)
 
 
 def expand_charted(df: DataFrame, keys: Sequence[str], t: str, rate: str, step: int = 1,
-                   carry: Sequence[str] = ()) -> DataFrame:
+                   carry: Sequence[str] = (), chunk: int | None = None) -> DataFrame:
     """Charted rates -> one rate per step: grid from first to last charting,
-    carry forward, mean per step (text rates are read as numbers)."""
+    carry forward, mean per step (text rates are read as numbers).
+    ``chunk`` as in ``expand_infusions``."""
     keys, carry = list(keys), list(carry)
     x = df.select(*keys, *carry, F.col(t).cast("bigint").alias("_t"),
-                  F.col(rate).try_cast("double").alias("_rate")).repartition(*keys)
-    wk = Window.partitionBy(*keys)
-    x = x.withColumns({"_lo": F.min("_t").over(wk), "_hi": F.max("_t").over(wk), "_closing": F.lit(0)})
-    return _carry_forward_expand(x, keys, carry, step)
+                  F.col(rate).try_cast("double").alias("_rate"), F.lit(0).alias("_closing"))
+    if chunk is None:
+        x = x.repartition(*keys)
+        wk = Window.partitionBy(*keys)
+        x = x.withColumns({"_lo": F.min("_t").over(wk), "_hi": F.max("_t").over(wk)})
+        return _carry_forward_expand(x, keys, carry, step)
+    bounds = x.groupBy(*keys).agg(F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
+    return _carry_forward_expand(x.join(bounds, keys), keys, carry, step, lead_chunk=chunk)
 
 
 def expand_bolus(df: DataFrame, keys: Sequence[str], t: str, window: int = 120,

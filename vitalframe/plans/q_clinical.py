@@ -303,6 +303,14 @@ def expand_infusions(spark, sf):
     return r6(out, "rate")
 
 
+@register("expand_infusions_chunked", EXPAND_INF_SQL, ("infusions",))
+def expand_infusions_chunked(spark, sf):
+    """Infusion expansion through the hot-key-safe path (per-time aggregates, two-level lead over yearly chunks)."""
+    i = A.infusions(spark, sf)
+    out = TG.expand_infusions(i, ["pat_id", "drug"], "t_start", "t_end", "rate", step=1, close_keys=["unit"], chunk=12)
+    return r6(out, "rate")
+
+
 @register("expand_charted", """
 , c as (select pat_id, measure as drug, rel_time as t, value as rate from obs where category = 'Med'),
 b as (select pat_id, drug, min(t) as lo, max(t) as hi from c group by 1, 2),
