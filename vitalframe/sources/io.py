@@ -64,10 +64,15 @@ def export_model_tables(inputs: DataFrame, targets: DataFrame, path: str) -> Non
 
 
 def cache_sequences(df: DataFrame, path: str) -> DataFrame:
-    """Build the per-patient sequence table once and reuse it from Parquet."""
+    """Build the per-patient sequence table once and reuse it from Parquet.
+
+    The completed-write marker is looked up through the Hadoop file system
+    of ``path`` (local, HDFS or object store alike)."""
     spark = df.sparkSession
-    marker = os.path.join(path, "_SUCCESS")
-    if not (path.startswith("/") and os.path.exists(marker)):
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
+    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(marker):
         df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
