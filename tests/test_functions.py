@@ -62,3 +62,14 @@ def test_to_ts_and_hash_normal(spark):
     assert str(got[0]) == "2024-01-02 03:04:05" and got[1] is None
     z = spark.range(20000).select(S.hash_normal("id", 3).alias("z")).agg(F.avg("z"), F.stddev("z")).first()
     assert abs(z[0]) < 0.05 and abs(z[1] - 1) < 0.05
+
+
+def test_minutes_between_ignores_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2024-03-10 01:59:00", "2024-03-10 03:01:00")], "a string, b string") \
+            .select(F.col("a").cast("timestamp_ntz").alias("a"), F.col("b").cast("timestamp_ntz").alias("b"))
+        assert df.select(S.minutes_between("b", "a").alias("m")).first().m == 62
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -50,19 +50,20 @@ def floor_minute(c: ColumnOrName) -> Column:
     return F.date_trunc("minute", col(c)).cast("timestamp_ntz")
 
 
-def epoch_micros(c: ColumnOrName) -> Column:
-    """Microseconds since the epoch of a zone-free timestamp (session zone is UTC)."""
-    return F.unix_micros(col(c).cast("timestamp"))
+def micros_between(later: ColumnOrName, earlier: ColumnOrName) -> Column:
+    """Exact microseconds from ``earlier`` to ``later``. For zone-free
+    timestamps the difference is taken without any session time zone, so
+    daylight-saving changes never shift it."""
+    return F.timestamp_diff("MICROSECOND", col(earlier), col(later))
 
 
 def minutes_between(later: ColumnOrName, earlier: ColumnOrName) -> Column:
     """Whole minutes from ``earlier`` to ``later``, floored (-20 s gives -1)."""
-    diff = epoch_micros(later) - epoch_micros(earlier)
-    return F.floor(diff / F.lit(MICROS_PER_MINUTE)).cast("bigint")
+    return F.floor(micros_between(later, earlier) / F.lit(MICROS_PER_MINUTE)).cast("bigint")
 
 
 def days_between(later: ColumnOrName, earlier: ColumnOrName) -> Column:
-    return (epoch_micros(later) - epoch_micros(earlier)) / F.lit(float(MICROS_PER_DAY))
+    return micros_between(later, earlier) / F.lit(float(MICROS_PER_DAY))
 
 
 def years_between(later: ColumnOrName, earlier: ColumnOrName) -> Column:

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalframe.functions.scalar import epoch_micros
+from vitalframe.functions.scalar import minutes_between
 from vitalframe.sources.io import read_table
 
 ORIGIN = "2024-01-01 00:00:00"
@@ -50,8 +50,7 @@ def _obs_select(spark: SparkSession, sf_dir: str, dirty: bool) -> DataFrame:
         F.when(et == "error", "ICP").when(et == "click", "HF").when(et == "view", "CRP")
          .when(et == "signup", "SBE").otherwise("Opioid").alias("measure"),
         F.concat(et, F.lit("_"), F.pmod(k, F.lit(2)).cast("string")).alias("measure_norm"),
-        F.floor((epoch_micros("ts") - epoch_micros(F.lit(ORIGIN).cast("timestamp_ntz")))
-                / F.lit(60_000_000)).cast("bigint").alias("rel_time"),
+        minutes_between("ts", F.lit(ORIGIN).cast("timestamp_ntz")).alias("rel_time"),
         value.alias("value"),
     )
 
