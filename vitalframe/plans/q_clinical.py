@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from vitalframe.functions import rules as R
 from vitalframe.functions import scalar as S
-from vitalframe.functions.nulls import r_paste
 from vitalframe.operators import cohort as CO
 from vitalframe.operators import harmonise as HA
 from vitalframe.operators import relational as RL
