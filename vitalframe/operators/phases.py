@@ -18,8 +18,11 @@ SHORT_MAX = 2
 
 def bucket_max(df: DataFrame, measure: str = "ICP", bucket_minutes: int = 60,
                key: str = "pat_id", t: str = "rel_time", value: str = "value") -> DataFrame:
-    """Largest value of ``measure`` per patient and time bucket."""
+    """Largest value of ``measure`` per patient and time bucket, after rows at
+    the same time (e.g. several sources of the measure) are averaged, as the
+    reference's wide table does before taking the hourly maximum."""
     x = df.filter((F.col("measure") == measure) & F.col(value).isNotNull())
+    x = x.groupBy(key, t).agg(F.avg(value).alias(value))
     hour = F.floor(F.col(t) / F.lit(bucket_minutes)).cast("bigint").alias("rel_time_hour")
     return x.groupBy(key, hour).agg(F.max(value).alias("max_value"))
 

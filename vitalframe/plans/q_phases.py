@@ -9,9 +9,8 @@ from vitalframe.plans.registry import register
 from vitalframe.sources import adapters as A
 
 ISLANDS_SQL = """
-, hb as (
-  select pat_id, cast(floor(rel_time / {b}) as bigint) as rel_time_hour, max(value) as max_value
-  from obs where measure = 'ICP' and value is not null group by 1, 2),
+, hb0 as (select pat_id, rel_time, avg(value) as v from obs where measure = 'ICP' and value is not null group by 1, 2),
+hb as (select pat_id, cast(floor(rel_time / {b}) as bigint) as rel_time_hour, max(v) as max_value from hb0 group by 1, 2),
 st as (select *, case when max_value >= 22.0 then 1 else 0 end as crit from hb),
 isl as (select *, rel_time_hour - row_number() over (partition by pat_id, crit order by rel_time_hour) as grp from st),
 sz as (select *, count(*) over (partition by pat_id, crit, grp) as len from isl),
