@@ -59,8 +59,10 @@ def training_table(obs: DataFrame, patients: DataFrame, feature_names: Sequence[
     coarse_rows = timegrid.resample(cleaned, coarse)
     norm = normalise.normalise(coarse_rows, method)
     grid = features.feature_grid(norm, coarse, feature_names)
-    icp = timegrid.resample(cleaned.filter(F.col("measure") == "ICP"), coarse, keys=["pat_id", "category"]) \
-        .select("pat_id", "rel_time", F.col("value").alias("icp_pred"))
+    # the current ICP value: the fine-grid value at the coarse grid time (the
+    # reference joins its 5-minute ICP table on the hourly rel_time)
+    icp = cleaned.filter(F.col("measure") == "ICP").groupBy("pat_id", "rel_time") \
+        .agg(F.avg("value").alias("icp_pred"))
     grid = grid.join(icp, ["pat_id", "rel_time"], "left")
     grid = grid.crossJoin(F.broadcast(phases.horizons_frame(spark, horizons)))
     targets = cohort.static_targets(patients, exitus="died")

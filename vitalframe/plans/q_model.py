@@ -507,8 +507,7 @@ w as (select pat_id, rel_time, {feats} from nm group by 1, 2),
 b as (select pat_id, max(rel_time) as hi from nm group by 1),
 g as (select pat_id, unnest(range(0, hi + 1, 60)) as rel_time from b),
 fg as (select pat_id, rel_time, {fg_cols} from g full join w using (pat_id, rel_time)),
-icp as (select pat_id, cast(floor(rel_time / 60) * 60 as bigint) as rel_time, avg(value) as icp_pred
-        from cl where measure = 'ICP' group by pat_id, category, 2),
+icp as (select pat_id, rel_time, avg(value) as icp_pred from cl where measure = 'ICP' group by 1, 2),
 gi as (select fg.*, icp.icp_pred from fg left join icp using (pat_id, rel_time)),
 gh as (select gi.*, cast(hz.horizon_h as integer) as horizon_h from gi cross join hz),
 tg as (select pat_id, case when regexp_matches(coalesce(sex, ''), 'M') then 1.0::double else 0.0::double end as sex,
