@@ -34,10 +34,15 @@ def read_raw(spark: SparkSession, path: str, schema: StructType | None = None) -
 def stage(df: DataFrame, path: str, partition_by: list[str] | None = None,
           cluster_by: list[str] | None = None) -> DataFrame:
     """Write a stage table and read it back: a lineage cut that survives
-    executor loss (the data lives in shared storage, not on executors)."""
+    executor loss (the data lives in shared storage, not on executors).
+
+    With ``cluster_by`` the rows are range-partitioned on (partition_by +
+    cluster_by) and sorted within tasks, so each task writes few directories
+    and each file covers a narrow key range: Parquet min/max statistics then
+    prune files for key lookups (e.g. one patient's trace)."""
     out = df
     if cluster_by:
-        out = out.repartition(*[c for c in (partition_by or [])] + list(cluster_by)) \
+        out = out.repartitionByRange(*[c for c in (partition_by or [])] + list(cluster_by)) \
                  .sortWithinPartitions(*cluster_by)
     writer = out.write.mode("overwrite")
     if partition_by:
