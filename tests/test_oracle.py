@@ -44,6 +44,5 @@ def test_query_matches_oracle(spark, con, name):
     assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(dcols, cur.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
-def test_query_without_oracle_runs(spark, name):
-    assert QUERIES[name](spark, SF001).count() >= 0
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
