@@ -161,13 +161,17 @@ def static_targets(df: DataFrame, key: str = "pat_id", sex: str = "sex", outcome
 
 
 def harmonise_patients(df: DataFrame, db: str, sex_map: Mapping[str, str] | None = None,
-                       los_cap: float | None = None) -> DataFrame:
-    """Per-source patient table harmonisation: sex recode, key to text, LOS
-    cap (values at the cap become NULL), rows without sex dropped."""
+                       los_cap: float | None = None, hospital_from_outcome: bool = False) -> DataFrame:
+    """Per-source patient table harmonisation: sex recode, key to text, length
+    of stay above ``los_cap`` days becomes NULL (values up to the cap stay),
+    hospital outcome copied from the unit outcome when the source has only
+    one, rows without sex dropped."""
     x = df
     if sex_map:
         x = x.withColumn("sex", F.coalesce(R.map_values("sex", dict(sex_map), None), F.col("sex")))
     if los_cap is not None:
-        x = x.withColumn("los_days", F.when(F.col("los_days") >= los_cap, F.lit(None)).otherwise(F.col("los_days")))
+        x = x.withColumn("los_days", F.when(F.col("los_days") <= F.lit(los_cap), F.col("los_days")))
+    if hospital_from_outcome:
+        x = x.withColumn("outcome_hospital", F.col("outcome"))
     return x.withColumn("pat_id", F.col("pat_id").cast("string")).withColumn("db", F.lit(db)) \
             .filter(F.col("sex").isNotNull())

@@ -219,12 +219,14 @@ def static_targets(spark, sf):
 
 
 @register("harmonise_patients", """
-select cast(pat_id as varchar) as pat_id, age, diagnosis, outcome, outcome_hospital,
+select cast(pat_id as varchar) as pat_id, age, diagnosis, outcome, outcome as outcome_hospital,
   case sex when 'M' then 'Maennlich' when 'F' then 'Weiblich' else sex end as sex, height_cm, weight_kg,
-  case when los_days >= 25.0 then null else los_days end as los_days, 'UKE' as db
+  case when los_days <= 25.0 then los_days end as los_days, 'UKE' as db
 from patients where sex is not null""", ("patients",))
 def harmonise_patients(spark, sf):
-    return CO.harmonise_patients(A.patients(spark, sf), "UKE", {"M": "Maennlich", "F": "Weiblich"}, los_cap=25.0)
+    """UKE-style harmonisation: sex recode, LOS above the cap -> NULL, hospital outcome = outcome, no-sex rows dropped."""
+    return CO.harmonise_patients(A.patients(spark, sf), "UKE", {"M": "Maennlich", "F": "Weiblich"}, los_cap=25.0,
+                                 hospital_from_outcome=True)
 
 
 # ---- K: observation transforms ---------------------------------------------
