@@ -89,3 +89,11 @@ def test_metric_table_per_step(spark):
     a = EV.metric_table(df, ["t"]).first()
     b = EV.metric_table(df, ["t"], per_step=True).first()
     assert a.t_auc == b.t_auc and 0 <= a.t_acc <= 1 and b.t_acc >= a.t_acc - 1e-12 or b.t_acc <= 1
+
+
+def test_sequence_blocks(spark):
+    df = spark.createDataFrame([(1, t, float(t)) for t in range(0, 100, 5)], "pat_id long, t long, f double")
+    whole = SQ.to_sequences(df, "pat_id", "t", ["f"]).first()
+    blocks = SQ.to_sequences(df, "pat_id", "t", ["f"], block_span=30).orderBy("block").collect()
+    assert [s.t for b in blocks for s in b.steps] == [s.t for s in whole.steps]
+    assert max(len(b.steps) for b in blocks) == 6 and blocks[0].seq_len == 20

@@ -17,16 +17,26 @@ from vitalframe.functions.scalar import mix_hash
 
 
 def to_sequences(df: DataFrame, key: str, t: str, features: Sequence[str],
-                 targets: Sequence[str] = ()) -> DataFrame:
+                 targets: Sequence[str] = (), block_span: int | None = None) -> DataFrame:
     """(key, t, features...) rows -> (key, seq_len, steps ARRAY<STRUCT<t, x, y>>)
-    ordered by t; duplicate times are averaged first."""
+    ordered by t; duplicate times are averaged first.
+
+    With ``block_span`` the sequence is stored as consecutive blocks
+    (key, block, steps) covering ``block_span`` time units each, so no row
+    holds more than block_span / step steps however long a series is;
+    ``seq_len`` is still the whole sequence's length."""
     feats, tgts = list(features), list(targets)
     one = df.groupBy(key, t).agg(*[F.avg(c).alias(c) for c in feats + tgts])
     step = F.struct(F.col(t).alias("t"),
                     F.array(*[F.col(c).cast("double") for c in feats]).alias("x"),
                     F.array(*[F.col(c).cast("double") for c in tgts]).alias("y"))
-    seq = one.groupBy(key).agg(F.array_sort(F.collect_list(step)).alias("steps"))
-    return seq.withColumn("seq_len", F.size("steps"))
+    if block_span is None:
+        seq = one.groupBy(key).agg(F.array_sort(F.collect_list(step)).alias("steps"))
+        return seq.withColumn("seq_len", F.size("steps"))
+    blk = F.floor(F.col(t) / F.lit(block_span)).cast("bigint").alias("block")
+    seq = one.groupBy(key, blk).agg(F.array_sort(F.collect_list(step)).alias("steps"))
+    lens = one.groupBy(key).agg(F.count(F.lit(1)).alias("seq_len"))
+    return seq.join(lens, key)
 
 
 def pad(seqs: DataFrame, length: int | None = None) -> DataFrame:
