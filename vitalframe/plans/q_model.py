@@ -297,6 +297,23 @@ def to_sequences(spark, sf):
     return x.select("pat_id", "seq_len", "pos", "t", (F.col("fi") + 1).alias("feature"), "x")
 
 
+@register("to_sequences_blocks", GRID_SQL + """
+, s as (select pat_id, rel_time, cast(floor(rel_time / 1440) as bigint) as block,
+          row_number() over (partition by pat_id, cast(floor(rel_time / 1440) as bigint) order by rel_time) as pos,
+          count(*) over (partition by pat_id) as seq_len, * exclude (pat_id, rel_time) from fg)
+select pat_id, block, seq_len, cast(pos as integer) as pos, rel_time as t, cast(f.i as integer) as feature,
+  [ "Vital_ICP", "Vital_HF", "Labor_CRP", "BGA_SBE", "Med_Opioid" ][f.i] as x
+from s, (select unnest(range(1, 6)) as i) f""", ("obs",))
+def to_sequences_blocks(spark, sf):
+    """Per-patient sequences stored as one-day blocks (bounded arrays), shown flattened."""
+    fg = _feature_grid(spark, sf)
+    seq = SQ.to_sequences(fg, "pat_id", "rel_time", FEATURES, block_span=1440)
+    x = seq.select("pat_id", "block", "seq_len", F.posexplode("steps").alias("p", "step"))
+    x = x.select("pat_id", "block", "seq_len", (F.col("p") + 1).alias("pos"), F.col("step.t").alias("t"),
+                 F.posexplode("step.x").alias("fi", "x"))
+    return x.select("pat_id", "block", "seq_len", "pos", "t", (F.col("fi") + 1).alias("feature"), "x")
+
+
 @register("pad_sequences", SEQ_FLAT_SQL + """
 , m as (select max(seq_len) as l from s),
 p as (select pat_id, seq_len, unnest(range(1, l + 1)) as pos from (select distinct pat_id, seq_len from s), m)
