@@ -61,8 +61,8 @@ def test_expansion_single_shuffle(spark):
     assert text.count("Exchange hashpartitioning") == 1
 
 
-def test_pipeline_end_to_end(spark):
-    from vitalframe.plans.pipeline import training_table
+def test_preparation_end_to_end(spark):
+    from vitalframe.plans.preparation import training_table
     from vitalframe.plans.q_model import FEATURES
     from vitalframe.sources import adapters as A
     out = training_table(A.obs(spark, SF001), A.patients(spark, SF001), FEATURES, method="z", z_max=4.0,

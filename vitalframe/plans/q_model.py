@@ -479,7 +479,7 @@ def mean_fold_loss(spark, sf):
     return r6(EV.mean_fold_loss(fl, "loss", "fold5"), "mean_loss")
 
 
-def _pipeline_sql() -> str:
+def _preparation_sql() -> str:
     feats = ", ".join(f"avg(case when category = '{f.split('_', 1)[0]}' and measure = '{f.split('_', 1)[1]}' then value end)"
                       f" as \"{f}\"" for f in FEATURES)
     fg_cols = ", ".join((f'coalesce(w."{f}", 0.0) as "{f}"' if f.startswith("Med_") else f'w."{f}"') for f in FEATURES)
@@ -536,10 +536,10 @@ select pat_id, rel_time, horizon_h, {out_cols}, round(icp_pred, 6) as icp_pred,
 from fin""")
 
 
-@register("prepare_training_table", _pipeline_sql())
+@register("prepare_training_table", _preparation_sql())
 def prepare_training_table(spark, sf):
     """End-to-end: clean + resample 5 min + outliers + few-vitals rule (staged), hourly phases and 14
     horizons, 60-min Yeo-Johnson normalisation, wide grid, labels and static targets in one table."""
-    from vitalframe.plans.pipeline import training_table as tt
+    from vitalframe.plans.preparation import training_table as tt
     out = tt(A.obs(spark, sf), A.patients(spark, sf), FEATURES, z_max=4.0, min_vital_rows=25)
     return r6(out, *FEATURES, "icp_pred", "rel_time_norm")
