@@ -62,7 +62,10 @@ def share_within(df: DataFrame, group: Sequence[str], cols: Sequence[str], name:
     """Count per (group, cols) and its % of the group total (n / sum(n) * 100)."""
     counts = df.groupBy(*group, *cols).agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy(*group).agg(F.sum("n").alias("_total"))
-    out = counts.join(totals, list(group), "left") if group else counts.crossJoin(totals)
+    if group:
+        out = counts.join(totals, list(group), "left")
+    else:
+        out = counts.withColumn("_one", F.lit(1)).join(F.broadcast(totals.withColumn("_one", F.lit(1))), "_one").drop("_one")
     return out.withColumn(name, F.col("n") / F.col("_total") * F.lit(100.0)).drop("_total")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vitalframe.functions.nulls import str_detect
 from vitalframe.operators.aggregate import quantile_by
 from vitalframe.operators.relational import clip as _clip
-from vitalframe.operators.relational import null_where
+from vitalframe.operators.relational import null_where, with_scalars
 from vitalframe.operators.window import neighbours
 
 # fixed values
@@ -45,7 +45,7 @@ def bound_time(df: DataFrame, upper: int | None = TIME_BOUND, q: float = 0.9, t:
     if upper is not None:
         return x.filter(F.col(t) < F.lit(upper))
     b = time_bound_quantile(x, q, key, t)
-    return x.crossJoin(F.broadcast(b)).filter(F.col(t) < F.col("bound")).drop("bound")
+    return with_scalars(x, b).filter(F.col(t) < F.col("bound")).drop("bound")
 
 
 def clip_outliers(df: DataFrame, z_max: float = Z_MAX, mode: str = "patient_max",

@@ -11,6 +11,7 @@ from vitalframe.functions import rules as R
 from vitalframe.functions.nulls import r_paste, str_detect
 from vitalframe.functions.scalar import hash_bit, years_between
 from vitalframe.operators.aggregate import first_per_key
+from vitalframe.operators.relational import with_scalars
 from vitalframe.operators.window import number_patients as _number
 
 
@@ -147,7 +148,7 @@ def one_hot(df: DataFrame, cols: Mapping[str, Sequence[str]], drop: bool = True)
 def zscore_static(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Global z-score of static numerics (one-row stats table, cross-joined)."""
     stats = df.agg(*[F.avg(c).alias(f"_mu_{c}") for c in cols], *[F.stddev_samp(c).alias(f"_sd_{c}") for c in cols])
-    x = df.crossJoin(F.broadcast(stats))
+    x = with_scalars(df, stats)
     return x.withColumns({c: F.try_divide(F.col(c) - F.col(f"_mu_{c}"), F.col(f"_sd_{c}")) for c in cols}) \
             .drop(*[f"_mu_{c}" for c in cols], *[f"_sd_{c}" for c in cols])
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vitalframe.operators.relational import with_scalars
 from vitalframe.operators.timegrid import explode_grid, feature_name
 
 DROP_FEATURES = ("Labor_TZ",)
@@ -38,7 +39,7 @@ def training_table(grid: DataFrame, labels: DataFrame, targets: DataFrame, key:
     scaled over the whole table (a one-row stats table)."""
     x = grid.join(labels, [key, t], "left").join(targets, key, "left")
     st = x.agg(F.min(t).alias("_lo"), F.max(t).alias("_hi"))
-    x = x.crossJoin(F.broadcast(st))
+    x = with_scalars(x, st)
     return x.withColumn("rel_time_norm", F.try_divide((F.col(t) - F.col("_lo")).cast("double"),
                                                       (F.col("_hi") - F.col("_lo")).cast("double"))) \
             .drop("_lo", "_hi")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalframe.functions.nulls import safe_div
@@ -56,11 +56,6 @@ def critical_phases(df: DataFrame, measure: str = "ICP", threshold: float = ICP_
         (crit & (F.col("_len") > short_max)).cast("int").alias("critical_long"))
 
 
-def horizons_frame(spark: SparkSession, horizons: Sequence[int] = HORIZONS) -> DataFrame:
-    """The fixed horizon list as a tiny table (a literal, safe to broadcast)."""
-    return spark.createDataFrame([(int(h),) for h in horizons], "horizon_h int")
-
-
 def shift_labels(labels: DataFrame, horizons: Sequence[int] = HORIZONS, key: str = "pat_id") -> DataFrame:
     """Attach to hour h the labels of hour h + i, for every horizon i.
 
@@ -78,10 +73,9 @@ def label_grid(grid: DataFrame, shifted: DataFrame, horizons: Sequence[int] = HO
                value_name: str = "icp_pred") -> DataFrame:
     """Every grid row x horizon, with the shifted labels of its hour and the
     current (unshifted) value renamed to ``value_name``."""
-    spark = grid.sparkSession
     g = grid.select(key, t, F.col(value).alias(value_name),
                     F.floor(F.col(t) / F.lit(60)).cast("bigint").alias("rel_time_hour"))
-    g = g.crossJoin(F.broadcast(horizons_frame(spark, horizons)))
+    g = g.withColumn("horizon_h", F.explode(F.array(*[F.lit(int(h)) for h in horizons])))
     return g.join(shifted, [key, "rel_time_hour", "horizon_h"], "left")
 
 

@@ -126,3 +126,11 @@ def head(df: DataFrame, n: int, order: Sequence) -> DataFrame:
 
 def sort_desc(df: DataFrame, col: str, *tiebreak: str) -> DataFrame:
     return df.orderBy(F.desc(col), *[F.asc(c) for c in tiebreak])
+
+
+def with_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row table (global statistics) to every row:
+    an equi-join on a constant key against a broadcast side of exactly one
+    row (an aggregate without grouping), not a cross join."""
+    one = scalars.withColumn("_one", F.lit(1))
+    return df.withColumn("_one", F.lit(1)).join(F.broadcast(one), "_one").drop("_one")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalframe.functions.scalar import mix_hash
+from vitalframe.operators.relational import with_scalars
 
 
 def to_sequences(df: DataFrame, key: str, t: str, features: Sequence[str],
@@ -44,7 +45,7 @@ def pad(seqs: DataFrame, length: int | None = None) -> DataFrame:
     zeros, targets with NULL (missing)."""
     if length is None:
         st = seqs.agg(F.max("seq_len").alias("_len"))
-        x = seqs.crossJoin(F.broadcast(st))
+        x = with_scalars(seqs, st)
     else:
         x = seqs.withColumn("_len", F.lit(int(length)))
     n_missing = F.greatest(F.col("_len") - F.col("seq_len"), F.lit(0))

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalframe.operators import clean, cohort, features, normalise, phases, timegrid
+from vitalframe.operators.relational import with_scalars
 from vitalframe.session import checkpoint_dir
 from vitalframe.sources.io import stage
 
@@ -64,11 +65,11 @@ def training_table(obs: DataFrame, patients: DataFrame, feature_names: Sequence[
     icp = cleaned.filter(F.col("measure") == "ICP").groupBy("pat_id", "rel_time") \
         .agg(F.avg("value").alias("icp_pred"))
     grid = grid.join(icp, ["pat_id", "rel_time"], "left")
-    grid = grid.crossJoin(F.broadcast(phases.horizons_frame(spark, horizons)))
+    grid = grid.withColumn("horizon_h", F.explode(F.array(*[F.lit(int(h)) for h in horizons])))
     targets = cohort.static_targets(patients, exitus="died")
     out = grid.join(labels, ["pat_id", "rel_time", "horizon_h"], "left").join(targets, "pat_id", "left")
     st = out.agg(F.min("rel_time").alias("_lo"), F.max("rel_time").alias("_hi"))
-    out = out.crossJoin(F.broadcast(st)).withColumn(
+    out = with_scalars(out, st).withColumn(
         "rel_time_norm", F.try_divide((F.col("rel_time") - F.col("_lo")).cast("double"),
                                       (F.col("_hi") - F.col("_lo")).cast("double"))).drop("_lo", "_hi")
     return out
