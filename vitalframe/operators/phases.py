@@ -72,11 +72,21 @@ def label_grid(grid: DataFrame, shifted: DataFrame, horizons: Sequence[int] = HO
                key: str = "pat_id", t: str = "rel_time", value: str = "value",
                value_name: str = "icp_pred") -> DataFrame:
     """Every grid row x horizon, with the shifted labels of its hour and the
-    current (unshifted) value renamed to ``value_name``."""
+    current (unshifted) value renamed to ``value_name``.
+
+    The labels of one (patient, hour) are first folded into a map horizon ->
+    labels (at most one entry per horizon), the grid is joined to it once,
+    and the horizons are exploded after the join, so the shuffle moves grid
+    rows once instead of once per horizon."""
     g = grid.select(key, t, F.col(value).alias(value_name),
                     F.floor(F.col(t) / F.lit(60)).cast("bigint").alias("rel_time_hour"))
-    g = g.withColumn("horizon_h", F.explode(F.array(*[F.lit(int(h)) for h in horizons])))
-    return g.join(shifted, [key, "rel_time_hour", "horizon_h"], "left")
+    lab = shifted.groupBy(key, "rel_time_hour").agg(F.map_from_entries(F.collect_list(F.struct(
+        F.col("horizon_h"), F.struct("critical_short", "critical_long")))).alias("_m"))
+    x = g.join(lab, [key, "rel_time_hour"], "left")
+    x = x.withColumn("horizon_h", F.explode(F.array(*[F.lit(int(h)) for h in horizons])))
+    hit = F.col("_m")[F.col("horizon_h")]
+    return x.select(key, t, value_name, "rel_time_hour", "horizon_h",
+                    hit["critical_short"].alias("critical_short"), hit["critical_long"].alias("critical_long"))
 
 
 def label_prevalence(df: DataFrame, by: Sequence[str],

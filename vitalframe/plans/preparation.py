@@ -65,9 +65,16 @@ def training_table(obs: DataFrame, patients: DataFrame, feature_names: Sequence[
     icp = cleaned.filter(F.col("measure") == "ICP").groupBy("pat_id", "rel_time") \
         .agg(F.avg("value").alias("icp_pred"))
     grid = grid.join(icp, ["pat_id", "rel_time"], "left")
-    grid = grid.withColumn("horizon_h", F.explode(F.array(*[F.lit(int(h)) for h in horizons])))
+    # labels of one grid time folded into a map horizon -> labels, joined once;
+    # the horizons are exploded after the join (the shuffle moves grid rows once)
+    lab = labels.groupBy("pat_id", "rel_time").agg(F.map_from_entries(F.collect_list(F.struct(
+        F.col("horizon_h"), F.struct("critical_short", "critical_long")))).alias("_m"))
+    grid = grid.join(lab, ["pat_id", "rel_time"], "left") \
+        .withColumn("horizon_h", F.explode(F.array(*[F.lit(int(h)) for h in horizons])))
+    hit = F.col("_m")[F.col("horizon_h")]
+    grid = grid.withColumns({"critical_short": hit["critical_short"], "critical_long": hit["critical_long"]}).drop("_m")
     targets = cohort.static_targets(patients, exitus="died")
-    out = grid.join(labels, ["pat_id", "rel_time", "horizon_h"], "left").join(targets, "pat_id", "left")
+    out = grid.join(targets, "pat_id", "left")
     st = out.agg(F.min("rel_time").alias("_lo"), F.max("rel_time").alias("_hi"))
     out = with_scalars(out, st).withColumn(
         "rel_time_norm", F.try_divide((F.col("rel_time") - F.col("_lo")).cast("double"),
