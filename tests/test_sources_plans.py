@@ -43,10 +43,11 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_no_python_udfs_in_any_plan(spark):
+def test_no_python_udfs_or_cross_joins_in_any_plan(spark):
     for name, fn in QUERIES.items():
         plan = _plan(fn(spark, SF001))
         assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
 
 def test_pushdown_and_pruning(spark):

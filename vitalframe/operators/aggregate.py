@@ -65,7 +65,7 @@ def share_within(df: DataFrame, group: Sequence[str], cols: Sequence[str], name:
     if group:
         out = counts.join(totals, list(group), "left")
     else:
-        out = counts.withColumn("_one", F.lit(1)).join(F.broadcast(totals.withColumn("_one", F.lit(1))), "_one").drop("_one")
+        out = counts.withColumn("_total", totals.select("_total").scalar())
     return out.withColumn(name, F.col("n") / F.col("_total") * F.lit(100.0)).drop("_total")
 
 

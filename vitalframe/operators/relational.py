@@ -129,8 +129,7 @@ def sort_desc(df: DataFrame, col: str, *tiebreak: str) -> DataFrame:
 
 
 def with_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row table (global statistics) to every row:
-    an equi-join on a constant key against a broadcast side of exactly one
-    row (an aggregate without grouping), not a cross join."""
-    one = scalars.withColumn("_one", F.lit(1))
-    return df.withColumn("_one", F.lit(1)).join(F.broadcast(one), "_one").drop("_one")
+    """Attach the columns of a one-row table (global statistics) to every row
+    as scalar subqueries: evaluated once (Catalyst merges subqueries over the
+    same aggregate), inlined as values, no join of any kind."""
+    return df.withColumns({c: scalars.select(c).scalar() for c in scalars.columns})
