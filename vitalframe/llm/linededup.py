@@ -26,7 +26,7 @@ WIDTH = 3
 def _window_key(lines: Column, at: Column, width: int) -> Column:
     parts = []
     for k in range(width):
-        line = F.get(lines, at + k)
+        line = F.get(lines, at + F.lit(k))
         parts += [F.length(line).cast("string"), line]
     return F.unhex(F.md5(F.concat_ws("\n", *parts)))
 
@@ -34,10 +34,14 @@ def _window_key(lines: Column, at: Column, width: int) -> Column:
 def line_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, at, window): the key of each window that holds a word, by its first line's number."""
     lines = docs.select("doc_id", F.split("text", "\n").alias("lines")).filter(F.size("lines") >= width)
-    at = F.explode(F.sequence(F.lit(0), F.size("lines") - F.lit(width))).alias("at")
-    w = lines.select("doc_id", "lines", at)
-    text = F.concat(*(F.get("lines", F.col("at") + k) for k in range(width)))
-    return w.filter(text.rlike(r"[^\x20\x09-\x0D]")).select("doc_id", "at", _window_key(F.col("lines"), F.col("at"), width).alias("window"))
+
+    def window(i: Column) -> Column:
+        text = F.concat(*(F.get("lines", i + F.lit(k)) for k in range(width)))
+        return F.when(text.rlike(r"[^\x20\x09-\x0D]"), F.struct(i.alias("at"), _window_key(F.col("lines"), i, width).alias("window")))
+
+    windows = F.transform(F.sequence(F.lit(0), F.size("lines") - F.lit(width)), window)
+    w = lines.select("doc_id", F.explode(windows).alias("w")).filter(F.col("w").isNotNull())
+    return w.select("doc_id", "w.at", "w.window")
 
 
 def later_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -58,10 +62,11 @@ def dedup_lines(docs: DataFrame, width: int = WIDTH, counts: bool = False) -> Da
     cover = later_lines(docs, width).select(F.col("doc_id").alias("_doc"), F.col("covered").alias("_covered"))
     both = docs.join(cover, docs["doc_id"].eqNullSafe(cover["_doc"]), "left")
     lines = F.split(docs["text"], "\n")
-    left = F.filter(lines, lambda x, i: ~F.array_contains(F.col("_covered"), i))
-    text = F.when(F.col("_covered").isNull(), docs["text"]).otherwise(F.array_join(left, "\n"))
+    numbers = F.sequence(F.lit(0), F.size(lines) - F.lit(1))
+    left = F.transform(F.array_except(numbers, F.col("_covered")), lambda i: F.get(lines, i))
+    text = F.when(F.col("_covered").isNull() | docs["text"].isNull(), docs["text"]).otherwise(F.array_join(left, "\n"))
     out = [text.alias("text") if c == "text" else docs[c] for c in docs.columns]
     if counts:
-        out += [F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
+        out += [F.when(docs["text"].isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
                 F.when(docs["text"].isNull(), 0).otherwise(F.coalesce(F.size("_covered"), F.lit(0))).cast("long").alias("n_removed")]
     return both.select(*out)
