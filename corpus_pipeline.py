@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalframe.llm import linededup, quality
+from vitalframe.llm import linededup, quality, simhash
 from vitalframe.llm.common import staged, table
 from vitalframe.llm.queries import trusted_ids
 
@@ -30,7 +30,12 @@ def with_length(out: DataFrame, docs: DataFrame) -> DataFrame:
     return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))
 
 
-STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies only the document with the smallest doc_id stays."""
+    return simhash.keep_one(docs)
+
+
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_dedup", near_dedup)]
 
 # The trained ratio, SimHash components and packing cannot be written in SQL; tests hold run() against brute force.
 ORACLE_SQL = None

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalframe.llm import linededup, quality
+from vitalframe.llm import linededup, quality, simhash
 from vitalframe.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, trusted_ids(spark, sf_dir))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, text without later three-line repeats, n_lines, n_removed."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -29,23 +33,23 @@ LINE_DEDUP_SQL = """
 WITH l AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
 ), w AS (
-  SELECT doc_id, at, lines[at + 1] AS a, lines[at + 2] AS b, lines[at + 3] AS c
-  FROM (SELECT doc_id, lines, unnest(range(len(lines) - 2)) AS at FROM l WHERE len(lines) >= 3)
+  SELECT doc_id, pos, lines[pos + 1] AS a, lines[pos + 2] AS b, lines[pos + 3] AS c
+  FROM (SELECT doc_id, lines, unnest(range(len(lines) - 2)) AS pos FROM l WHERE len(lines) >= 3)
 ), ranked AS (
-  SELECT doc_id, at, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, at) AS n FROM w
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, pos) AS n FROM w
   WHERE regexp_matches(a || b || c, '[^\\x20\\x09-\\x0D]')
 ), cover AS (
-  SELECT DISTINCT doc_id, at + k AS line FROM ranked, (VALUES (0), (1), (2)) v(k) WHERE n > 1
+  SELECT DISTINCT doc_id, pos + k AS line FROM ranked, (VALUES (0), (1), (2)) v(k) WHERE n > 1
 ), numbered AS (
-  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS at FROM l
+  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM l
 ), kept AS (
-  SELECT n.doc_id, string_agg(n.line, chr(10) ORDER BY n.at) FILTER (WHERE c.line IS NULL) AS text, count(c.line) AS n_removed
-  FROM numbered n LEFT JOIN cover c ON n.doc_id = c.doc_id AND n.at = c.line GROUP BY n.doc_id
+  SELECT n.doc_id, string_agg(n.line, chr(10) ORDER BY n.pos) FILTER (WHERE c.line IS NULL) AS text, count(c.line) AS n_removed
+  FROM numbered n LEFT JOIN cover c ON n.doc_id = c.doc_id AND n.pos = c.line GROUP BY n.doc_id
 )
 SELECT l.doc_id, CASE WHEN l.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
        coalesce(len(l.lines), 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed
 FROM l LEFT JOIN kept k ON l.doc_id = k.doc_id
 """
 
-QUERIES = {"op3_quality": op3_quality, "op8_line_dedup": op8_line_dedup}
+QUERIES = {"op3_quality": op3_quality, "op7_simhash": op7_simhash, "op8_line_dedup": op8_line_dedup}
 ORACLE = {"op8_line_dedup": LINE_DEDUP_SQL}
