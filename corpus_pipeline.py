@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalframe.llm import linededup, quality, simhash
+from vitalframe.llm import decontaminate, linededup, quality, simhash
 from vitalframe.llm.common import staged, table
 from vitalframe.llm.queries import trusted_ids
 
@@ -35,7 +35,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_dedup", near_dedup)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with benchmark passages go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
+          ("decontamination", decontamination)]
 
 # The trained ratio, SimHash components and packing cannot be written in SQL; tests hold run() against brute force.
 ORACLE_SQL = None

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalframe.llm import linededup, quality, simhash
+from vitalframe.llm import decontaminate, linededup, quality, simhash
 from vitalframe.llm.common import table
 
 
@@ -14,6 +14,10 @@ def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select("doc_id")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge(docs, trusted_ids(spark, sf_dir))
@@ -51,5 +55,5 @@ SELECT l.doc_id, CASE WHEN l.text IS NULL THEN NULL ELSE coalesce(k.text, '') EN
 FROM l LEFT JOIN kept k ON l.doc_id = k.doc_id
 """
 
-QUERIES = {"op3_quality": op3_quality, "op7_simhash": op7_simhash, "op8_line_dedup": op8_line_dedup}
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op3_quality": op3_quality, "op7_simhash": op7_simhash, "op8_line_dedup": op8_line_dedup}
 ORACLE = {"op8_line_dedup": LINE_DEDUP_SQL}
