@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalframe.llm import decontaminate, linededup, quality, simhash
+from vitalframe.llm import decontaminate, linededup, packing, quality, simhash
 from vitalframe.llm.common import staged, table
 from vitalframe.llm.queries import trusted_ids
 
@@ -40,8 +40,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences with their token ids."""
+    return packing.pack(docs, with_ids=True)
+
+
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
-          ("decontamination", decontamination)]
+          ("decontamination", decontamination), ("packing", pack)]
 
 # The trained ratio, SimHash components and packing cannot be written in SQL; tests hold run() against brute force.
 ORACLE_SQL = None

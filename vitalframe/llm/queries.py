@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalframe.llm import decontaminate, linededup, quality, simhash
+from vitalframe.llm import decontaminate, linededup, packing, quality, sharding, simhash
 from vitalframe.llm.common import table
 
 
@@ -18,11 +18,22 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """24 shards whose row counts are at most one apart; ``home`` is the ring's shard without bounds."""
+    rows = sharding.shard_rows(table(spark, sf_dir, "documents"), 24)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"), "home")
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge(docs, trusted_ids(spark, sf_dir))
 
 
+def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -55,5 +66,12 @@ SELECT l.doc_id, CASE WHEN l.text IS NULL THEN NULL ELSE coalesce(k.text, '') EN
 FROM l LEFT JOIN kept k ON l.doc_id = k.doc_id
 """
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op3_quality": op3_quality, "op7_simhash": op7_simhash, "op8_line_dedup": op8_line_dedup}
+QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op2_shards": op2_shards,
+    "op3_quality": op3_quality,
+    "op4_pack": op4_pack,
+    "op7_simhash": op7_simhash,
+    "op8_line_dedup": op8_line_dedup,
+}
 ORACLE = {"op8_line_dedup": LINE_DEDUP_SQL}
