@@ -49,11 +49,11 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: the lineage is
     cut, a lost executor costs no recomputation, and rows stay as they were written."""
     path = stage_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalframe.llm import decontaminate, linededup, packing, quality, sharding, simhash
+from vitalframe.llm import decontaminate, linededup, packing, quality, sharding, simhash, substring
 from vitalframe.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ QUERIES = {
     "op2_shards": op2_shards,
     "op3_quality": op3_quality,
     "op4_pack": op4_pack,
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_simhash": op7_simhash,
     "op8_line_dedup": op8_line_dedup,
 }
