@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalframe.llm import decontaminate, linededup, packing, quality, sharding, simhash, substring
+from vitalframe.llm import decontaminate, linededup, lm, packing, quality, sharding, simhash, substring
 from vitalframe.llm.common import table
 
 
@@ -48,6 +48,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(docs, counts=True)
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 LINE_DEDUP_SQL = """
 WITH l AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
@@ -78,5 +82,6 @@ QUERIES = {
     "op5_substring_dedup": op5_substring_dedup,
     "op7_simhash": op7_simhash,
     "op8_line_dedup": op8_line_dedup,
+    "op9_lm_score": op9_lm_score,
 }
 ORACLE = {"op8_line_dedup": LINE_DEDUP_SQL}
