@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalframe.llm import decontaminate, linededup, lm, packing, quality, sharding, simhash, substring
-from vitalframe.llm.common import table
+from vitalframe.llm import decontaminate, langid, linededup, lm, packing, quality, sharding, simhash, substring
+from vitalframe.llm.common import id_bucket, table
 
 
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +52,12 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, *langid.fit(docs))
+    return found.select("doc_id", (id_bucket(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 LINE_DEDUP_SQL = """
 WITH l AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
@@ -83,5 +89,6 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op8_line_dedup": op8_line_dedup,
     "op9_lm_score": op9_lm_score,
+    "op10_langid": op10_langid,
 }
 ORACLE = {"op8_line_dedup": LINE_DEDUP_SQL}
