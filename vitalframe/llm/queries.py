@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalframe.llm import decontaminate, langid, linededup, lm, packing, quality, sharding, simhash, substring
+from vitalframe.llm import decontaminate, langid, linededup, lm, packing, quality, sharding, simhash, substring, toxicity
 from vitalframe.llm.common import id_bucket, table
 
 
@@ -38,6 +38,12 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", (id_bucket(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -86,6 +92,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_pack": op4_pack,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
     "op8_line_dedup": op8_line_dedup,
     "op9_lm_score": op9_lm_score,
