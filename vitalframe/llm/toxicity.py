@@ -8,8 +8,8 @@ side by side. Every hit is weighed by its context window: a hit inside
 quotation marks, or shortly after a word of reporting, counts as quoted rather
 than as abuse. A logistic model over a document's sums turns them into a score.
 
-Words are runs of ASCII letters and digits and of non-ASCII characters, A-Z
-lower-cased; edits are counted on UTF-8 bytes. Terms of up to four bytes and
+Words are runs of ASCII letters and digits and of non-ASCII characters, Latin
+capitals lower-cased; edits are counted on UTF-8 bytes. Terms of up to four bytes and
 stems are only matched exactly.
 
 Defined cases: a null or empty text has no hits and gets the model's score for
@@ -34,8 +34,8 @@ from vitalframe.llm.common import ALNUM, LOWER, blocks, hash_spans, id_bucket, w
 
 # labelled documents learned from, at most (those of the smallest hash of their id), and lexicon terms, at most
 LABEL_DOCS, LEXICON = 20_000, 300
-STEMS = (4, 5, 6)
-MIN_TOXIC, MIN_ODDS, MIN_G2 = 3, 3.0, 10.0
+STEMS = (4, 5, 6, 7, 8)
+MIN_TOXIC, MIN_ODDS, MIN_G2 = 3, 6.0, 10.0
 FUZZY_FROM = 5
 CONTEXT = 8
 # share of a quotation that its marks make out; the rest is a word of reporting before it
@@ -159,9 +159,13 @@ def build_automaton(terms: list[Term]) -> Automaton:
     return Automaton(symbol, table, exact, fuzzy)
 
 
-def plain_quotes(buf: np.ndarray) -> np.ndarray:
-    """Lower-cased bytes with typographic quotation marks as ASCII ones and blanks."""
+def folded(buf: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z and the accented capitals U+00C0 to U+00DE in lower case, and typographic quotation
+    marks as ASCII ones and blanks."""
     out = LOWER[buf]
+    c = np.flatnonzero(buf[:-1] == 0xC3) + 1 if len(buf) > 1 else np.zeros(0, np.int64)
+    c = c[(buf[c] >= 0x80) & (buf[c] <= 0x9E) & (buf[c] != 0x97)]
+    out[c] += 0x20
     a = np.flatnonzero(buf[:-2] == 0xE2) if len(buf) > 2 else np.zeros(0, np.int64)
     a = a[(buf[a + 1] == 0x80) & (buf[a + 2] >= 0x9C) & (buf[a + 2] <= 0x9F)]
     out[a], out[a + 1], out[a + 2] = 0x22, 0x20, 0x20
@@ -178,8 +182,8 @@ def _reporting_hashes() -> np.ndarray:
 
 
 def features(b, automaton: Automaton) -> np.ndarray:
-    """[documents, FEATURES]: abuse by exact and by misspelled terms, quoted hits, their density, and 1."""
-    buf = plain_quotes(b.buf)
+    """[documents, FEATURES]: abuse by exact and by misspelled terms, quoted hits, abuse per word, and 1."""
+    buf = folded(b.buf)
     s, e, first = word_spans(buf, b.offsets, ALNUM)
     out = np.zeros((b.n, FEATURES))
     out[:, -1] = 1
@@ -200,7 +204,7 @@ def features(b, automaton: Automaton) -> np.ndarray:
     inside = opened & (closed | end_of_doc)
     reported = reports[hit] > reports[low]
     quoted = QUOTED * inside + (1 - QUOTED) * reported
-    for k, x in enumerate((exact[hit] * (1 - quoted), fuzzy[hit] * (1 - quoted), (exact[hit] + fuzzy[hit]) * quoted, (1 - quoted))):
+    for k, x in enumerate((exact[hit] * (1 - quoted), fuzzy[hit] * (1 - quoted), (exact[hit] + fuzzy[hit]) * quoted, (exact[hit] + fuzzy[hit]) * (1 - quoted))):
         out[:, k] = np.bincount(doc, x, b.n)
     words = np.maximum(np.diff(first), 1)
     out[:, :3] = np.log1p(out[:, :3])
@@ -221,7 +225,7 @@ def _term_counts(sample: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = {0: Counter(), 1: Counter()}
         for b in blocks(batches):
-            buf = plain_quotes(b.buf)
+            buf = folded(b.buf)
             s, e, first = word_spans(buf, b.offsets, ALNUM)
             raw = buf.tobytes()
             label = b.rest.column(1).to_pylist()
