@@ -57,9 +57,11 @@ def test_pushdown_and_pruning(spark):
     assert "event_id" not in text.split("ReadSchema")[1].split(">")[0]
 
 
-def test_expansion_single_shuffle(spark):
-    text = _plan(QUERIES["expand_infusions"](spark, SF001))
-    assert text.count("Exchange hashpartitioning") == 1
+def test_expansion_splits_series(spark):
+    """Every window of the expansion is cut by time chunks: no task holds a whole (patient, drug) series."""
+    for name in ("expand_infusions", "expand_charted", "expand_bolus"):
+        text = _plan(QUERIES[name](spark, SF001))
+        assert "_chunk" in text, name
 
 
 def test_preparation_end_to_end(spark):

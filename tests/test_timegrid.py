@@ -1,3 +1,4 @@
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vitalframe.operators import timegrid as TG
@@ -60,10 +61,11 @@ def test_expand_charted_carries_and_averages(spark):
 def test_chunked_scans_equal_plain(spark):
     data = [(k, t, (None if (t * 7 + k) % 5 == 0 else float((t * 13 + k) % 17))) for k in range(3) for t in range(0, 400, 3)]
     df = spark.createDataFrame(data, "k long, t long, v double")
-    a = WN.locf(df, ["k"], "t", ["v"])
+    w = Window.partitionBy("k").orderBy("t")
+    a = df.withColumn("v", F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     b = WN.locf(df, ["k"], "t", ["v"], chunk=50)
     assert sorted(a.collect()) == sorted(b.select(*a.columns).collect())
-    c = WN.neighbours(df, ["k"], ["t"], "v")
+    c = df.withColumns({"value_lag": F.lag("v").over(w), "value_lead": F.lead("v").over(w)})
     d = WN.neighbours(df, ["k"], ["t"], "v", chunk=37)
     assert sorted(c.collect()) == sorted(d.select(*c.columns).collect())
 
@@ -101,8 +103,6 @@ def test_hot_key_paths_agree(spark):
     a = TG.expand_infusions(df, ["pat_id", "drug"], "s", "e", "r", close_keys=["unit"])
     b = TG.expand_infusions(df, ["pat_id", "drug"], "s", "e", "r", close_keys=["unit"], chunk=100)
     assert sorted(a.collect()) == sorted(b.select(*a.columns).collect())
-    plan = b._jdf.queryExecution().executedPlan().toString()
-    assert "_chunk" in plan
     c = TG.expand_charted(df, ["pat_id", "drug"], "s", "r")
     d = TG.expand_charted(df, ["pat_id", "drug"], "s", "r", chunk=100)
     assert sorted(c.collect()) == sorted(d.select(*c.columns).collect())

@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalframe.functions.nulls import safe_div
+from vitalframe.operators.window import prefix_sums
 
 
 def mean_by(df: DataFrame, keys: Sequence[str], value: str = "value", name: str | None = None) -> DataFrame:
@@ -69,83 +69,33 @@ def share_within(df: DataFrame, group: Sequence[str], cols: Sequence[str], name:
     return out.withColumn(name, F.col("n") / F.col("_total") * F.lit(100.0)).drop("_total")
 
 
-_GRID = 200
-
-
-def quantile_by(df: DataFrame, keys: Sequence[str], value: str, q: float, name: str = "q",
-                accuracy: int = 10000, max_candidates: int = 2_000_000) -> DataFrame:
+def quantile_by(df: DataFrame, keys: Sequence[str], value: str, q: float, name: str = "q") -> DataFrame:
     """Exact quantile (linear interpolation, R type 7) per group, in bounded memory.
 
     An exact ``percentile`` aggregate keeps every distinct value of a group in
-    one task. Here duplicates are first collapsed to (value, count); a group
-    whose distinct values fit ``max_candidates`` is ranked directly. Larger
-    groups are narrowed first: ``percentile_approx`` (rank error at most
-    m/accuracy) brackets the two order statistics the answer needs, rows
-    below the bracket are only counted, and the narrowing repeats until the
-    bracket is small. No task ever sorts a whole hot group.
-
-    Eager, like an estimator's fit: the (value, count) table is persisted
-    while the size check and the ranking read it, the small result (one row
-    per group) is cached and returned, and the intermediate is released.
+    one task. Here duplicates are collapsed to (value, count) map side first,
+    and running counts over range partitions rank the distinct values, so no
+    task holds a hot group. The same few jobs run at every size.
     """
     keys = list(keys)
-    v = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    vc = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _quantile_from_counts(v, vc, keys, q, name, accuracy, max_candidates)
-    finally:
-        vc.unpersist()
-
-
-def _quantile_from_counts(v: DataFrame, vc: DataFrame, keys: list[str], q: float, name: str,
-                          accuracy: int, max_candidates: int) -> DataFrame:
-    tot = vc.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d"))
+    vc = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull()) \
+        .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = prefix_sums(vc, keys, "_v", ["_c"])
+    tot = ranked.groupBy(*keys).agg(F.max("cum__c").alias("_n"))
     h = (F.col("_n") - F.lit(1)).cast("double") * F.lit(float(q))
-    state = tot.select(*keys, "_d", F.floor(h).cast("bigint").alias("_lo"), (h - F.floor(h)).alias("_frac"),
-                       F.lit(None).cast("double").alias("_a"), F.lit(None).cast("double").alias("_b"),
-                       F.lit(0).cast("bigint").alias("_below"))
-    in_range = ((F.col("_a").isNull() | (F.col("_v") >= F.col("_a"))) &
-                (F.col("_b").isNull() | (F.col("_v") <= F.col("_b"))))
-    margin = 3.0 / accuracy
-    for _ in range(4):
-        big = state.filter(F.col("_d") > max_candidates)
-        if big.limit(1).count() == 0:
-            break
-        raw = v.join(big, keys, "inner").filter(in_range)
-        # an approximate quantile grid per group (fixed probabilities), read
-        # at the relative rank of the two needed order statistics
-        grid = [i / _GRID for i in range(_GRID + 1)]
-        sk = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"),
-                                    F.percentile_approx("_v", grid, accuracy).alias("_g"))
-        rel = (F.col("_lo") - F.col("_below")).cast("double") / F.col("_m")
-        i_lo = F.greatest(F.lit(0), F.floor((rel - F.lit(margin)) * _GRID).cast("int"))
-        i_hi = F.least(F.lit(_GRID), F.ceil((rel + F.lit(1.0) / F.col("_m") + F.lit(margin)) * _GRID).cast("int"))
-        br = big.join(sk, keys).select(*keys, F.element_at("_g", i_lo + 1).alias("_na"),
-                                       F.element_at("_g", i_hi + 1).alias("_nb"))
-        part = raw.join(br, keys).groupBy(*keys).agg(
-            F.sum(F.when(F.col("_v") < F.col("_na"), 1).otherwise(0)).alias("_add"))
-        dist = vc.join(big.select(*keys, "_a", "_b"), keys).filter(in_range).join(br, keys) \
-                 .filter((F.col("_v") >= F.col("_na")) & (F.col("_v") <= F.col("_nb"))) \
-                 .groupBy(*keys).agg(F.count(F.lit(1)).alias("_nd"))
-        upd = br.join(part, keys).join(dist, keys, "left")
-        state = state.join(upd, keys, "left").select(
-            *keys, F.coalesce("_nd", "_d").alias("_d"), "_lo", "_frac",
-            F.coalesce("_na", "_a").alias("_a"), F.coalesce("_nb", "_b").alias("_b"),
-            (F.col("_below") + F.coalesce("_add", F.lit(0))).cast("bigint").alias("_below"))
-    inside = vc.join(state, keys, "inner").filter(in_range)
-    w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = inside.withColumn("_end", F.col("_below") + F.sum("_c").over(w))
-    ranked = ranked.withColumn("_start", F.col("_end") - F.col("_c"))
-    lo_row = (F.col("_start") <= F.col("_lo")) & (F.col("_lo") < F.col("_end"))
-    hi_row = (F.col("_start") <= F.col("_lo") + 1) & (F.col("_lo") + 1 < F.col("_end"))
-    picked = ranked.groupBy(*keys).agg(
-        F.max(F.when(lo_row, F.col("_v"))).alias("_x0"),
-        F.max(F.when(hi_row, F.col("_v"))).alias("_x1"),
-        F.first("_frac").alias("_frac"))
+    at = tot.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.floor(h).cast("bigint").alias("_lo"), (h - F.floor(h)).alias("_frac"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    x = ranked.join(at, same)
+    start, end = F.col("cum__c") - F.col("_c"), F.col("cum__c")
+    lo_row = (start <= F.col("_lo")) & (F.col("_lo") < end)
+    hi_row = (start <= F.col("_lo") + 1) & (F.col("_lo") + 1 < end)
+    picked = x.filter(lo_row | hi_row).groupBy(*keys).agg(
+        F.max(F.when(lo_row, F.col("_v"))).alias("_x0"), F.max(F.when(hi_row, F.col("_v"))).alias("_x1"),
+        F.max("_frac").alias("_frac"))
     x1 = F.coalesce(F.col("_x1"), F.col("_x0"))
-    out = picked.select(*keys, (F.col("_x0") + (x1 - F.col("_x0")) * F.col("_frac")).alias(name)).cache()
-    out.count()
-    return out
+    return picked.select(*keys, (F.col("_x0") + (x1 - F.col("_x0")) * F.col("_frac")).alias(name))
 
 
 def attach_stats(df: DataFrame, keys: Sequence[str], value: str = "value",

@@ -9,7 +9,7 @@ from vitalframe.functions.nulls import str_detect
 from vitalframe.operators.aggregate import quantile_by
 from vitalframe.operators.relational import clip as _clip
 from vitalframe.operators.relational import null_where, with_scalars
-from vitalframe.operators.window import neighbours
+from vitalframe.operators.window import DAY, neighbours
 
 # fixed values
 NEGATIVE_ALLOWED = "ICP|CPP|SBE"      # measures that may be negative
@@ -70,7 +70,7 @@ def clip_outliers(df: DataFrame, z_max: float = Z_MAX, mode: str = "patient_max"
 
 def jump_scores(df: DataFrame, key: str = "pat_id", feature: str = "measure_norm",
                 order=("rel_time", "category", "measure"), value: str = "value",
-                chunk: int | None = None) -> DataFrame:
+                chunk: int = DAY) -> DataFrame:
     """|lag - v| + |lead - v| per (patient, feature) series; a missing
     neighbour counts 0."""
     x = neighbours(df, [key, feature], list(order), value, "_lag", "_lead", chunk=chunk)
@@ -81,7 +81,7 @@ def jump_scores(df: DataFrame, key: str = "pat_id", feature: str = "measure_norm
 
 def drop_jumps(df: DataFrame, q: float = JUMP_Q, key: str = "pat_id", group=("db", "measure_norm"),
                order=("rel_time", "category", "measure"), value: str = "value",
-               chunk: int | None = None) -> DataFrame:
+               chunk: int = DAY) -> DataFrame:
     """Temporal outliers: rows whose jump exceeds the q-quantile of jumps in
     their source x feature group are removed (exact quantile, bounded memory)."""
     group = list(group)

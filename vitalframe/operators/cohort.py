@@ -155,10 +155,8 @@ def zscore_static(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def static_targets(df: DataFrame, key: str = "pat_id", sex: str = "sex", outcome: str = "outcome",
                    male: str = "M", exitus: str = "exitus") -> DataFrame:
-    """sex -> 1.0 for male, outcome -> 1.0 for exitus."""
-    return df.select(key,
-                     F.when(F.coalesce(F.col(sex).rlike(male), F.lit(False)), 1.0).otherwise(0.0).alias(sex),
-                     F.when(F.coalesce(F.col(outcome).rlike(exitus), F.lit(False)), 1.0).otherwise(0.0).alias(outcome))
+    """sex -> 1.0 for male, outcome -> 1.0 for exitus; a missing value stays missing."""
+    return df.select(key, F.col(sex).rlike(male).cast("double").alias(sex), F.col(outcome).rlike(exitus).cast("double").alias(outcome))
 
 
 def harmonise_patients(df: DataFrame, db: str, sex_map: Mapping[str, str] | None = None,

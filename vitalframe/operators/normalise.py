@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalframe.session import spread
+from vitalframe.session import staged
 
 GROUP = ("db", "measure_norm")
 OUT_KEYS = ("pat_id", "rel_time", "db", "category", "measure")
@@ -85,51 +84,44 @@ def fit_yeojohnson(df: DataFrame, group=GROUP, value: str = "value", lo: float =
     """Maximum-likelihood lambda per group by a zooming grid search (eager, like an estimator's fit).
 
     log L(l) = -n/2 * ln(var_pop(yj(x, l))) + (l - 1) * sum(sign(x) ln(|x| + 1)).
-    Each pass pairs every value with the ``points`` candidate lambdas of its
-    group (an ``explode`` feeding a partial hash aggregate in the same stage,
-    so the pairs never reach the shuffle), keeps the best lambda per group
-    and narrows the grid around it. The projected input is persisted for the
-    passes (memory and disk; lost blocks are recomputed from lineage) and
-    released afterwards; the result is one small row per group. Constant
-    groups get NULL.
+    Equal values are collapsed to (value, count) first. Each pass pairs every
+    distinct value with the ``points`` candidate lambdas of its group (an
+    ``explode`` feeding a partial hash aggregate in the same stage, so the pairs
+    never reach the shuffle), keeps the best lambda per group and narrows the
+    grid around it, inside [lo, hi]. The variance is summed around the
+    transformed group mean, so narrow measures keep their digits. The counts
+    are written once for the passes; the result is one small row per group.
+    Constant groups get NULL.
     """
     group = list(group)
-    x = spread(df.select(*group, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull()))
-    x = x.persist(StorageLevel.MEMORY_AND_DISK)
-    held = [x]
-    try:
-        base = x.groupBy(*group).agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.sum(F.signum("_x") * F.log1p(F.abs("_x"))).alias("_c"),
-            F.stddev_pop("_x").alias("_sd0")).cache()
-        held.append(base)
-        step = (hi - lo) / (points - 1)
-        half = (points - 1) // 2
-        centre = None
-        for _ in range(passes):
-            offs = F.array(*[F.lit(float((k - half) * step)) for k in range(points)])
-            if centre is None:
-                j = x.select(*group, "_x", F.lit((lo + hi) / 2.0).alias("_lam"))
-            else:
-                j = x.join(F.broadcast(centre), group)  # one row per group
-            j = j.select(*group, "_x", "_lam", F.explode(offs).alias("_off")) \
-                 .select(*group, "_x", (F.col("_lam") + F.col("_off")).alias("_l"))
-            y = yj(F.col("_x"), F.col("_l"))
-            sums = j.groupBy(*group, "_l").agg(F.sum(y).alias("_s"), F.sum(y * y).alias("_q"))
-            n = F.col("_n").cast("double")
-            var = (F.col("_q") - F.col("_s") * F.col("_s") / n) / n
-            ll = F.when(var > 0, -n / 2.0 * F.log(var) + (F.col("_l") - F.lit(1.0)) * F.col("_c"))
-            scored = sums.join(F.broadcast(base), group).select(
-                *group, F.struct(F.coalesce(ll, F.lit(float("-inf"))).alias("ll"), (-F.abs(F.col("_l"))).alias("tie"),
-                                 F.col("_l").alias("lam")).alias("_b"))
-            centre = scored.groupBy(*group).agg(F.max("_b").alias("_b")).select(*group, F.col("_b.lam").alias("_lam"))
-            step = step * 2.0 / (points - 1)
-        out = base.join(centre, group).select(*group, F.when(F.col("_sd0") > 0, F.col("_lam")).alias("lambda")).cache()
-        out.count()
-    finally:
-        for h in held:
-            h.unpersist()
-    return out
+    x = staged(df.select(*group, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+               .groupBy(*group, "_x").agg(F.count(F.lit(1)).cast("double").alias("_w")), "yj-values")
+    base = x.groupBy(*group).agg(
+        F.sum("_w").alias("_n"), F.try_divide(F.sum(F.col("_x") * F.col("_w")), F.sum("_w")).alias("_mid"),
+        F.sum(F.signum("_x") * F.log1p(F.abs("_x")) * F.col("_w")).alias("_c"),
+        (F.min("_x") < F.max("_x")).alias("_varies"))
+    base = staged(base, "yj-groups")
+    step = (hi - lo) / (points - 1)
+    half = (points - 1) // 2
+    centre = base.select(*group, F.lit((lo + hi) / 2.0).alias("_lam"))
+    for _ in range(passes):
+        offs = F.array(*[F.lit(float((k - half) * step)) for k in range(points)])
+        cand = F.greatest(F.lit(lo), F.least(F.lit(hi), F.col("_lam") + F.col("_off")))
+        j = x.join(base.join(centre, group).select(*group, "_mid", "_lam"), group) \
+             .select(*group, "_x", "_w", "_mid", "_lam", F.explode(offs).alias("_off")) \
+             .select(*group, "_x", "_w", "_mid", cand.alias("_l"))
+        y = yj(F.col("_x"), F.col("_l")) - yj(F.col("_mid"), F.col("_l"))
+        sums = j.groupBy(*group, "_l").agg(F.sum(y * F.col("_w")).alias("_s"), F.sum(y * y * F.col("_w")).alias("_q"),
+                                           F.sum("_w").alias("_m"))
+        # a candidate met twice at a clamped end has all its weights doubled: the ratios stay right
+        var = (F.col("_q") - F.col("_s") * F.col("_s") / F.col("_m")) / F.col("_m")
+        ll = F.when(var > 0, -F.col("_n") / 2.0 * F.log(var) + (F.col("_l") - F.lit(1.0)) * F.col("_c"))
+        scored = sums.join(base, group).select(
+            *group, F.struct(F.coalesce(ll, F.lit(float("-inf"))).alias("ll"), (-F.abs(F.col("_l"))).alias("tie"),
+                             F.col("_l").alias("lam")).alias("_b"))
+        centre = staged(scored.groupBy(*group).agg(F.max("_b").alias("_b")).select(*group, F.col("_b.lam").alias("_lam")), "yj-lambda")
+        step = step * 2.0 / (points - 1)
+    return base.join(centre, group).select(*group, F.when(F.col("_varies"), F.col("_lam")).alias("lambda"))
 
 
 def yeojohnson(df: DataFrame, group=GROUP, out_keys=OUT_KEYS, value: str = "value") -> DataFrame:

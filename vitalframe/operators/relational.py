@@ -103,7 +103,7 @@ def update_where(df: DataFrame, cond: Column, col: str, expr: Column) -> DataFra
     return df.withColumn(col, F.when(F.coalesce(cond, F.lit(False)), expr).otherwise(F.col(col)))
 
 
-def align_features(df: DataFrame, base_db: str, other_db: str, feature: str = "measure_norm",
+def align_features(df: DataFrame, base_db: str, other_db: str, feature: str = "measure",
                    db: str = "db") -> DataFrame:
     """Keep features present in the base source and also in the other source."""
     base = df.filter(F.col(db) == base_db).select(feature).distinct()
@@ -112,7 +112,7 @@ def align_features(df: DataFrame, base_db: str, other_db: str, feature: str = "m
     return df.join(keep, feature, "left_semi")
 
 
-def feature_diff(df: DataFrame, a: str, b: str, feature: str = "measure_norm", db: str = "db") -> DataFrame:
+def feature_diff(df: DataFrame, a: str, b: str, feature: str = "measure", db: str = "db") -> DataFrame:
     """Features of source ``a`` absent from source ``b``."""
     fa = df.filter(F.col(db) == a).select(feature).distinct()
     fb = df.filter(F.col(db) == b).select(feature).distinct()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalframe.functions.scalar import floor_to, minutes_between
-from vitalframe.operators.window import neighbours
+from vitalframe.operators.window import DAY, neighbours
 
 OBS_KEYS = ("pat_id", "db", "category", "measure", "measure_norm")
 
@@ -80,17 +80,15 @@ def to_wide(df: DataFrame, keys: Sequence[str], name: str, value: str, values: S
 
 
 def _carry_forward_expand(rows: DataFrame, keys: list[str], extra: list[str], step: int,
-                          chunk: int = 4096, lead_chunk: int | None = None) -> DataFrame:
-    """Grid completion + carry-forward + mean per step, on rows already
-    hash-partitioned by ``keys``.
+                          chunk: int = 4096, lead_chunk: int = DAY) -> DataFrame:
+    """Grid completion + carry-forward + mean per step.
 
     ``rows``: keys, extra (e.g. unit), _t, _rate, _closing, _lo, _hi. Per
     distinct time the per-``extra`` sums and counts are kept, and the row that
     wins the tie order (closing flag, rate, extra) is the value carried into
     the following gap. A lead over the distinct times bounds the gap; gap
-    points are generated by explode (arrays of at most ``chunk`` points).
-    Every aggregate and window is keyed by ``keys`` plus more columns, so
-    after the single shuffle on ``keys`` no further exchange is planned.
+    points are generated by explode (arrays of at most ``chunk`` points). The
+    lead is a two-level scan, so no task holds a whole (patient, drug) series.
     """
     dtypes = dict(rows.dtypes)
     order = F.struct(F.col("_closing"), F.col("_rate"), *[F.col(c) for c in extra])
@@ -103,10 +101,7 @@ def _carry_forward_expand(rows: DataFrame, keys: list[str], extra: list[str], st
     per_t = per_x.groupBy(*keys, "_t").agg(
         F.collect_list(F.struct(*[F.col(c) for c in extra], F.col("_sum"), F.col("_cnt"))).alias("_real"),
         F.max_by("_win", "_ord").alias("_win"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
-    if lead_chunk is None:
-        per_t = per_t.withColumn("_next", F.lead("_t").over(Window.partitionBy(*keys).orderBy("_t")))
-    else:  # two-level scan: no task holds a whole (patient, drug) series
-        per_t = neighbours(per_t, keys, ["_t"], "_t", "_prev", "_next", chunk=lead_chunk).drop("_prev")
+    per_t = neighbours(per_t, keys, ["_t"], "_t", "_prev", "_next", chunk=lead_chunk).drop("_prev")
     first = F.col("_lo") + (F.floor((F.col("_t") - F.col("_lo")) / F.lit(step)) + F.lit(1)).cast("bigint") * F.lit(step)
     upto = F.least(F.coalesce(F.col("_next") - F.lit(1), F.col("_hi")), F.col("_hi"))
 
@@ -130,7 +125,7 @@ def _carry_forward_expand(rows: DataFrame, keys: list[str], extra: list[str], st
 
 
 def expand_infusions(df: DataFrame, keys: Sequence[str], start: str, end: str, rate: str,
-                     step: int = 1, close_keys: Sequence[str] = (), chunk: int | None = None) -> DataFrame:
+                     step: int = 1, close_keys: Sequence[str] = (), chunk: int = DAY) -> DataFrame:
     """Infusion intervals -> one rate per grid step.
 
     A 0-rate row is added at each (keys + close_keys) group's last end; the
@@ -139,30 +134,14 @@ def expand_infusions(df: DataFrame, keys: Sequence[str], start: str, end: str, r
     intervals keep the previous rate, as in the reference; then the mean
     rate per step.
 
-    ``chunk=None``: one shuffle on ``keys``; bounds and closing rows come from
-    windows on that partitioning (fastest when no (patient, drug) series is
-    a large share of the data). ``chunk=<width>``: hot-key safe; rows are
-    first aggregated per (keys, time), bounds and closing rows are small
-    aggregates joined back, and the next-time lookup is a two-level scan over
-    time chunks, so no task ever holds a whole series.
+    Rows are first aggregated per (keys, time), bounds and closing rows are
+    small aggregates joined back, and the next-time lookup is a two-level scan
+    over time chunks of width ``chunk``, so a (patient, drug) series that holds
+    a large share of the rows is spread over many tasks.
     """
     keys, extra = list(keys), [c for c in close_keys if c not in keys]
     base = df.select(*keys, *extra, F.col(start).cast("bigint").alias("_t"), F.col(end).cast("bigint").alias("_end"),
                      F.col(rate).cast("double").alias("_rate"))
-    if chunk is None:
-        base = base.repartition(*keys)
-        wu = Window.partitionBy(*keys, *extra)
-        wk = Window.partitionBy(*keys)
-        x = base.withColumn("_uend", F.max("_end").over(wu)) \
-            .withColumn("_one", F.row_number().over(wu.orderBy("_t", "_rate", "_end")) == 1)
-        x = x.withColumn("_lo", F.least(F.min("_t").over(wk), F.min("_uend").over(wk))) \
-            .withColumn("_hi", F.max("_end").over(wk))
-        row = F.struct(F.col("_t"), F.col("_rate"), F.lit(0).alias("_closing"))
-        close = F.struct(F.col("_uend").alias("_t"), F.lit(0.0).alias("_rate"), F.lit(1).alias("_closing"))
-        x = x.select(*keys, *extra, "_lo", "_hi",
-                     F.explode(F.when(F.col("_one"), F.array(row, close)).otherwise(F.array(row))).alias("_r"))
-        x = x.select(*keys, *extra, "_lo", "_hi", "_r.*")
-        return _carry_forward_expand(x, keys, extra, step)
     closing = base.groupBy(*keys, *extra).agg(F.max("_end").alias("_t")) \
         .select(*keys, *extra, "_t", F.col("_t").alias("_end"), F.lit(0.0).alias("_rate"), F.lit(1).alias("_closing"))
     rows = base.withColumn("_closing", F.lit(0)).unionByName(closing)
@@ -172,24 +151,19 @@ def expand_infusions(df: DataFrame, keys: Sequence[str], start: str, end: str, r
 
 
 def expand_charted(df: DataFrame, keys: Sequence[str], t: str, rate: str, step: int = 1,
-                   carry: Sequence[str] = (), chunk: int | None = None) -> DataFrame:
+                   carry: Sequence[str] = (), chunk: int = DAY) -> DataFrame:
     """Charted rates -> one rate per step: grid from first to last charting,
     carry forward, mean per step (text rates are read as numbers).
     ``chunk`` as in ``expand_infusions``."""
     keys, carry = list(keys), list(carry)
     x = df.select(*keys, *carry, F.col(t).cast("bigint").alias("_t"),
                   F.col(rate).try_cast("double").alias("_rate"), F.lit(0).alias("_closing"))
-    if chunk is None:
-        x = x.repartition(*keys)
-        wk = Window.partitionBy(*keys)
-        x = x.withColumns({"_lo": F.min("_t").over(wk), "_hi": F.max("_t").over(wk)})
-        return _carry_forward_expand(x, keys, carry, step)
     bounds = x.groupBy(*keys).agg(F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
     return _carry_forward_expand(x.join(bounds, keys), keys, carry, step, lead_chunk=chunk)
 
 
 def expand_bolus(df: DataFrame, keys: Sequence[str], t: str, window: int = 120,
-                 mode: str = "per_dose", value: float = 1.0) -> DataFrame:
+                 mode: str = "per_dose", value: float = 1.0, chunk: int = DAY) -> DataFrame:
     """Single doses -> an effect window of ``window`` minutes at ``value``,
     one row per (keys, minute).
 
@@ -197,27 +171,21 @@ def expand_bolus(df: DataFrame, keys: Sequence[str], t: str, window: int = 120,
     only the group's first dose gets the window, later doses stay single
     minutes; ``endpoints_only``: each dose contributes only t and t+window.
 
-    The doses are shuffled once by ``keys``; overlapping windows are merged
-    into disjoint intervals first (running maximum of window ends), so every
-    minute is generated exactly once and no distinct over the exploded rows
-    (``window`` times the doses) is needed.
+    All windows are equally long, so a dose's window ends where the next
+    dose's begins: with the next dose time (a two-level scan over time chunks)
+    every minute is generated exactly once, without a distinct over the
+    exploded rows, and no task holds a whole (patient, drug) series.
     """
     keys = list(keys)
-    d = df.select(*keys, F.col(t).cast("bigint").alias("_t")).repartition(*keys) \
-        .dropDuplicates(keys + ["_t"])
-    w = Window.partitionBy(*keys).orderBy("_t")
+    d = df.select(*keys, F.col(t).cast("bigint").alias("_t")).dropDuplicates(keys + ["_t"])
     if mode == "per_dose":
-        prev_end = F.max(F.col("_t") + F.lit(window)).over(w.rowsBetween(Window.unboundedPreceding, -1))
-        start = (prev_end.isNull() | (F.col("_t") > prev_end + F.lit(1))).cast("int")
-        x = d.withColumn("_start", start).withColumn(
-            "_isl", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        iv = x.groupBy(*keys, "_isl").agg(F.min("_t").alias("_a"), (F.max("_t") + F.lit(window)).alias("_b"))
-        out = explode_grid(iv, "_a", "_b", 1, "t").select(*keys, "t")
+        x = neighbours(d, keys, ["_t"], "_t", "_prev", "_next", chunk=chunk)
+        end = F.least(F.col("_t") + F.lit(window), F.coalesce(F.col("_next") - F.lit(1), F.col("_t") + F.lit(window)))
+        out = explode_grid(x.withColumn("_e", end), "_t", "_e", 1, "t").select(*keys, "t")
     elif mode == "first_dose_only":
-        x = d.withColumn("_first", F.min("_t").over(Window.partitionBy(*keys)))
-        first = x.filter(F.col("_t") == F.col("_first")).withColumn("_e", F.col("_t") + F.lit(window))
-        win = explode_grid(first, "_t", "_e", 1, "t").select(*keys, "t")
-        later = x.filter(F.col("_t") > F.col("_first") + F.lit(window)).select(*keys, F.col("_t").alias("t"))
+        first = d.groupBy(*keys).agg(F.min("_t").alias("_first"))
+        win = explode_grid(first.withColumn("_e", F.col("_first") + F.lit(window)), "_first", "_e", 1, "t").select(*keys, "t")
+        later = d.join(first, keys).filter(F.col("_t") > F.col("_first") + F.lit(window)).select(*keys, F.col("_t").alias("t"))
         out = win.unionByName(later)
     elif mode == "endpoints_only":
         out = d.select(*keys, F.explode(F.array(F.col("_t"), F.col("_t") + F.lit(window))).alias("t")) \

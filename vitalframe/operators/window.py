@@ -1,13 +1,12 @@
-"""Window operators with two-level scans for long series.
-
-A window partitioned by (patient, measure) puts a whole series in one task.
-Series are bounded once the time bound and resampling have run, but raw
-minute grids are not, and one patient may hold a large share of all rows.
-``locf`` and ``neighbours`` therefore accept ``chunk``: the ordered time
-axis is cut into chunks of that width, the scan runs per (keys, chunk) in
-parallel, and a small per-chunk summary (one row per chunk) carries the
-boundary values across chunks. The summary window is over #chunks rows,
-not over the data.
+"""Window operators as two-level scans.
+
+A window partitioned by (patient, measure) would put a whole series in one
+task, and one patient may hold a large share of all rows. ``locf`` and
+``neighbours`` cut the ordered time axis into chunks of ``chunk`` time units,
+scan per (keys, chunk) in parallel, and carry boundary values across chunks
+through a small summary (one row per chunk). Row numbers and running sums are
+taken over range partitions that are written once, so that the partitions'
+offsets belong to the partitions that the rows are in.
 """
 
 from __future__ import annotations
@@ -17,7 +16,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitalframe.session import staged
+
 _UNB = Window.unboundedPreceding
+DAY = 1440
 
 
 def _chunk_col(t: str, chunk: int) -> F.Column:
@@ -25,13 +27,10 @@ def _chunk_col(t: str, chunk: int) -> F.Column:
 
 
 def locf(df: DataFrame, keys: Sequence[str], t: str, cols: Sequence[str],
-         chunk: int | None = None, tiebreak: Sequence[str] = ()) -> DataFrame:
+         chunk: int = DAY, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Carry the last non-NULL value forward along ``t`` within ``keys``."""
     keys, cols = list(keys), list(cols)
     order = [F.col(t)] + [F.col(c) for c in tiebreak]
-    if chunk is None:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(_UNB, 0)
-        return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
     x = df.withColumn("_chunk", _chunk_col(t, chunk))
     wl = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(_UNB, 0)
     x = x.withColumns({c: F.last(c, ignorenulls=True).over(wl) for c in cols})
@@ -48,15 +47,10 @@ def locf(df: DataFrame, keys: Sequence[str], t: str, cols: Sequence[str],
 
 def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
                lag_name: str = "value_lag", lead_name: str = "value_lead",
-               chunk: int | None = None) -> DataFrame:
-    """Previous and next row's ``value`` within ``keys`` (lag(1), lead(1)).
-
-    With ``chunk``, ``order[0]`` must be the numeric time axis.
-    """
+               chunk: int = DAY) -> DataFrame:
+    """Previous and next row's ``value`` within ``keys`` (lag(1), lead(1));
+    ``order[0]`` is the numeric time axis."""
     keys, order = list(keys), list(order)
-    if chunk is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({lag_name: F.lag(value, 1).over(w), lead_name: F.lead(value, 1).over(w)})
     x = df.withColumn("_chunk", _chunk_col(order[0], chunk))
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     wall = Window.partitionBy(*keys, "_chunk")
@@ -75,16 +69,12 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     }).drop("_chunk", "__lag", "__lead", "__rn", "__cnt", "__prev", "__next")
 
 
-def rank_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn",
-                  skew_safe: bool = False) -> DataFrame:
+def rank_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn") -> DataFrame:
     """Row number within ``keys`` along ``order`` (``order`` should be unique
-    within a group). ``skew_safe`` computes it as a running count over range
-    partitions (``prefix_sums``), so a group holding a large share of the
-    rows is numbered by many tasks instead of one."""
-    if not skew_safe:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    within a group), as a running count over range partitions, so a group that
+    holds a large share of the rows is numbered by many tasks."""
     x = prefix_sums(df.withColumn("_one", F.lit(1)), keys, list(order), ["_one"])
-    return x.withColumnRenamed("cum__one", name).withColumn(name, F.col(name).cast("int")).drop("_one")
+    return x.withColumn(name, F.col("cum__one").cast("int")).drop("cum__one", "_one")
 
 
 def group_size(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
@@ -106,22 +96,10 @@ def attach_min(df: DataFrame, keys: Sequence[str], value: str, name: str | None
 
 
 def number_patients(df: DataFrame, order: Sequence[str], name: str = "id_nr") -> DataFrame:
-    """Consecutive 1..n ids for distinct keys, in ``order``.
-
-    A global order needs one sequence; instead of a single-partition window
-    this sorts by range and offsets each partition by the sizes of the ones
-    before it (a small per-partition count table).
-    """
+    """Consecutive 1..n ids for distinct keys, in ``order``."""
     keys = list(order)
-    d = df.select(*keys).distinct().repartitionByRange(*keys).sortWithinPartitions(*keys)
-    d = d.withColumn("_pid", F.spark_partition_id())
-    d = d.withColumn("_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*keys)))
-    sizes = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_size"))
-    sizes = sizes.select("_pid", F.coalesce(F.sum("_size").over(
-        Window.orderBy("_pid").rowsBetween(_UNB, -1)), F.lit(0)).alias("_offset"))
-    ids = d.join(F.broadcast(sizes), "_pid").select(
-        *keys, (F.col("_offset") + F.col("_local")).cast("bigint").alias(name))
-    return ids
+    x = prefix_sums(df.select(*keys).distinct().withColumn("_one", F.lit(1)), [], keys, ["_one"])
+    return x.select(*keys, F.col("cum__one").cast("bigint").alias(name))
 
 
 def prefix_sums(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], cols: Sequence[str],
@@ -129,22 +107,29 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: str | Sequence[str],
     """Running sums of ``cols`` along ``order`` within ``keys``, without
     putting a whole group in one task.
 
-    Rows are range-partitioned on (keys, order); each partition computes
-    local running sums, and a small table of per-(partition, group) totals
-    (one row per partition and group) gives every partition its offset.
-    Rows should be unique per (keys, order) (aggregate ties first).
+    Rows are range-partitioned on (keys, order) and written once with the
+    number of their partition; each partition computes local running sums,
+    and a small table of per-(partition, group) totals gives every partition
+    its offset. Range boundaries come from a sample that differs from run to
+    run, so both reads use the one written table. Rows should be unique per
+    (keys, order) (aggregate ties first).
     """
     keys, cols = list(keys), list(cols)
     order = [order] if isinstance(order, str) else list(order)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    x = df.repartitionByRange(n, *keys, *order).withColumn("_pid", F.spark_partition_id())
+    x = staged(df.repartitionByRange(n, *keys, *order).withColumn("_pid", F.spark_partition_id()), "ranges")
     frame = (_UNB, 0) if inclusive else (_UNB, -1)
     w = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(*frame)
-    x = x.withColumns({f"_loc_{c}": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in cols})
     tot = x.groupBy("_pid", *keys).agg(*[F.sum(c).alias(f"_tot_{c}") for c in cols])
-    wo = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(_UNB, -1)
-    offs = tot.select("_pid", *keys, *[F.coalesce(F.sum(f"_tot_{c}").over(wo), F.lit(0)).alias(f"_off_{c}")
-                                       for c in cols])
-    x = x.join(offs, ["_pid", *keys], "left")
+    x = x.withColumns({f"_loc_{c}": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in cols})
+    # one row per partition and group: a group's window spans its partitions, not its rows
+    wo = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_pid").rowsBetween(_UNB, -1)
+    offs = tot.select("_pid", *[F.col(k).alias(f"_k_{k}") for k in keys],
+                      *[F.coalesce(F.sum(f"_tot_{c}").over(wo), F.lit(0)).alias(f"_off_{c}") for c in cols]) \
+        .withColumnRenamed("_pid", "_p")
+    same = F.col("_pid") == F.col("_p")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    x = x.join(offs, same, "left")
     return x.withColumns({f"cum_{c}": F.col(f"_loc_{c}") + F.col(f"_off_{c}") for c in cols}) \
-            .drop("_pid", *[f"_loc_{c}" for c in cols], *[f"_off_{c}" for c in cols])
+            .drop("_pid", "_p", *[f"_k_{k}" for k in keys], *[f"_loc_{c}" for c in cols], *[f"_off_{c}" for c in cols])

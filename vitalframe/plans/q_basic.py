@@ -118,13 +118,12 @@ def natural_full_join(spark, sf):
 
 
 @register("keyed_left_join", """
-, h as (select pat_id, cast(floor(rel_time / 60) * 60 as bigint) as rel_time, round(avg(value), 6) as value
-        from obs where category = 'Vital' group by 1, 2)
-select h.pat_id, h.rel_time, h.value, p.outcome, p.db from h left join patients p on h.pat_id = p.pat_id""",
+, h as (select pat_id, category, cast(floor(rel_time / 60) * 60 as bigint) as rel_time,
+               round(case when category = 'Med' then max(value) else avg(value) end, 6) as value from obs group by 1, 2, 3)
+select h.pat_id, h.category, h.rel_time, h.value, p.outcome, p.db from h left join patients p on h.pat_id = p.pat_id""",
           ("obs", "patients"))
 def keyed_left_join(spark, sf):
-    o = A.obs(spark, sf).filter(F.col("category") == "Vital")
-    h = r6(TG.resample(o, 60, keys=["pat_id", "category"]).drop("category"), "value")
+    h = r6(TG.resample(A.obs(spark, sf), 60, keys=["pat_id", "category"]), "value")
     return h.join(A.patients(spark, sf).select("pat_id", "outcome", "db"), "pat_id", "left")
 
 
@@ -194,8 +193,8 @@ def quantile_by(spark, sf):
 
 @register("quantile_by_narrowed", "select db, round(quantile_cont(value, 0.9), 6) as q from obs group by 1", ("obs",))
 def quantile_by_narrowed(spark, sf):
-    """Exact quantile through the bounded-memory narrowing path (tiny candidate limit)."""
-    return r6(AG.quantile_by(A.obs(spark, sf), ["db"], "value", 0.9, max_candidates=50), "q")
+    """Exact quantile of groups that hold a third of all rows each."""
+    return r6(AG.quantile_by(A.obs(spark, sf), ["db"], "value", 0.9), "q")
 
 
 @register("attach_stats", """
@@ -260,7 +259,7 @@ def neighbours(spark, sf):
 def neighbours_chunked(spark, sf):
     """lag/lead through the two-level (per-day chunk) scan."""
     o = A.obs(spark, sf).select("pat_id", "measure_norm", "rel_time", "value")
-    return WN.neighbours(o, ["pat_id", "measure_norm"], ["rel_time", "value"], "value", chunk=1440)
+    return WN.neighbours(o, ["pat_id", "measure_norm"], ["rel_time", "value"], "value", chunk=360)
 
 
 @register("rank_in_group", "select pat_id, rel_time, value, cast(row_number() over (partition by pat_id order by rel_time, "
@@ -275,7 +274,7 @@ def rank_in_group(spark, sf):
 def rank_in_group_skew_safe(spark, sf):
     """Row numbers per patient as running counts over range partitions (no single task per patient)."""
     o = A.obs(spark, sf)
-    return WN.rank_in_group(o, ["pat_id"], ["rel_time", "value", "measure"], skew_safe=True) \
+    return WN.rank_in_group(o, ["pat_id"], ["rel_time", "value", "measure"]) \
         .select("pat_id", "rel_time", "value", "rn")
 
 
@@ -290,31 +289,29 @@ def attach_max(spark, sf):
 
 
 LOCF_SQL = """
-, h as (select pat_id, cast(floor(rel_time / 60) * 60 as bigint) as rel_time, avg(value) as value
-        from obs where measure = 'HF' group by 1, 2),
-b as (select pat_id, min(rel_time) as lo, max(rel_time) as hi from h group by 1),
-g as (select pat_id, unnest(range(lo, hi + 1, 60)) as rel_time from b),
-f as (select g.pat_id, g.rel_time, h.value from g left join h using (pat_id, rel_time))
-select pat_id, rel_time, round(last_value(value ignore nulls) over (partition by pat_id order by rel_time
+, h as (select pat_id, category, cast(floor(rel_time / 60) * 60 as bigint) as rel_time,
+               case when category = 'Med' then max(value) else avg(value) end as value from obs group by 1, 2, 3),
+b as (select pat_id, category, min(rel_time) as lo, max(rel_time) as hi from h group by 1, 2),
+g as (select pat_id, category, unnest(range(lo, hi + 1, 60)) as rel_time from b),
+f as (select g.pat_id, g.category, g.rel_time, h.value from g left join h using (pat_id, category, rel_time))
+select pat_id, category, rel_time, round(last_value(value ignore nulls) over (partition by pat_id, category order by rel_time
   rows between unbounded preceding and current row), 6) as value from f"""
 
 
 @register("locf", LOCF_SQL, ("obs",))
 def locf(spark, sf):
-    """Hourly HF grid completed per patient, last value carried forward."""
-    o = A.obs(spark, sf).filter(F.col("measure") == "HF")
-    h = TG.resample(o, 60, keys=["pat_id", "category"]).drop("category")
-    full = TG.complete_grid(h, ["pat_id"], "rel_time", 60)
-    return r6(WN.locf(full, ["pat_id"], "rel_time", ["value"]), "value")
+    """Hourly grid completed per patient and category, last value carried forward."""
+    h = TG.resample(A.obs(spark, sf), 60, keys=["pat_id", "category"])
+    full = TG.complete_grid(h, ["pat_id", "category"], "rel_time", 60)
+    return r6(WN.locf(full, ["pat_id", "category"], "rel_time", ["value"]), "value")
 
 
 @register("locf_chunked", LOCF_SQL, ("obs",))
 def locf_chunked(spark, sf):
-    """The same carry-forward through the chunked two-level scan (1-day chunks)."""
-    o = A.obs(spark, sf).filter(F.col("measure") == "HF")
-    h = TG.resample(o, 60, keys=["pat_id", "category"]).drop("category")
-    full = TG.complete_grid(h, ["pat_id"], "rel_time", 60)
-    return r6(WN.locf(full, ["pat_id"], "rel_time", ["value"], chunk=1440), "value")
+    """The same carry-forward over six-hour chunks."""
+    h = TG.resample(A.obs(spark, sf), 60, keys=["pat_id", "category"])
+    full = TG.complete_grid(h, ["pat_id", "category"], "rel_time", 60)
+    return r6(WN.locf(full, ["pat_id", "category"], "rel_time", ["value"], chunk=360), "value")
 
 
 @register("number_patients", "select db, pat_id, row_number() over (order by db, pat_id) as id_nr "
@@ -365,10 +362,11 @@ def sort_desc(spark, sf):
 @register("stack", """
 select pat_id, 'Vital' as category, measure, rel_time, value from obs where category = 'Vital'
 union all select pat_id, 'Labor', measure, rel_time, value from obs where category = 'Labor'
-union all select pat_id, 'BGA', measure, rel_time, value from obs where category = 'BGA'""", ("obs",))
+union all select pat_id, 'BGA', measure, rel_time, value from obs where category = 'BGA'
+union all select pat_id, 'Med', measure, rel_time, value from obs where category = 'Med'""", ("obs",))
 def stack(spark, sf):
     o = A.obs(spark, sf).select("pat_id", "category", "measure", "rel_time", "value")
-    parts = [o.filter(F.col("category") == c) for c in ("Vital", "Labor", "BGA")]
+    parts = [o.filter(F.col("category") == c) for c in ("Vital", "Labor", "BGA", "Med")]
     return RL.stack(*parts)
 
 
@@ -380,32 +378,30 @@ def update_where(spark, sf):
                            F.col("value") * F.lit(10.0))
 
 
-ALIGN_SQL = """
-, o2 as (select * from obs where not (db = 'UKE' and measure_norm = 'view_1') and not (db = 'MIMIC' and measure_norm = 'click_0'))
-, base as (select distinct measure_norm from o2 where db = 'eICU')
-, other as (select distinct measure_norm from o2 where db = 'UKE')
-select * from o2 where measure_norm in (select measure_norm from base) and measure_norm in (select measure_norm from other)"""
+CODED_DB_SQL = """
+, f as (select pat_id, case pat_id % 3 when 0 then 'eICU' when 1 then 'MIMIC' else 'UKE' end as db,
+               concat(code, '_', title) as measure from coded)"""
 
 
-def _obs_gapped(spark, sf):
-    """obs with one feature missing from UKE and one from MIMIC, so that the
-    alignment has something to remove."""
-    o = A.obs(spark, sf)
-    return o.filter(~((F.col("db") == "UKE") & (F.col("measure_norm") == "view_1"))
-                    & ~((F.col("db") == "MIMIC") & (F.col("measure_norm") == "click_0")))
+def _coded_measures(spark, sf):
+    """Coded labels as features of the three sources; each source has features that another lacks."""
+    c = A.coded(spark, sf)
+    k = F.pmod("pat_id", F.lit(3))
+    return c.select("pat_id", F.when(k == 0, "eICU").when(k == 1, "MIMIC").otherwise("UKE").alias("db"),
+                    F.concat_ws("_", "code", "title").alias("measure"))
 
 
-@register("align_features", ALIGN_SQL, ("obs",))
+@register("align_features", CODED_DB_SQL + """
+, base as (select distinct measure from f where db = 'eICU'), other as (select distinct measure from f where db = 'UKE')
+select * from f where measure in (select measure from base) and measure in (select measure from other)""", ("coded",))
 def align_features(spark, sf):
-    return RL.align_features(_obs_gapped(spark, sf), "eICU", "UKE")
+    return RL.align_features(_coded_measures(spark, sf), "eICU", "UKE")
 
 
-@register("feature_diff", """
-, o2 as (select * from obs where not (db = 'UKE' and measure_norm = 'view_1') and not (db = 'MIMIC' and measure_norm = 'click_0'))
-select distinct measure_norm from o2 where db = 'eICU'
-except select distinct measure_norm from o2 where db = 'MIMIC'""", ("obs",))
+@register("feature_diff", CODED_DB_SQL + """
+select distinct measure from f where db = 'eICU' except select distinct measure from f where db = 'MIMIC'""", ("coded",))
 def feature_diff(spark, sf):
-    return RL.feature_diff(_obs_gapped(spark, sf), "eICU", "MIMIC")
+    return RL.feature_diff(_coded_measures(spark, sf), "eICU", "MIMIC")
 
 
 # ---- H: reshape -------------------------------------------------------------
@@ -433,16 +429,15 @@ def to_wide(spark, sf):
 
 
 @register("complete_grid", """
-, d as (select pat_id, cast(floor(rel_time / 1440) * 1440 as bigint) as rel_time, round(avg(value), 6) as value
-        from obs where measure = 'ICP' group by 1, 2),
-b as (select pat_id, max(rel_time) as hi from d group by 1),
-g as (select pat_id, unnest(range(0, hi + 1, 1440)) as rel_time from b)
-select g.pat_id, g.rel_time, d.value from g left join d using (pat_id, rel_time)""", ("obs",))
+, d as (select pat_id, category, cast(floor(rel_time / 1440) * 1440 as bigint) as rel_time,
+               round(case when category = 'Med' then max(value) else avg(value) end, 6) as value from obs group by 1, 2, 3),
+b as (select pat_id, category, max(rel_time) as hi from d group by 1, 2),
+g as (select pat_id, category, unnest(range(0, hi + 1, 1440)) as rel_time from b)
+select g.pat_id, g.category, g.rel_time, d.value from g left join d using (pat_id, category, rel_time)""", ("obs",))
 def complete_grid(spark, sf):
-    """Daily ICP per patient on a grid from 0 to the last day (missing days NULL)."""
-    o = A.obs(spark, sf).filter(F.col("measure") == "ICP")
-    d = r6(TG.resample(o, 1440, keys=["pat_id", "category"]).drop("category"), "value")
-    return TG.complete_grid(d, ["pat_id"], "rel_time", 1440, start=0)
+    """Daily values per patient and category on a grid from 0 to the last day (missing days NULL)."""
+    d = r6(TG.resample(A.obs(spark, sf), 1440, keys=["pat_id", "category"]), "value")
+    return TG.complete_grid(d, ["pat_id", "category"], "rel_time", 1440, start=0)
 
 
 RESAMPLE_SQL = """

@@ -159,7 +159,7 @@ def _yj_sql(x: str, lam: str) -> str:
 
 
 def yeojohnson_fit_sql(src: str, points: int = 41, passes: int = 4, lo: float = -5.0, hi: float = 5.0) -> str:
-    """The zooming maximum-likelihood grid search in SQL (same grid, same tie order)."""
+    """The maximum-likelihood search in SQL: the engine's own population variance at every candidate."""
     step = (hi - lo) / (points - 1)
     half = (points - 1) // 2
     parts = [f"""
@@ -169,12 +169,12 @@ c0 as (select db, measure_norm, {(lo + hi) / 2.0!r} as lam from yb)"""]
     for p in range(passes):
         offs = ", ".join(repr(float((k - half) * step)) for k in range(points))
         parts.append(f"""
-, j{p} as (select yx.db, yx.measure_norm, yx.x, c{p}.lam + o.off as l from yx join c{p} using (db, measure_norm),
+, j{p} as (select yx.db, yx.measure_norm, yx.x, greatest({lo!r}, least({hi!r}, c{p}.lam + o.off)) as l from yx join c{p} using (db, measure_norm),
            (select unnest([{offs}]::double[]) as off) o),
-s{p} as (select db, measure_norm, l, sum({_yj_sql('x', 'l')}) as s, sum(pow({_yj_sql('x', 'l')}, 2)) as q
+s{p} as (select db, measure_norm, l, var_pop({_yj_sql('x', 'l')}) as v
           from j{p} group by 1, 2, 3),
-ll{p} as (select s{p}.db, s{p}.measure_norm, l, case when (q - s * s / n) / n > 0
-            then -n / 2.0 * ln((q - s * s / n) / n) + (l - 1.0) * c else '-inf'::double end as ll
+ll{p} as (select s{p}.db, s{p}.measure_norm, l, case when v > 0
+            then -n / 2.0 * ln(v) + (l - 1.0) * c else '-inf'::double end as ll
           from s{p} join yb using (db, measure_norm)),
 c{p + 1} as (select db, measure_norm, l as lam from (select *, row_number() over (partition by db, measure_norm
             order by ll desc, abs(l), l desc) as rn from ll{p}) where rn = 1)""")

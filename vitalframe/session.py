@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,8 +43,9 @@ def build_session(master: str = "local[*]", app: str = "vitalframe",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names shared storage and is used as is. Only
-    when it is unset (local runs, tests) a fresh private folder is made.
+    On a cluster the setting names shared storage and must be set: a folder of
+    one machine would lose rows. Only a local session without the setting
+    (tests) gets a fresh private folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,25 +53,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def staged(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once below the checkpoint folder and read it back: every later
+    read sees the same rows in the same partitions, also after an executor is lost."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss, unlike a local checkpoint."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a narrow input over the available cores before a row-multiplying
-    step (explode over candidates or grid points).
-
-    Large inputs already arrive in many file splits and are returned
-    unchanged (no extra shuffle); only inputs with fewer partitions than the
-    default parallelism (e.g. one small file) are redistributed.
-    """
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
