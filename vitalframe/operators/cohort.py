@@ -159,6 +159,15 @@ def static_targets(df: DataFrame, key: str = "pat_id", sex: str = "sex", outcome
     return df.select(key, F.col(sex).rlike(male).cast("double").alias(sex), F.col(outcome).rlike(exitus).cast("double").alias(outcome))
 
 
+def target_table(df: DataFrame, numeric: Sequence[str], levels: Mapping[str, Sequence[str]], key: str = "pat_id",
+                 exitus: str = "exitus") -> DataFrame:
+    """Everything static that is attached to the grid: z-scored numerics, one 0/1 column per level, sex and outcome."""
+    hot = one_hot(zscore_static(df, numeric), levels)
+    wide = [f"{c}_{lv}" for c, lvs in levels.items() for lv in lvs]
+    return hot.select(key, *numeric, *wide, F.col("sex").rlike("M").cast("double").alias("sex"),
+                      F.col("outcome").rlike(exitus).cast("double").alias("outcome"))
+
+
 def harmonise_patients(df: DataFrame, db: str, sex_map: Mapping[str, str] | None = None,
                        los_cap: float | None = None, hospital_from_outcome: bool = False) -> DataFrame:
     """Per-source patient table harmonisation: sex recode, key to text, length

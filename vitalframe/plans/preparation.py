@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,11 @@ from vitalframe.session import checkpoint_dir
 from vitalframe.sources.io import stage
 
 
+STATIC_NUMERIC = ("age", "height_cm", "weight_kg")
+# fixed values: sources and diagnosis classes
+STATIC_LEVELS = {"db": ("eICU", "MIMIC", "UKE"), "diagnosis": ("ICH", "MISC", "SAH", "Stroke", "TBI")}
+
+
 def clean_observations(obs: DataFrame, bucket_minutes: int = 5, z_max: float = clean.Z_MAX,
                        min_vital_rows: int = clean.MIN_VITAL_ROWS, time_bound: int | None = clean.TIME_BOUND,
                        stage_dir: str | None = None) -> DataFrame:
@@ -47,36 +52,40 @@ def clean_observations(obs: DataFrame, bucket_minutes: int = 5, z_max: float = c
 def training_table(obs: DataFrame, patients: DataFrame, feature_names: Sequence[str],
                    horizons: Sequence[int] = phases.HORIZONS, method: str = "yeojohnson",
                    fine: int = 5, coarse: int = 60, z_max: float = clean.Z_MAX,
-                   min_vital_rows: int = clean.MIN_VITAL_ROWS, stage_path: str | None = None) -> DataFrame:
+                   min_vital_rows: int = clean.MIN_VITAL_ROWS, stage_path: str | None = None, static_levels: Mapping[str, Sequence[str]] = STATIC_LEVELS) -> DataFrame:
     """One table: patient x grid time x horizon, normalised features, the
-    phase labels of that horizon and the static targets."""
+    phase labels of that horizon, and the static part (z-scored age, height and
+    weight with missing ones filled by sex, one column per source and diagnosis,
+    sex and outcome)."""
     spark = obs.sparkSession
     root = stage_path or os.path.join(checkpoint_dir(spark), "stages", uuid.uuid4().hex)
     cleaned = clean_observations(obs, fine, z_max, min_vital_rows, stage_dir=root)
     cleaned = stage(cleaned, os.path.join(root, "obs_clean"), partition_by=["db", "category"], cluster_by=["pat_id"])
     ph = phases.critical_phases(cleaned, bucket_minutes=60)
-    labels = phases.shift_labels(ph, horizons).select(
-        "pat_id", (F.col("rel_time_hour") * 60).alias("rel_time"), "horizon_h", "critical_short", "critical_long")
+    labels = phases.shift_labels(ph, horizons)
     coarse_rows = timegrid.resample(cleaned, coarse)
     norm = normalise.normalise(coarse_rows, method)
     grid = features.feature_grid(norm, coarse, feature_names)
+    # the time scale comes from the bare grid, before labels, horizons and targets are attached
+    bounds = grid.agg(F.min("rel_time").alias("_lo"), F.max("rel_time").alias("_hi"))
     # the current ICP value: the fine-grid value at the coarse grid time (the
     # reference joins its 5-minute ICP table on the hourly rel_time)
     icp = cleaned.filter(F.col("measure") == "ICP").groupBy("pat_id", "rel_time") \
         .agg(F.avg("value").alias("icp_pred"))
     grid = grid.join(icp, ["pat_id", "rel_time"], "left")
-    # labels of one grid time folded into a map horizon -> labels, joined once;
-    # the horizons are exploded after the join (the shuffle moves grid rows once)
-    lab = labels.groupBy("pat_id", "rel_time").agg(F.map_from_entries(F.collect_list(F.struct(
+    # labels of one hour folded into a map horizon -> labels, joined once on the
+    # grid time's hour; the horizons are exploded after the join (the shuffle
+    # moves grid rows once)
+    lab = labels.groupBy("pat_id", "rel_time_hour").agg(F.map_from_entries(F.collect_list(F.struct(
         F.col("horizon_h"), F.struct("critical_short", "critical_long")))).alias("_m"))
-    grid = grid.join(lab, ["pat_id", "rel_time"], "left") \
+    grid = grid.withColumn("rel_time_hour", F.floor(F.col("rel_time") / F.lit(60)).cast("bigint"))
+    grid = grid.join(lab, ["pat_id", "rel_time_hour"], "left").drop("rel_time_hour") \
         .withColumn("horizon_h", F.explode(F.array(*[F.lit(int(h)) for h in horizons])))
     hit = F.col("_m")[F.col("horizon_h")]
     grid = grid.withColumns({"critical_short": hit["critical_short"], "critical_long": hit["critical_long"]}).drop("_m")
-    targets = cohort.static_targets(patients, exitus="died")
+    targets = cohort.target_table(cohort.impute_by_group(patients), STATIC_NUMERIC, static_levels, exitus="died")
     out = grid.join(targets, "pat_id", "left")
-    st = out.agg(F.min("rel_time").alias("_lo"), F.max("rel_time").alias("_hi"))
-    out = with_scalars(out, st).withColumn(
+    out = with_scalars(out, bounds).withColumn(
         "rel_time_norm", F.try_divide((F.col("rel_time") - F.col("_lo")).cast("double"),
                                       (F.col("_hi") - F.col("_lo")).cast("double"))).drop("_lo", "_hi")
     return out

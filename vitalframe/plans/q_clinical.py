@@ -212,8 +212,8 @@ def zscore_static(spark, sf):
 
 
 @register("static_targets", """
-select pat_id, case when regexp_matches(coalesce(sex, ''), 'M') then 1.0::double else 0.0::double end as sex,
-  case when regexp_matches(outcome, 'died') then 1.0::double else 0.0::double end as outcome from patients""", ("patients",))
+select pat_id, case sex when 'M' then 1.0::double when 'F' then 0.0::double end as sex,
+  case outcome when 'died' then 1.0::double when 'survived' then 0.0::double end as outcome from patients""", ("patients",))
 def static_targets(spark, sf):
     return CO.static_targets(A.patients(spark, sf), exitus="died")
 

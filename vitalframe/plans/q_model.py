@@ -238,8 +238,8 @@ def feature_grid(spark, sf):
 @register("training_table", f"with obs as ({A.SQL['obs']}), patients as ({A.SQL['patients']})"
           + GRID_SQL + "," + ISLANDS_SQL.format(b=60).lstrip().lstrip(",") + """
 , lab as (select pat_id, rel_time_hour * 60 as rel_time, critical_short, critical_long from phases),
-tg as (select pat_id, case when regexp_matches(coalesce(sex, ''), 'M') then 1.0::double else 0.0::double end as sex,
-  case when regexp_matches(outcome, 'died') then 1.0::double else 0.0::double end as outcome from patients),
+tg as (select pat_id, case sex when 'M' then 1.0::double when 'F' then 0.0::double end as sex,
+  case outcome when 'died' then 1.0::double when 'survived' then 0.0::double end as outcome from patients),
 x as (select fg.*, lab.critical_short, lab.critical_long, tg.sex, tg.outcome
       from fg left join lab using (pat_id, rel_time) left join tg using (pat_id))
 select x.*, round((rel_time - min(rel_time) over ()) * 1.0 / (max(rel_time) over () - min(rel_time) over ()), 6) as rel_time_norm
@@ -484,6 +484,10 @@ def _preparation_sql() -> str:
                       f" as \"{f}\"" for f in FEATURES)
     fg_cols = ", ".join((f'coalesce(w."{f}", 0.0) as "{f}"' if f.startswith("Med_") else f'w."{f}"') for f in FEATURES)
     out_cols = ", ".join(f'round("{f}", 6) as "{f}"' for f in FEATURES)
+    levels = {"db": ("eICU", "MIMIC", "UKE"), "diagnosis": ("ICH", "MISC", "SAH", "Stroke", "TBI")}
+    static_cols = ", ".join([f"round(({c} - avg({c}) over ()) / stddev_samp({c}) over (), 6) as {c}" for c in ("age", "height_cm", "weight_kg")]
+                            + [f"case when {c} = '{v}' then 1.0::double else 0.0::double end as {c}_{v}" for c, vs in levels.items() for v in vs])
+    static_names = ", ".join(["age", "height_cm", "weight_kg"] + [f"{c}_{v}" for c, vs in levels.items() for v in vs])
     return (f"with obs as ({A.SQL['obs']}), patients as ({A.SQL['patients']})" + """
 , o1 as (select * from obs where value is not null and not (not regexp_matches(measure, 'ICP|CPP|SBE') and value < 0)),
 o2 as (select pat_id, db, category, measure, measure_norm, rel_time,
@@ -506,7 +510,7 @@ few as (select pat_id from dj where category = 'Vital' group by 1 having count(*
 cl as (select * from dj where pat_id not in (select pat_id from few))"""
             + ISLANDS_SQL.format(b=60).replace("from obs where measure = 'ICP'", "from cl where measure = 'ICP'") + """
 , hz as (select unnest([0,1,2,3,4,5,6,7,8,9,10,11,12,24]) as horizon_h),
-lab as (select pat_id, (rel_time_hour - horizon_h) * 60 as rel_time, horizon_h, critical_short, critical_long
+lab as (select pat_id, rel_time_hour - horizon_h as hour, horizon_h, critical_short, critical_long
         from phases cross join hz),
 r60 as (select pat_id, db, category, measure, measure_norm, cast(floor(rel_time / 60) * 60 as bigint) as rel_time,
           case when category = 'Med' then max(value) else avg(value) end as value from cl group by 1, 2, 3, 4, 5, 6),
@@ -527,11 +531,19 @@ fg as (select pat_id, rel_time, {fg_cols} from g full join w using (pat_id, rel_
 icp as (select pat_id, rel_time, avg(value) as icp_pred from cl where measure = 'ICP' group by 1, 2),
 gi as (select fg.*, icp.icp_pred from fg left join icp using (pat_id, rel_time)),
 gh as (select gi.*, cast(hz.horizon_h as integer) as horizon_h from gi cross join hz),
-tg as (select pat_id, case when regexp_matches(coalesce(sex, ''), 'M') then 1.0::double else 0.0::double end as sex,
-  case when regexp_matches(outcome, 'died') then 1.0::double else 0.0::double end as outcome from patients),
-fin as (select gh.*, lab.critical_short, lab.critical_long, tg.sex, tg.outcome
-        from gh left join lab using (pat_id, rel_time, horizon_h) left join tg using (pat_id))
+p0 as (select pat_id, db, sex, outcome, diagnosis, case when age >= 5.0 then age end as age,
+         case when height_cm >= 50.0 then height_cm end as height_cm, weight_kg from patients),
+p1 as (select pat_id, db, sex, outcome, diagnosis, coalesce(age, avg(age) over s) as age,
+         coalesce(height_cm, avg(height_cm) over s) as height_cm, coalesce(weight_kg, avg(weight_kg) over s) as weight_kg
+       from p0 window s as (partition by sex)),
+tg as (select pat_id, {static_cols},
+         case sex when 'M' then 1.0::double when 'F' then 0.0::double end as sex,
+         case outcome when 'died' then 1.0::double when 'survived' then 0.0::double end as outcome from p1),
+fin as (select gh.*, lab.critical_short, lab.critical_long, tg.* exclude (pat_id)
+        from gh left join lab on gh.pat_id = lab.pat_id and gh.horizon_h = lab.horizon_h and gh.rel_time // 60 = lab.hour
+        left join tg on gh.pat_id = tg.pat_id)
 select pat_id, rel_time, horizon_h, {out_cols}, round(icp_pred, 6) as icp_pred, critical_short, critical_long, sex, outcome,
+  {static_names},
   round((rel_time - min(rel_time) over ()) * 1.0 / (max(rel_time) over () - min(rel_time) over ()), 6) as rel_time_norm
 from fin""")
 
@@ -542,4 +554,4 @@ def prepare_training_table(spark, sf):
     horizons, 60-min Yeo-Johnson normalisation, wide grid, labels and static targets in one table."""
     from vitalframe.plans.preparation import training_table as tt
     out = tt(A.obs(spark, sf), A.patients(spark, sf), FEATURES, z_max=4.0, min_vital_rows=25)
-    return r6(out, *FEATURES, "icp_pred", "rel_time_norm")
+    return r6(out, *FEATURES, "icp_pred", "rel_time_norm", "age", "height_cm", "weight_kg")

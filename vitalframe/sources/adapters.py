@@ -77,7 +77,7 @@ def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("n_regionkey") == 0, "TBI").when(F.col("n_regionkey") == 1, "SAH")
          .when(F.col("n_regionkey") == 2, "Stroke").when(F.col("n_regionkey") == 3, "ICH")
          .otherwise("MISC").alias("diagnosis"),
-        F.when(F.col("c_acctbal") < 0, "died").otherwise("survived").alias("outcome"),
+        F.when(F.pmod(key, F.lit(17)) == 0, F.lit(None)).when(F.col("c_acctbal") < 0, "died").otherwise("survived").alias("outcome"),
         F.when(F.col("c_acctbal") < 500, "died").otherwise("survived").alias("outcome_hospital"),
         F.when(seg.isin("MACHINERY", "AUTOMOBILE"), "M").when(seg.isin("BUILDING", "FURNITURE"), "F")
          .otherwise(F.lit(None)).alias("sex"),
@@ -175,7 +175,7 @@ SQL = {
 select c_custkey as pat_id,
   round((c_acctbal + 1000.0) / 120.0, 1) as age,
   case n_regionkey when 0 then 'TBI' when 1 then 'SAH' when 2 then 'Stroke' when 3 then 'ICH' else 'MISC' end as diagnosis,
-  case when c_acctbal < 0 then 'died' else 'survived' end as outcome,
+  case when c_custkey % 17 = 0 then null when c_acctbal < 0 then 'died' else 'survived' end as outcome,
   case when c_acctbal < 500 then 'died' else 'survived' end as outcome_hospital,
   case when c_mktsegment in ('MACHINERY','AUTOMOBILE') then 'M'
        when c_mktsegment in ('BUILDING','FURNITURE') then 'F' else null end as sex,
