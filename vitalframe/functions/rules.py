@@ -2,8 +2,8 @@
 
 A label family is: include patterns (all must match), an exclude pattern,
 rewrites applied in order (each sees the label left by the one before;
-a rewrite fires when all of its patterns match), and an optional final keep
-pattern. ``normalise_labels`` evaluates every family on each row in ONE
+a rewrite fires when all of its patterns match and its ``unless`` pattern, if
+any, does not), and optional final keep and drop patterns. ``normalise_labels`` evaluates every family on each row in ONE
 projection and explodes the surviving results: one scan, however many
 families, and a row that passes several families yields several rows (as the
 reference's union of per-family subsets does).
@@ -17,13 +17,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitalframe.functions.scalar import strip_bounds
+
 
 @dataclass(frozen=True)
 class Family:
     include: tuple[str, ...]
     exclude: str | None = None
-    rewrites: tuple[tuple[tuple[str, ...], str], ...] = ()
+    rewrites: tuple[tuple, ...] = ()  # (patterns, new label) or (patterns, new label, unless)
     keep: str | None = None
+    drop: str | None = None
     name: str = ""
 
 
@@ -37,13 +40,18 @@ def _all_detect(label: Column, patterns: Sequence[str]) -> Column:
 def family_label(label: Column, fam: Family) -> Column:
     """The family's normalised label, or NULL when the row is not in the family."""
     out = label
-    for pats, new in fam.rewrites:
-        out = F.when(_all_detect(out, pats), F.lit(new)).otherwise(out)
+    for pats, new, *unless in fam.rewrites:
+        hit = _all_detect(out, pats)
+        for p in unless:
+            hit = hit & ~out.rlike(p)
+        out = F.when(hit, F.lit(new)).otherwise(out)
     ok = _all_detect(label, fam.include)
     if fam.exclude:
         ok = ok & ~label.rlike(fam.exclude)
     if fam.keep:
         ok = ok & out.rlike(fam.keep)
+    if fam.drop:
+        ok = ok & ~out.rlike(fam.drop)
     return F.when(F.coalesce(ok, F.lit(False)), out)
 
 
@@ -107,6 +115,10 @@ MIMIC_VITAL_FAMILIES = (
     Family(("Minute Volume|Volum|Tida|Insp",), "High|Alarm|Stroke|Lumen|Gas|O2",
            ((("Minute",), "AMV total"), (("Tidal", "Volume"), "AZV"), (("Insp", "Time"), "t insp"),
             (("Insp", "Ratio"), "I_E")), keep="AZV|AMV|t insp|I_E", name="ventilation"),
+    Family(("RAS|Pup",), None,
+           ((("Resp", "Right"), "Lichtreaktion re"), (("Resp", "Left"), "Lichtreaktion li"),
+            (("Size", "Right"), "Pupille re"), (("Size", "Left"), "Pupille li"),
+            (("Goal",), "RASS_Ziel"), (("RAS",), "RASS", "Ziel")), drop="Pupils", name="rass_pupils"),
 )
 
 # blood-gas analytes: include list, then renames in order
@@ -150,7 +162,6 @@ MIMIC_DIAGNOSIS_RULES = (
     ("code", "^430", "SAH"), ("title", "Subarach", "SAH"),
     ("code", "^431|^432", "ICH"), ("title", "Subdural|Brain hem", "ICH"),
     ("code", "^19", "Tumor"), ("title", "Tumor|neoplasm|Ben neo|neo brain|Benign neo", "Tumor"),
-    ("code", "^421|^322", "MISC"),
 )
 MIMIC_DIAGNOSIS_DEFAULT = "MISC"
 # priority when a stay has several diagnoses (lowest first); unlisted classes get 1
@@ -177,6 +188,11 @@ UNIT_CONVERSIONS = (
     ("Phosphat", None, 0.323),
 )
 
+# labels that only name the measure after conversion
+UNIT_RELABELS = (("CRP", "CRP"),)
+EICU_UNIT_CONVERSIONS = tuple((lab, unit.replace("MG", "MG|Mg") if unit else None, factor)
+                              for lab, unit, factor in UNIT_CONVERSIONS)
+
 # cross-source label patches applied before sources are unioned
 # (a label containing the pattern becomes the new label), in order
 LABEL_PATCHES = (("AST", "AST"), ("ALT", "ALT"), ("Alk", "Alk"), ("Tropo", "Troponin"),
@@ -207,8 +223,9 @@ def any_keyword(label: Column | str) -> Column:
 
 
 def convert_units(df: DataFrame, label: str = "measure", unit: str = "unit", value: str = "value",
-                  rules: Sequence[tuple[str, str | None, float]] = UNIT_CONVERSIONS) -> DataFrame:
-    """Apply unit conversions as one projection (no split/transform/union)."""
+                  rules: Sequence[tuple[str, str | None, float]] = UNIT_CONVERSIONS,
+                  relabel: Sequence[tuple[str, str]] = UNIT_RELABELS) -> DataFrame:
+    """Apply unit conversions, then relabels, as one projection (no split/transform/union)."""
     v = F.col(value)
     lab, u = F.col(label), F.col(unit)
     for lab_re, unit_re, factor in rules:
@@ -216,9 +233,18 @@ def convert_units(df: DataFrame, label: str = "measure", unit: str = "unit", val
         if unit_re is not None:
             hit = hit & F.coalesce(u.rlike(unit_re), F.lit(False))
         v = F.when(hit, v * F.lit(factor)).otherwise(v)
-    out = df.withColumn(value, v)
-    # CRP rows are relabelled to plain "CRP"
-    return out.withColumn(label, F.when(F.coalesce(lab.rlike("CRP"), F.lit(False)), F.lit("CRP")).otherwise(lab))
+    return df.withColumns({value: v, label: patch_labels(lab, relabel)})
+
+
+def convert_units_eicu(df: DataFrame, label: str = "measure", unit: str = "unit", value: str = "value",
+                       text: str = "value_text") -> DataFrame:
+    """The second source's variant: CRP is read from the text result without its
+    bounds, milligrams may be written ``Mg``, and of the proteins only albumin is kept."""
+    lab = F.col(label)
+    crp = F.coalesce(lab.rlike("CRP"), F.lit(False))
+    x = df.withColumn(value, F.when(crp, strip_bounds(text)).otherwise(F.col(value)))
+    x = x.filter(~F.coalesce(lab.rlike("Eiweiß|Fibrin") & ~lab.rlike("Albumin"), F.lit(False)))
+    return convert_units(x, label, unit, value, EICU_UNIT_CONVERSIONS)
 
 
 def patch_labels(c: Column | str, patches: Sequence[tuple[str, str]] = LABEL_PATCHES) -> Column:
@@ -289,7 +315,7 @@ MIMIC_LAB_2 = RenameList(
      (r"Creatine Kinase \(CK\)", "CK"), ("Creatine Kinase, MB Isoenzyme", "CK-MB"), ("Troponin T", "Troponin"),
      ("Urea Nitrogen", "Harnstoff-N"), ("Gamma Glutamyltransferase", "GGT"), ("Alkaline Phosphatase", "Alk")),
     exclude_after=" |<|PTT", require_value=True,
-    renames_after=(("Albumin", "Albumin"), ("Lipase", "Lipase"), ("Magnesium", "Magnesium"), ("Hematocrit", "Hk"),
+    renames_after=(("Hematocrit", "Hk"),
                    ("PT", "TZ"), ("Creatinine", "Kreatinin"), ("D-Dimer", "D-Dimere"), ("Protein", "Eiweiß"),
                    ("Triglycerides", "Triglyceride")))
 

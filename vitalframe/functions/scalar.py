@@ -12,7 +12,8 @@ MICROS_PER_DAY = 86_400_000_000
 
 
 def parse_number(c: ColumnOrName) -> Column:
-    """First number in a text, grouping commas removed; NULL when there is none."""
+    """First number in a text, grouping commas removed; NULL when there is none.
+    Chart texts hold plain decimals: an exponent is not read (``1e3`` gives 1)."""
     cleaned = F.regexp_replace(col(c), ",", "")
     found = F.regexp_extract(cleaned, r"-?[0-9]*\.?[0-9]+", 0)
     return F.when(found == "", F.lit(None).cast("double")).otherwise(found.try_cast("double"))

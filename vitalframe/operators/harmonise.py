@@ -14,6 +14,8 @@ from vitalframe.functions.scalar import parse_number
 # fixed values: eICU wide vital columns -> measure names
 EICU_VITAL_RENAMES = {"heartrate": "HF", "icp": "ICP", "systemicmean": "mittl", "systemicdiastolic": "diast",
                       "systemicsystolic": "syst", "temperature": "Temp", "sao2": "SpO2", "respiration": "AF"}
+# fixed values: non-invasive pressures of the aperiodic table
+EICU_APERIODIC_RENAMES = {"noninvasivemean": "mittl_NBD", "noninvasivediastolic": "diast_NBD", "noninvasivesystolic": "syst_NBD"}
 EICU_DROPPED_VITALS = ("cvp", "pasystolic", "padiastolic", "pamean", "st1", "st2", "st3", "etco2")
 
 
@@ -109,6 +111,13 @@ def eicu_vitals_long(df: DataFrame, ids: Sequence[str], renames: Mapping[str, st
     return long.withColumn("measure", F.coalesce(R.map_values("measure", dict(renames), None), F.col("measure")))
 
 
+def eicu_aperiodic_long(df: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """Aperiodic vital rows -> long rows of the non-invasive pressures only; NULL values dropped."""
+    cols = list(EICU_APERIODIC_RENAMES)
+    long = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(list(ids), cols, "measure", "value")
+    return long.filter(F.col("value").isNotNull()).withColumn("measure", R.map_values("measure", EICU_APERIODIC_RENAMES))
+
+
 def eicu_respiratory(df: DataFrame, label: str = "label", value_text: str = "value_text") -> DataFrame:
     """Respiratory chart rows -> PEEP / RASS / rates / FiO2 / airway pressures, numeric values."""
     x = R.normalise_labels(df, R.EICU_RESP_FAMILIES, label, "measure")

@@ -68,8 +68,9 @@ def export_model_tables(inputs: DataFrame, targets: DataFrame, path: str) -> Non
     targets.write.mode("overwrite").parquet(os.path.join(path, "model_target"))
 
 
-def cache_sequences(df: DataFrame, path: str) -> DataFrame:
-    """Build the per-patient sequence table once and reuse it from Parquet.
+def cache_sequences(df: DataFrame, path: str, overwrite: bool = False) -> DataFrame:
+    """Build the per-patient sequence table once and reuse it from Parquet; with
+    ``overwrite`` (for other input under the same path) it is built again.
 
     The completed-write marker is looked up through the Hadoop file system
     of ``path`` (local, HDFS or object store alike)."""
@@ -77,7 +78,7 @@ def cache_sequences(df: DataFrame, path: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     marker = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
     fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(marker):
+    if overwrite or not fs.exists(marker):
         df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
