@@ -237,13 +237,15 @@ def convert_units(df: DataFrame, label: str = "measure", unit: str = "unit", val
 
 
 def convert_units_eicu(df: DataFrame, label: str = "measure", unit: str = "unit", value: str = "value",
-                       text: str = "value_text") -> DataFrame:
+                       text: str = "value_text", drop_measures: str | None = None) -> DataFrame:
     """The second source's variant: CRP is read from the text result without its
-    bounds, milligrams may be written ``Mg``, and of the proteins only albumin is kept."""
+    bounds, and milligrams may be written ``Mg``. Labels matching ``drop_measures``
+    are left out (the reference loses protein and fibrinogen rows here)."""
     lab = F.col(label)
     crp = F.coalesce(lab.rlike("CRP"), F.lit(False))
     x = df.withColumn(value, F.when(crp, strip_bounds(text)).otherwise(F.col(value)))
-    x = x.filter(~F.coalesce(lab.rlike("Eiweiß|Fibrin") & ~lab.rlike("Albumin"), F.lit(False)))
+    if drop_measures:
+        x = x.filter(~F.coalesce(lab.rlike(drop_measures), F.lit(False)))
     return convert_units(x, label, unit, value, EICU_UNIT_CONVERSIONS)
 
 

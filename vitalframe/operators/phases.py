@@ -70,14 +70,15 @@ def shift_labels(labels: DataFrame, horizons: Sequence[int] = HORIZONS, key: str
 
 def label_grid(grid: DataFrame, shifted: DataFrame, horizons: Sequence[int] = HORIZONS,
                key: str = "pat_id", t: str = "rel_time", value: str = "value",
-               value_name: str = "icp_pred") -> DataFrame:
+               value_name: str = "icp_pred", shift_value: bool = False) -> DataFrame:
     """Every grid row x horizon, with the shifted labels of its hour and the
     current (unshifted) value renamed to ``value_name``.
 
     The labels of one (patient, hour) are first folded into a map horizon ->
     labels (at most one entry per horizon), the grid is joined to it once,
     and the horizons are exploded after the join, so the shuffle moves grid
-    rows once instead of once per horizon."""
+    rows once instead of once per horizon. With ``shift_value`` the value is
+    the one ``horizon_h`` hours later, like the labels."""
     g = grid.select(key, t, F.col(value).alias(value_name),
                     F.floor(F.col(t) / F.lit(60)).cast("bigint").alias("rel_time_hour"))
     lab = shifted.groupBy(key, "rel_time_hour").agg(F.map_from_entries(F.collect_list(F.struct(
@@ -85,6 +86,10 @@ def label_grid(grid: DataFrame, shifted: DataFrame, horizons: Sequence[int] = HO
     x = g.join(lab, [key, "rel_time_hour"], "left")
     x = x.withColumn("horizon_h", F.explode(F.array(*[F.lit(int(h)) for h in horizons])))
     hit = F.col("_m")[F.col("horizon_h")]
+    if shift_value:
+        later = grid.select(F.col(key).alias("_k"), F.col(t).alias("_t"), F.col(value).alias("_v"))
+        x = x.join(later, (F.col(key) == F.col("_k")) & (F.col(t) + F.col("horizon_h") * F.lit(60) == F.col("_t")), "left") \
+             .withColumn(value_name, F.col("_v")).drop("_k", "_t", "_v")
     return x.select(key, t, value_name, "rel_time_hour", "horizon_h",
                     hit["critical_short"].alias("critical_short"), hit["critical_long"].alias("critical_long"))
 

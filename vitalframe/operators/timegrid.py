@@ -125,14 +125,15 @@ def _carry_forward_expand(rows: DataFrame, keys: list[str], extra: list[str], st
 
 
 def expand_infusions(df: DataFrame, keys: Sequence[str], start: str, end: str, rate: str,
-                     step: int = 1, close_keys: Sequence[str] = (), chunk: int = DAY) -> DataFrame:
+                     step: int = 1, close_keys: Sequence[str] = (), chunk: int = DAY, respect_end: bool = False) -> DataFrame:
     """Infusion intervals -> one rate per grid step.
 
     A 0-rate row is added at each (keys + close_keys) group's last end; the
     grid runs from the group's first start to its last end; rates (and the
     ``close_keys`` values, e.g. the unit) are carried forward, so gaps between
     intervals keep the previous rate, as in the reference; then the mean
-    rate per step.
+    rate per step. With ``respect_end`` every interval's end closes with a
+    0-rate row, unless another interval of the series starts at that time.
 
     Rows are first aggregated per (keys, time), bounds and closing rows are
     small aggregates joined back, and the next-time lookup is a two-level scan
@@ -144,6 +145,13 @@ def expand_infusions(df: DataFrame, keys: Sequence[str], start: str, end: str, r
                      F.col(rate).cast("double").alias("_rate"))
     closing = base.groupBy(*keys, *extra).agg(F.max("_end").alias("_t")) \
         .select(*keys, *extra, "_t", F.col("_t").alias("_end"), F.lit(0.0).alias("_rate"), F.lit(1).alias("_closing"))
+    if respect_end:
+        starts = base.select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.col("_t").alias("_st")).distinct()
+        same = F.col("_t") == F.col("_st")
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
+        ends = base.select(*keys, *extra, F.col("_end").alias("_t"), "_end", F.lit(0.0).alias("_rate"), F.lit(1).alias("_closing")).distinct()
+        closing = ends.join(starts, same, "left_anti")
     rows = base.withColumn("_closing", F.lit(0)).unionByName(closing)
     bounds = rows.groupBy(*keys).agg(F.min("_t").alias("_lo"), F.max("_end").alias("_hi"))
     x = rows.join(bounds, keys).drop("_end")

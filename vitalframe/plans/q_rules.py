@@ -237,7 +237,7 @@ def _units_sql(mg: str) -> str:
 
 @register("lab_units", f"""with {CHARTED}, a as (select row_id, label, unit, value from charted),
 e as (select row_id, label, unit, case when label like '%CRP%' then try_cast(regexp_replace(value_text, '[<>]', '', 'g') as double) else value end as value
-      from charted where not coalesce(regexp_matches(label, 'Eiweiß|Fibrin') and not contains(label, 'Albumin'), false))
+      from charted)
 select 'MIMIC' as db, row_id, case when label like '%CRP%' then 'CRP' else label end as measure, unit, round({_units_sql('mg|mG|MG')}, 6) as value from a
 union all
 select 'eICU', row_id, case when label like '%CRP%' then 'CRP' else label end, unit, round({_units_sql('mg|mG|MG|Mg')}, 6) from e""")

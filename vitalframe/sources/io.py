@@ -7,6 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from vitalframe.functions.nulls import nan_to_null
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -17,7 +19,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Header CSV (gzip or plain); text stays text, empty fields are NULL.
+    """Header CSV (gzip or plain); text stays text, empty fields and NaN are NULL.
 
     Gzip files cannot be split, so callers should persist the result as
     Parquet once (``stage``) and work from that.
@@ -28,7 +30,9 @@ def read_raw(spark: SparkSession, path: str, schema: StructType | None = None) -
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", False)
-    return reader.csv(path)
+    out = reader.csv(path)
+    # NaN would poison every aggregate; a missing number is NULL from here on
+    return out.withColumns({f.name: nan_to_null(f.name) for f in out.schema.fields if f.dataType.typeName() in ("double", "float")})
 
 
 def stage(df: DataFrame, path: str, partition_by: list[str] | None = None,
