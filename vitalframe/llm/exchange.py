@@ -20,6 +20,9 @@ from pyspark.sql import types as T
 
 from vitalframe.llm.common import Block, blocks, staged
 
+# bytes of text in a stored block: a task holds one at a time, with a few numbers per word
+STORED_BYTES = 3 << 20
+
 BLOCKS = T.StructType([T.StructField("block", T.LongType()), T.StructField("part", T.IntegerType()),
                        T.StructField("doc_ids", T.ArrayType(T.LongType())), T.StructField("offsets", T.BinaryType()),
                        T.StructField("text", T.BinaryType())])
@@ -33,7 +36,7 @@ def store_blocks(docs: DataFrame, name: str, part_of: Callable | None = None) ->
         for batch in batches:
             part = np.zeros(batch.num_rows, np.int32) if part_of is None else part_of(batch.column(0).to_pylist())
             for p in np.unique(part).tolist():
-                for b in blocks(iter([batch.filter(pa.array(part == p)) if part_of else batch])):
+                for b in blocks(iter([batch.filter(pa.array(part == p)) if part_of else batch]), STORED_BYTES):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([block], pa.int64()), pa.array([p], pa.int32()),
                          pa.array([b.rest.column(0).to_pylist()], pa.list_(pa.int64())),

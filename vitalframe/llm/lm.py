@@ -34,7 +34,7 @@ FOLDS = 10
 HELD_OUT, DELETED, COUNTED = 0, 1, 2
 ADD = 0.1
 END, BEGIN = np.uint64(0x51D7348E1C3B9A6F), np.uint64(0xA24BAED4963EE407)
-BUCKET_KEYS = 1 << 20
+BUCKET_KEYS = 1 << 19
 PAIR_BITS = 40
 COUNT_BYTES, ASKED_BYTES = 6, 4
 CONTEXTS = 40  # buckets of context frequency: 0, 1, 2-3, 4-7, ...
