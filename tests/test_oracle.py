@@ -44,5 +44,6 @@ def test_query_matches_oracle(spark, con, name):
     assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(dcols, cur.fetchall())
 
 
-def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+def test_every_query_of_the_catalog_has_an_oracle():
+    from vitalframe.plans import catalog
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
