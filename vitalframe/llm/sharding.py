@@ -2,7 +2,7 @@
 
 Every shard owns a number of points on a 64-bit ring; a key belongs to the
 first point clockwise from its hash. Shards have a bound on their rows. A
-shard first keeps its own keys up to its bound, in ring order; keys that overflow
+shard first keeps its own keys up to its bound, arc by arc in ring order; keys that overflow
 go on clockwise to the next shard with room. Only counts per arc (shards times
 points) reach the driver, which turns them into ranges of ranks; each row
 takes its shard from its rank inside its arc.
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from vitalframe.llm.common import staged
 
 POINTS = 64
-# every arc is ranked in this many parts, by ring position, and the parts' counts are summed up
+# every arc is ranked in this many parts, dealt by a hash of the ring position, and the parts' counts are summed up
 SLICES_LOG2 = 4
 
 
