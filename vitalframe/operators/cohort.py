@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vitalframe.functions import rules as R
 from vitalframe.functions.nulls import r_paste, str_detect
-from vitalframe.functions.scalar import hash_bit, years_between
+from vitalframe.functions.scalar import days_between, hash_bit, years_between
 from vitalframe.operators.aggregate import first_per_key
 from vitalframe.operators.relational import with_scalars
 from vitalframe.operators.window import number_patients as _number
@@ -169,17 +169,23 @@ def target_table(df: DataFrame, numeric: Sequence[str], levels: Mapping[str, Seq
 
 
 def harmonise_patients(df: DataFrame, db: str, sex_map: Mapping[str, str] | None = None,
-                       los_cap: float | None = None, hospital_from_outcome: bool = False) -> DataFrame:
-    """Per-source patient table harmonisation: sex recode, key to text, length
-    of stay above ``los_cap`` days becomes NULL (values up to the cap stay),
+                       los_cap: float | None = None, hospital_from_outcome: bool = False,
+                       keep_other_sex: bool = True, stay: tuple[str, str] | None = None,
+                       drop_missing_sex: bool = True) -> DataFrame:
+    """Per-source patient table harmonisation: sex recode (values outside the map
+    stay, or become NULL without ``keep_other_sex``), key to text, length of stay
+    in days from the (admission, discharge) columns ``stay``, length of stay above ``los_cap`` days becomes NULL (values up to the cap stay),
     hospital outcome copied from the unit outcome when the source has only
     one, rows without sex dropped."""
     x = df
     if sex_map:
-        x = x.withColumn("sex", F.coalesce(R.map_values("sex", dict(sex_map), None), F.col("sex")))
+        mapped = R.map_values("sex", dict(sex_map), None)
+        x = x.withColumn("sex", F.coalesce(mapped, F.col("sex")) if keep_other_sex else mapped)
+    if stay:
+        x = x.withColumn("los_days", days_between(stay[1], stay[0]))
     if los_cap is not None:
         x = x.withColumn("los_days", F.when(F.col("los_days") <= F.lit(los_cap), F.col("los_days")))
     if hospital_from_outcome:
         x = x.withColumn("outcome_hospital", F.col("outcome"))
-    return x.withColumn("pat_id", F.col("pat_id").cast("string")).withColumn("db", F.lit(db)) \
-            .filter(F.col("sex").isNotNull())
+    x = x.withColumn("pat_id", F.col("pat_id").cast("string")).withColumn("db", F.lit(db))
+    return x.filter(F.col("sex").isNotNull()) if drop_missing_sex else x

@@ -58,6 +58,7 @@ TITLES = ("Crbl art ocl NOS w infrc", "CVA", "Traumatic subdural hem", "scalp wo
           "Seizures", None)
 CODES = ("43301", "43491", "80121", "430", "431", "4321", "1912", "4210", "3229", "5849", None)
 STATUS = ("Alive", "Expired", "Other", None)
+GENDERS = ("Male", "Female", "Unknown", None)
 
 
 def _pick(values: tuple, key, step: int) -> F.Column:
@@ -325,3 +326,20 @@ def stay_outcomes(spark, sf):
     b = CO.align_outcome(admissions(spark, sf)).select("row_id", F.col("outcome").alias("unit_outcome"), F.col("outcome_hospital").alias("hospital_outcome"))
     out = a.select("row_id", "unit_status", "outcome_hospital", "outcome", "age").join(b, "row_id")
     return out.withColumn("age", F.round("age", 3))
+
+
+@register("harmonise_sources", f"""with {ADMISSIONS},
+g as (select *, {_sql_pick(GENDERS, 'row_id', 1)} as gender from admissions)
+select cast(row_id as varchar) as pat_id, 'MIMIC' as db, case when gender is null then null when gender = 'Female' then 'Weiblich' else 'Maennlich' end as sex,
+  round((epoch_us(dischtime) - epoch_us(admittime)) / 86400000000.0, 6) as los_days from g
+union all
+select cast(row_id as varchar), 'eICU', case gender when 'Male' then 'Maennlich' when 'Female' then 'Weiblich' end, null from g""")
+def harmonise_sources(spark, sf):
+    """Patient tables of two sources: stay length from admission and discharge, sex recodes (unknown stays out of the second)."""
+    a = admissions(spark, sf).select(F.col("row_id").alias("pat_id"), "admittime", "dischtime", _pick(GENDERS, F.col("row_id"), 1).alias("sex"))
+    cols = ("pat_id", "db", "sex", "los_days")
+    first = CO.harmonise_patients(a, "MIMIC", {"Female": "Weiblich", "Male": "Maennlich", "Unknown": "Maennlich"},
+                                  stay=("admittime", "dischtime"), drop_missing_sex=False)
+    second = CO.harmonise_patients(a.withColumn("los_days", F.lit(None).cast("double")), "eICU", {"Male": "Maennlich", "Female": "Weiblich"},
+                                   keep_other_sex=False, drop_missing_sex=False)
+    return r6(first.select(*cols).unionByName(second.select(*cols)), "los_days")
