@@ -32,6 +32,27 @@ def test_reliable_checkpoint(spark):
     assert cut_lineage(df).count() == 10
 
 
+def test_stages_are_dropped(spark):
+    from vitalframe.session import _paths, drop_stages, staged
+    a = staged(spark.range(5), "a")
+    assert a.count() == 5 and _paths
+    drop_stages(spark)
+    assert not _paths
+    path = a.inputFiles()[0].removeprefix("file:").replace("///", "/")
+    assert not os.path.exists(path)
+
+
+def test_shared_folder_is_required_on_clusters():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from vitalframe.session import checkpoint_dir
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: {}, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d: d)))
+
+
 def test_entry_smoke(spark):
     import __spark_entry__ as entry
     out = entry.entry(spark)

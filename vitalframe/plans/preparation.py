@@ -11,7 +11,6 @@ later stages read them.
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 
 from vitalframe.operators import clean, cohort, features, normalise, phases, timegrid
 from vitalframe.operators.relational import with_scalars
-from vitalframe.session import checkpoint_dir
+from vitalframe.session import stage_path as new_stage_path
 from vitalframe.sources.io import stage
 
 
@@ -58,7 +57,7 @@ def training_table(obs: DataFrame, patients: DataFrame, feature_names: Sequence[
     weight with missing ones filled by sex, one column per source and diagnosis,
     sex and outcome)."""
     spark = obs.sparkSession
-    root = stage_path or os.path.join(checkpoint_dir(spark), "stages", uuid.uuid4().hex)
+    root = stage_path or new_stage_path(spark, "training-table")
     cleaned = clean_observations(obs, fine, z_max, min_vital_rows, stage_dir=root)
     cleaned = stage(cleaned, os.path.join(root, "obs_clean"), partition_by=["db", "category"], cluster_by=["pat_id"])
     ph = phases.critical_phases(cleaned, bucket_minutes=60)

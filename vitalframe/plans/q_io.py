@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,20 +12,16 @@ from vitalframe.operators import relational as RL
 from vitalframe.operators import sequences as SQ
 from vitalframe.plans.q_model import FEATURES, GRID_SQL, SEQ_FLAT_SQL, _feature_grid, _sequences
 from vitalframe.plans.registry import register
-from vitalframe.session import checkpoint_dir
+from vitalframe.session import stage_path
 from vitalframe.sources import adapters as A
 from vitalframe.sources import io
 
 
-def _folder(spark, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 @register("csv_roundtrip", "select pat_id, db, category, measure, rel_time, value from obs_dirty", ("obs_dirty",))
 def csv_roundtrip(spark, sf):
     """Observations exported as CSV with a header and scanned back under a schema (NULL values survive)."""
     o = A.obs_dirty(spark, sf).select("pat_id", "db", "category", "measure", "rel_time", "value")
-    path = _folder(spark, "csv")
+    path = stage_path(spark, "csv")
     io.write_csv(o, path)
     return io.read_raw(spark, path, T.StructType([T.StructField(f.name, f.dataType) for f in o.schema.fields]))
 
@@ -36,7 +30,7 @@ def csv_roundtrip(spark, sf):
 def stage_roundtrip(spark, sf):
     """A stage table partitioned by source and category, clustered by patient."""
     o = A.obs(spark, sf)
-    return io.stage(o, _folder(spark, "obs"), partition_by=["db", "category"], cluster_by=["pat_id"]).select(*o.columns)
+    return io.stage(o, stage_path(spark, "obs"), partition_by=["db", "category"], cluster_by=["pat_id"]).select(*o.columns)
 
 
 @register("model_tables_roundtrip", GRID_SQL + """
@@ -44,7 +38,7 @@ select fg.*, case p.sex when 'M' then 1.0::double when 'F' then 0.0::double end
 def model_tables_roundtrip(spark, sf):
     """Model input and target tables written, loaded and joined by patient."""
     from vitalframe.operators import cohort as CO
-    path = _folder(spark, "model")
+    path = stage_path(spark, "model")
     targets = CO.static_targets(A.patients(spark, sf), exitus="died").select("pat_id", "sex")
     io.export_model_tables(_feature_grid(spark, sf), targets, path)
     x, y = io.read_model_tables(spark, path)
@@ -55,7 +49,7 @@ def model_tables_roundtrip(spark, sf):
 select pat_id, cast(seq_len as integer) as seq_len, cast(pos as integer) as pos, rel_time as t, "Vital_HF" as hf from s""", ("obs",))
 def sequence_cache(spark, sf):
     """Sequences built once, stored, and read from the store the second time."""
-    path = _folder(spark, "sequences")
+    path = stage_path(spark, "sequences")
     io.cache_sequences(_sequences(spark, sf), path)
     seq = io.cache_sequences(spark.createDataFrame([], "unused int"), path)  # the stored table wins
     x = seq.select("pat_id", "seq_len", F.posexplode("steps").alias("p", "step"))
@@ -68,7 +62,7 @@ select pat_id, step_key, s_toxic, y_toxic, case when {mix_hash_sql('pat_id', 0,
 def prediction_export(spark, sf):
     """Predictions tagged by the full split, one folder per split."""
     s = A.scores(spark, sf).select("pat_id", "step_key", "s_toxic", "y_toxic")
-    path = _folder(spark, "predictions")
+    path = stage_path(spark, "predictions")
     io.write_predictions(SQ.apply_split(s, SQ.make_folds(s.select("pat_id").distinct()), "full"), path)
     return spark.read.parquet(path).select(*s.columns, "split")
 
@@ -93,7 +87,7 @@ select pat_id, measure, rel_time, value, cast(horizon_h as integer) as horizon_h
 def horizon_export(spark, sf):
     """One file set per horizon, read back as one table."""
     o = A.obs(spark, sf).select("pat_id", "measure", "rel_time", "value")
-    path = _folder(spark, "horizons")
+    path = stage_path(spark, "horizons")
     io.export_horizons(o.withColumn("horizon_h", F.explode(F.array(F.lit(0), F.lit(1), F.lit(24)))), path, fmt="parquet")
     return spark.read.parquet(path).select(*o.columns, F.col("horizon_h").cast("int").alias("horizon_h"))
 

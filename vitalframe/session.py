@@ -61,14 +61,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def staged(df: DataFrame, name: str = "stage") -> DataFrame:
+_paths: list[str] = []  # of the tables this process has staged
+
+
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new path below the checkpoint folder, remembered for ``drop_stages``."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _paths.append(path)
+    return path
+
+
+def staged(df: DataFrame, name: str = "stage", compression: str = "snappy") -> DataFrame:
     """Write ``df`` once below the checkpoint folder and read it back: every later
     read sees the same rows in the same partitions, also after an executor is lost."""
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = stage_path(df.sparkSession, name)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the tables staged so far, once the results built on them have been written; returns how many."""
+    jvm, conf, n = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
+    while _paths:
+        path = jvm.org.apache.hadoop.fs.Path(_paths.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss, unlike a local checkpoint."""
     checkpoint_dir(df.sparkSession)
