@@ -189,13 +189,13 @@ def training_sample(docs: DataFrame, folds: int = 4, held: int = 2) -> DataFrame
     """(lang, text): about SAMPLE_DOCS documents of each language at most, those of the smallest hash of
     their id, each with SAMPLE_BYTES characters from a place that the hash decides."""
     learn = docs.filter((id_bucket(F.col("doc_id"), folds) != held) & F.col("lang").isNotNull() & (F.length("text") > 0))
-    keyed = learn.select("lang", "text", F.shiftrightunsigned(F.xxhash64(F.lit(1), "doc_id"), 33).alias("key"))  # 31 bits
-    per_lang = learn.groupBy("lang").agg(F.count("*").alias("n"))
-    most = per_lang.select("lang", F.least(F.lit(1.0), 2.0 * SAMPLE_DOCS / F.col("n")).alias("share"))
-    few = keyed.join(most, "lang").filter(F.col("key") < F.col("share") * float(1 << 31))
-    at = F.lit(1) + F.pmod(F.col("key"), F.greatest(F.length("text") - SAMPLE_BYTES, F.lit(0)) + 1).cast("int")
-    cut = few.select("lang", "key", F.substring("text", at, F.lit(SAMPLE_BYTES)).alias("text"))
-    order = Window.partitionBy("lang").orderBy("key", "text")
+    counts = learn.groupBy("lang").count().collect()  # one row per language
+    key = F.shiftrightunsigned(F.xxhash64(F.lit(1), "doc_id"), 33)  # 31 bits
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 2.0 * SAMPLE_DOCS / r["count"]))]) if counts else None
+    few = learn.filter(key < F.element_at(share, F.col("lang")) * float(1 << 31)) if counts else learn.limit(0)
+    at = F.lit(1) + F.pmod(key, F.greatest(F.length("text") - SAMPLE_BYTES, F.lit(0)) + 1).cast("int")
+    cut = few.groupBy("lang", "doc_id").agg(F.min(F.substring("text", at, F.lit(SAMPLE_BYTES))).alias("text"))  # repeated rows count once
+    order = Window.partitionBy("lang").orderBy(key, "doc_id")
     return cut.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= SAMPLE_DOCS).select("lang", "text")
 
 
