@@ -84,18 +84,19 @@ def fit_yeojohnson(df: DataFrame, group=GROUP, value: str = "value", lo: float =
     """Maximum-likelihood lambda per group by a zooming grid search (eager, like an estimator's fit).
 
     log L(l) = -n/2 * ln(var_pop(yj(x, l))) + (l - 1) * sum(sign(x) ln(|x| + 1)).
-    Equal values are collapsed to (value, count) first. Each pass pairs every
-    distinct value with the ``points`` candidate lambdas of its group (an
-    ``explode`` feeding a partial hash aggregate in the same stage, so the pairs
-    never reach the shuffle), keeps the best lambda per group and narrows the
-    grid around it, inside [lo, hi]. The variance is summed around the
+    Equal values are collapsed to (value, count) first. Each pass joins them
+    with the ``points`` candidate lambdas of their group (feeding a partial hash
+    aggregate in the same stage, so the pairs never reach the shuffle), keeps the
+    best lambda per group and narrows the grid around it, inside [lo, hi]. The variance is summed around the
     transformed group mean, so narrow measures keep their digits. The counts
     are written once for the passes; the result is one small row per group.
     Constant groups get NULL.
     """
     group = list(group)
     x = staged(df.select(*group, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-               .groupBy(*group, "_x").agg(F.count(F.lit(1)).cast("double").alias("_w")), "yj-values")
+               .groupBy(*group, "_x").agg(F.count(F.lit(1)).cast("double").alias("_w"))
+               # one file per shuffle partition: every pass multiplies the few bytes of a value by ``points``
+               .repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "yj-values")
     base = x.groupBy(*group).agg(
         F.sum("_w").alias("_n"), F.try_divide(F.sum(F.col("_x") * F.col("_w")), F.sum("_w")).alias("_mid"),
         F.sum(F.signum("_x") * F.log1p(F.abs("_x")) * F.col("_w")).alias("_c"),
@@ -107,21 +108,18 @@ def fit_yeojohnson(df: DataFrame, group=GROUP, value: str = "value", lo: float =
     for _ in range(passes):
         offs = F.array(*[F.lit(float((k - half) * step)) for k in range(points)])
         cand = F.greatest(F.lit(lo), F.least(F.lit(hi), F.col("_lam") + F.col("_off")))
-        j = x.join(base.join(centre, group).select(*group, "_mid", "_lam"), group) \
-             .select(*group, "_x", "_w", "_mid", "_lam", F.explode(offs).alias("_off")) \
-             .select(*group, "_x", "_w", "_mid", cand.alias("_l"))
-        y = yj(F.col("_x"), F.col("_l")) - yj(F.col("_mid"), F.col("_l"))
-        sums = j.groupBy(*group, "_l").agg(F.sum(y * F.col("_w")).alias("_s"), F.sum(y * y * F.col("_w")).alias("_q"),
-                                           F.sum("_w").alias("_m"))
-        # a candidate met twice at a clamped end has all its weights doubled: the ratios stay right
-        var = (F.col("_q") - F.col("_s") * F.col("_s") / F.col("_m")) / F.col("_m")
+        # one row per group and candidate, with the transformed group mean
+        cands = base.join(centre, group).select(*group, "_mid", "_n", "_c", "_lam", F.explode(offs).alias("_off")) \
+            .select(*group, "_mid", "_n", "_c", cand.alias("_l")).distinct().withColumn("_y0", yj(F.col("_mid"), F.col("_l")))
+        y = (yj(F.col("_x"), F.col("_l")) - F.col("_y0")).alias("_y")
+        sums = x.join(cands, group).select(*group, "_l", "_n", "_c", "_w", y).groupBy(*group, "_l", "_n", "_c").agg(
+            F.sum(F.col("_y") * F.col("_w")).alias("_s"), F.sum(F.col("_y") * F.col("_y") * F.col("_w")).alias("_q"))
+        var = (F.col("_q") - F.col("_s") * F.col("_s") / F.col("_n")) / F.col("_n")
         ll = F.when(var > 0, -F.col("_n") / 2.0 * F.log(var) + (F.col("_l") - F.lit(1.0)) * F.col("_c"))
-        scored = sums.join(base, group).select(
-            *group, F.struct(F.coalesce(ll, F.lit(float("-inf"))).alias("ll"), (-F.abs(F.col("_l"))).alias("tie"),
-                             F.col("_l").alias("lam")).alias("_b"))
-        centre = staged(scored.groupBy(*group).agg(F.max("_b").alias("_b")).select(*group, F.col("_b.lam").alias("_lam")), "yj-lambda")
+        best = F.max(F.struct(F.coalesce(ll, F.lit(float("-inf"))).alias("ll"), (-F.abs(F.col("_l"))).alias("tie"), F.col("_l").alias("lam")))
+        centre = sums.groupBy(*group).agg(best.alias("_b")).select(*group, F.col("_b.lam").alias("_lam"))
         step = step * 2.0 / (points - 1)
-    return base.join(centre, group).select(*group, F.when(F.col("_varies"), F.col("_lam")).alias("lambda"))
+    return staged(base.join(centre, group).select(*group, F.when(F.col("_varies"), F.col("_lam")).alias("lambda")), "yj-lambda")
 
 
 def yeojohnson(df: DataFrame, group=GROUP, out_keys=OUT_KEYS, value: str = "value") -> DataFrame:

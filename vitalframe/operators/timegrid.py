@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalframe.functions.scalar import floor_to, minutes_between
-from vitalframe.operators.window import DAY, neighbours
+from vitalframe.operators.window import DAY, next_time
 
 OBS_KEYS = ("pat_id", "db", "category", "measure", "measure_norm")
 
@@ -101,7 +101,7 @@ def _carry_forward_expand(rows: DataFrame, keys: list[str], extra: list[str], st
     per_t = per_x.groupBy(*keys, "_t").agg(
         F.collect_list(F.struct(*[F.col(c) for c in extra], F.col("_sum"), F.col("_cnt"))).alias("_real"),
         F.max_by("_win", "_ord").alias("_win"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
-    per_t = neighbours(per_t, keys, ["_t"], "_t", "_prev", "_next", chunk=lead_chunk).drop("_prev")
+    per_t = next_time(per_t, keys, "_t", "_next", lead_chunk)
     first = F.col("_lo") + (F.floor((F.col("_t") - F.col("_lo")) / F.lit(step)) + F.lit(1)).cast("bigint") * F.lit(step)
     upto = F.least(F.coalesce(F.col("_next") - F.lit(1), F.col("_hi")), F.col("_hi"))
 
@@ -187,7 +187,7 @@ def expand_bolus(df: DataFrame, keys: Sequence[str], t: str, window: int = 120,
     keys = list(keys)
     d = df.select(*keys, F.col(t).cast("bigint").alias("_t")).dropDuplicates(keys + ["_t"])
     if mode == "per_dose":
-        x = neighbours(d, keys, ["_t"], "_t", "_prev", "_next", chunk=chunk)
+        x = next_time(d, keys, "_t", "_next", chunk)
         end = F.least(F.col("_t") + F.lit(window), F.coalesce(F.col("_next") - F.lit(1), F.col("_t") + F.lit(window)))
         out = explode_grid(x.withColumn("_e", end), "_t", "_e", 1, "t").select(*keys, "t")
     elif mode == "first_dose_only":

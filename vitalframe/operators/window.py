@@ -69,6 +69,19 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     }).drop("_chunk", "__lag", "__lead", "__rn", "__cnt", "__prev", "__next")
 
 
+def next_time(df: DataFrame, keys: Sequence[str], t: str, name: str, chunk: int = DAY) -> DataFrame:
+    """The next distinct row's time within ``keys``; rows are unique per (keys, t) and ``t`` is never NULL.
+
+    A row without a successor in its chunk takes the first time of the next chunk that has rows."""
+    keys = list(keys)
+    x = df.withColumn("_chunk", _chunk_col(t, chunk))
+    x = x.withColumn("__lead", F.lead(t).over(Window.partitionBy(*keys, "_chunk").orderBy(t)))
+    summ = x.groupBy(*keys, "_chunk").agg(F.min(t).alias("__first"))
+    summ = summ.select(*keys, "_chunk", F.lead("__first").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("__next"))
+    x = x.join(summ, keys + ["_chunk"], "left")
+    return x.withColumn(name, F.coalesce("__lead", "__next")).drop("_chunk", "__lead", "__next")
+
+
 def rank_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn") -> DataFrame:
     """Row number within ``keys`` along ``order`` (``order`` should be unique
     within a group), as a running count over range partitions, so a group that
