@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from vitalframe.session import checkpoint_dir
 
 # Bytes of text handled together by one numpy step; a longer document is a block of its own.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 LONG_WORD = 256
 
 LOWER = np.arange(256, dtype=np.uint8)

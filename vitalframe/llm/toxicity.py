@@ -193,14 +193,18 @@ def features(b, automaton: Automaton) -> np.ndarray:
     exact, fuzzy = automaton.exact[state], automaton.fuzzy[state]
     hit = np.flatnonzero(exact + fuzzy > 0)
     doc = np.searchsorted(first, hit, side="right") - 1
-    marks = np.zeros(len(buf) + 1, np.int64)
-    np.cumsum(buf == 0x22, out=marks[1:])
+    quotes = np.flatnonzero(buf == 0x22)
+
+    def marks(at: np.ndarray) -> np.ndarray:
+        """Quotation marks before the given bytes."""
+        return np.searchsorted(quotes, at)
+
     reports = np.zeros(len(s) + 1, np.int64)
     np.cumsum(np.isin(hash_spans(buf, s, e), _reporting_hashes()), out=reports[1:])
     low, high = np.maximum(hit - CONTEXT, first[doc]), np.minimum(hit + CONTEXT, first[doc + 1] - 1)
-    opened = (marks[s[hit]] - marks[b.offsets[doc]]) % 2 == 1
-    closed = marks[e[high]] > marks[e[hit]]
-    end_of_doc = (high == first[doc + 1] - 1) & (marks[b.offsets[doc + 1]] > marks[e[hit]])
+    opened = (marks(s[hit]) - marks(b.offsets[doc])) % 2 == 1
+    closed = marks(e[high]) > marks(e[hit])
+    end_of_doc = (high == first[doc + 1] - 1) & (marks(b.offsets[doc + 1]) > marks(e[hit]))
     inside = opened & (closed | end_of_doc)
     reported = reports[hit] > reports[low]
     quoted = QUOTED * inside + (1 - QUOTED) * reported
