@@ -49,3 +49,29 @@ def test_edge_cases(spark):
     nulls = docs.limit(0).union(docs.filter("doc_id = 5").withColumn("doc_id", F.lit(None).cast("long"))).union(docs.filter("doc_id = 6"))
     assert got(linededup.dedup_lines(nulls, counts=True)) == brute([(None, block), (6, texts[6])])
     assert linededup.dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_rows_of_one_id_are_cut_one_by_one(spark):
+    def own(name):
+        return [f"{name} {i}" for i in range(12)]
+
+    shared = ["first line", "second line", "third line"]
+    a, b = own("a")[:9] + shared, own("b")
+    keeper = "\n".join(shared)
+    for doc_id in (7, None):
+        rows = [(None if doc_id is None else 1, keeper), (doc_id, "\n".join(a)), (doc_id, "\n".join(b)), (doc_id, "\n".join(own("c")))]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        out = sorted(r["text"] for r in linededup.dedup_lines(docs, counts=True).collect())
+        whole = [t for _, t in rows[2:]]
+        assert [t for t in out if t in whole] == sorted(whole)  # lines that occur once stay
+        assert "\n".join(out).count(keeper) == 1  # of the repeated window one occurrence stays
+
+
+def test_repeats_at_the_same_line_are_cut_between_rows_of_one_id(spark):
+    shared = "first line\nsecond line\nthird line"
+    for doc_id in (7, None):
+        docs = spark.createDataFrame([(doc_id, shared + f"\nend {i}") for i in range(4)], "doc_id long, text string").repartition(2)
+        out = [(r["text"], r["n_removed"]) for r in linededup.dedup_lines(docs, counts=True).collect()]
+        assert sorted(n for _, n in out) == [0, 3, 3, 3] and sum(shared in t for t, _ in out) == 1
+    copies = linededup.dedup_lines(spark.createDataFrame([(None, shared)] * 3, "doc_id long, text string"), counts=True)
+    assert sorted(r["n_removed"] for r in copies.collect()) == [0, 3, 3]

@@ -57,6 +57,14 @@ def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """A staged copy of ``docs`` with a number of its own for every row, and that column's name, which no column of ``docs`` has."""
+    row, taken = "_row", {c.lower() for c in docs.columns}
+    while row in taken:
+        row = "_" + row
+    return staged(docs.withColumn(row, F.monotonically_increasing_id()), name, "zstd"), row
+
+
 def id_bucket(doc_id: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod`` (a null id counts as the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % mod
