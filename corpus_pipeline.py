@@ -31,13 +31,13 @@ def with_length(out: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies only the document with the smallest doc_id stays."""
-    return simhash.keep_one(docs)
+    """Of each group of near copies only one row stays: that of the smallest doc_id, a null one last."""
+    return simhash.keep_one(docs, by_row=True)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with benchmark passages go."""
-    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    """Rows with benchmark passages go, whatever their doc_id."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"), by_row=True)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,3 +37,21 @@ def test_stages_keep_columns_and_take_odd_rows(spark, tmp_path):
         assert empty.count() == 0
     assert docs.count() >= 1
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_null_and_shared_ids_are_judged_row_by_row(spark, tmp_path):
+    passage = " ".join(f"bench{i}" for i in range(20))
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = [" ".join(f"{name}{i}" for i in range(40)) for name in "abcd"]
+    rows = [(None, passage + " own"), (None, clean[0]), (5, passage), (5, clean[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert left.columns == ["doc_id", "text"]
+    assert sorted(r["text"] for r in left.collect()) == clean[:2]
+
+    # 5 is the smallest of group b and a larger member of group a; c is a group of null ids only
+    rows = [(1, clean[0]), (5, clean[0]), (5, clean[1]), (9, clean[1]), (None, clean[1]), (None, clean[2]), (None, clean[2]), (7, clean[3]), (7, clean[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = corpus_pipeline.near_dedup(spark, docs, str(tmp_path))
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted(
+        [(1, clean[0]), (5, clean[1]), (None, clean[2]), (7, clean[3])], key=str)

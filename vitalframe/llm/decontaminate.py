@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitalframe.llm.common import ALNUM, LOWER, blocks, hash_spans, staged, word_spans
+from vitalframe.llm.common import ALNUM, LOWER, blocks, hash_spans, numbered, staged, word_spans
 
 WINDOW = 13
 # contaminated when at least one word in this many is hit
@@ -210,7 +210,13 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, share:
                        ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW, share: int = HIT_SHARE) -> DataFrame:
-    """The rows of ``docs`` (all columns) but those whose doc_id is contaminated; a null doc_id is never dropped."""
+def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW, share: int = HIT_SHARE, by_row: bool = False) -> DataFrame:
+    """The rows of ``docs`` (all columns) but those whose doc_id is contaminated; a null doc_id is never dropped.
+    With ``by_row`` each row is judged by its own text, whatever its doc_id."""
+    if by_row:
+        rows, row = numbered(docs, "decontaminate")
+        found = contamination(rows.select(F.col(row).alias("doc_id"), "text"), items, width, share)
+        bad = found.filter("contaminated").select(F.col("doc_id").alias(row))
+        return rows.join(bad, row, "left_anti").select(*(rows[c] for c in docs.columns))
     bad = contamination(docs, items, width, share).filter("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
     return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")

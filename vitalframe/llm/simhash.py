@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalframe.llm.common import staged
+from vitalframe.llm.common import numbered, staged
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -208,9 +208,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return prints.join(member, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose doc_id is the smallest of its component. Rows with a null
-    doc_id cannot be told apart and stay, as do repeated rows of a doc_id that stays."""
-    found = near_duplicates(docs, shingle)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, by_row: bool = False) -> DataFrame:
+    """The rows of ``docs`` (all columns) that stand for their component: the one with the smallest doc_id (a null
+    one comes last), then the smallest row number, and rows of its doc_id and fingerprint; with ``by_row`` it alone."""
+    rows, row = numbered(docs, "near_dedup")
+    found = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), shingle).withColumnRenamed("doc_id", "row")
+    ids = rows.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    member = found.join(ids, "row")
+    one = member.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "fingerprint")).alias("one"))
+    if by_row:
+        kept = one.select("one.row")
+    else:
+        same = (F.col("doc_id") == F.col("one.doc_id")) & (F.col("fingerprint") == F.col("one.fingerprint"))
+        kept = member.join(one, "component_id").filter((F.col("row") == F.col("one.row")) | same).select("row")
+    return rows.join(kept.select(F.col("row").alias(row)), row, "left_semi").select(*(rows[c] for c in docs.columns))
