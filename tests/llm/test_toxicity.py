@@ -77,3 +77,16 @@ def test_edge_cases(spark):
     assert {r["predicted"] for r in one.collect()} == {0}
     assert {r["score"] for r in tx.score(docs, tx.fit(docs, labels.limit(0))).collect()} == {0.0}
     assert tx.score(docs.limit(0), tx.fit(docs, labels)).count() == 0
+
+
+def test_misspelled_inflections_under_a_stem_are_caught(spark):
+    plain = "you are here today so nice"
+    texts = [plain] * 60 + [f"you are here today so {w}" for w in ("idiot", "idiots", "idiotic")] * 15
+    odd = ["id1ot", "ldiot", "idiotss", "id1otic"]
+    docs = docs_of(spark, texts + [f"you are here today so {w}" for w in odd])
+    labels = spark.createDataFrame([(i, int(i >= 60)) for i in range(len(texts))], "doc_id long, toxic int")
+    terms = tx.learn_lexicon(tx._term_counts(tx.labelled_sample(docs, labels)), 36, 48)
+    assert any(t.stem and b"idiot".startswith(t.text) for t in terms)
+    out = {r["doc_id"]: r["score"] for r in tx.score(docs, tx.fit(docs, labels)).collect()}
+    assert all(out[len(texts) + i] > out[0] for i in range(len(odd)))
+    assert tx.labelled_sample(docs.union(docs), labels).count() == tx.labelled_sample(docs, labels).count()

@@ -217,11 +217,12 @@ def features(b, automaton: Automaton) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> DataFrame:
-    """(text, toxic) of at most LABEL_DOCS labelled learning documents; only their ids go to the tasks."""
+    """(text, toxic) of at most LABEL_DOCS labelled learning documents, one row for each doc_id (its least text); only their ids go to the tasks."""
     judged = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (id_bucket(F.col("doc_id"), folds) != held))
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     few = judged.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABEL_DOCS)
-    return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("text", "toxic")
+    found = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic")
 
 
 def _term_counts(sample: DataFrame) -> DataFrame:
@@ -247,7 +248,8 @@ def _term_counts(sample: DataFrame) -> DataFrame:
 
 
 def learn_lexicon(counts: DataFrame, n_toxic: int, n_clean: int) -> list[Term]:
-    """The most significant toxic terms; a word or longer stem under a chosen stem is left out."""
+    """The most significant toxic terms. A longer stem or a short word under a chosen stem is left out; a word that
+    may be misspelled stays beside the stem, which matches exactly only (at most LEXICON such words besides the terms)."""
     odds = ((F.col("toxic") + 0.5) / (n_toxic + 1)) / ((F.col("clean") + 0.5) / (n_clean + 1))
     both = F.col("toxic") + F.col("clean")
     g2 = 2 * (F.col("toxic") * F.log(F.col("toxic") * (n_toxic + n_clean) / (both * n_toxic))
@@ -255,20 +257,24 @@ def learn_lexicon(counts: DataFrame, n_toxic: int, n_clean: int) -> list[Term]:
     best = (counts.filter(F.col("toxic") >= MIN_TOXIC).withColumn("odds", odds).withColumn("g2", F.round(g2, 6))
             .filter((F.col("odds") >= MIN_ODDS) & (F.col("g2") >= MIN_G2)).orderBy(F.desc("g2"), "stem", "term").limit(20 * LEXICON).collect())
     chosen: list[Term] = []
+    under: list[Term] = []
     stems: set[bytes] = set()
     told: set[tuple] = set()  # stems that say no more than a chosen word does
     for r in best:
         text = bytes(r["term"])
-        if any(text[:k] in stems for k in STEMS) or r["stem"] and (text, r["toxic"], r["clean"]) in told:
+        term = Term(text, r["stem"], float(np.log(r["odds"])))
+        if any(text[:k] in stems for k in STEMS):
+            if term.edits and len(under) < LEXICON:
+                under.append(term)
+            continue
+        if r["stem"] and (text, r["toxic"], r["clean"]) in told or len(chosen) == LEXICON:
             continue
         if r["stem"]:
             stems.add(text)
         else:
             told.update((text[:k], r["toxic"], r["clean"]) for k in STEMS)
-        chosen.append(Term(text, r["stem"], float(np.log(r["odds"]))))
-        if len(chosen) == LEXICON:
-            break
-    return chosen
+        chosen.append(term)
+    return chosen + under
 
 
 @dataclass
@@ -307,7 +313,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel | None:
             yield pa.RecordBatch.from_arrays([*(pa.array(x[:, k]) for k in range(FEATURES)),
                                               pa.array([float(v > 0) for v in b.rest.column(1).to_pylist()])], [*"abcde", "y"])
 
-    rows = sample.mapInArrow(run, "a double, b double, c double, d double, e double, y double").toPandas().to_numpy()  # at most LABEL_DOCS, but for repeated rows
+    rows = sample.mapInArrow(run, "a double, b double, c double, d double, e double, y double").toPandas().to_numpy()  # at most LABEL_DOCS
     rows = rows[np.lexsort(rows.T)]
     if not n_toxic or not n_clean:
         rate = float(bool(n_toxic))
