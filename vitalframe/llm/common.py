@@ -65,6 +65,15 @@ def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
     return staged(docs.withColumn(row, F.monotonically_increasing_id()), name, "zstd"), row
 
 
+def expand_copies(df: DataFrame, copies: str, name: str, chunk: int = 4096) -> DataFrame:
+    """``df`` with each row as often as its column ``copies`` says, numbered from 0 in ``name``. Copies are made
+    in chunks that are dealt over the tasks first, so a row with very many copies is not one task's work."""
+    x = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col(copies) - 1, F.lit(chunk).cast("long"))))
+    x = x.repartition("_chunk", *[c for c, kind in df.dtypes if kind in ("bigint", "int", "string")])
+    upto = F.least(F.col("_chunk") + (chunk - 1), F.col(copies) - 1)
+    return x.withColumn(name, F.explode(F.sequence(F.col("_chunk"), upto))).drop("_chunk")
+
+
 def id_bucket(doc_id: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod`` (a null id counts as the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % mod

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalframe.llm import decontaminate, langid, linededup, lm, packing, quality, sharding, simhash, substring, toxicity
+from vitalframe.llm import decontaminate, langid, linededup, lm, mixing, packing, quality, sharding, simhash, substring, toxicity
 from vitalframe.llm.common import id_bucket, table
 
 
@@ -64,6 +64,12 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (id_bucket(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op13_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources weigh 5, 2, 1, repeating, in code point order; all words are dealt, no document more than three times."""
+    rows = mixing.mix(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "source_size", rows["targets"][0].alias("target"), rows["taken"][0].alias("taken"), "source")
+
+
 LINE_DEDUP_SQL = r"""
 WITH l AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
@@ -130,6 +136,36 @@ WITH d AS (
 SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+MIX_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         cast('0x' || left(md5(coalesce(cast(doc_id AS varchar), '') || ':' || md5(coalesce(text, ''))), 15) AS bigint) AS key
+  FROM documents
+), s AS (
+  SELECT source, cast(sum(size) AS bigint) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source
+), w AS (
+  SELECT source, source_size, CASE place % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight,
+         cast(sum(source_size) OVER () AS double) AS budget FROM s
+), f AS (
+  SELECT *, weight * (budget - 3 * coalesce(sum(source_size) OVER (ORDER BY source_size / weight, source NULLS LAST
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            > 3 * source_size * sum(weight) OVER (ORDER BY source_size / weight, source NULLS LAST
+                                 ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS full_up FROM w
+), t AS (
+  SELECT source, source_size, CASE WHEN full_up THEN cast(3 * source_size AS double)
+         ELSE weight * (budget - 3 * cast(sum(CASE WHEN full_up THEN source_size ELSE 0 END) OVER () AS double))
+              / cast(sum(CASE WHEN full_up THEN 0 ELSE weight END) OVER () AS double) END AS target FROM f
+), g AS (
+  SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE cast(floor(target / source_size) AS bigint) END AS repeats FROM t
+), r AS (
+  SELECT d.*, g.source_size, g.target, g.repeats,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, size, doc_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, size, source_size, target, source,
+       cast(size * (repeats + CASE WHEN earlier + size / 2 <= target - repeats * source_size THEN 1 ELSE 0 END) AS bigint) AS taken FROM r
+"""
+
 # The others use hashes, tokenizers or trained weights that SQL lacks; tests hold them against brute force.
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
@@ -142,5 +178,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_lm_score": op9_lm_score,
     "op10_langid": op10_langid,
+    "op13_mix": op13_mix,
 }
-ORACLE = {"op1_decontaminate": CONTAMINATION_SQL, "op5_substring_dedup": REPEATS_SQL, "op8_line_dedup": LINE_DEDUP_SQL}
+ORACLE = {"op1_decontaminate": CONTAMINATION_SQL, "op5_substring_dedup": REPEATS_SQL, "op8_line_dedup": LINE_DEDUP_SQL,
+          "op13_mix": MIX_SQL}
