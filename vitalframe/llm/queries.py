@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalframe.llm import decontaminate, langid, linededup, lm, mixing, packing, quality, sharding, simhash, substring, toxicity
+from vitalframe.llm import codes, decontaminate, langid, linededup, lm, mixing, packing, quality, sharding, simhash, substring, toxicity
 from vitalframe.llm.common import id_bucket, table
 
 
@@ -64,6 +64,11 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (id_bucket(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of 16 parts, 64 entries each, after 2 rounds over all vectors."""
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 def op13_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources weigh 5, 2, 1, repeating, in code point order; all words are dealt, no document more than three times."""
     rows = mixing.mix(table(spark, sf_dir, "documents"))
@@ -136,6 +141,48 @@ WITH d AS (
 SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+CODES_SQL = r"""
+WITH c AS (
+  SELECT vec_id, label, unnest(embedding) AS v, unnest(range(len(embedding))) AS i, len(embedding) // 16 AS width FROM embeddings
+), bad AS (
+  SELECT DISTINCT vec_id FROM c WHERE v IS NULL OR NOT isfinite(v)
+), x AS (
+  SELECT vec_id, label, i // width AS part, i % width AS pos, cast(floor(256 * cast(v AS double)) AS bigint) AS v
+  FROM c WHERE vec_id NOT IN (SELECT vec_id FROM bad)
+), b0 AS (
+  SELECT part, entry, pos, v FROM x JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM (SELECT DISTINCT vec_id FROM x) ORDER BY vec_id LIMIT 64) USING (vec_id)
+), a0 AS (
+  SELECT vec_id, label, part, min(struct_pack(d := d, e := entry)) AS best FROM (
+    SELECT x.vec_id, x.label, x.part, b.entry, cast(sum((x.v - b.v) * (x.v - b.v)) AS bigint) AS d
+    FROM x JOIN b0 b ON x.part = b.part AND x.pos = b.pos GROUP BY ALL) GROUP BY ALL
+), b1 AS (
+  SELECT o.part, o.entry, o.pos, coalesce((m.total - ((m.total % m.n) + m.n) % m.n) // m.n, o.v) AS v
+  FROM b0 o LEFT JOIN (
+    SELECT x.part, a.best.e AS entry, x.pos, cast(sum(x.v) AS bigint) AS total, count(*) AS n
+    FROM x JOIN a0 a ON x.vec_id = a.vec_id AND x.part = a.part GROUP BY ALL) m
+  ON o.part = m.part AND o.entry = m.entry AND o.pos = m.pos
+), a1 AS (
+  SELECT vec_id, label, part, min(struct_pack(d := d, e := entry)) AS best FROM (
+    SELECT x.vec_id, x.label, x.part, b.entry, cast(sum((x.v - b.v) * (x.v - b.v)) AS bigint) AS d
+    FROM x JOIN b1 b ON x.part = b.part AND x.pos = b.pos GROUP BY ALL) GROUP BY ALL
+), b2 AS (
+  SELECT o.part, o.entry, o.pos, coalesce((m.total - ((m.total % m.n) + m.n) % m.n) // m.n, o.v) AS v
+  FROM b1 o LEFT JOIN (
+    SELECT x.part, a.best.e AS entry, x.pos, cast(sum(x.v) AS bigint) AS total, count(*) AS n
+    FROM x JOIN a1 a ON x.vec_id = a.vec_id AND x.part = a.part GROUP BY ALL) m
+  ON o.part = m.part AND o.entry = m.entry AND o.pos = m.pos
+), a2 AS (
+  SELECT vec_id, label, part, min(struct_pack(d := d, e := entry)) AS best FROM (
+    SELECT x.vec_id, x.label, x.part, b.entry, cast(sum((x.v - b.v) * (x.v - b.v)) AS bigint) AS d
+    FROM x JOIN b2 b ON x.part = b.part AND x.pos = b.pos GROUP BY ALL) GROUP BY ALL
+), r AS (
+  SELECT vec_id, label, string_agg(format('{:02x}', best.e), '' ORDER BY part) AS code, cast(sum(best.d) AS bigint) AS error FROM a2 GROUP BY ALL
+)
+SELECT vec_id, code, error, cast(sum(error) OVER (PARTITION BY label) AS bigint) AS label_error,
+       (SELECT sha256(string_agg(cast(v AS varchar), ',' ORDER BY part, entry, pos)) FROM b2) AS codebooks_sha256 FROM r
+"""
+
 MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
@@ -178,7 +225,8 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_lm_score": op9_lm_score,
     "op10_langid": op10_langid,
+    "op12_codes": op12_codes,
     "op13_mix": op13_mix,
 }
 ORACLE = {"op1_decontaminate": CONTAMINATION_SQL, "op5_substring_dedup": REPEATS_SQL, "op8_line_dedup": LINE_DEDUP_SQL,
-          "op13_mix": MIX_SQL}
+          "op12_codes": CODES_SQL, "op13_mix": MIX_SQL}
