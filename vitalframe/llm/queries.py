@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalframe.llm import codes, decontaminate, langid, linededup, lm, mixing, packing, quality, sharding, simhash, substring, toxicity
+from vitalframe.llm import alignment, codes, decontaminate, langid, linededup, lm, mixing, packing, quality, sharding, simhash, substring, toxicity
 from vitalframe.llm.common import id_bucket, table
 
 
@@ -64,6 +64,10 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (id_bucket(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes of 16 parts, 64 entries each, after 2 rounds over all vectors."""
     return codes.compress(table(spark, sf_dir, "embeddings"))
@@ -225,6 +229,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_lm_score": op9_lm_score,
     "op10_langid": op10_langid,
+    "op11_align": op11_align,
     "op12_codes": op12_codes,
     "op13_mix": op13_mix,
 }
