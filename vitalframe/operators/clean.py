@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from vitalframe.functions.nulls import str_detect
 from vitalframe.operators.aggregate import quantile_by
 from vitalframe.operators.relational import clip as _clip
-from vitalframe.operators.relational import null_where, with_scalars
+from vitalframe.operators.relational import join_same, null_where, with_scalars
 from vitalframe.operators.window import DAY, neighbours
+from vitalframe.session import staged
 
 # fixed values
 NEGATIVE_ALLOWED = "ICP|CPP|SBE"      # measures that may be negative
@@ -56,7 +57,7 @@ def clip_outliers(df: DataFrame, z_max: float = Z_MAX, mode: str = "patient_max"
     group = list(group)
     stats = df.groupBy(*group).agg(F.avg(value).alias("_mu"), F.stddev_samp(value).alias("_sd"))
     pmax = df.groupBy(*group, key).agg(F.max(value).alias("_pmax"))
-    x = df.join(stats, group, "left").join(pmax, group + [key], "left")
+    x = join_same(join_same(df, stats, group), pmax, group + [key])
     z = F.try_divide(F.col(value) - F.col("_mu"), F.col("_sd"))
     out = F.coalesce(F.abs(z) >= F.lit(z_max), F.lit(False))
     if mode == "patient_max":
@@ -83,11 +84,15 @@ def drop_jumps(df: DataFrame, q: float = JUMP_Q, key: str = "pat_id", group=("db
                order=("rel_time", "category", "measure"), value: str = "value",
                chunk: int = DAY) -> DataFrame:
     """Temporal outliers: rows whose jump exceeds the q-quantile of jumps in
-    their source x feature group are removed (exact quantile, bounded memory)."""
+    their source x feature group are removed (exact quantile, bounded memory).
+
+    The scores are written once, for the quantile and for the filter. NULL
+    keys and groups are groups like any other; a row without a value, and a
+    difference to one, counts 0."""
     group = list(group)
-    x = jump_scores(df, key, group[-1], order, value, chunk)
+    x = staged(jump_scores(df, key, group[-1], order, value, chunk), "jumps")
     thr = quantile_by(x, group, "jump", q, name="_thr")
-    return x.join(thr, group, "left").filter(F.col("jump") <= F.col("_thr")).drop("jump", "_thr")
+    return join_same(x, thr, group).filter(F.col("jump") <= F.col("_thr")).drop("jump", "_thr")
 
 
 def min_observations(df: DataFrame, n_max: int = MIN_VITAL_ROWS, key: str = "pat_id",

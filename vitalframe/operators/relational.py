@@ -63,6 +63,37 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "left",
     return j.select(*keys, *lcols, *rcols)
 
 
+NULLS = "_nulls"
+_FILL = {"string": "", "boolean": False, "date": "1970-01-01", "timestamp": "1970-01-01", "timestamp_ntz": "1970-01-01"}
+
+
+def fill_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """NULL keys replaced by a constant and a bit in one more key column, so that scans, aggregates and
+    plain equality joins on the returned keys treat NULL as a value like any other (and share one
+    partitioning). ``restore_keys`` undoes it; keys that are filled already stay as they are."""
+    if NULLS in keys:
+        return df, list(keys)
+    kinds = dict(df.dtypes)
+    bits = [F.when(F.col(k).isNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, k in enumerate(keys)]
+    filled = {k: F.coalesce(F.col(k), F.lit(_FILL.get(kinds[k], 0)).cast(kinds[k])) for k in keys}
+    mask = reduce(lambda a, b: a + b, bits) if bits else F.lit(0)
+    return df.withColumn(NULLS, mask).withColumns(filled), [*keys, NULLS]
+
+
+def restore_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    if NULLS in keys:
+        return df
+    real = {k: F.when(F.col(NULLS).bitwiseAND(1 << i) == 0, F.col(k)) for i, k in enumerate(keys)}
+    return df.withColumns(real).drop(NULLS)
+
+
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join with NULL keys matching NULL; adds the right side's other columns. For small right sides."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def drop_null(df: DataFrame, *cols: str) -> DataFrame:
     cond = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
     return df.filter(cond)

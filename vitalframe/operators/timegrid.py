@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalframe.functions.scalar import floor_to, minutes_between
+from vitalframe.operators import intervals as IV
+from vitalframe.operators.relational import NULLS, fill_keys, restore_keys
 from vitalframe.operators.window import DAY, next_time
 
 OBS_KEYS = ("pat_id", "db", "category", "measure", "measure_norm")
@@ -79,44 +81,30 @@ def to_wide(df: DataFrame, keys: Sequence[str], name: str, value: str, values: S
     return df.groupBy(*keys).pivot(name, list(values)).agg(F.avg(value))
 
 
-def _carry_forward_expand(rows: DataFrame, keys: list[str], extra: list[str], step: int,
-                          chunk: int = 4096, lead_chunk: int = DAY) -> DataFrame:
-    """Grid completion + carry-forward + mean per step.
+def _expand_points(points: DataFrame, keys: list[str], extra: list[str], step: int, chunk: int = 4096) -> DataFrame:
+    """Mean per grid step of real points and of the carried rate on the grid between them.
 
-    ``rows``: keys, extra (e.g. unit), _t, _rate, _closing, _lo, _hi. Per
-    distinct time the per-``extra`` sums and counts are kept, and the row that
-    wins the tie order (closing flag, rate, extra) is the value carried into
-    the following gap. A lead over the distinct times bounds the gap; gap
-    points are generated by explode (arrays of at most ``chunk`` points). The
-    lead is a two-level scan, so no task holds a whole (patient, drug) series.
+    Gap points are generated by explode (arrays of at most ``chunk`` points). At step 1 every point is
+    on the grid and no two rows share one, so the runs are expanded without another aggregation.
     """
-    dtypes = dict(rows.dtypes)
-    order = F.struct(F.col("_closing"), F.col("_rate"), *[F.col(c) for c in extra])
-    val = F.struct(F.col("_rate").alias("rate"), *[F.col(c) for c in extra])
-    per_x = rows.groupBy(*keys, "_t", *extra).agg(
-        F.sum("_rate").alias("_sum"), F.count("_rate").alias("_cnt"),
-        F.max(order).alias("_ord"), F.max_by(val, order).alias("_win"),
-        F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
-    # one row per distinct time; the real rows of that time (one per extra value) ride along
-    per_t = per_x.groupBy(*keys, "_t").agg(
-        F.collect_list(F.struct(*[F.col(c) for c in extra], F.col("_sum"), F.col("_cnt"))).alias("_real"),
-        F.max_by("_win", "_ord").alias("_win"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
-    per_t = next_time(per_t, keys, "_t", "_next", lead_chunk)
+    if step == 1:
+        return IV.expand_runs(IV.runs_of_points(points, keys, extra), "t").select(*keys, *extra, "t", "rate")
+    dtypes = dict(points.select("_win.*").dtypes)
     first = F.col("_lo") + (F.floor((F.col("_t") - F.col("_lo")) / F.lit(step)) + F.lit(1)).cast("bigint") * F.lit(step)
     upto = F.least(F.coalesce(F.col("_next") - F.lit(1), F.col("_hi")), F.col("_hi"))
 
-    def seg(kind, g0, g1, src, total, count):
-        return F.struct(F.lit(kind).alias("kind"), g0.cast("bigint").alias("g0"), g1.cast("bigint").alias("g1"),
+    def seg(g0, g1, src, total, count):
+        return F.struct(g0.cast("bigint").alias("g0"), g1.cast("bigint").alias("g1"),
                         *[src[c].cast(dtypes[c]).alias(c) for c in extra],
                         total.cast("double").alias("sum"), count.cast("bigint").alias("cnt"))
 
-    real = F.transform("_real", lambda r: seg(0, F.col("_t"), F.col("_t"), r, r["_sum"], r["_cnt"]))
+    real = F.transform("_real", lambda r: seg(F.col("_t"), F.col("_t"), r, r["_sum"], r["_cnt"]))
     starts = F.when(first <= upto, F.sequence(first, upto, F.lit(step * chunk).cast("bigint"))) \
         .otherwise(F.array().cast("array<bigint>"))
     win = F.col("_win")
-    gaps = F.transform(starts, lambda c: seg(1, c, F.least(c + F.lit(step * (chunk - 1)), upto), win, win["rate"],
+    gaps = F.transform(starts, lambda c: seg(c, F.least(c + F.lit(step * (chunk - 1)), upto), win, win["rate"],
                                              F.when(win["rate"].isNull(), 0).otherwise(1)))
-    x = per_t.select(*keys, F.explode(F.concat(real, gaps)).alias("_s"))
+    x = points.select(*keys, F.explode(F.concat(real, gaps)).alias("_s"))
     x = x.select(*keys, *[F.col(f"_s.{c}").alias(c) for c in extra], F.col("_s.sum").alias("_sum"),
                  F.col("_s.cnt").alias("_cnt"),
                  F.explode(F.sequence(F.col("_s.g0"), F.col("_s.g1"), F.lit(step).cast("bigint"))).alias("_t"))
@@ -135,27 +123,15 @@ def expand_infusions(df: DataFrame, keys: Sequence[str], start: str, end: str, r
     rate per step. With ``respect_end`` every interval's end closes with a
     0-rate row, unless another interval of the series starts at that time.
 
-    Rows are first aggregated per (keys, time), bounds and closing rows are
+    Where means per hour or doses are wanted, ``intervals.infusion_runs`` holds
+    the same series without per-step rows. Rows are first aggregated per (keys, time), bounds and closing rows are
     small aggregates joined back, and the next-time lookup is a two-level scan
     over time chunks of width ``chunk``, so a (patient, drug) series that holds
     a large share of the rows is spread over many tasks.
     """
-    keys, extra = list(keys), [c for c in close_keys if c not in keys]
-    base = df.select(*keys, *extra, F.col(start).cast("bigint").alias("_t"), F.col(end).cast("bigint").alias("_end"),
-                     F.col(rate).cast("double").alias("_rate"))
-    closing = base.groupBy(*keys, *extra).agg(F.max("_end").alias("_t")) \
-        .select(*keys, *extra, "_t", F.col("_t").alias("_end"), F.lit(0.0).alias("_rate"), F.lit(1).alias("_closing"))
-    if respect_end:
-        starts = base.select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.col("_t").alias("_st")).distinct()
-        same = F.col("_t") == F.col("_st")
-        for k in keys:
-            same = same & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
-        ends = base.select(*keys, *extra, F.col("_end").alias("_t"), "_end", F.lit(0.0).alias("_rate"), F.lit(1).alias("_closing")).distinct()
-        closing = ends.join(starts, same, "left_anti")
-    rows = base.withColumn("_closing", F.lit(0)).unionByName(closing)
-    bounds = rows.groupBy(*keys).agg(F.min("_t").alias("_lo"), F.max("_end").alias("_hi"))
-    x = rows.join(bounds, keys).drop("_end")
-    return _carry_forward_expand(x, keys, extra, step, lead_chunk=chunk)
+    extra = [c for c in close_keys if c not in keys]
+    points = IV.infusion_points(df, keys, start, end, rate, close_keys, chunk, respect_end)
+    return restore_keys(_expand_points(points, [*keys, NULLS], extra, step), keys)
 
 
 def expand_charted(df: DataFrame, keys: Sequence[str], t: str, rate: str, step: int = 1,
@@ -163,11 +139,8 @@ def expand_charted(df: DataFrame, keys: Sequence[str], t: str, rate: str, step:
     """Charted rates -> one rate per step: grid from first to last charting,
     carry forward, mean per step (text rates are read as numbers).
     ``chunk`` as in ``expand_infusions``."""
-    keys, carry = list(keys), list(carry)
-    x = df.select(*keys, *carry, F.col(t).cast("bigint").alias("_t"),
-                  F.col(rate).try_cast("double").alias("_rate"), F.lit(0).alias("_closing"))
-    bounds = x.groupBy(*keys).agg(F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
-    return _carry_forward_expand(x.join(bounds, keys), keys, carry, step, lead_chunk=chunk)
+    points = IV.charted_points(df, keys, t, rate, carry, chunk)
+    return restore_keys(_expand_points(points, [*keys, NULLS], list(carry), step), keys)
 
 
 def expand_bolus(df: DataFrame, keys: Sequence[str], t: str, window: int = 120,
@@ -184,8 +157,8 @@ def expand_bolus(df: DataFrame, keys: Sequence[str], t: str, window: int = 120,
     every minute is generated exactly once, without a distinct over the
     exploded rows, and no task holds a whole (patient, drug) series.
     """
-    keys = list(keys)
-    d = df.select(*keys, F.col(t).cast("bigint").alias("_t")).dropDuplicates(keys + ["_t"])
+    given = list(keys)
+    d, keys = fill_keys(df.select(*given, F.col(t).cast("bigint").alias("_t")).dropDuplicates(given + ["_t"]), given)
     if mode == "per_dose":
         x = next_time(d, keys, "_t", "_next", chunk)
         end = F.least(F.col("_t") + F.lit(window), F.coalesce(F.col("_next") - F.lit(1), F.col("_t") + F.lit(window)))
@@ -200,7 +173,7 @@ def expand_bolus(df: DataFrame, keys: Sequence[str], t: str, window: int = 120,
             .dropDuplicates(keys + ["t"])
     else:
         raise ValueError(f"unknown bolus mode {mode!r}")
-    return out.withColumn("value", F.lit(value))
+    return restore_keys(out, given).withColumn("value", F.lit(value))
 
 
 def to_relative_time(df: DataFrame, stays: DataFrame, key: str, obs_time: str, admit_time: str,

@@ -4,7 +4,8 @@ A window partitioned by (patient, measure) would put a whole series in one
 task, and one patient may hold a large share of all rows. ``locf`` and
 ``neighbours`` cut the ordered time axis into chunks of ``chunk`` time units,
 scan per (keys, chunk) in parallel, and carry boundary values across chunks
-through a small summary (one row per chunk). Row numbers and running sums are
+through a small summary (one row per chunk). NULL keys are a group like any
+other, and rows without a time a chunk of their own. Row numbers and running sums are
 taken over range partitions that are written once, so that the partitions'
 offsets belong to the partitions that the rows are in.
 """
@@ -16,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitalframe.operators.relational import fill_keys, restore_keys
 from vitalframe.session import staged
 
 _UNB = Window.unboundedPreceding
@@ -23,26 +25,30 @@ DAY = 1440
 
 
 def _chunk_col(t: str, chunk: int) -> F.Column:
-    return F.floor(F.col(t) / F.lit(chunk)).cast("bigint")
+    """Chunk number of a time; NULL times come first, as in an ascending order."""
+    return F.coalesce(F.floor(F.col(t) / F.lit(chunk)).cast("bigint"), F.lit(-(1 << 62)))
 
 
 def locf(df: DataFrame, keys: Sequence[str], t: str, cols: Sequence[str],
          chunk: int = DAY, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Carry the last non-NULL value forward along ``t`` within ``keys``."""
-    keys, cols = list(keys), list(cols)
+    given, cols = list(keys), list(cols)
+    x, keys = fill_keys(df, given)
     order = [F.col(t)] + [F.col(c) for c in tiebreak]
-    x = df.withColumn("_chunk", _chunk_col(t, chunk))
+    x = x.withColumn("_chunk", _chunk_col(t, chunk))
     wl = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(_UNB, 0)
     x = x.withColumns({c: F.last(c, ignorenulls=True).over(wl) for c in cols})
     # last non-NULL value of each chunk, then carried across earlier chunks
+    at = F.struct(F.col(t), *[F.col(c) for c in tiebreak if c not in cols])
     summ = x.groupBy(*keys, "_chunk").agg(*[
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(t))).alias(f"_last_{c}") for c in cols])
+        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(f"_last_{c}") for c in cols])
     wc = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(_UNB, -1)
     summ = summ.select(*keys, "_chunk", *[
         F.last(f"_last_{c}", ignorenulls=True).over(wc).alias(f"_in_{c}") for c in cols])
     x = x.join(summ, keys + ["_chunk"], "left")
-    return x.withColumns({c: F.coalesce(F.col(c), F.col(f"_in_{c}")) for c in cols}) \
-            .drop("_chunk", *[f"_in_{c}" for c in cols])
+    x = x.withColumns({c: F.coalesce(F.col(c), F.col(f"_in_{c}")) for c in cols}) \
+         .drop("_chunk", *[f"_in_{c}" for c in cols])
+    return restore_keys(x, given)
 
 
 def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
@@ -50,8 +56,9 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
                chunk: int = DAY) -> DataFrame:
     """Previous and next row's ``value`` within ``keys`` (lag(1), lead(1));
     ``order[0]`` is the numeric time axis."""
-    keys, order = list(keys), list(order)
-    x = df.withColumn("_chunk", _chunk_col(order[0], chunk))
+    given, order = list(keys), list(order)
+    x, keys = fill_keys(df, given)
+    x = x.withColumn("_chunk", _chunk_col(order[0], chunk))
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     wall = Window.partitionBy(*keys, "_chunk")
     x = x.withColumns({"__lag": F.lag(value, 1).over(w), "__lead": F.lead(value, 1).over(w),
@@ -63,23 +70,24 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     summ = summ.select(*keys, "_chunk", F.lag("__last", 1).over(wc).alias("__prev"),
                        F.lead("__first", 1).over(wc).alias("__next"))
     x = x.join(summ, keys + ["_chunk"], "left")
-    return x.withColumns({
+    return restore_keys(x.withColumns({
         lag_name: F.when(F.col("__rn") == 1, F.col("__prev")).otherwise(F.col("__lag")),
         lead_name: F.when(F.col("__rn") == F.col("__cnt"), F.col("__next")).otherwise(F.col("__lead")),
-    }).drop("_chunk", "__lag", "__lead", "__rn", "__cnt", "__prev", "__next")
+    }), given).drop("_chunk", "__lag", "__lead", "__rn", "__cnt", "__prev", "__next")
 
 
 def next_time(df: DataFrame, keys: Sequence[str], t: str, name: str, chunk: int = DAY) -> DataFrame:
     """The next distinct row's time within ``keys``; rows are unique per (keys, t) and ``t`` is never NULL.
 
     A row without a successor in its chunk takes the first time of the next chunk that has rows."""
-    keys = list(keys)
-    x = df.withColumn("_chunk", _chunk_col(t, chunk))
+    given = list(keys)
+    x, keys = fill_keys(df, given)
+    x = x.withColumn("_chunk", _chunk_col(t, chunk))
     x = x.withColumn("__lead", F.lead(t).over(Window.partitionBy(*keys, "_chunk").orderBy(t)))
     summ = x.groupBy(*keys, "_chunk").agg(F.min(t).alias("__first"))
     summ = summ.select(*keys, "_chunk", F.lead("__first").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("__next"))
     x = x.join(summ, keys + ["_chunk"], "left")
-    return x.withColumn(name, F.coalesce("__lead", "__next")).drop("_chunk", "__lead", "__next")
+    return restore_keys(x.withColumn(name, F.coalesce("__lead", "__next")).drop("_chunk", "__lead", "__next"), given)
 
 
 def rank_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn") -> DataFrame:

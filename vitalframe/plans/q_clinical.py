@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from vitalframe.functions import rules as R
 from vitalframe.functions import scalar as S
+from vitalframe.functions.scalar import floor_to
 from vitalframe.operators import cohort as CO
 from vitalframe.operators import harmonise as HA
+from vitalframe.operators import intervals as IV
 from vitalframe.operators import relational as RL
 from vitalframe.operators import timegrid as TG
 from vitalframe.plans.common import r6
@@ -293,41 +295,108 @@ f as (select pat_id, drug, t,
   last_value(rate ignore nulls) over w as rate, last_value(unit ignore nulls) over w as unit
   from fl window w as (partition by pat_id, drug order by t, closing, rate nulls first, unit nulls first
                        rows between unbounded preceding and current row))
-select pat_id, drug, unit, t, round(avg(rate), 6) as rate from f group by 1, 2, 3, 4"""
+select pat_id, drug, unit, cast(floor(t / 30) * 30 as bigint) as t, round(avg(rate), 6) as rate, count(rate) as steps from (
+  select pat_id, drug, unit, t, avg(rate) as rate from f group by 1, 2, 3, 4) group by 1, 2, 3, 4"""
+
+
+def _per_bucket(steps, keys, bucket):
+    """Mean and number of the steps' rates per bucket of steps."""
+    x = steps.groupBy(*keys, floor_to("t", bucket).alias("t"))
+    return r6(x.agg(F.avg("rate").alias("rate"), F.count("rate").alias("steps")), "rate")
 
 
 @register("expand_infusions", EXPAND_INF_SQL, ("infusions",))
 def expand_infusions(spark, sf):
-    """Intervals -> per-step rates (30-day steps of the adapter clock), closing 0-rate row, carry forward."""
+    """Intervals -> a rate for every step of the clock (days), closing 0-rate row, carry forward; shown as 30-step means."""
     i = A.infusions(spark, sf)
     out = TG.expand_infusions(i, ["pat_id", "drug"], "t_start", "t_end", "rate", step=1, close_keys=["unit"])
-    return r6(out, "rate")
+    return _per_bucket(out, ["pat_id", "drug", "unit"], 30)
 
 
 @register("expand_infusions_chunked", EXPAND_INF_SQL, ("infusions",))
 def expand_infusions_chunked(spark, sf):
-    """Infusion expansion through the hot-key-safe path (per-time aggregates, two-level lead over yearly chunks)."""
+    """Infusion expansion with the next-time lookup over yearly chunks."""
     i = A.infusions(spark, sf)
-    out = TG.expand_infusions(i, ["pat_id", "drug"], "t_start", "t_end", "rate", step=1, close_keys=["unit"], chunk=12)
-    return r6(out, "rate")
-
-
-@register("expand_charted", """
+    out = TG.expand_infusions(i, ["pat_id", "drug"], "t_start", "t_end", "rate", step=1, close_keys=["unit"], chunk=365)
+    return _per_bucket(out, ["pat_id", "drug", "unit"], 30)
+
+
+# the series on a minute clock: real points, and the carried rate from the next minute to the next point
+RUNS_SQL = """
+, m as (select pat_id, drug, unit, t_start * 1440 as s, t_end * 1440 as e, rate from infusions),
+p as (select pat_id, drug, unit, s as t, e, rate, 0 as closing from m
+      union all select pat_id, drug, unit, max(e), max(e), 0.0, 1 from m group by 1, 2, 3),
+hi as (select pat_id, drug, max(e) as hi from p group by 1, 2),
+u as (select pat_id, drug, t, unit, avg(rate) as rate from p group by 1, 2, 3, 4),
+w as (select pat_id, drug, t, arg_max(struct_pack(unit := unit, rate := rate), struct_pack(c := closing, r := rate, u := unit)) as win,
+        count(distinct unit) as units from p group by 1, 2, 3),
+g as (select w.*, least(coalesce(lead(t) over (partition by pat_id, drug order by t) - 1, hi), hi) as upto from w join hi using (pat_id, drug)),
+x as (select u.*, g.win, g.upto, units = 1 and u.rate = g.win.rate as whole from u join g using (pat_id, drug, t)),
+runs as (select pat_id, drug, unit, t as start, case when whole then greatest(t, upto) else t end as "end", rate from x
+  union all select distinct pat_id, drug, win.unit, t + 1, upto, win.rate from x where not whole and upto > t)"""
+
+
+def _infusion_runs(spark, sf):
+    """The infusions' series on a minute clock."""
+    i = A.infusions(spark, sf).withColumns({"t_start": F.col("t_start") * 1440, "t_end": F.col("t_end") * 1440})
+    return IV.infusion_runs(i, ["pat_id", "drug"], "t_start", "t_end", "rate", close_keys=["unit"])
+
+
+@register("infusion_runs", RUNS_SQL + """ select pat_id, drug, unit, start, "end", round(rate, 6) as rate from runs""", ("infusions",))
+def infusion_runs(spark, sf):
+    """Infusions as run-length series on a minute clock: every minute is covered, none is a row."""
+    return r6(_infusion_runs(spark, sf), "rate")
+
+
+@register("infusion_means", RUNS_SQL + """
+, b as (select *, unnest(range(cast(floor(start / 43200) as bigint), cast(floor("end" / 43200) as bigint) + 1)) as k from runs),
+o as (select *, least("end", k * 43200 + 43199) - greatest(start, k * 43200) + 1 as n from b)
+select pat_id, drug, unit, k * 43200 as t, round(sum(rate * n) / sum(n), 8) as rate, cast(sum(n) as bigint) as steps from o group by 1, 2, 3, 4""", ("infusions",))
+def infusion_means(spark, sf):
+    """30-day means of the minute series in closed form, from the overlaps of runs and buckets."""
+    x = IV.resample_runs(_infusion_runs(spark, sf), ["pat_id", "drug", "unit"], 43200)
+    return x.withColumn("rate", F.round("rate", 8))  # a 43,200th can end in a half at the seventh place
+
+
+@register("infusion_totals", RUNS_SQL + """
+select pat_id, drug, unit, cast(sum("end" - start + 1) as bigint) as steps,
+  cast(sum(case when rate > 0 then "end" - start + 1 else 0 end) as bigint) as steps_running,
+  round(sum(rate * ("end" - start + 1)), 3) as dose, max(rate) as max_rate from runs group by 1, 2, 3""", ("infusions",))
+def infusion_totals(spark, sf):
+    """Minutes, running minutes, dose and highest rate of every series."""
+    x = IV.run_totals(_infusion_runs(spark, sf), ["pat_id", "drug", "unit"])
+    return x.withColumn("dose", F.round("dose", 3))
+
+
+CHARTED_SQL = """
 , c as (select pat_id, measure as drug, rel_time as t, value as rate from obs where category = 'Med'),
 b as (select pat_id, drug, min(t) as lo, max(t) as hi from c group by 1, 2),
-g as (select pat_id, drug, unnest(range(lo, hi + 1, 60)) as t from b),
+g as (select pat_id, drug, unnest(range(lo, hi + 1)) as t from b),
 miss as (select g.pat_id, g.drug, g.t, cast(null as double) as rate from g
          anti join (select distinct pat_id, drug, t from c) r using (pat_id, drug, t)),
 fl as (select * from c union all select * from miss),
 f as (select pat_id, drug, t, last_value(rate ignore nulls) over (partition by pat_id, drug order by t, rate nulls first
         rows between unbounded preceding and current row) as rate from fl)
-select pat_id, drug, cast(floor(t / 60) * 60 as bigint) as t, round(avg(rate), 6) as rate from f group by 1, 2, 3""",
-          ("obs",))
-def expand_charted(spark, sf):
-    """Charted drug rates -> hourly grid from first to last charting, carried forward."""
-    c = A.obs(spark, sf).filter(F.col("category") == "Med").select(
+select pat_id, drug, cast(floor(t / 60) * 60 as bigint) as t, round(avg(rate), 6) as rate, count(rate) as steps from (
+  select pat_id, drug, t, avg(rate) as rate from f group by 1, 2, 3) group by 1, 2, 3"""
+
+
+def _charted(spark, sf):
+    return A.obs(spark, sf).filter(F.col("category") == "Med").select(
         "pat_id", F.col("measure").alias("drug"), F.col("rel_time").alias("t"), F.col("value").alias("rate"))
-    return r6(TG.expand_charted(c, ["pat_id", "drug"], "t", "rate", step=60), "rate")
+
+
+@register("expand_charted", CHARTED_SQL, ("obs",))
+def expand_charted(spark, sf):
+    """Charted drug rates -> every minute from first to last charting, carried forward; shown as hourly means."""
+    return _per_bucket(TG.expand_charted(_charted(spark, sf), ["pat_id", "drug"], "t", "rate"), ["pat_id", "drug"], 60)
+
+
+@register("charted_means", CHARTED_SQL, ("obs",))
+def charted_means(spark, sf):
+    """The same hourly means in closed form: no row per minute."""
+    runs = IV.charted_runs(_charted(spark, sf), ["pat_id", "drug"], "t", "rate")
+    return r6(IV.resample_runs(runs, ["pat_id", "drug"], 60), "rate")
 
 
 @register("expand_bolus", "select distinct pat_id, drug, unnest(range(t, t + 121)) as t, 1.0::double as value from bolus",

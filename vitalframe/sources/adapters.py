@@ -10,7 +10,7 @@ does work that belongs to an operator.
 | obs         | events                | long observations (pat, db, category, measure, measure_norm, rel_time, value) |
 | obs_dirty   | events                | same, value shifted by -30 and NULL for every 11th event |
 | patients    | customer, nation      | static patient table |
-| infusions   | orders, lineitem      | infusion intervals (start, end, rate) on a 30-day clock |
+| infusions   | orders, lineitem      | infusion intervals (start, end, rate) on a day clock |
 | bolus       | events (purchase)     | single doses with a minute time |
 | wide_vitals | lineitem              | wide measurement rows |
 | text_values | events                | numbers stored as text |
@@ -94,13 +94,13 @@ def infusions(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-    month = lambda c: F.floor(F.datediff(F.col(c), F.lit("1995-01-01").cast("date")) / F.lit(30)).cast("bigint")
+    day = lambda c: F.datediff(F.col(c), F.lit("1995-01-01").cast("date")).cast("bigint")
     return j.select(
         F.col("o_custkey").alias("pat_id"),
         F.col("l_returnflag").alias("drug"),
         F.col("l_linestatus").alias("unit"),
-        month("o_orderdate").alias("t_start"),
-        month("l_shipdate").alias("t_end"),
+        day("o_orderdate").alias("t_start"),
+        day("l_shipdate").alias("t_end"),
         F.col("l_quantity").alias("rate"),
     )
 
@@ -186,8 +186,8 @@ select c_custkey as pat_id,
 from customer join nation on c_nationkey = n_nationkey""",
     "infusions": """
 select o_custkey as pat_id, l_returnflag as drug, l_linestatus as unit,
-  cast(floor(datediff('day', date '1995-01-01', cast(o_orderdate as date)) / 30) as bigint) as t_start,
-  cast(floor(datediff('day', date '1995-01-01', cast(l_shipdate as date)) / 30) as bigint) as t_end,
+  cast(datediff('day', date '1995-01-01', cast(o_orderdate as date)) as bigint) as t_start,
+  cast(datediff('day', date '1995-01-01', cast(l_shipdate as date)) as bigint) as t_end,
   l_quantity as rate
 from lineitem join orders on l_orderkey = o_orderkey""",
     "bolus": f"select pat_id, 'Mannitol' as drug, rel_time as t from (select {_OBS_COLS} from events) where category = 'Med'",
