@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitalframe.operators.relational import fill_keys, join_same, restore_keys
 from vitalframe.session import staged
 
 GROUP = ("db", "measure_norm")
@@ -23,7 +25,7 @@ def zscore(df: DataFrame, group=GROUP, out_keys=OUT_KEYS, value: str = "value")
     """(v - mean) / sd per group (sd 0 -> NULL), then mean per ``out_keys``."""
     group = list(group)
     st = df.groupBy(*group).agg(F.avg(value).alias("_mu"), F.stddev_samp(value).alias("_sd"))
-    x = df.join(st, group, "left").withColumn(
+    x = join_same(df, st, group).withColumn(
         value, F.try_divide(F.col(value) - F.col("_mu"), F.col("_sd")))
     return _finish(x, "mean", out_keys, value)
 
@@ -34,7 +36,7 @@ def minmax(df: DataFrame, group=GROUP, out_keys=OUT_KEYS, value: str = "value",
     group = list(group)
     x = df.fillna(0.0, subset=[value]) if null_to_zero else df
     st = x.groupBy(*group).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    x = x.join(st, group, "left").withColumn(
+    x = join_same(x, st, group).withColumn(
         value, F.try_divide(F.col(value) - F.col("_lo"), F.col("_hi") - F.col("_lo")))
     return _finish(x, agg, out_keys, value)
 
@@ -79,47 +81,112 @@ def yj(x: Column, lam: Column) -> Column:
     return F.when(pos, p).otherwise(n)
 
 
-def fit_yeojohnson(df: DataFrame, group=GROUP, value: str = "value", lo: float = -5.0, hi: float = 5.0,
-                   points: int = 41, passes: int = 4) -> DataFrame:
-    """Maximum-likelihood lambda per group by a zooming grid search (eager, like an estimator's fit).
+BINS = 1024
+# candidates of the first look, and Newton steps after it (from within 1 of the maximum; four reach 1e-7 or better)
+COARSE = tuple(float(k) for k in range(-5, 6))
+STEPS = 5
 
-    log L(l) = -n/2 * ln(var_pop(yj(x, l))) + (l - 1) * sum(sign(x) ln(|x| + 1)).
-    Equal values are collapsed to (value, count) first. Each pass joins them
-    with the ``points`` candidate lambdas of their group (feeding a partial hash
-    aggregate in the same stage, so the pairs never reach the shuffle), keeps the
-    best lambda per group and narrows the grid around it, inside [lo, hi]. The variance is summed around the
-    transformed group mean, so narrow measures keep their digits. The counts
-    are written once for the passes; the result is one small row per group.
-    Constant groups get NULL.
+
+def summarise_values(df: DataFrame, group: Sequence[str], value: str = "value", bins: int = BINS) -> DataFrame:
+    """A mergeable summary of each group's values on the scale u = sign(x) ln(1 + |x|): (group, u, w), at most two
+    weighted points per bin and sign.
+
+    Per bin the count and the first three moments are summed (they add up over any split of the rows); the two
+    points are the Gauss quadrature of these moments, so sums of a smooth function over the points equal sums over
+    the values up to the fourth power of the bin's width. Its size is bounded by the number of bins, not by the data.
     """
-    group = list(group)
     x = staged(df.select(*group, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-               .groupBy(*group, "_x").agg(F.count(F.lit(1)).cast("double").alias("_w"))
-               # one file per shuffle partition: every pass multiplies the few bytes of a value by ``points``
-               .repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "yj-values")
-    base = x.groupBy(*group).agg(
-        F.sum("_w").alias("_n"), F.try_divide(F.sum(F.col("_x") * F.col("_w")), F.sum("_w")).alias("_mid"),
-        F.sum(F.signum("_x") * F.log1p(F.abs("_x")) * F.col("_w")).alias("_c"),
-        (F.min("_x") < F.max("_x")).alias("_varies"))
-    base = staged(base, "yj-groups")
-    step = (hi - lo) / (points - 1)
-    half = (points - 1) // 2
-    centre = base.select(*group, F.lit((lo + hi) / 2.0).alias("_lam"))
-    for _ in range(passes):
-        offs = F.array(*[F.lit(float((k - half) * step)) for k in range(points)])
-        cand = F.greatest(F.lit(lo), F.least(F.lit(hi), F.col("_lam") + F.col("_off")))
-        # one row per group and candidate, with the transformed group mean
-        cands = base.join(centre, group).select(*group, "_mid", "_n", "_c", "_lam", F.explode(offs).alias("_off")) \
-            .select(*group, "_mid", "_n", "_c", cand.alias("_l")).distinct().withColumn("_y0", yj(F.col("_mid"), F.col("_l")))
-        y = (yj(F.col("_x"), F.col("_l")) - F.col("_y0")).alias("_y")
-        sums = x.join(cands, group).select(*group, "_l", "_n", "_c", "_w", y).groupBy(*group, "_l", "_n", "_c").agg(
-            F.sum(F.col("_y") * F.col("_w")).alias("_s"), F.sum(F.col("_y") * F.col("_y") * F.col("_w")).alias("_q"))
-        var = (F.col("_q") - F.col("_s") * F.col("_s") / F.col("_n")) / F.col("_n")
-        ll = F.when(var > 0, -F.col("_n") / 2.0 * F.log(var) + (F.col("_l") - F.lit(1.0)) * F.col("_c"))
-        best = F.max(F.struct(F.coalesce(ll, F.lit(float("-inf"))).alias("ll"), (-F.abs(F.col("_l"))).alias("tie"), F.col("_l").alias("lam")))
-        centre = sums.groupBy(*group).agg(best.alias("_b")).select(*group, F.col("_b.lam").alias("_lam"))
-        step = step * 2.0 / (points - 1)
-    return staged(base.join(centre, group).select(*group, F.when(F.col("_varies"), F.col("_lam")).alias("lambda")), "yj-lambda")
+               .select(*group, (F.signum("_x") * F.log1p(F.abs("_x"))).alias("_u")), "yj-values")
+    span = x.groupBy(*group).agg(F.min("_u").alias("_lo"), F.max("_u").alias("_hi"))
+    span = staged(span.withColumn("_h", F.when(F.col("_hi") > F.col("_lo"), (F.col("_hi") - F.col("_lo")) / bins).otherwise(1.0)), "yj-spans")
+    x = x.join(span, list(group))
+    k = F.least(F.floor((F.col("_u") - F.col("_lo")) / F.col("_h")), F.lit(bins - 1))
+    x = x.select(*group, "_lo", "_h", "_u", k.alias("_k"), (F.col("_u") >= 0).alias("_up"))
+    d = (F.col("_u") - F.col("_lo")) / F.col("_h") - F.col("_k")  # place inside the bin, 0 to 1
+    m = x.groupBy(*group, "_k", "_up").agg(F.count(F.lit(1)).cast("double").alias("_n"), F.sum(d).alias("_s1"), F.sum(d * d).alias("_s2"),
+                                           F.sum(d * d * d).alias("_s3"), F.first("_lo").alias("_lo"), F.first("_h").alias("_h"))
+    mean, second, third = (F.col(f"_s{i}") / F.col("_n") for i in (1, 2, 3))
+    m = m.withColumns({"_m": mean, "_v": second - mean * mean, "_c3": third - mean * second * 3.0 + mean * mean * mean * 2.0})
+    one = F.col("_v") < 1e-12
+    skew = F.col("_c3") / F.when(one, 1.0).otherwise(F.col("_v"))
+    root = F.sqrt(skew * skew + F.when(one, 1.0).otherwise(F.col("_v")) * 4.0)
+    left, right = (skew - root) / 2.0, (skew + root) / 2.0
+    points = F.when(one, F.array(F.struct(F.col("_m").alias("at"), F.col("_n").alias("w")))).otherwise(F.array(
+        F.struct((F.col("_m") + left).alias("at"), (F.col("_n") * right / root).alias("w")),
+        F.struct((F.col("_m") + right).alias("at"), (-F.col("_n") * left / root).alias("w"))))
+    return m.select(*group, "_lo", "_h", "_k", F.explode(points).alias("_p")).select(
+        *group, (F.col("_lo") + (F.col("_k") + F.col("_p.at")) * F.col("_h")).alias("u"), F.col("_p.w").alias("w"))
+
+
+def _power_terms(z: str) -> tuple[str, str, str]:
+    """SQL of (e^z - 1) / z and its first two derivatives; by series near 0, where the closed forms cancel."""
+    closed = (f"expm1({z}) / {z}", f"(exp({z}) * ({z} - 1) + 1) / ({z} * {z})",
+              f"(exp({z}) * ({z} * {z} - 2 * {z} + 2) - 2) / ({z} * {z} * {z})")
+    out = []
+    for order in range(3):
+        series = "0d"
+        for k in range(11, -1, -1):  # the derivative's coefficient of z^k
+            series = f"({series} * {z} + {math.prod(range(k + 1, k + order + 1)) / math.factorial(k + order + 1)!r}d)"
+        out.append(f"if(abs({z}) < 0.5, {series}, {closed[order]})")
+    return tuple(out)
+
+
+def _on_log_scale(df: DataFrame, u: str, lam: str, names: Sequence[str]) -> DataFrame:
+    """Adds the transform of the value at ``u`` and its first two derivatives in lambda."""
+    x = df.withColumn("_z", F.expr(f"if({u} >= 0, {lam}, 2 - {lam}) * abs({u})"))
+    p0, p1, p2 = _power_terms("_z")
+    return x.withColumns({names[0]: F.expr(f"{u} * {p0}"), names[1]: F.expr(f"{u} * {u} * {p1}"),
+                          names[2]: F.expr(f"{u} * {u} * {u} * {p2}")}).drop("_z")
+
+
+def fit_yeojohnson(df: DataFrame, group=GROUP, value: str = "value") -> DataFrame:
+    """Maximum-likelihood lambda per group in [-5, 5], to six decimals (eager, like an estimator's fit).
+
+    log L(l) = -n/2 * ln(var_pop(yj(x, l))) + (l - 1) * sum(sign(x) ln(|x| + 1)).
+    The data are read once into a mergeable summary (``summarise_values``); all groups then search together on
+    it: a first look at eleven lambdas gives a bracket, and Newton steps inside it follow, whose first and second
+    derivatives are sums of one aggregate; a step that leaves the bracket halves it instead. Sums are
+    taken around the transformed group mean, so narrow measures keep their digits. The six decimals make the result
+    independent of the order of summation. Constant groups get NULL; NULL groups are groups.
+    """
+    given = list(group)
+    df, group = fill_keys(df, given)
+    pts = staged(summarise_values(df, group, value), "yj-points")
+    base = pts.groupBy(*group).agg(F.expr("sum(w)").alias("_n"), F.expr("sum(u * w) / sum(w)").alias("_mid"),
+                                   F.expr("sum(u * w)").alias("_c"), F.expr("min(u) < max(u)").alias("_varies"))
+    state = ["_n", "_mid", "_c", "_varies"]
+
+    def at(u: str, lam: float) -> str:  # the transform at a constant lambda
+        up, down = (f"abs({u})" if power == 0 else f"expm1(abs({u}) * {power}) / {power}" for power in (lam, 2.0 - lam))
+        return f"if({u} >= 0, {up}, -({down}))"
+
+    y = [f"({at('u', lam)} - {at('_mid', lam)})" for lam in COARSE]
+    x = pts.join(base, group).select(*group, *state, "w", *[F.expr(e).alias(f"_y{i}") for i, e in enumerate(y)])
+    x = x.groupBy(*group).agg(*[F.expr(f"first({c})").alias(c) for c in state],
+                              *[F.expr(f"sum(_y{i} * w)").alias(f"_s{i}") for i in range(len(COARSE))],
+                              *[F.expr(f"sum(_y{i} * _y{i} * w)").alias(f"_q{i}") for i in range(len(COARSE))])
+    var = [f"((_q{i} - _s{i} * _s{i} / _n) / _n)" for i in range(len(COARSE))]
+    found = [f"struct(if({v} > 0 and {v} < double('inf'), -_n / 2 * ln({v}) + {lam - 1.0}d * _c, double('-inf')) as ll, {-abs(lam)}d as tie, {lam}d as lam)"
+             for v, lam in zip(var, COARSE, strict=True)]
+    x = x.selectExpr(*group, *state, f"greatest({', '.join(found)}).lam as _lam")
+    x = x.selectExpr("*", f"greatest(_lam - 1, {COARSE[0]}d) as _low", f"least(_lam + 1, {COARSE[-1]}d) as _high")
+    state += ["_lam", "_low", "_high"]
+    pairs = ("01", "02", "11", "00")
+    for _ in range(STEPS):
+        x = _on_log_scale(pts.join(_on_log_scale(x, "_mid", "_lam", ("_m0", "_m1", "_m2")), group), "u", "_lam", ("_t0", "_t1", "_t2"))
+        x = x.selectExpr(*group, *state, "w", *[f"_t{k} - _m{k} as _y{k}" for k in range(3)])
+        x = x.groupBy(*group).agg(*[F.expr(f"first({c})").alias(c) for c in state], *[F.expr(f"sum(_y{k} * w)").alias(f"_s{k}") for k in range(3)],
+                                  *[F.expr(f"sum(_y{a} * _y{b} * w)").alias(f"_q{a}{b}") for a, b in pairs])
+        # sums of products around the means, and from them the slope and the curvature of the log likelihood
+        x = x.selectExpr(*group, *state, *[f"_q{a}{b} - _s{a} * _s{b} / _n as _c{a}{b}" for a, b in pairs])
+        x = x.selectExpr(*group, *state, "-_n * try_divide(_c01, _c00) + _c as _g",
+                         "-_n * (try_divide(_c11 + _c02, _c00) - 2 * try_divide(_c01, _c00) * try_divide(_c01, _c00)) as _h")
+        x = x.selectExpr(*group, "_n", "_mid", "_c", "_varies", "_lam", "if(_g > 0, _lam, _low) as _low", "if(_g > 0, _high, _lam) as _high",
+                         "_g", "if(_h < 0, _lam - try_divide(_g, _h), null) as _new")
+        x = x.selectExpr(*group, "_n", "_mid", "_c", "_varies", """case when _g is null or isnan(_g) then _lam
+            when _new between _low and _high then _new else (_low + _high) / 2 end as _lam""", "_low", "_high")
+    out = x.select(*group, F.when(F.col("_varies"), F.round("_lam", 6)).alias("lambda"))
+    return staged(restore_keys(out, given), "yj-lambda")
 
 
 def yeojohnson(df: DataFrame, group=GROUP, out_keys=OUT_KEYS, value: str = "value") -> DataFrame:
@@ -127,7 +194,7 @@ def yeojohnson(df: DataFrame, group=GROUP, out_keys=OUT_KEYS, value: str = "valu
     sample sd 1), then the mean per ``out_keys``."""
     group = list(group)
     lam = fit_yeojohnson(df, group, value)
-    x = df.join(lam, group, "left").withColumn(value, yj(F.col(value), F.col("lambda")))
+    x = join_same(df, lam, group).withColumn(value, yj(F.col(value), F.col("lambda")))
     st = x.groupBy(*group).agg(F.avg(value).alias("_mu"), F.stddev_samp(value).alias("_sd"))
-    x = x.join(st, group, "left").withColumn(value, F.try_divide(F.col(value) - F.col("_mu"), F.col("_sd")))
+    x = join_same(x, st, group).withColumn(value, F.try_divide(F.col(value) - F.col("_mu"), F.col("_sd")))
     return _finish(x.drop("lambda", "_mu", "_sd"), "mean", out_keys, value)

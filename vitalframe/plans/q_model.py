@@ -158,38 +158,37 @@ def _yj_sql(x: str, lam: str) -> str:
             f"else -(pow(1 - {x}, 2 - {lam}) - 1) / (case when abs({lam} - 2) < 1e-12 then 1.0 else 2 - {lam} end) end) end)")
 
 
-def yeojohnson_fit_sql(src: str, points: int = 41, passes: int = 4, lo: float = -5.0, hi: float = 5.0) -> str:
-    """The maximum-likelihood search in SQL: the engine's own population variance at every candidate."""
-    step = (hi - lo) / (points - 1)
-    half = (points - 1) // 2
-    parts = [f"""
+def yeojohnson_fit_sql(src: str, lo: float = -5.0, hi: float = 5.0) -> str:
+    """The maximum-likelihood search in SQL over all values: the best of eleven lambdas, then 34 halvings of the bracket
+    around it by the sign of the likelihood's slope, from the engine's own variance and covariance."""
+    slope = """case when x >= 0 then (case when abs(l) < 1e-6 then ln(1 + x) * ln(1 + x) / 2 else (pow(x + 1, l) * ln(1 + x) - (pow(x + 1, l) - 1) / l) / l end)
+      else (case when abs(2 - l) < 1e-6 then ln(1 - x) * ln(1 - x) / 2 else (pow(1 - x, 2 - l) * ln(1 - x) - (pow(1 - x, 2 - l) - 1) / (2 - l)) / (2 - l) end) end"""
+    return f"""
 , yx as (select db, measure_norm, cast(value as double) as x from {src} where value is not null),
 yb as (select db, measure_norm, count(*) as n, sum(sign(x) * ln(1 + abs(x))) as c, stddev_pop(x) as sd0 from yx group by 1, 2),
-c0 as (select db, measure_norm, {(lo + hi) / 2.0!r} as lam from yb)"""]
-    for p in range(passes):
-        offs = ", ".join(repr(float((k - half) * step)) for k in range(points))
-        parts.append(f"""
-, j{p} as (select yx.db, yx.measure_norm, yx.x, greatest({lo!r}, least({hi!r}, c{p}.lam + o.off)) as l from yx join c{p} using (db, measure_norm),
-           (select unnest([{offs}]::double[]) as off) o),
-s{p} as (select db, measure_norm, l, var_pop({_yj_sql('x', 'l')}) as v
-          from j{p} group by 1, 2, 3),
-ll{p} as (select s{p}.db, s{p}.measure_norm, l, case when v > 0
-            then -n / 2.0 * ln(v) + (l - 1.0) * c else '-inf'::double end as ll
-          from s{p} join yb using (db, measure_norm)),
-c{p + 1} as (select db, measure_norm, l as lam from (select *, row_number() over (partition by db, measure_norm
-            order by ll desc, abs(l), l desc) as rn from ll{p}) where rn = 1)""")
-        step = step * 2.0 / (points - 1)
-    parts.append(f"""
-, ylam as (select yb.db, yb.measure_norm, case when yb.sd0 > 0 then c{passes}.lam end as "lambda"
-           from yb join c{passes} using (db, measure_norm))""")
-    return "".join(parts)
+yg as (select db, measure_norm, cast(unnest(range({int(lo)}, {int(hi)} + 1)) as double) as l from yb),
+yv as (select yx.db, yx.measure_norm, l, var_pop({_yj_sql('x', 'l')}) as v from yx join yg using (db, measure_norm) group by 1, 2, 3),
+y0 as (select db, measure_norm, l as lam from (select yv.*, row_number() over (partition by yv.db, yv.measure_norm
+       order by case when v > 0 then -n / 2.0 * ln(v) + (l - 1.0) * c else '-inf'::double end desc, abs(l), l desc) as rn
+       from yv join yb using (db, measure_norm)) where rn = 1),
+ybis as (
+  with recursive bis as (
+    select y0.db, y0.measure_norm, greatest(y0.lam - 1, {lo!r}) as lo, least(y0.lam + 1, {hi!r}) as hi, 0 as it
+    from y0 join yb using (db, measure_norm) where sd0 > 0
+    union all
+    select db, measure_norm, case when d > 0 then mid else lo end, case when d > 0 then hi else mid end, it + 1 from (
+      select q.db, q.measure_norm, lo, hi, it, l as mid, -any_value(n) * covar_pop({_yj_sql('x', 'l')}, {slope}) / var_pop({_yj_sql('x', 'l')}) + any_value(c) as d
+      from (select b.db, b.measure_norm, b.lo, b.hi, b.it, (b.lo + b.hi) / 2 as l from bis b where it < 34) q
+      join yx on yx.db = q.db and yx.measure_norm = q.measure_norm join yb on yb.db = q.db and yb.measure_norm = q.measure_norm
+      group by q.db, q.measure_norm, lo, hi, it, l))
+  select * from bis where it = 34),
+ylam as (select yb.db, yb.measure_norm, round((ybis.lo + ybis.hi) / 2, 6) as "lambda" from yb left join ybis using (db, measure_norm))"""
 
 
 @register("yeojohnson_lambda", "with obs_dirty as (" + A.SQL["obs_dirty"] + ")" + yeojohnson_fit_sql("obs_dirty")
           + " select db, measure_norm, \"lambda\" from ylam")
 def yeojohnson_lambda(spark, sf):
     """Fitted Yeo-Johnson lambda per source x feature of the shifted values (negatives included)."""
-    # lambda is a grid point reached by the same float additions in both engines: not rounded
     return NO.fit_yeojohnson(A.obs_dirty(spark, sf))
 
 
