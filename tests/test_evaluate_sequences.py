@@ -57,9 +57,9 @@ def test_masked_loss_edge(spark):
 
 def test_sequences_pad_block(spark):
     df = spark.createDataFrame([(1, t, float(t)) for t in (2, 0, 1)] + [(2, 0, 9.0)], "pat_id long, t long, f double")
-    seq = {r.pat_id: r for r in SQ.to_sequences(df, "pat_id", "t", ["f"]).collect()}
+    seq = {r.pat_id: r for r in SQ.whole_sequences(SQ.to_sequences(df, "pat_id", "t", ["f"]), "pat_id").collect()}
     assert [s.t for s in seq[1].steps] == [0, 1, 2] and seq[2].seq_len == 1
-    padded = {r.pat_id: r for r in SQ.pad(SQ.to_sequences(df, "pat_id", "t", ["f"])).collect()}
+    padded = {r.pat_id: r for r in SQ.whole_sequences(SQ.pad(SQ.to_sequences(df, "pat_id", "t", ["f"])), "pat_id").collect()}
     assert [s.x[0] for s in padded[2].steps] == [9.0, 0.0, 0.0]
     blk = {r.pat_id: r for r in SQ.sample_block(SQ.to_sequences(df, "pat_id", "t", ["f"]), 2).collect()}
     assert len(blk[1].x) == 2 and [v[0] for v in blk[2].x] == [0.0, 9.0]
@@ -93,7 +93,7 @@ def test_metric_table_per_step(spark):
 
 def test_sequence_blocks(spark):
     df = spark.createDataFrame([(1, t, float(t)) for t in range(0, 100, 5)], "pat_id long, t long, f double")
-    whole = SQ.to_sequences(df, "pat_id", "t", ["f"]).first()
+    whole = SQ.whole_sequences(SQ.to_sequences(df, "pat_id", "t", ["f"]), "pat_id").first()
     blocks = SQ.to_sequences(df, "pat_id", "t", ["f"], block_span=30).orderBy("block").collect()
     assert [s.t for b in blocks for s in b.steps] == [s.t for s in whole.steps]
     assert max(len(b.steps) for b in blocks) == 6 and blocks[0].seq_len == 20

@@ -182,3 +182,4 @@ def test_small_helpers(spark):
     assert cat.columns == ["pat_id", "critical_short"] and rest.columns == ["pat_id", "icp_pred"]
     path = os.path.join(tempfile.mkdtemp(prefix="run-", dir="/tmp"), "seq")
     assert io.cache_sequences(df, path).count() == 1 and io.cache_sequences(df, path).count() == 1
+    assert len(os.listdir(path)) == 1

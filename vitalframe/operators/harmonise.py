@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalframe.functions import rules as R
-from vitalframe.functions.nulls import str_detect
+from vitalframe.functions.nulls import r_ifelse, str_detect
 from vitalframe.functions.scalar import parse_number
 
 # fixed values: eICU wide vital columns -> measure names
@@ -36,11 +36,12 @@ def derive_pair(df: DataFrame, a: str, b: str, name: str, keys=("pat_id", "db",
 def pupil_reaction(df: DataFrame, label: str = "measure", text: str = "value_text", value: str = "value",
                    unit: str = "unit") -> DataFrame:
     """Light-reaction rows: Brisk/Slug -> 1, Non -> 2; side into ``unit``;
-    label becomes 'Lichtreaktion'. Other rows unchanged."""
+    label becomes 'Lichtreaktion'. A missing text gives a missing value, as
+    an ``ifelse`` on it does. Other rows unchanged."""
     is_lr = F.coalesce(F.col(label).rlike("Lichtreaktion"), F.lit(False))
     v = F.col(value)
-    v = F.when(is_lr & F.coalesce(F.col(text).rlike("Brisk|Slug"), F.lit(False)), F.lit(1.0)).otherwise(v)
-    v = F.when(is_lr & F.coalesce(F.col(text).rlike("Non"), F.lit(False)), F.lit(2.0)).otherwise(v)
+    v = r_ifelse(str_detect(text, "Brisk|Slug"), 1.0, v)
+    v = F.when(is_lr, r_ifelse(str_detect(text, "Non"), 2.0, v)).otherwise(F.col(value))
     u = F.when(is_lr & F.col(label).rlike("re"), F.lit("rechts")).otherwise(F.col(unit))
     u = F.when(is_lr & F.col(label).rlike("li"), F.lit("links")).otherwise(u)
     return df.withColumns({value: v, unit: u,

@@ -1,78 +1,111 @@
-"""Per-patient sequences, padding, blocks, class weights and splits.
-
-A sequence is one row per patient with an array of steps. Inputs are grid
-tables (at most one row per patient and grid time, after the time bound),
-so an array holds at most time_bound / bucket steps: the collect is bounded
-by construction, not by the raw row count.
+"""Per-patient sequences in blocks, padding, drawn windows, class weights and splits.
+
+A sequence is stored as rows (key, block, before, seq_len, steps): the steps of
+one span of time, how many steps the earlier blocks hold (the directory of
+prefix lengths) and the whole sequence's length. No row holds more than one
+block, however long a patient's series is, and a patient with a large share
+of all rows is spread over its blocks' tasks. Padding appends filler blocks; a
+drawn window reads the blocks that it touches. ``whole_sequences`` gives one
+array per patient, for grids that are known to be short.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalframe.functions.scalar import mix_hash
-from vitalframe.operators.relational import with_scalars
+from vitalframe.operators.relational import fill_keys, restore_keys, with_scalars
+
+BLOCK_SPAN = 1440
+# steps of a filler block
+FILL = 1440
+
+
+def directory(df: DataFrame, key: str, t: str, block_span: int = BLOCK_SPAN) -> DataFrame:
+    """(key, block, n, before, seq_len): steps of every block, of the blocks before it and of the whole sequence.
+
+    One row per block: distinct times are counted per block first, and the running sum goes over the counts."""
+    counts = df.select(key, t).distinct().groupBy(key, _block(t, block_span)).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(key).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(key, "block", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
+                         F.sum("n").over(Window.partitionBy(key)).alias("seq_len"))
+
+
+def _block(t: str, block_span: int):
+    return F.floor(F.col(t) / F.lit(block_span)).cast("bigint").alias("block")
 
 
 def to_sequences(df: DataFrame, key: str, t: str, features: Sequence[str],
-                 targets: Sequence[str] = (), block_span: int | None = None) -> DataFrame:
-    """(key, t, features...) rows -> (key, seq_len, steps ARRAY<STRUCT<t, x, y>>)
-    ordered by t; duplicate times are averaged first.
-
-    With ``block_span`` the sequence is stored as consecutive blocks
-    (key, block, steps) covering ``block_span`` time units each, so no row
-    holds more than block_span / step steps however long a series is;
-    ``seq_len`` is still the whole sequence's length."""
+                 targets: Sequence[str] = (), block_span: int = BLOCK_SPAN) -> DataFrame:
+    """(key, t, features...) rows -> (key, block, before, seq_len, steps ARRAY<STRUCT<t, x, y>>), one row per
+    ``block_span`` time units that hold steps; steps are ordered by t, and duplicate times are averaged first.
+    Rows without a time are no steps; a NULL key is a sequence like any other."""
     feats, tgts = list(features), list(targets)
-    one = df.groupBy(key, t).agg(*[F.avg(c).alias(c) for c in feats + tgts])
+    x, _ = fill_keys(df.filter(F.col(t).isNotNull()), [key])
+    # key and mask of a NULL key as one column, so that blocks and directory share it
+    x = x.withColumn("_id", F.struct(key, "_nulls"))
+    one = x.groupBy("_id", t).agg(*[F.avg(c).alias(c) for c in feats + tgts])
     step = F.struct(F.col(t).alias("t"),
                     F.array(*[F.col(c).cast("double") for c in feats]).alias("x"),
                     F.array(*[F.col(c).cast("double") for c in tgts]).alias("y"))
-    if block_span is None:
-        seq = one.groupBy(key).agg(F.array_sort(F.collect_list(step)).alias("steps"))
-        return seq.withColumn("seq_len", F.size("steps"))
-    blk = F.floor(F.col(t) / F.lit(block_span)).cast("bigint").alias("block")
-    seq = one.groupBy(key, blk).agg(F.array_sort(F.collect_list(step)).alias("steps"))
-    lens = one.groupBy(key).agg(F.count(F.lit(1)).alias("seq_len"))
-    return seq.join(lens, key)
+    blocks = one.groupBy("_id", _block(t, block_span)).agg(F.array_sort(F.collect_list(step)).alias("steps"))
+    out = blocks.join(directory(x, "_id", t, block_span).drop("n"), ["_id", "block"])
+    out = out.select(F.col(f"_id.{key}").alias(key), F.col("_id._nulls").alias("_nulls"), "block", "before", "seq_len", "steps")
+    return restore_keys(out, [key])
+
+
+def whole_sequences(seqs: DataFrame, key: str) -> DataFrame:
+    """(key, seq_len, steps): each sequence as one array. Only for sequences that are known to fit into a row."""
+    x = seqs.groupBy(key).agg(F.first("seq_len").alias("seq_len"), F.array_sort(F.collect_list(F.struct("before", "steps"))).alias("_b"))
+    return x.select(key, "seq_len", F.flatten(F.transform("_b", lambda b: b["steps"])).alias("steps"))
+
+
+def _filler(steps):
+    """A step without a time: zero inputs, missing targets, as many as the first of ``steps`` has."""
+    return F.struct(F.lit(None).cast("bigint").alias("t"), F.transform(steps[0]["x"], lambda v: F.lit(0.0)).alias("x"),
+                    F.transform(steps[0]["y"], lambda v: F.lit(None).cast("double")).alias("y"))
 
 
 def pad(seqs: DataFrame, length: int | None = None) -> DataFrame:
-    """Pad every sequence to ``length`` (default: the longest): inputs with
-    zeros, targets with NULL (missing)."""
+    """Every sequence padded to ``length`` (default: the longest): inputs with zeros, targets with NULL (missing).
+
+    Stored blocks stay as they are; filler blocks of at most ``FILL`` steps follow a sequence's last one, numbered on."""
     if length is None:
-        st = seqs.agg(F.max("seq_len").alias("_len"))
-        x = with_scalars(seqs, st)
+        x = with_scalars(seqs, seqs.agg(F.max("seq_len").alias("_len")))
     else:
-        x = seqs.withColumn("_len", F.lit(int(length)))
-    n_missing = F.greatest(F.col("_len") - F.col("seq_len"), F.lit(0))
-    first = F.col("steps")[0]
-    filler = F.struct(F.lit(None).cast("bigint").alias("t"),
-                      F.transform(first["x"], lambda v: F.lit(0.0)).alias("x"),
-                      F.transform(first["y"], lambda v: F.lit(None).cast("double")).alias("y"))
-    return x.withColumn("steps", F.concat(F.col("steps"), F.array_repeat(filler, n_missing))).drop("_len")
+        x = seqs.withColumn("_len", F.lit(int(length)).cast("bigint"))
+    last = x.filter((F.col("before") + F.size("steps") == F.col("seq_len")) & (F.col("seq_len") < F.col("_len")))
+    fill = last.select(*[c for c in x.columns if c not in ("before", "block")], F.col("block").alias("_last"),
+                       F.explode(F.sequence(F.col("seq_len"), F.col("_len") - 1, F.lit(FILL).cast("bigint"))).alias("before"))
+    n = F.least(F.lit(FILL), F.col("_len") - F.col("before")).cast("int")
+    fill = fill.withColumn("block", F.col("_last") + 1 + F.floor((F.col("before") - F.col("seq_len")) / FILL).cast("bigint")) \
+        .withColumn("steps", F.array_repeat(_filler(F.col("steps")), n))
+    return x.drop("_len").unionByName(fill.select(*seqs.columns))
 
 
 def sample_block(seqs: DataFrame, size: int, seed: int = 0, key: str = "pat_id") -> DataFrame:
     """A ``size``-step block per patient: start drawn from a hash of (key,
     seed) in [0, len - size]; shorter sequences are left-padded with zero
-    inputs; the target is the block's last step."""
+    inputs; the target is the block's last step.
+
+    Only blocks that the drawn window touches are kept and cut to it, so at
+    most ``size`` steps per patient are gathered."""
     span = F.greatest(F.col("seq_len") - F.lit(size), F.lit(0))
-    h = mix_hash(key, seed)
-    start = F.when(span > 0, F.pmod(h, span + F.lit(1))).otherwise(F.lit(0))
-    block = F.slice("steps", (start + F.lit(1)).cast("int"), F.lit(size))
-    first = F.col("steps")[0]
-    zero = F.struct(F.lit(None).cast("bigint").alias("t"),
-                    F.transform(first["x"], lambda v: F.lit(0.0)).alias("x"),
-                    F.transform(first["y"], lambda v: F.lit(None).cast("double")).alias("y"))
-    padn = F.greatest(F.lit(size) - F.col("seq_len"), F.lit(0))
-    x = seqs.withColumn("start", start.cast("int")).withColumn(
-        "block", F.concat(F.array_repeat(zero, padn), block))
-    return x.select(key, "start", "seq_len", F.col("block.x").alias("x"),
-                    F.element_at("block", -1)["y"].alias("y"))
+    start = F.when(span > 0, F.pmod(mix_hash(key, seed), span + F.lit(1))).otherwise(F.lit(0))
+    x = seqs.withColumn("start", start.cast("bigint"))
+    end, n = F.col("start") + F.lit(size), F.size("steps")
+    x = x.filter((F.col("before") < end) & (F.col("before") + n > F.col("start")))
+    first = F.greatest(F.col("start") - F.col("before"), F.lit(0))
+    part = F.slice("steps", (first + 1).cast("int"), F.least(n, (end - F.col("before")).cast("int")) - first.cast("int"))
+    x = x.groupBy(key, "start", "seq_len").agg(F.array_sort(F.collect_list(F.struct(F.col("before"), part.alias("steps")))).alias("_b"))
+    x = x.withColumn("_s", F.flatten(F.transform("_b", lambda b: b["steps"])))
+    padn = F.greatest(F.lit(size) - F.col("seq_len"), F.lit(0)).cast("int")
+    x = x.withColumn("_s", F.concat(F.array_repeat(_filler(F.col("_s")), padn), F.col("_s")))
+    return x.select(key, F.col("start").cast("int").alias("start"), "seq_len", F.col("_s.x").alias("x"),
+                    F.element_at("_s", -1)["y"].alias("y"))
 
 
 def class_weights(df: DataFrame, targets: Sequence[str]) -> DataFrame:

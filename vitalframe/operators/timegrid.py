@@ -47,7 +47,8 @@ def complete_grid(df: DataFrame, keys: Sequence[str], t: str, step: int,
     or a column holding each group's start) minus ``start_offset``, to max(t)
     (or max(``end``)), step ``step``. Added rows carry NULL in other columns.
     """
-    keys = list(keys)
+    given = list(keys)
+    df, keys = fill_keys(df, given)
     lo = F.min(t) if start is None else (F.lit(start) if isinstance(start, int) else F.min(start))
     hi = F.max(t) if end is None else F.max(end)
     bounds = df.groupBy(*keys).agg((lo - F.lit(start_offset)).cast("bigint").alias("_lo"),
@@ -56,7 +57,7 @@ def complete_grid(df: DataFrame, keys: Sequence[str], t: str, step: int,
         .drop("_lo", "_hi")
     have = df.select(*keys, t).distinct()
     missing = grid.join(have, keys + [t], "left_anti")
-    return df.unionByName(missing, allowMissingColumns=True)
+    return restore_keys(df.unionByName(missing, allowMissingColumns=True), given)
 
 
 def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:

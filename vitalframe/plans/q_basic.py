@@ -398,10 +398,16 @@ def align_features(spark, sf):
     return RL.align_features(_coded_measures(spark, sf), "eICU", "UKE")
 
 
-@register("feature_diff", CODED_DB_SQL + """
-select distinct measure from f where db = 'eICU' except select distinct measure from f where db = 'MIMIC'""", ("coded",))
+@register("feature_diff", """
+, f as (select * from obs where not (db = 'UKE' and measure = 'CRP') and not (db = 'eICU' and measure = 'SBE'))
+select measure, 'eICU' as side from (select measure from f where db = 'eICU' except select measure from f where db = 'UKE')
+union all select measure, 'UKE' from (select measure from f where db = 'UKE' except select measure from f where db = 'eICU')""", ("obs",))
 def feature_diff(spark, sf):
-    return RL.feature_diff(_coded_measures(spark, sf), "eICU", "MIMIC")
+    """Measures of one source that the other lacks, both ways."""
+    o = A.obs(spark, sf)
+    o = o.filter(~((F.col("db") == "UKE") & (F.col("measure") == "CRP")) & ~((F.col("db") == "eICU") & (F.col("measure") == "SBE")))
+    sides = [RL.feature_diff(o, a, b).withColumn("side", F.lit(a)) for a, b in (("eICU", "UKE"), ("UKE", "eICU"))]
+    return RL.stack(*sides)
 
 
 # ---- H: reshape -------------------------------------------------------------

@@ -180,6 +180,16 @@ def number_patients_remap(spark, sf):
     return o
 
 
+@register("number_patients_static", """
+, both_ as (select distinct db, pat_id from obs where (db, pat_id) in (select db, pat_id from patients)),
+ids as (select db, pat_id, row_number() over (order by db, pat_id) as id_nr from both_)
+select p.* replace (ids.id_nr as pat_id) from patients p join ids on p.db = ids.db and p.pat_id = ids.pat_id""", ("obs", "patients"))
+def number_patients_static(spark, sf):
+    """The static table under the same new ids."""
+    _, p = CO.number_patients(A.obs(spark, sf), A.patients(spark, sf))
+    return p
+
+
 @register("coverage", """
 , o as (select distinct db, pat_id from obs), p as (select distinct db, pat_id from patients)
 select db, count(*) as n, 'static_row' as missing from o where (db, pat_id) not in (select db, pat_id from p) group by db

@@ -10,7 +10,8 @@ from vitalframe.functions.scalar import mix_hash_sql, to_ts
 from vitalframe.operators import features as FE
 from vitalframe.operators import relational as RL
 from vitalframe.operators import sequences as SQ
-from vitalframe.plans.q_model import FEATURES, GRID_SQL, SEQ_FLAT_SQL, _feature_grid, _sequences
+from vitalframe.plans.q_model import FEATURES, GRID_SQL, SEQ_FLAT_SQL, _feature_grid, _positions, _sequences
+from vitalframe.plans.common import r6
 from vitalframe.plans.registry import register
 from vitalframe.session import stage_path
 from vitalframe.sources import adapters as A
@@ -48,12 +49,50 @@ def model_tables_roundtrip(spark, sf):
 @register("sequence_cache", SEQ_FLAT_SQL + """
 select pat_id, cast(seq_len as integer) as seq_len, cast(pos as integer) as pos, rel_time as t, "Vital_HF" as hf from s""", ("obs",))
 def sequence_cache(spark, sf):
-    """Sequences built once, stored, and read from the store the second time."""
+    """Sequences built once, stored under their content's fingerprint, and read from the store the second time."""
     path = stage_path(spark, "sequences")
-    io.cache_sequences(_sequences(spark, sf), path)
-    seq = io.cache_sequences(spark.createDataFrame([], "unused int"), path)  # the stored table wins
-    x = seq.select("pat_id", "seq_len", F.posexplode("steps").alias("p", "step"))
-    return x.select("pat_id", "seq_len", (F.col("p") + 1).alias("pos"), F.col("step.t").alias("t"), F.col("step.x")[1].alias("hf"))
+    io.cache_sequences(_sequences(spark, sf), path, {"span": SQ.BLOCK_SPAN})
+    seq = io.cache_sequences(_sequences(spark, sf), path, {"span": SQ.BLOCK_SPAN})
+    return _positions(seq).select("pat_id", "seq_len", "pos", F.col("step.t").alias("t"), F.col("step.x")[1].alias("hf"))
+
+
+RAW_SQL = """
+with e as (select event_id, user_id, event_type, value, event_id % 4 as f,
+  row_number() over (partition by event_id % 4 order by event_id) + 1 as line,
+  case when event_id % 13 = 0 then concat(event_id, ',', user_id, ',', event_type)
+       when event_id % 17 = 0 then concat(event_id, ',', user_id, ',', event_type, ',12:x')
+       when event_id % 19 = 0 then concat(event_id, ',', user_id, ',', event_type, ',1.5,spare') end as text from events)
+select case when text is null then 'good' else 'quarantine' end as kind, case when text is null then event_id end as event_id,
+  case when text is null then user_id end as user_id, case when text is null then event_type end as event_type,
+  case when text is null then value end as value, case when text is not null then cast(f as integer) end as file,
+  case when text is not null then line end as line, text from e"""
+
+
+def _raw_files(spark, sf, path):
+    """Events as four gzip CSV files with a header; some lines lack a field, have one too many or one that is no number."""
+    e = io.read_table(spark, sf, "events")
+    k = F.col("event_id")
+    start = F.concat_ws(",", k.cast("string"), F.col("user_id").cast("string"), F.col("event_type"))
+    line = (F.when(k % 13 == 0, start).when(k % 17 == 0, F.concat(start, F.lit(",12:x"))).when(k % 19 == 0, F.concat(start, F.lit(",1.5,spare")))
+            .otherwise(F.concat(start, F.lit(","), F.coalesce(F.col("value").cast("string"), F.lit("")))))
+    rows = e.select((k % 4).alias("f"), k.alias("ord"), line.alias("value"))
+    head = spark.range(4).select(F.col("id").alias("f"), F.lit(-1).cast("bigint").alias("ord"), F.lit("event_id,user_id,event_type,value").alias("value"))
+    out = rows.unionByName(head).repartition(4, "f").sortWithinPartitions("f", "ord").drop("ord")
+    out.write.option("compression", "gzip").partitionBy("f").text(path)
+
+
+@register("ingest_raw", RAW_SQL)
+def ingest_raw(spark, sf):
+    """Several gzip CSV files read in parallel: good rows, and the quarantined lines with their place."""
+    path = stage_path(spark, "raw")
+    _raw_files(spark, sf, path)
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+                           T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())])
+    good, bad = io.ingest_raw(spark, [f"{path}/f={k}" for k in range(4)], schema)
+    good = good.withColumns({"kind": F.lit("good"), "file": F.lit(None).cast("int"), "line": F.lit(None).cast("bigint"), "text": F.lit(None).cast("string")})
+    none = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields}
+    bad = bad.withColumns(none | {"kind": F.lit("quarantine"), "file": F.regexp_extract("file", r"f=(\d+)", 1).cast("int")})
+    return good.unionByName(bad)
 
 
 @register("prediction_export", f"""
@@ -138,3 +177,70 @@ def sample_block_padded(spark, sf):
     blk = SQ.sample_block(SQ.to_sequences(fg, "pat_id", "rel_time", FEATURES, targets=["icp_pred"]), 24)
     x = blk.select("pat_id", F.col("y")[0].alias("y"), F.posexplode("x").alias("p", "xs"))
     return x.select("pat_id", (F.col("p") + 1).alias("pos"), F.col("xs")[1].alias("hf"), "y")
+
+
+@register("feature_dictionary", """
+select case when category is null or measure is null then null else concat(category, '_', regexp_replace(measure, '[ -]', '_', 'g')) end as feature, category,
+  cast(to_json(list_sort(list_distinct(list(measure)))) as varchar) as measures, cast(to_json(list_sort(list_distinct(list(db)))) as varchar) as sources, count(*) as n, count(value) as n_values,
+  case when category = 'Med' then 'drug' else 'measurement' end as kind, true as used from obs_dirty group by 1, 2""", ("obs_dirty",))
+def feature_dictionary(spark, sf):
+    """The features found in the rows, written and read back."""
+    path = stage_path(spark, "dictionary")
+    d = io.stage(FE.feature_dictionary(A.obs_dirty(spark, sf)), path)
+    return d.withColumns({"measures": F.to_json("measures"), "sources": F.to_json("sources")})
+
+
+@register("unlisted_measures", """
+select category, measure, db, count(*) as n, case when measure = 'CRP' then 'dropped' else 'not listed' end as reason
+from obs where measure not in ('ICP', 'HF', 'Opioid') group by 1, 2, 3""", ("obs",))
+def unlisted_measures(spark, sf):
+    """Measures without a column in a grid of three features: each has a row with its reason."""
+    return FE.unlisted_measures(A.obs(spark, sf), ["Vital_ICP", "Vital_HF", "Med_Opioid"], drop=["Labor_CRP"])
+
+
+@register("feature_grid_dictionary", GRID_SQL + " select * from fg", ("obs",))
+def feature_grid_dictionary(spark, sf):
+    """The hourly grid with its columns pinned by a stored dictionary instead of a list."""
+    from vitalframe.operators import timegrid as TG
+    rows = TG.resample(A.obs(spark, sf), 60)
+    d = io.stage(FE.feature_dictionary(rows), stage_path(spark, "dictionary"))
+    return r6(FE.feature_grid(rows, 60, d), *FEATURES)
+
+
+@register("align_by_dictionary", """
+, f as (select * from obs where not (db = 'UKE' and measure = 'CRP') and not (db = 'eICU' and measure = 'SBE'))
+select * from f where measure in (select measure from f where db = 'eICU') and measure in (select measure from f where db = 'UKE')""", ("obs",))
+def align_by_dictionary(spark, sf):
+    """Features that both sources hold, by the stored dictionary."""
+    o = A.obs(spark, sf)
+    o = o.filter(~((F.col("db") == "UKE") & (F.col("measure") == "CRP")) & ~((F.col("db") == "eICU") & (F.col("measure") == "SBE")))
+    return FE.align_by_dictionary(o, io.stage(FE.feature_dictionary(o), stage_path(spark, "dictionary")), "eICU", "UKE")
+
+
+@register("diff_tables_equal", "select *, 'only_a' as side from obs where false", ("obs",))
+def diff_tables_equal(spark, sf):
+    """Two exports with the same rows in another order: no row is shuffled, none is reported."""
+    o = A.obs(spark, sf)
+    return FE.diff_tables(o, o.repartition(5, "value"))
+
+
+@register("columns_by_pattern", GRID_SQL + """
+select pat_id, rel_time, "Vital_ICP", "Vital_HF", coalesce("Med_Opioid", 0.0) as "Med_Opioid" from fg""", ("obs",))
+def columns_by_pattern(spark, sf):
+    """Columns picked by their names' start and by a part of it; those with 'Med' filled with 0."""
+    fg = _feature_grid(spark, sf)
+    drugs = RL.cols_like(fg, "Med")
+    return fg.select("pat_id", "rel_time", *RL.cols_like(fg, "Vital", "starts"), *drugs).fillna(0.0, subset=drugs)
+
+
+@register("hour_grid_before", """
+, h as (select pat_id, cast(floor(rel_time / 60) as bigint) as hour, round(max(value), 6) as value from obs where measure = 'ICP' group by 1, 2),
+b as (select pat_id, min(hour) - 6 as lo, max(hour) as hi from h group by 1),
+g as (select pat_id, unnest(range(lo, hi + 1)) as hour from b)
+select pat_id, hour, value from g left join h using (pat_id, hour)""", ("obs",))
+def hour_grid_before(spark, sf):
+    """Hours of ICP on a grid that begins six hours before the first one."""
+    from vitalframe.operators import timegrid as TG
+    o = A.obs(spark, sf).filter(F.col("measure") == "ICP")
+    h = o.groupBy("pat_id", F.floor(F.col("rel_time") / 60).cast("bigint").alias("hour")).agg(F.max("value").alias("value"))
+    return TG.complete_grid(r6(h, "value"), ["pat_id"], "hour", 1, start_offset=6)

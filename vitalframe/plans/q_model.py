@@ -282,6 +282,12 @@ SEQ_FLAT_SQL = GRID_SQL + """
           count(*) over (partition by pat_id) as seq_len, * exclude (pat_id, rel_time) from fg)"""
 
 
+def _positions(seqs):
+    """One row per step with its place in the whole sequence, from 1."""
+    x = seqs.select("pat_id", F.col("seq_len").cast("int").alias("seq_len"), "before", F.posexplode("steps").alias("p", "step"))
+    return x.select("pat_id", "seq_len", (F.col("before") + F.col("p") + 1).cast("int").alias("pos"), "step")
+
+
 @register("to_sequences", SEQ_FLAT_SQL + """
 select pat_id, cast(seq_len as integer) as seq_len, cast(pos as integer) as pos, rel_time as t,
   cast(f.i as integer) as feature, [ "Vital_ICP", "Vital_HF", "Labor_CRP", "BGA_SBE", "Med_Opioid" ][f.i] as x
@@ -289,10 +295,8 @@ from s, (select unnest(range(1, 6)) as i) f""", ("obs",))
 def to_sequences(spark, sf):
     """Per-patient ordered sequences of the hourly feature grid, shown flattened
     (position, feature index) so that both engines can be compared."""
-    seq = _sequences(spark, sf)
-    x = seq.select("pat_id", "seq_len", F.posexplode("steps").alias("p", "step"))
-    x = x.select("pat_id", "seq_len", (F.col("p") + 1).alias("pos"), F.col("step.t").alias("t"),
-                 F.posexplode("step.x").alias("fi", "x"))
+    x = _positions(_sequences(spark, sf)).select("pat_id", "seq_len", "pos", F.col("step.t").alias("t"),
+                                                 F.posexplode("step.x").alias("fi", "x"))
     return x.select("pat_id", "seq_len", "pos", "t", (F.col("fi") + 1).alias("feature"), "x")
 
 
@@ -322,9 +326,7 @@ select p.pat_id, cast(p.pos as integer) as pos,
 from p left join s on p.pat_id = s.pat_id and p.pos = s.pos, (select unnest(range(1, 6)) as i) f""", ("obs",))
 def pad_sequences(spark, sf):
     """Sequences padded to the longest with zero inputs, flattened."""
-    seq = SQ.pad(_sequences(spark, sf))
-    x = seq.select("pat_id", F.posexplode("steps").alias("p", "step"))
-    x = x.select("pat_id", (F.col("p") + 1).alias("pos"), F.posexplode("step.x").alias("fi", "x"))
+    x = _positions(SQ.pad(_sequences(spark, sf))).select("pat_id", "pos", F.posexplode("step.x").alias("fi", "x"))
     return x.select("pat_id", "pos", "x", (F.col("fi") + 1).alias("feature"))
 
 
@@ -344,7 +346,7 @@ def sample_block(spark, sf):
     x = blk.select("pat_id", "start", "seq_len", F.posexplode("x").alias("p", "xs"))
     pad = F.greatest(F.lit(24) - F.col("seq_len"), F.lit(0))
     x = x.filter(F.col("p") >= pad)
-    x = x.select("pat_id", "start", "seq_len", (F.col("p") + 1).alias("pos"), F.posexplode("xs").alias("fi", "x"))
+    x = x.select("pat_id", "start", F.col("seq_len").cast("int").alias("seq_len"), (F.col("p") + 1).alias("pos"), F.posexplode("xs").alias("fi", "x"))
     return x.select("pat_id", "start", "seq_len", "pos", (F.col("fi") + 1).alias("feature"), "x")
 
 

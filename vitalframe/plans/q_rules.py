@@ -153,7 +153,8 @@ def _first_match_sql(rules, columns: dict, default: str) -> str:
 @register("mimic_vital_labels", f"with {CHARTED}, {families_sql(R.MIMIC_VITAL_FAMILIES, 'charted', 'v')}" + """
 select row_id, pat_id, rel_time, value_text,
   case when measure like 'Lichtreaktion%' then 'Lichtreaktion' else measure end as measure,
-  case when measure like 'Lichtreaktion%' and value_text like '%Non%' then 2.0
+  case when measure like 'Lichtreaktion%' and value_text is null then null
+       when measure like 'Lichtreaktion%' and value_text like '%Non%' then 2.0
        when measure like 'Lichtreaktion%' and regexp_matches(value_text, 'Brisk|Slug') then 1.0 else value end as value,
   case when measure = 'Lichtreaktion li' then 'links' when measure = 'Lichtreaktion re' then 'rechts' else unit end as unit from v""")
 def mimic_vital_labels(spark, sf):
