@@ -87,13 +87,29 @@ def test_expansion_splits_series(spark):
 
 def test_preparation_end_to_end(spark):
     from vitalframe.plans.preparation import training_table
-    from vitalframe.plans.q_model import FEATURES
+    from vitalframe.plans.q_model import SHARED, _three_sources
     from vitalframe.sources import adapters as A
-    out = training_table(A.obs(spark, SF001), A.patients(spark, SF001), FEATURES, method="z", z_max=4.0,
-                         min_vital_rows=5)
+    out = training_table(_three_sources(spark, SF001), A.patients(spark, SF001), method="z", z_max=4.0, min_vital_rows=5)
     cols = set(out.columns)
     assert {"pat_id", "rel_time", "horizon_h", "critical_short", "critical_long", "icp_pred", "sex", "outcome",
-            "rel_time_norm"} <= cols and set(FEATURES) <= cols
+            "rel_time_norm"} <= cols and set(SHARED) <= cols and not any("only_here" in c or "Tropo_T" in c for c in cols)
     n = out.count()
     assert n > 0 and n % 14 == 0
     assert out.filter(F.col("Med_Opioid").isNull()).count() == 0
+    ids = sorted(r.pat_id for r in out.select("pat_id").distinct().collect())
+    assert ids[0] >= 1 and ids[-1] <= A.patients(spark, SF001).count()
+
+
+def test_preparation_joins_patients_without_a_shuffle(spark):
+    """Behind the bucketed stages nothing is exchanged by patient, also when nothing is small enough to be broadcast."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k in names:
+            spark.conf.set(k, "-1")
+        text = _plan(QUERIES["prepare_training_table"](spark, SF001))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    exchanges = [line.strip() for line in text.splitlines() if "Exchange" in line]
+    assert "SortMergeJoin" in text and all("SinglePartition" in line for line in exchanges), exchanges

@@ -11,6 +11,7 @@ reference's union of per-family subsets does).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -250,11 +251,16 @@ def convert_units_eicu(df: DataFrame, label: str = "measure", unit: str = "unit"
 
 
 def patch_labels(c: Column | str, patches: Sequence[tuple[str, str]] = LABEL_PATCHES) -> Column:
-    """Relabel: a label matching a patch pattern becomes that patch's label (in order)."""
-    out = F.col(c) if isinstance(c, str) else c
-    for pattern, new in patches:
-        out = F.when(F.coalesce(out.rlike(pattern), F.lit(False)), F.lit(new)).otherwise(out)
-    return out
+    """Relabel: a label matching a patch pattern becomes that patch's label (in order).
+
+    One flat case expression: what later patches make of a new label is known beforehand, so no step repeats the one before it."""
+    old = F.col(c) if isinstance(c, str) else c
+    out = None
+    for i, (pattern, new) in enumerate(patches):
+        for later, newer in patches[i + 1:]:
+            new = newer if re.search(later, new) else new
+        out = (F.when if out is None else out.when)(old.rlike(pattern), F.lit(new))
+    return old if out is None else out.otherwise(old)
 
 
 @dataclass(frozen=True)

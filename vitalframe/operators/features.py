@@ -58,14 +58,15 @@ def align_by_dictionary(df: DataFrame, dictionary: DataFrame, base_db: str, othe
 
 def feature_grid(df: DataFrame, bucket_minutes: int, features: Sequence[str] | DataFrame, key: str = "pat_id",
                  t: str = "rel_time", value: str = "value", drug_prefix: str = "Med_",
-                 drop: Sequence[str] = DROP_FEATURES, unlisted: str = "raise") -> DataFrame:
+                 drop: Sequence[str] = DROP_FEATURES, unlisted: str = "raise", on_grid: bool = False) -> DataFrame:
     """Long rows -> one row per patient and grid time with one column per
     ``<category>_<measure>``: of a list, or the used ones of a stored ``feature_dictionary``, so the schema is pinned; the grid is completed from 0 to the patient's last
     time; drug columns NULL -> 0; ``drop`` features removed.
 
     A measure that is neither listed nor dropped raises while the rows are
     read (no extra pass), unless ``unlisted`` is 'report': then it has no column, and
-    ``unlisted_measures`` lists it. The grid per patient is bounded by (time bound / bucket) rows.
+    ``unlisted_measures`` lists it. With ``on_grid`` the caller states that all times are multiples of the
+    bucket from 0 on (resampled rows behind the time bound), and the grid is joined from the left, which keeps its partitioning by patient. The grid per patient is bounded by (time bound / bucket) rows.
     """
     if unlisted not in ("raise", "report"):
         raise ValueError("unlisted must be 'raise' or 'report'")
@@ -79,7 +80,7 @@ def feature_grid(df: DataFrame, bucket_minutes: int, features: Sequence[str] | D
     wide = x.groupBy(key, t).pivot("_f", list(feats)).agg(F.avg(value))
     bounds = x.groupBy(key).agg(F.lit(0).cast("bigint").alias("_lo"), F.max(t).cast("bigint").alias("_hi"))
     grid = explode_grid(bounds, "_lo", "_hi", bucket_minutes, t).select(key, t)
-    out = grid.join(wide, [key, t], "full")
+    out = grid.join(wide, [key, t], "left" if on_grid else "full")
     drugs = [f for f in feats if f.startswith(drug_prefix)]
     return out.fillna(0.0, subset=drugs) if drugs else out
 

@@ -21,11 +21,17 @@ def _finish(x: DataFrame, agg: str, out_keys: Sequence[str], value: str) -> Data
     return x.groupBy(*out_keys).agg(f(value).alias(value))
 
 
+def _attach(df: DataFrame, stats: DataFrame, group: list[str]) -> DataFrame:
+    """Group statistics on every row. They are written first: the planner then knows their size and broadcasts them if they are
+    small, instead of shuffling all rows by a few large groups."""
+    return join_same(df, staged(stats, "group-stats"), group)
+
+
 def zscore(df: DataFrame, group=GROUP, out_keys=OUT_KEYS, value: str = "value") -> DataFrame:
     """(v - mean) / sd per group (sd 0 -> NULL), then mean per ``out_keys``."""
     group = list(group)
     st = df.groupBy(*group).agg(F.avg(value).alias("_mu"), F.stddev_samp(value).alias("_sd"))
-    x = join_same(df, st, group).withColumn(
+    x = _attach(df, st, group).withColumn(
         value, F.try_divide(F.col(value) - F.col("_mu"), F.col("_sd")))
     return _finish(x, "mean", out_keys, value)
 
@@ -36,7 +42,7 @@ def minmax(df: DataFrame, group=GROUP, out_keys=OUT_KEYS, value: str = "value",
     group = list(group)
     x = df.fillna(0.0, subset=[value]) if null_to_zero else df
     st = x.groupBy(*group).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    x = join_same(x, st, group).withColumn(
+    x = _attach(x, st, group).withColumn(
         value, F.try_divide(F.col(value) - F.col("_lo"), F.col("_hi") - F.col("_lo")))
     return _finish(x, agg, out_keys, value)
 
@@ -81,10 +87,10 @@ def yj(x: Column, lam: Column) -> Column:
     return F.when(pos, p).otherwise(n)
 
 
-BINS = 1024
-# candidates of the first look, and Newton steps after it (from within 1 of the maximum; four reach 1e-7 or better)
+BINS = 4096
+# candidates of the first look, and steps after it (each about cubes the distance from the maximum, which is at most 1 at first)
 COARSE = tuple(float(k) for k in range(-5, 6))
-STEPS = 5
+STEPS = 3
 
 
 def summarise_values(df: DataFrame, group: Sequence[str], value: str = "value", bins: int = BINS) -> DataFrame:
@@ -118,25 +124,26 @@ def summarise_values(df: DataFrame, group: Sequence[str], value: str = "value",
         *group, (F.col("_lo") + (F.col("_k") + F.col("_p.at")) * F.col("_h")).alias("u"), F.col("_p.w").alias("w"))
 
 
-def _power_terms(z: str) -> tuple[str, str, str]:
-    """SQL of (e^z - 1) / z and its first two derivatives; by series near 0, where the closed forms cancel."""
+def _power_terms(z: str) -> tuple[str, str, str, str]:
+    """SQL of (e^z - 1) / z and its first three derivatives; by series near 0, where the closed forms cancel."""
     closed = (f"expm1({z}) / {z}", f"(exp({z}) * ({z} - 1) + 1) / ({z} * {z})",
-              f"(exp({z}) * ({z} * {z} - 2 * {z} + 2) - 2) / ({z} * {z} * {z})")
+              f"(exp({z}) * ({z} * {z} - 2 * {z} + 2) - 2) / ({z} * {z} * {z})",
+              f"(exp({z}) * ({z} * {z} * {z} - 3 * {z} * {z} + 6 * {z} - 6) + 6) / ({z} * {z} * {z} * {z})")
     out = []
-    for order in range(3):
+    for order in range(4):
         series = "0d"
-        for k in range(11, -1, -1):  # the derivative's coefficient of z^k
+        for k in range(13, -1, -1):  # the derivative's coefficient of z^k
             series = f"({series} * {z} + {math.prod(range(k + 1, k + order + 1)) / math.factorial(k + order + 1)!r}d)"
-        out.append(f"if(abs({z}) < 0.5, {series}, {closed[order]})")
+        out.append(f"if(abs({z}) < 0.7, {series}, {closed[order]})")
     return tuple(out)
 
 
 def _on_log_scale(df: DataFrame, u: str, lam: str, names: Sequence[str]) -> DataFrame:
-    """Adds the transform of the value at ``u`` and its first two derivatives in lambda."""
+    """Adds the transform of the value at ``u`` and its first derivatives in lambda, as many as ``names``."""
     x = df.withColumn("_z", F.expr(f"if({u} >= 0, {lam}, 2 - {lam}) * abs({u})"))
-    p0, p1, p2 = _power_terms("_z")
-    return x.withColumns({names[0]: F.expr(f"{u} * {p0}"), names[1]: F.expr(f"{u} * {u} * {p1}"),
-                          names[2]: F.expr(f"{u} * {u} * {u} * {p2}")}).drop("_z")
+    # below 0 the power is 2 - lambda, so odd derivatives change their sign there as the value does
+    scale = (u, f"{u} * {u}", f"{u} * {u} * {u}", f"{u} * {u} * {u} * {u}")
+    return x.withColumns({name: F.expr(f"{a} * {b}") for name, a, b in zip(names, scale, _power_terms("_z"), strict=False)}).drop("_z")
 
 
 def fit_yeojohnson(df: DataFrame, group=GROUP, value: str = "value") -> DataFrame:
@@ -149,6 +156,11 @@ def fit_yeojohnson(df: DataFrame, group=GROUP, value: str = "value") -> DataFram
     taken around the transformed group mean, so narrow measures keep their digits. The six decimals make the result
     independent of the order of summation. Constant groups get NULL; NULL groups are groups.
     """
+    return _fit(df, group, value).drop("_mu", "_sd")
+
+
+def _fit(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """(group, lambda, _mu, _sd): the last two are mean and sample sd of the transformed values."""
     given = list(group)
     df, group = fill_keys(df, given)
     pts = staged(summarise_values(df, group, value), "yj-points")
@@ -171,30 +183,34 @@ def fit_yeojohnson(df: DataFrame, group=GROUP, value: str = "value") -> DataFram
     x = x.selectExpr(*group, *state, f"greatest({', '.join(found)}).lam as _lam")
     x = x.selectExpr("*", f"greatest(_lam - 1, {COARSE[0]}d) as _low", f"least(_lam + 1, {COARSE[-1]}d) as _high")
     state += ["_lam", "_low", "_high"]
-    pairs = ("01", "02", "11", "00")
+    pairs = ("00", "01", "02", "11", "03", "12")
     for _ in range(STEPS):
-        x = _on_log_scale(pts.join(_on_log_scale(x, "_mid", "_lam", ("_m0", "_m1", "_m2")), group), "u", "_lam", ("_t0", "_t1", "_t2"))
-        x = x.selectExpr(*group, *state, "w", *[f"_t{k} - _m{k} as _y{k}" for k in range(3)])
-        x = x.groupBy(*group).agg(*[F.expr(f"first({c})").alias(c) for c in state], *[F.expr(f"sum(_y{k} * w)").alias(f"_s{k}") for k in range(3)],
+        mid, own = [f"_m{k}" for k in range(4)], [f"_t{k}" for k in range(4)]
+        x = _on_log_scale(pts.join(_on_log_scale(x, "_mid", "_lam", mid), group), "u", "_lam", own)
+        x = x.selectExpr(*group, *state, "w", *[f"_t{k} - _m{k} as _y{k}" for k in range(4)])
+        x = x.groupBy(*group).agg(*[F.expr(f"first({c})").alias(c) for c in state], *[F.expr(f"sum(_y{k} * w)").alias(f"_s{k}") for k in range(4)],
                                   *[F.expr(f"sum(_y{a} * _y{b} * w)").alias(f"_q{a}{b}") for a, b in pairs])
-        # sums of products around the means, and from them the slope and the curvature of the log likelihood
+        # sums of products around the means; the variance's derivatives by the variance; those of the log likelihood
         x = x.selectExpr(*group, *state, *[f"_q{a}{b} - _s{a} * _s{b} / _n as _c{a}{b}" for a, b in pairs])
-        x = x.selectExpr(*group, *state, "-_n * try_divide(_c01, _c00) + _c as _g",
-                         "-_n * (try_divide(_c11 + _c02, _c00) - 2 * try_divide(_c01, _c00) * try_divide(_c01, _c00)) as _h")
+        x = x.selectExpr(*group, *state, "2 * try_divide(_c01, _c00) as _v1", "2 * try_divide(_c11 + _c02, _c00) as _v2", "2 * try_divide(3 * _c12 + _c03, _c00) as _v3")
+        x = x.selectExpr(*group, *state, "-_n / 2 * _v1 + _c as _g", "-_n / 2 * (_v2 - _v1 * _v1) as _h", "-_n / 2 * (_v3 - 3 * _v1 * _v2 + 2 * _v1 * _v1 * _v1) as _j")
         x = x.selectExpr(*group, "_n", "_mid", "_c", "_varies", "_lam", "if(_g > 0, _lam, _low) as _low", "if(_g > 0, _high, _lam) as _high",
-                         "_g", "if(_h < 0, _lam - try_divide(_g, _h), null) as _new")
+                         "_g", "if(_h < 0, _lam - try_divide(2 * _g * _h, 2 * _h * _h - _g * _j), null) as _new")
         x = x.selectExpr(*group, "_n", "_mid", "_c", "_varies", """case when _g is null or isnan(_g) then _lam
             when _new between _low and _high then _new else (_low + _high) / 2 end as _lam""", "_low", "_high")
-    out = x.select(*group, F.when(F.col("_varies"), F.round("_lam", 6)).alias("lambda"))
+    x = x.select(*group, "_n", "_mid", F.when(F.col("_varies"), F.round("_lam", 6)).alias("lambda"))
+    # mean and sample sd of the transformed values, from the same points
+    x = _on_log_scale(pts.join(_on_log_scale(x, "_mid", "`lambda`", ("_m0", "_m1", "_m2")), group), "u", "`lambda`", ("_t0", "_t1", "_t2"))
+    x = x.selectExpr(*group, "`lambda`", "_n", "_m0", "w", "_t0 - _m0 as _y").groupBy(*group).agg(
+        *[F.expr(f"first(`{c}`)").alias(c) for c in ("lambda", "_n", "_m0")], F.expr("sum(_y * w)").alias("_s"), F.expr("sum(_y * _y * w)").alias("_q"))
+    out = x.selectExpr(*group, "`lambda`", "_m0 + _s / _n as _mu", "sqrt(try_divide(_q - _s * _s / _n, _n - 1)) as _sd")
     return staged(restore_keys(out, given), "yj-lambda")
 
 
 def yeojohnson(df: DataFrame, group=GROUP, out_keys=OUT_KEYS, value: str = "value") -> DataFrame:
     """Yeo-Johnson with the fitted lambda, standardised per group (mean 0,
-    sample sd 1), then the mean per ``out_keys``."""
+    sample sd 1), then the mean per ``out_keys``. The rows are read twice: for the summary, and to be transformed."""
     group = list(group)
-    lam = fit_yeojohnson(df, group, value)
-    x = join_same(df, lam, group).withColumn(value, yj(F.col(value), F.col("lambda")))
-    st = x.groupBy(*group).agg(F.avg(value).alias("_mu"), F.stddev_samp(value).alias("_sd"))
-    x = join_same(x, st, group).withColumn(value, F.try_divide(F.col(value) - F.col("_mu"), F.col("_sd")))
+    x = join_same(df, _fit(df, group, value), group).withColumn(value, yj(F.col(value), F.col("lambda")))
+    x = x.withColumn(value, F.try_divide(F.col(value) - F.col("_mu"), F.col("_sd")))
     return _finish(x.drop("lambda", "_mu", "_sd"), "mean", out_keys, value)

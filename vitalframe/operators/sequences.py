@@ -18,20 +18,19 @@ from pyspark.sql import functions as F
 
 from vitalframe.functions.scalar import mix_hash
 from vitalframe.operators.relational import fill_keys, restore_keys, with_scalars
+from vitalframe.session import staged
 
 BLOCK_SPAN = 1440
 # steps of a filler block
 FILL = 1440
 
 
-def directory(df: DataFrame, key: str, t: str, block_span: int = BLOCK_SPAN) -> DataFrame:
-    """(key, block, n, before, seq_len): steps of every block, of the blocks before it and of the whole sequence.
-
-    One row per block: distinct times are counted per block first, and the running sum goes over the counts."""
-    counts = df.select(key, t).distinct().groupBy(key, _block(t, block_span)).agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy(key).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(key, "block", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
-                         F.sum("n").over(Window.partitionBy(key)).alias("seq_len"))
+def directory(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, block, before, seq_len): steps of the blocks before and of the whole sequence. ``blocks``: keys, block, n; one row per
+    block, without its steps."""
+    before = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.select(*keys, "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
+                         F.sum("n").over(Window.partitionBy(*keys)).alias("seq_len"))
 
 
 def _block(t: str, block_span: int):
@@ -41,20 +40,18 @@ def _block(t: str, block_span: int):
 def to_sequences(df: DataFrame, key: str, t: str, features: Sequence[str],
                  targets: Sequence[str] = (), block_span: int = BLOCK_SPAN) -> DataFrame:
     """(key, t, features...) rows -> (key, block, before, seq_len, steps ARRAY<STRUCT<t, x, y>>), one row per
-    ``block_span`` time units that hold steps; steps are ordered by t, and duplicate times are averaged first.
+    ``block_span`` time units that hold steps; steps are ordered by t, and duplicate times are averaged first. Blocks are written once; the directory is made of their lengths.
     Rows without a time are no steps; a NULL key is a sequence like any other."""
     feats, tgts = list(features), list(targets)
-    x, _ = fill_keys(df.filter(F.col(t).isNotNull()), [key])
-    # key and mask of a NULL key as one column, so that blocks and directory share it
-    x = x.withColumn("_id", F.struct(key, "_nulls"))
-    one = x.groupBy("_id", t).agg(*[F.avg(c).alias(c) for c in feats + tgts])
+    x, keys = fill_keys(df.filter(F.col(t).isNotNull()), [key])
+    one = x.groupBy(*keys, t).agg(*[F.avg(c).alias(c) for c in feats + tgts])
     step = F.struct(F.col(t).alias("t"),
                     F.array(*[F.col(c).cast("double") for c in feats]).alias("x"),
                     F.array(*[F.col(c).cast("double") for c in tgts]).alias("y"))
-    blocks = one.groupBy("_id", _block(t, block_span)).agg(F.array_sort(F.collect_list(step)).alias("steps"))
-    out = blocks.join(directory(x, "_id", t, block_span).drop("n"), ["_id", "block"])
-    out = out.select(F.col(f"_id.{key}").alias(key), F.col("_id._nulls").alias("_nulls"), "block", "before", "seq_len", "steps")
-    return restore_keys(out, [key])
+    blocks = one.groupBy(*keys, _block(t, block_span)).agg(F.array_sort(F.collect_list(step)).alias("steps"))
+    blocks = staged(blocks.withColumn("n", F.size("steps").cast("bigint")), "blocks")
+    out = blocks.drop("n").join(directory(blocks.select(*keys, "block", "n"), keys), [*keys, "block"])
+    return restore_keys(out, [key]).select(key, "block", "before", "seq_len", "steps")
 
 
 def whole_sequences(seqs: DataFrame, key: str) -> DataFrame:

@@ -480,7 +480,21 @@ def mean_fold_loss(spark, sf):
     return r6(EV.mean_fold_loss(fl, "loss", "fold5"), "mean_loss")
 
 
+# columns of the end-to-end table: what the base source and the other one share after the patches
+SHARED = ("BGA_SBE", "BGA_Troponin", "Labor_CRP", "Med_Opioid", "Vital_HF", "Vital_ICP")
+
+
+def _three_sources(spark, sf):
+    """Observations whose sources differ in a label's spelling and in a measure that only one of them has."""
+    o, even = A.obs(spark, sf), F.pmod("pat_id", F.lit(2)) == 0
+    sbe = (F.col("measure") == "SBE") & even
+    label = (F.when((F.col("db") == "UKE") & sbe, "Tropo T").when((F.col("db") == "eICU") & sbe, "Troponin")
+             .when((F.col("db") == "MIMIC") & (F.col("measure") == "CRP") & even, "only here").otherwise(F.col("measure")))
+    return o.withColumn("measure", label)
+
+
 def _preparation_sql() -> str:
+    FEATURES = SHARED
     feats = ", ".join(f"avg(case when category = '{f.split('_', 1)[0]}' and measure = '{f.split('_', 1)[1]}' then value end)"
                       f" as \"{f}\"" for f in FEATURES)
     fg_cols = ", ".join((f'coalesce(w."{f}", 0.0) as "{f}"' if f.startswith("Med_") else f'w."{f}"') for f in FEATURES)
@@ -490,7 +504,16 @@ def _preparation_sql() -> str:
                             + [f"case when {c} = '{v}' then 1.0::double else 0.0::double end as {c}_{v}" for c, vs in levels.items() for v in vs])
     static_names = ", ".join(["age", "height_cm", "weight_kg"] + [f"{c}_{v}" for c, vs in levels.items() for v in vs])
     return (f"with obs as ({A.SQL['obs']}), patients as ({A.SQL['patients']})" + """
-, o1 as (select * from obs where value is not null and not (not regexp_matches(measure, 'ICP|CPP|SBE') and value < 0)),
+, ob0 as (select * replace (case when measure = 'SBE' and pat_id % 2 = 0 and db = 'UKE' then 'Tropo T' when measure = 'SBE' and pat_id % 2 = 0 and db = 'eICU' then 'Troponin'
+            when measure = 'CRP' and pat_id % 2 = 0 and db = 'MIMIC' then 'only here' else measure end as measure) from obs),
+ob1 as (select * replace (case when db <> 'UKE' then measure when contains(measure, 'AST') then 'AST' when contains(measure, 'ALT') then 'ALT'
+            when contains(measure, 'Alk') then 'Alk' when contains(measure, 'Tropo') then 'Troponin' when contains(measure, 'pankreas') then 'pankreasspez'
+            when contains(measure, 'Phospha') then 'Phosphat' when contains(measure, 'FO2') then 'FiO2' else measure end as measure) from ob0),
+ob2 as (select * from ob1 where measure in (select measure from ob1 where db = 'eICU') and measure in (select measure from ob1 where db = 'UKE')),
+ids as (select db, pat_id, row_number() over (order by db, pat_id) as id_nr from (select distinct db, pat_id from ob2) where (db, pat_id) in (select db, pat_id from patients)),
+ob as (select ob2.* replace (ids.id_nr as pat_id) from ob2 join ids on ob2.db = ids.db and ob2.pat_id = ids.pat_id),
+pt as (select p.* replace (ids.id_nr as pat_id) from patients p join ids on p.db = ids.db and p.pat_id = ids.pat_id),
+o1 as (select * from ob where value is not null and not (not regexp_matches(measure, 'ICP|CPP|SBE') and value < 0)),
 o2 as (select pat_id, db, category, measure, measure_norm, rel_time,
          case when regexp_matches(measure, 'SpO2|sO2') and value > 100.0 then 100.0 else value end as value from o1),
 o3 as (select * from o2 where value is not null and rel_time > 0 and rel_time < 48153),
@@ -533,7 +556,7 @@ icp as (select pat_id, rel_time, avg(value) as icp_pred from cl where measure =
 gi as (select fg.*, icp.icp_pred from fg left join icp using (pat_id, rel_time)),
 gh as (select gi.*, cast(hz.horizon_h as integer) as horizon_h from gi cross join hz),
 p0 as (select pat_id, db, sex, outcome, diagnosis, case when age >= 5.0 then age end as age,
-         case when height_cm >= 50.0 then height_cm end as height_cm, weight_kg from patients),
+         case when height_cm >= 50.0 then height_cm end as height_cm, weight_kg from pt),
 p1 as (select pat_id, db, sex, outcome, diagnosis, coalesce(age, avg(age) over s) as age,
          coalesce(height_cm, avg(height_cm) over s) as height_cm, coalesce(weight_kg, avg(weight_kg) over s) as weight_kg
        from p0 window s as (partition by sex)),
@@ -551,8 +574,8 @@ from fin""")
 
 @register("prepare_training_table", _preparation_sql())
 def prepare_training_table(spark, sf):
-    """End-to-end: clean + resample 5 min + outliers + few-vitals rule (staged), hourly phases and 14
-    horizons, 60-min Yeo-Johnson normalisation, wide grid, labels and static targets in one table."""
+    """End-to-end: label patches, aligned features, new ids, clean + resample 5 min + outliers + few-vitals rule (staged), hourly phases
+    and 14 horizons, 60-min Yeo-Johnson normalisation, wide grid, labels and static targets in one table."""
     from vitalframe.plans.preparation import training_table as tt
-    out = tt(A.obs(spark, sf), A.patients(spark, sf), FEATURES, z_max=4.0, min_vital_rows=25)
-    return r6(out, *FEATURES, "icp_pred", "rel_time_norm", "age", "height_cm", "weight_kg")
+    out = tt(_three_sources(spark, sf), A.patients(spark, sf), z_max=4.0, min_vital_rows=25)
+    return r6(out, *SHARED, "icp_pred", "rel_time_norm", "age", "height_cm", "weight_kg")
