@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -95,6 +96,20 @@ def staged_by(df: DataFrame, name: str, key: str, buckets: int | None = None) ->
     return spark.table(table)
 
 
+def stage_paths() -> tuple[str, ...]:
+    """The tables staged so far and not dropped."""
+    return tuple(_paths)
+
+
+def drop_paths(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete some staged tables that no result needs any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in set(paths) & set(_paths):
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+        _paths.remove(name)
+
+
 def drop_stages(spark: SparkSession) -> int:
     """Delete the tables staged so far, once the results built on them have been written; returns how many."""
     while _tables:
