@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -62,3 +63,22 @@ def test_edge_cases(spark):
     check(packing.pack(docs, with_ids=True).collect(), dict(enumerate(texts)))
     assert packing.pack(docs.limit(0)).count() == 0
     assert packing.pack(docs_of(spark, [None]).union(docs_of(spark, [None]))).count() == 2
+
+
+ODD = ["\u0130", "\u0131", "\u0307", "\u0301", "\u00d7", "\u00f7", "\u00df", "\u0149", "\u01c5", "\u017f", "\u00e9", "e\u0301", "\ufb01", "\u4e2d\u6587", "\u0e01\u0e33",
+       "\u0434\u0430", "\u05d0\u05b8", "\u0928\u093f", "\U0001f600\U0001f3fd", "\u200d", "\u200b", "\ufeff", "\u00ad", "\u00a0", "\u2003", "\u3000", "\u2028", "\u0085", "\t", "\n", "\x0b", "\x1c",
+       "\x00", ".", ",", "!", "'", "'s", "'ll", "-", "(", ")", "<|endoftext|>", "</w>", "a", "Abc", "don't", "I", "9", "12345", "\u0664", "\u00b2", "\u00bd", "_", "\u2026", "\u201c", "\u20ac"]
+
+
+def test_random_texts_of_odd_characters():
+    """Pieces tokenized apart give the ids of the whole text, whatever the scripts, marks and separators."""
+    rnd = random.Random(7)
+    texts = ["".join(rnd.choice(ODD + [" "] * 10) for _ in range(rnd.randint(1, 12))) for _ in range(12_000)]
+    encoder = packing.Encoder(None)
+    for k in range(0, len(texts), 500):
+        part = texts[k:k + 500]
+        raw = [t.encode() for t in part]
+        offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+        ids, first, _, _ = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
+        for t, a, b in zip(part, first[:-1], first[1:], strict=True):
+            assert ids[a:b].tolist() == ids_of(t), repr(t)

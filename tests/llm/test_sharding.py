@@ -62,3 +62,49 @@ def test_edge_cases(spark):
     assert len({(r["shard"], r["slot"]) for r in rows}) == 25
     assert {r["size"] for r in rows if r["doc_id"] == 0} == {8, 11}
     assert sharding.shard_rows(docs.limit(0), 24).count() == 0
+
+
+def plain_shards(rows, shards, points):
+    """The ring walked row by row: every arc's own shard first up to its bound, then overflow clockwise."""
+    position, owner = sharding.ring(shards, points)
+    bound = sharding.bounds(len(rows), shards)
+    arcs = defaultdict(int)
+    for spot in rows:
+        arcs[next((a for a, p in enumerate(position) if p >= spot), 0)] += 1
+    load = Counter()
+    rest = []
+    for a in range(len(owner)):
+        for _ in range(arcs[a]):
+            if load[owner[a]] < bound[owner[a]]:
+                load[owner[a]] += 1
+            else:
+                rest.append(a)
+    for a in rest:
+        while load[owner[a]] >= bound[owner[a]]:
+            a = (a + 1) % len(owner)
+        load[owner[a]] += 1
+    return load, arcs
+
+
+def test_loads_equal_a_plain_ring(spark):
+    docs = spark.range(700).select((F.col("id") % 90).alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"))
+    rows = sharding.shard_rows(docs, 7, points=5).collect()
+    spots = [r[0] for r in docs.select(F.xxhash64("doc_id")).collect()]
+    load, _ = plain_shards(spots, 7, 5)
+    assert Counter(r["shard"] for r in rows) == load
+    position, owner = sharding.ring(7, 5)
+    home = {r["doc_id"]: r["home"] for r in rows}
+    for d, spot in zip((r["doc_id"] for r in docs.collect()), spots, strict=True):
+        assert home[d] == owner[next((a for a, p in enumerate(position) if p >= spot), 0)]
+
+
+def test_hot_id_and_hot_row_are_spread(spark):
+    one = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    same = spark.range(3000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("copy " * 2000).alias("text"))
+    other = spark.range(3000).select((F.col("id") + 10).alias("doc_id"), F.lit("x").alias("text"))
+    rows = sharding.shard_rows(one.union(same).union(other), 24).collect()
+    load = Counter(r["shard"] for r in rows)
+    assert len(rows) == 9000 and set(load.values()) == {375}
+    assert len({(r["shard"], r["slot"]) for r in rows}) == 9000
+    parts = one.select(F.pmod(F.xxhash64("doc_id", (F.octet_length("text") + 8).cast("long"), F.crc32(F.col("text").cast("binary"))), F.lit(sharding.PARTS)).alias("p"))
+    assert parts.groupBy("p").count().agg(F.max("count")).first()[0] < 3000 / sharding.PARTS * 2

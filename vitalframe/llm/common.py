@@ -7,7 +7,7 @@ buffer, without a Python object per word. A null text is an empty range of it.
 
 from __future__ import annotations
 
-import uuid
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalframe.session import checkpoint_dir
+from vitalframe.session import staged
 
 # Bytes of text handled together by one numpy step; a longer document is a block of its own.
 BLOCK_BYTES = 4 << 20
@@ -44,25 +44,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+# files whose numbers are sent to all tasks (a few MB); rows of more files are numbered in a staged copy
+NUMBERED_FILES = 50_000
+_ROWWISE = re.compile(r"[\s:+-]*(Project|Filter|SubqueryAlias|Relation) ")
 
 
-def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back: the lineage is
-    cut, a lost executor costs no recomputation, and rows stay as they were written."""
-    path = stage_path(df.sparkSession, name)
-    df.write.parquet(path, compression=compression)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _files(docs: DataFrame) -> list[str]:
+    """The Parquet files that ``docs`` reads row by row (a scan, with projections and filters at most); none if it is made otherwise."""
+    plan = docs._jdf.queryExecution().analyzed()
+    lines = plan.toString().strip().split("\n")
+    if not (plan.deterministic() and all(_ROWWISE.match(x) for x in lines) and re.search(r"Relation \S*\[.*\] parquet$", lines[-1])):
+        return []
+    return sorted({_one_slash(f) for f in docs.inputFiles()})
+
+
+def _one_slash(path: str) -> str:
+    return re.sub(r"^(\w+):/+", r"\1:/", path)
 
 
 def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """A staged copy of ``docs`` with a number of its own for every row, and that column's name, which no column of ``docs`` has."""
+    """``docs`` with a number of its own for every row, and that column's name, which no column of ``docs`` has.
+
+    Rows of Parquet files are numbered by file and place in the file, which every read finds again, however the files are
+    split into tasks; other rows are written once with their number."""
     row, taken = "_row", {c.lower() for c in docs.columns}
-    while row in taken:
+    while any(x.startswith(row) for x in taken):
         row = "_" + row
-    return staged(docs.withColumn(row, F.monotonically_increasing_id()), name, "zstd"), row
+    files = _files(docs)
+    if not 0 < len(files) <= NUMBERED_FILES:
+        return staged(docs.withColumn(row, F.monotonically_increasing_id()), name, "zstd"), row
+    numbers = docs.sparkSession.createDataFrame([(f, k << 40) for k, f in enumerate(files)], f"{row}_file string, {row}_first long")
+    place = docs.select("*", F.regexp_replace("_metadata.file_path", r"^(\w+):/+", "$1:/").alias(f"{row}_path"), F.col("_metadata.row_index").alias(f"{row}_at"))
+    out = place.join(F.broadcast(numbers), place[f"{row}_path"] == numbers[f"{row}_file"])  # one row per file
+    return out.select(*(docs[c] for c in docs.columns), (F.col(f"{row}_first") + F.col(f"{row}_at")).alias(row)), row
 
 
 def expand_copies(df: DataFrame, copies: str, name: str, chunk: int = 4096) -> DataFrame:

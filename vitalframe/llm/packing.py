@@ -74,7 +74,9 @@ def _spans(low: np.ndarray, offsets: np.ndarray):
     after = np.flatnonzero((c[1:] == 3) & (c[:-1] == 4)) + 1  # two-byte Latin letters before punctuation
     after = after[after >= 2]
     lead, trail = low[after - 2], low[after - 1]
-    begin[after[(lead >= 0xC3) & (lead <= 0xC9) & ~((lead == 0xC3) & ((trail == 0x97) | (trail == 0xB7)))]] = True
+    sign = (lead == 0xC3) & ((trail == 0x97) | (trail == 0xB7))  # multiplication and division are no letters
+    dotted = (lead == 0xC4) & (trail == 0xB0)  # becomes an i and a mark, which goes with the punctuation
+    begin[after[(lead >= 0xC3) & (lead <= 0xC9) & ~sign & ~dotted]] = True
     cut = np.unique(offsets[(offsets > 0) & (offsets < n)])
     begin[cut] = c[cut] != 0
     stop = c != 0

@@ -11,7 +11,8 @@ With ``slack`` 0 the bounds add up to the number of rows, so counts are at
 most one apart. A larger slack moves fewer keys from their first shard.
 
 Defined cases: a null text has no bytes and checksum 0; a null key has a hash
-of its own; keys of equal hash are ordered by key, size and checksum. Repeated
+of its own; inside an arc rows are
+ordered by part, ring position, key, size and checksum, so rows of one key may go to several shards. Repeated
 rows are summed up before ranking and told apart by their slot alone. An empty
 table gives no rows. Other columns are ignored, whatever their names.
 """
@@ -26,11 +27,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalframe.llm.common import staged
+from vitalframe.llm.common import expand_copies, staged
 
 POINTS = 64
-# every arc is ranked in this many parts, dealt by a hash of the ring position, and the parts' counts are summed up
-SLICES_LOG2 = 4
+# every arc is ranked in this many parts, dealt by a hash of the whole row (id, size, checksum), and the parts' counts are summed up
+PARTS = 64
 
 
 def ring(shards: int, points: int = POINTS) -> tuple[np.ndarray, np.ndarray]:
@@ -92,8 +93,8 @@ def shard_rows(docs: DataFrame, shards: int, points: int = POINTS, slack: float
             at, filled[shard] = at + n, filled[shard] + n
     ranges = spark.createDataFrame(ranges, "arc int, low long, high long, shard int, shift long, home int")
 
-    part = F.shiftrightunsigned(F.hash("spot"), 32 - SLICES_LOG2)
-    parted = placed.withColumn("part", part)
+    # rows of one id differ in size or checksum, so a hot id is dealt over all parts
+    parted = placed.withColumn("part", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(PARTS)).cast("int"))
     before = Window.partitionBy("arc").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offset = (parted.groupBy("arc", "part").agg(F.sum("copies").alias("n"))
               .select("arc", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))
@@ -101,9 +102,8 @@ def shard_rows(docs: DataFrame, shards: int, points: int = POINTS, slack: float
     ranked = parted.withColumn("inner", F.coalesce(F.sum("copies").over(earlier), F.lit(0)))
     each = (ranked.join(offset, ["arc", "part"])
             .select("doc_id", "size", "text_crc32", "arc", F.col("before") + F.col("inner"), "copies")
-            .toDF("doc_id", "size", "text_crc32", "arc", "base", "copies")
-            .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-            .withColumn("rank", F.col("base") + F.col("copy")))
+            .toDF("doc_id", "size", "text_crc32", "arc", "base", "copies"))
+    each = expand_copies(each, "copies", "copy").withColumn("rank", F.col("base") + F.col("copy"))
     # the ranges are a few per ring point, however many rows there are
     return (each.join(F.broadcast(ranges), (each["arc"] == ranges["arc"]) & (each["rank"] >= ranges["low"]) & (each["rank"] < ranges["high"]))
             .select("doc_id", "size", "text_crc32", "home", "shard", (F.col("rank") + F.col("shift")).alias("slot")))
