@@ -33,6 +33,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +46,10 @@ from vitalframe.llm.exchange import from_planes, rows, to_planes
 
 TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # bytes of text in a block, and words whose ids a worker remembers at most before it starts afresh
-ALIGNED_BYTES = 3 << 20
-MEMO_WORDS = 500_000
+ALIGNED_BYTES = 1 << 20
+MEMO_WORDS = 300_000
+# words tokenised by one call
+TOGETHER = 10_000
 # groups with more token pairs than this are paired by distinct tokens
 WIDE = 64
 # a text is hot if it makes up at least one HOT-th of all rows
@@ -99,7 +102,8 @@ class Tokenizers:
         self.b_bytes = [self._piece(i) for i in range(self.b.vocab_size())]
         self.a_length = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.a_text, self.b_text = [str(i) for i in range(len(self.a_bytes))], [str(i) for i in range(len(self.b_bytes))]
+        # two texts per token for the groups' digests: inside its side of a group, and at its end
+        self.text = ([f"{i}{mark}" for i in range(len(self.a_bytes)) for mark in ",|"] + [f"{i}{mark}" for i in range(len(self.b_bytes)) for mark in ",;"])
         self.clear()
 
     def _piece(self, i: int) -> bytes:
@@ -126,16 +130,28 @@ class Tokenizers:
         return entry[back]
 
     def _add(self, words: list[bytes]) -> None:
-        texts = [w.decode(errors="replace") for w in words]
-        a = [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        b = self.b.encode([t[1:] for t in texts], num_threads=1)  # puts a space before each
-        self.good = np.append(self.good, [b"".join([self.a_bytes[i] for i in x]) == w and b"".join([self.b_bytes[i] for i in y]) == w
-                                          for w, x, y in zip(words, a, b, strict=True)])
+        a, b = [], []
+        for k in range(0, len(words), TOGETHER):
+            texts = [w.decode(errors="replace") for w in words[k:k + TOGETHER]]
+            a += [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+            b += self.b.encode([t[1:] for t in texts], num_threads=1)  # puts a space before each
+        flat = [list(chain.from_iterable(ids)) for ids in (a, b)]
+        whole = b"".join(words)
+        if all(b"".join(map(table.__getitem__, ids)) == whole for table, ids in zip((self.a_bytes, self.b_bytes), flat, strict=True)):
+            n = np.fromiter(map(len, words), np.int64, len(words))
+            good = np.ones(len(words), bool)
+            for length, ids, one in ((self.a_length, flat[0], a), (self.b_length, flat[1], b)):
+                end = np.concatenate([[0], np.cumsum(length[ids])])[np.cumsum([0, *map(len, one)])]
+                good &= np.diff(end) == n
+        else:
+            good = [b"".join([self.a_bytes[i] for i in x]) == w and b"".join([self.b_bytes[i] for i in y]) == w
+                    for w, x, y in zip(words, a, b, strict=True)]
+        self.good = np.append(self.good, good)
         for k, ids in enumerate((a, b)):
             count = np.fromiter(map(len, ids), np.int64, len(ids))
             self.begin[k] = np.append(self.begin[k], len(self.pool[k]) + np.cumsum(count) - count)
             self.count[k] = np.append(self.count[k], count)
-            self.pool[k] = np.append(self.pool[k], np.fromiter((i for x in ids for i in x), np.int32, int(count.sum())))
+            self.pool[k] = np.append(self.pool[k], np.array(flat[k], np.int32))
 
     def tokens(self, k: int, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, index of their word) of tokenizer ``k`` for words in a row."""
@@ -237,20 +253,15 @@ class Alignment:
 
     def group_digests(self) -> list[str]:
         """SHA-256 of each document's groups as ``a1,a2|b1;a3|b2,b3``; empty without tokens."""
-        tokens = np.empty(len(self.a) + len(self.b), object)
-        at_a, at_b = np.arange(len(self.a)) + self.first_b[self.group_a], np.arange(len(self.b)) + (self.first_a + self.size_a)[self.group_b]
-        mark = np.full(len(tokens), ",", object)
-        mark[(self.first_a + self.size_a + self.first_b) - 1] = "|"
-        mark[(self.first_a + self.size_a + self.first_b + self.size_b) - 1] = ";"
-        text_a, text_b = self.t.a_text, self.t.b_text
-        tokens[at_a] = [text_a[i] for i in self.a.tolist()]
-        tokens[at_b] = [text_b[i] for i in self.b.tolist()]
-        flat = np.empty(2 * len(tokens), object)
-        flat[::2], flat[1::2] = tokens, mark
-        border = np.concatenate([[0], np.cumsum(np.bincount(self.doc_a, minlength=self.n) + np.bincount(self.doc_b, minlength=self.n))]) * 2
-        flat = flat.tolist()
-        return [hashlib.sha256("".join(flat[x:y - 1]).encode()).hexdigest() if x < y else ""
-                for x, y in zip(border[:-1].tolist(), border[1:].tolist(), strict=True)]
+        code = np.empty(len(self.a) + len(self.b), np.int32)  # in the order of the text; a token's second code has the mark of a last one
+        code[np.arange(len(self.a)) + self.first_b[self.group_a]] = 2 * self.a
+        code[np.arange(len(self.b)) + (self.first_a + self.size_a)[self.group_b]] = 2 * (self.b + len(self.t.a_bytes))
+        bar = self.first_a + self.first_b + self.size_a
+        code[np.concatenate([bar - 1, bar + self.size_b - 1])] += 1
+        size = np.bincount(self.doc_a, minlength=self.n) + np.bincount(self.doc_b, minlength=self.n)
+        border, text = np.concatenate([[0], np.cumsum(size)]).tolist(), self.t.text.__getitem__
+        return [hashlib.sha256("".join(map(text, code[x:y].tolist()))[:-1].encode()).hexdigest() if x < y else ""
+                for x, y in zip(border[:-1], border[1:], strict=True)]
 
 
 def aligned_texts(texts: DataFrame, a: str | None = None, b: str | None = None) -> DataFrame:
