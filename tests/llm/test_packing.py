@@ -1,6 +1,7 @@
+import math
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -82,3 +83,25 @@ def test_random_texts_of_odd_characters():
         ids, first, _, _ = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
         for t, a, b in zip(part, first[:-1], first[1:], strict=True):
             assert ids[a:b].tolist() == ids_of(t), repr(t)
+
+
+def test_scores_equal_plain_bm25(sf001_docs):
+    """Every seed's scores over its shard, all its terms taken, against the formula written out; so the neighbours' order is BM25's."""
+    texts = [r["text"] or "" for r in sf001_docs.orderBy("doc_id").collect()]
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    _, _, entries, owner = packing.Encoder(None).encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    index, n = packing.Neighbours(entries, owner, len(texts)), len(texts)
+    tf = [Counter(entries[owner == d].tolist()) for d in range(n)]
+    df = Counter(t for c in tf for t in c)
+    mean = sum(sum(c.values()) for c in tf) / n
+    idf = {t: math.log(1 + (n - k + 0.5) / (k + 0.5)) for t, k in df.items()}
+    for seed in range(0, n, 3):
+        plain = np.zeros(n)
+        for d in range(n):
+            size = sum(tf[d].values())
+            plain[d] = sum(idf[t] * tf[d][t] * 2.2 / (tf[d][t] + 1.2 * (0.25 + 0.75 * size / mean)) for t in tf[seed] if df[t] > 1 and t in tf[d])
+        assert np.allclose(index.scores(seed), plain, rtol=1e-9, atol=1e-9)
+        first = [d for d, _ in zip(index.ranked(seed, np.arange(n) == seed), range(5), strict=False)]
+        best = sorted((d for d in range(n) if d != seed and plain[d] > 0), key=lambda d: -plain[d])[:5]
+        assert np.allclose(plain[first], plain[best], rtol=1e-9)

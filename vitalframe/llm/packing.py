@@ -35,9 +35,8 @@ from vitalframe.llm.common import LOWER, blocks, hash_spans
 WINDOW = 2048
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-# BM25's usual constants, and the number of a seed's highest-weighted terms that are looked up
+# BM25's usual constants
 K1, B = 1.2, 0.75
-QUERY_TERMS = 24
 # words whose ids a worker remembers, at most; it then starts afresh
 MEMO_WORDS = 2_000_000
 # words of letters tokenized as one text
@@ -208,21 +207,25 @@ class Neighbours:
         size = np.bincount(doc, weights=tf, minlength=n)
         norm = K1 * (1 - B + B * size / max(size.mean() if n else 1, 1e-9))
         idf = np.log1p((n - df + 0.5) / (df + 0.5))
+        # postings with weights, and each document's terms that others share
         self.doc = doc
         self.weight = np.repeat(idf, df) * tf * (K1 + 1) / (tf + norm[doc])
-        # each document's terms that others share, rarest first, as one sorted key: document, df, term
         number = np.repeat(np.arange(len(df)), df)
         shared = np.repeat(df, df) > 1
-        key = np.sort((doc[shared] << 44) | (np.minimum(np.repeat(df, df)[shared], (1 << 18) - 1) << 26) | number[shared])
-        self.terms = key & ((1 << 26) - 1)
-        self.first = np.searchsorted(key >> 44, np.arange(n + 1))
+        order = np.argsort(doc[shared], kind="stable")
+        self.terms = number[shared][order]
+        self.first = np.searchsorted(doc[shared][order], np.arange(n + 1))
+
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 of every document of the shard for all terms of the seed."""
+        terms = self.terms[self.first[seed]:self.first[seed + 1]]
+        size = self.df[terms]
+        at = np.repeat(self.begin[terms] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        return np.bincount(self.doc[at], self.weight[at], self.n)
 
     def ranked(self, seed: int, used: np.ndarray) -> Iterator[int]:
-        terms = self.terms[self.first[seed]:min(self.first[seed + 1], self.first[seed] + QUERY_TERMS)].tolist()
-        if not terms:
-            return
-        cut = [slice(self.begin[t], self.begin[t] + self.df[t]) for t in terms]
-        score = np.bincount(np.concatenate([self.doc[c] for c in cut]), np.concatenate([self.weight[c] for c in cut]), self.n)
+        """Unused neighbours of ``seed`` by falling score, the earlier document first among equals."""
+        score = self.scores(seed)
         score[used] = 0
         while True:
             best = int(np.argmax(score))
