@@ -128,6 +128,7 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Itera
             last = min(max(last, first + 1), len(col))
             yield Block(data[off[first]:off[last]], off[first:last + 1] - off[first], batch.slice(first, last - first))
             first = last
+    pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
 
 def word_spans(buf: np.ndarray, offsets: np.ndarray, member: np.ndarray):

@@ -35,10 +35,11 @@ from vitalframe.llm.common import LOWER, blocks, hash_spans
 WINDOW = 2048
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-# BM25's usual constants
+# BM25's usual constants, and the postings that a seed's scores add up at a time
 K1, B = 1.2, 0.75
+POSTINGS = 1 << 16
 # words whose ids a worker remembers, at most; it then starts afresh
-MEMO_WORDS = 2_000_000
+MEMO_WORDS = 1_000_000
 # words of letters tokenized as one text
 GROUP = 100
 
@@ -219,9 +220,15 @@ class Neighbours:
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every document of the shard for all terms of the seed."""
         terms = self.terms[self.first[seed]:self.first[seed + 1]]
-        size = self.df[terms]
-        at = np.repeat(self.begin[terms] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        return np.bincount(self.doc[at], self.weight[at], self.n)
+        upto = np.cumsum(self.df[terms])
+        score, a = np.zeros(self.n), 0
+        while a < len(terms):  # some terms at a time: a long seed's postings are never together in memory
+            b = max(int(np.searchsorted(upto, (upto[a - 1] if a else 0) + POSTINGS, side="right")), a + 1)
+            size = self.df[terms[a:b]]
+            at = np.repeat(self.begin[terms[a:b]] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+            score += np.bincount(self.doc[at], self.weight[at], self.n)
+            a = b
+        return score
 
     def ranked(self, seed: int, used: np.ndarray) -> Iterator[int]:
         """Unused neighbours of ``seed`` by falling score, the earlier document first among equals."""
