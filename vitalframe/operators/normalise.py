@@ -90,7 +90,7 @@ def yj(x: Column, lam: Column) -> Column:
 BINS = 4096
 # candidates of the first look, and steps after it (each about cubes the distance from the maximum, which is at most 1 at first)
 COARSE = tuple(float(k) for k in range(-5, 6))
-STEPS = 3
+STEPS = 4
 
 
 def summarise_values(df: DataFrame, group: Sequence[str], value: str = "value", bins: int = BINS) -> DataFrame:
