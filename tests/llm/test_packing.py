@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import docs_of
-from vitalframe.llm import packing
+from vitalframe.llm import packing, routing
 
 TOKENIZER = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 
@@ -105,3 +105,76 @@ def test_scores_equal_plain_bm25(sf001_docs):
         first = [d for d, _ in zip(index.ranked(seed, np.arange(n) == seed), range(5), strict=False)]
         best = sorted((d for d in range(n) if d != seed and plain[d] > 0), key=lambda d: -plain[d])[:5]
         assert np.allclose(plain[first], plain[best], rtol=1e-9)
+
+
+def filler(rnd, n):
+    return " ".join(rnd.choice(["the", "of", "and", "water", "house", "river", "stone", "green", "light", "paper"]) + rnd.choice(["", "s", "ed"]) for _ in range(n))
+
+
+def related(topics, members, words=40):
+    """Documents of topics, each topic's members far apart: rare words shared within the topic, words of their own, common words."""
+    rnd = random.Random(11)
+    texts = []
+    for m in range(members):
+        for t in range(topics):
+            letters = "".join(chr(97 + (t // 26 ** k) % 26) for k in range(3))
+            own = " ".join(f"own{letters}{chr(97 + m)}{chr(97 + k)}" for k in range(6))
+            texts.append(f"{filler(rnd, words)} quo{letters} {own} zim{letters} {filler(rnd, words)} vex{letters}")
+    return texts
+
+
+def test_related_documents_of_far_apart_files_share_windows(spark, tmp_path):
+    topics, members = 400, 4
+    texts = related(topics, members)
+    path = str(tmp_path / "docs")
+    docs_of(spark, texts).repartitionByRange(8, "doc_id").write.parquet(path)
+    rows = packing.pack(spark.read.parquet(path), with_ids=True).collect()
+    check(rows, dict(enumerate(texts)))
+    windows = defaultdict(set)
+    for r in rows:
+        windows[r["doc_id"]].add(r["sequence_id"])
+    together = sum(bool(windows[t + m * topics] & windows[t + k * topics]) for t in range(topics) for m in range(members) for k in range(m))
+    assert together >= 0.8 * topics * members * (members - 1) / 2
+
+
+def test_routes_take_the_rarest_shared_term_and_salt_hot_ones(spark, monkeypatch):
+    texts = ["only here", "common pair one", "common pair two", "common three", None, ""] + ["common copy"] * 50
+    rows = docs_of(spark, texts)
+    monkeypatch.setattr(routing, "GROUP_DOCS", 10)
+    stats = routing.corpus_stats(rows, packing._spans)
+    assert (stats.n, stats.mean, int(stats.df.max())) == (56, (2 + 3 + 3 + 2 + 100) / 56, 53)
+    found = {r["row"]: r for r in routing.routes(rows, "doc_id", packing._spans, stats).collect()}
+    assert set(found) == {1, 2, 3, *range(6, 56)}
+    assert found[1]["route"] == found[2]["route"] and found[1]["salt"] == found[2]["salt"] == 0
+    assert len({found[d]["route"] for d in range(6, 56)}) == 1 and {found[d]["salt"] for d in range(6, 56)} == set(range(5))
+    monkeypatch.setattr(routing, "RARE_DOCS", 40)
+    monkeypatch.setattr(routing, "RARE_SHARE", 2)
+    again = {r["row"] for r in routing.routes(rows, "doc_id", packing._spans, stats).collect()}
+    assert again >= {1, 2}  # common words are named only by documents without rare ones
+
+
+def test_index_weights_are_those_of_the_corpus(spark, sf001_docs):
+    """Scores of a shard with corpus statistics against the formula with exact document frequencies of the whole table."""
+    texts = [r["text"] or "" for r in sf001_docs.orderBy("doc_id").collect()]
+    raw = [t.encode() for t in texts]
+    encoder = packing.Encoder(None)
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    _, _, entries, owner = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    tf = [Counter(entries[owner == d].tolist()) for d in range(len(texts))]
+    df = Counter(t for c in tf for t in c)
+    stats = routing.corpus_stats(sf001_docs, packing._spans)
+    assert stats.n == len(texts) and math.isclose(stats.mean, len(entries) / len(texts))
+    exact = np.array([stats.df[routing.bin_of(encoder.hash[[t]])[0]] - k for t, k in df.items()])
+    assert (exact >= 0).all() and (exact == 0).mean() > 0.95  # bins are rarely shared by words of a small table
+    part = owner < 20
+    idf = stats.idf()
+    index = packing.Neighbours(entries[part], owner[part], 20, lambda e: idf[routing.bin_of(encoder.hash[e])], stats.mean)
+    plain = np.zeros(20)
+    held = Counter(t for c in tf[:20] for t in c)
+    for d in range(20):
+        size = sum(tf[d].values())
+        for t in tf[0]:
+            if held[t] > 1 and t in tf[d]:
+                weight = idf[routing.bin_of(encoder.hash[[t]])[0]]
+                plain[d] += weight * tf[d][t] * 2.2 / (tf[d][t] + 1.2 * (0.25 + 0.75 * size / stats.mean))
+    assert np.allclose(index.scores(0), plain, rtol=1e-6)

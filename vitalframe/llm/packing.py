@@ -1,8 +1,10 @@
 """Lexical retrieval packing: documents cut into sequences next to their BM25 neighbours.
 
-A task reads its documents in shards of bounded size, turns them into token
-ids and builds a BM25 inverted index of the shard. The first document of a
-window is its seed; the index returns the seed's neighbours by falling score,
+Documents are routed by content (see ``routing``): those that share a rare term
+go to the same task, next to each other, wherever they lie in the input. A task
+cuts its documents into shards of bounded size, turns them into token ids and
+builds a BM25 inverted index of the shard, with document frequencies and the
+mean length of the whole corpus. The first document of a window is its seed; the index returns the seed's neighbours by falling score,
 and those not yet used fill the window. The document that reaches the window's
 end is cut there and its rest opens the next window as its seed. An open window
 goes on into the task's next shard, so only a task's last sequence is padded.
@@ -13,8 +15,8 @@ a text are those of its pieces in a row. Texts with combining marks or special
 token strings go through the tokenizer whole.
 
 Defined cases: a null, empty or blank text is the end id alone; a document longer
-than a window spans several; with no scored neighbour left the next unused
-document follows. Repeated rows are packed one by one. Other columns are
+than a window spans several; with no related neighbour left the next unused
+document of the route's order follows. Repeated rows are packed one by one. Other columns are
 ignored, whatever their names.
 """
 
@@ -22,7 +24,7 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitalframe.llm.common import LOWER, blocks, hash_spans
+from vitalframe.llm.common import LOWER, blocks, hash_spans, numbered
+from vitalframe.llm.routing import bin_of, corpus_stats, routes
 
 WINDOW = 2048
 END_ID = 1
@@ -38,6 +41,9 @@ TOKENIZER = "word_bpe_49k.json"
 # BM25's usual constants, and the postings that a seed's scores add up at a time
 K1, B = 1.2, 0.75
 POSTINGS = 1 << 16
+# a seed's neighbour has more than this share of the seed's score with itself; after the last one documents follow by
+# their route, so that a weak neighbour is not torn from its own group
+RELATED = 0.2
 # words whose ids a worker remembers, at most; it then starts afresh
 MEMO_WORDS = 1_000_000
 # words of letters tokenized as one text
@@ -109,6 +115,7 @@ class Encoder:
 
     def clear(self) -> None:
         self.keys, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted keys and their entries
+        self.hash = np.zeros(0, np.uint64)  # key of each entry
         self.slot_key = np.zeros(1 << self.SLOTS_LOG2, np.uint64)  # recent keys, one per slot, to skip the search
         self.slot_entry = np.full(1 << self.SLOTS_LOG2, -1, np.int32)
         self.begin, self.length, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
@@ -135,6 +142,7 @@ class Encoder:
             self.begin = np.append(self.begin, len(self.pool) + np.cumsum(length) - length)
             self.length = np.append(self.length, length)
             self.pool = np.append(self.pool, np.fromiter((i for x in ids for i in x), np.uint32, int(length.sum())))
+            self.hash = np.append(self.hash, keys[fresh])
             self.keys = np.insert(self.keys, at[fresh], keys[fresh])
             self.entry = np.insert(self.entry, at[fresh], entry[fresh])
         out[miss] = entry[back]
@@ -174,11 +182,12 @@ class Encoder:
         for d in np.unique(np.searchsorted(offsets, marks, side="right") - 1).tolist():
             text = buf[offsets[d]:offsets[d + 1]].tobytes().decode(errors="replace")
             odd[d] = self.tokenizer.encode(text, add_special_tokens=False).ids
-            low[offsets[d]:offsets[d + 1]] = 32
         s, e, piece = _spans(low, offsets)
         entries = self._entries(low, s, e, hash_spans(low, s, e))
         owner = np.repeat(np.arange(n), np.diff(piece))
         length = self.length[entries] if len(entries) else np.zeros(0, np.int64)
+        for d in odd:  # their pieces are terms of the index only
+            length[piece[d]:piece[d + 1]] = 0
         per_doc = np.bincount(owner, weights=length, minlength=n).astype(np.int64)
         for d, ids in odd.items():
             per_doc[d] = len(ids)
@@ -196,9 +205,11 @@ class Encoder:
 
 
 class Neighbours:
-    """BM25 inverted index of a shard; returns documents by falling score for a seed."""
+    """BM25 inverted index of a shard; returns documents by falling score for a seed.
 
-    def __init__(self, entries: np.ndarray, owner: np.ndarray, n: int):
+    ``idf_of`` (of entries) and ``mean`` are the corpus's; without them the shard is taken for the corpus."""
+
+    def __init__(self, entries: np.ndarray, owner: np.ndarray, n: int, idf_of: Callable | None = None, mean: float | None = None):
         self.n = n
         pair, tf = np.unique((entries.astype(np.int64) << 24) | owner, return_counts=True)
         term, doc = pair >> 24, pair & ((1 << 24) - 1)
@@ -206,8 +217,8 @@ class Neighbours:
         df = np.diff(np.append(border, len(term)))
         self.begin, self.df = border, df
         size = np.bincount(doc, weights=tf, minlength=n)
-        norm = K1 * (1 - B + B * size / max(size.mean() if n else 1, 1e-9))
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
+        norm = K1 * (1 - B + B * size / max(mean if mean is not None else size.mean() if n else 1, 1e-9))
+        idf = idf_of(term[border]) if idf_of else np.log1p((n - df + 0.5) / (df + 0.5))
         # postings with weights, and each document's terms that others share
         self.doc = doc
         self.weight = np.repeat(idf, df) * tf * (K1 + 1) / (tf + norm[doc])
@@ -230,13 +241,15 @@ class Neighbours:
             a = b
         return score
 
-    def ranked(self, seed: int, used: np.ndarray) -> Iterator[int]:
-        """Unused neighbours of ``seed`` by falling score, the earlier document first among equals."""
+    def ranked(self, seed: int, used: np.ndarray, share: float = 0) -> Iterator[int]:
+        """Unused neighbours of ``seed`` by falling score, the earlier document first among equals; those with
+        more than ``share`` of the seed's own score."""
         score = self.scores(seed)
+        least = share * score[seed]
         score[used] = 0
         while True:
             best = int(np.argmax(score))
-            if score[best] <= 0:
+            if score[best] <= least:
                 return
             score[best] = 0
             if not used[best]:
@@ -267,7 +280,7 @@ class Packer:
             doc = None
             if seed >= 0 and self.filled:
                 if of != seed:
-                    near, of = index.ranked(seed, used), seed
+                    near, of = index.ranked(seed, used, RELATED), seed
                 doc = next((d for d in near if not used[d]), None)
             if doc is None:
                 while used[nxt]:
@@ -284,6 +297,12 @@ class Packer:
 
 def pack(docs: DataFrame, window: int = WINDOW, tokenizer_path: str | None = None, with_ids: bool = False) -> DataFrame:
     """One row per piece (PIECES; with ``with_ids`` also its token ids as list ``ids``)."""
+    rows, row = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "pack")
+    stats = corpus_stats(rows, _spans)
+    corpus_idf, mean = docs.sparkSession.sparkContext.broadcast(stats.idf()), stats.mean
+    route = routes(rows, row, _spans, stats).withColumnRenamed("row", row)
+    routed = rows.join(route, row, "left").select("doc_id", "text", F.col(row).alias("row"), "salt", F.coalesce("route", F.xxhash64(row)).alias("route"))
+    routed = routed.repartition("route", "salt").sortWithinPartitions("route", "salt", "row")
     schema = T.StructType([*PIECES.fields, *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,7 +311,8 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer_path: str | None = Non
         packer = Packer(TaskContext.get().partitionId() << 40, window)
         for b in blocks(batches):
             ids, first, entries, owner = encoder.encode(b.buf, b.offsets)
-            pieces = packer.pack(Neighbours(entries, owner, b.n), np.diff(first).tolist())
+            index = Neighbours(entries, owner, b.n, lambda e: corpus_idf.value[bin_of(encoder.hash[e])], mean)
+            pieces = packer.pack(index, np.diff(first).tolist())
             doc, start, length, sequence, offset = (np.array(x, np.int64) for x in zip(*pieces, strict=True))
             low = first[doc] + start
             crc = np.array([zlib.crc32(ids[a:a + n]) for a, n in zip(low.tolist(), length.tolist(), strict=True)], np.int64)
@@ -302,4 +322,4 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer_path: str | None = Non
                 columns.append(pa.array([ids[a:a + n].astype(np.int32) for a, n in zip(low, length, strict=True)], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return routed.select("doc_id", "text").mapInArrow(run, schema)
