@@ -54,34 +54,42 @@ def bin_of(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - BINS_LOG2)).astype(np.int64)
 
 
-def _distinct(b: Block, split: Splitter):
-    """(document, term hash) of a block's distinct pairs, ascending, and how many terms it has in all."""
+def _terms(b: Block, split: Splitter):
+    """Each term's hash and document, all in order."""
     low = LOWER[b.buf]
     s, e, first = split(low, b.offsets)
-    h = hash_spans(low, s, e)
-    owner = np.repeat(np.arange(b.n, dtype=np.uint64), np.diff(first))
-    key, at = np.unique((owner << np.uint64(40)) | (h >> np.uint64(24)), return_index=True)
-    return (key >> np.uint64(40)).astype(np.int64), h[at], len(h)
+    return hash_spans(low, s, e), np.repeat(np.arange(b.n), np.diff(first))
+
+
+def _distinct(h: np.ndarray, owner: np.ndarray):
+    """(term, document) of the distinct pairs, ascending by document and term; a term is its hash's first 40 bits."""
+    key = np.unique((owner.astype(np.uint64) << np.uint64(40)) | (h >> np.uint64(24)))
+    return key & np.uint64((1 << 40) - 1), (key >> np.uint64(40)).astype(np.int64)
 
 
 def corpus_stats(docs: DataFrame, split: Splitter) -> Stats:
     """Statistics of the terms of all texts of ``docs``; a table of bounded size."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n, length = np.zeros(1 << BINS_LOG2, np.int64), 0, 0
         for b in blocks(batches):
-            _, h, size = _distinct(b, split)
-            df += np.bincount(bin_of(h), minlength=len(df))
-            n, length = n + b.n, length + size
+            h, owner = _terms(b, split)
+            df += np.bincount(bin_of(_distinct(h, owner)[0] << np.uint64(24)), minlength=len(df))
+            n, length = n + b.n, length + len(h)
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, [_N, _LENGTH])), pa.array(np.append(df[at], [n, length]))], ["bin", "n"])
 
-    counted = docs.select("text").mapInArrow(run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n"))
-    got = counted.toPandas()  # at most 2 ** BINS_LOG2 + 2 rows
-    df = np.zeros(1 << BINS_LOG2, np.int64)
-    inside = got["bin"].to_numpy() >= 0
-    df[got["bin"].to_numpy()[inside]] = got["n"].to_numpy()[inside]
-    rest = dict(zip(got["bin"][~inside], got["n"][~inside], strict=True))
-    n = int(rest.get(_N, 0))
+    def compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([x.column(k).to_numpy().tobytes()], pa.binary()) for k in (0, 1)], ["bin", "n"])
+
+    counted = docs.select("text").mapInArrow(count, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n"))
+    got = counted.mapInArrow(compact, "bin binary, n binary").collect()  # at most 2 ** BINS_LOG2 + 2 pairs of numbers
+    df, rest = np.zeros(1 << BINS_LOG2, np.int64), {}
+    for r in got:
+        bins, n = (np.frombuffer(r[k], np.int64) for k in ("bin", "n"))
+        df[bins[bins >= 0]] = n[bins >= 0]
+        rest.update(zip(bins[bins < 0].tolist(), n[bins < 0].tolist(), strict=True))
+    n = rest.get(_N, 0)
     return Stats(df, n, rest.get(_LENGTH, 0) / max(n, 1))
 
 
@@ -92,15 +100,15 @@ def named_terms(docs: DataFrame, row: str, split: Splitter, stats: Stats) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_rare = np.unpackbits(rare.value).astype(bool)
         for b in blocks(batches):
-            owner, h, _ = _distinct(b, split)
+            h, owner = _terms(b, split)
             mine = is_rare[bin_of(h)]
-            lone = np.bincount(owner[mine], minlength=b.n)[owner] == 0  # documents without rare terms
-            first = np.concatenate([[True], owner[1:] != owner[:-1]]) if len(owner) else mine
-            keep = np.flatnonzero(mine | (lone & first))
-            owner, h = owner[keep], h[keep]
+            lone = np.bincount(owner[mine], minlength=b.n) == 0  # documents without rare terms
+            mine |= lone[owner]
+            term, owner = _distinct(h[mine], owner[mine])
             rank = np.arange(len(owner)) - np.searchsorted(owner, owner)
-            rows = b.rest.column(0).to_numpy()[owner[rank < NAMED_TERMS]]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(h[rank < NAMED_TERMS].view(np.int64))], ["row", "term"])
+            keep = rank < np.where(lone, 1, NAMED_TERMS)[owner]
+            rows = b.rest.column(0).to_numpy()[owner[keep]]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(term[keep].astype(np.int64))], ["row", "term"])
 
     return docs.select(F.col(row).alias("row"), "text").mapInArrow(run, "row long, term long")
 
