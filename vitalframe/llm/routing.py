@@ -63,7 +63,9 @@ def _terms(b: Block, split: Splitter):
 
 def _distinct(h: np.ndarray, owner: np.ndarray):
     """(term, document) of the distinct pairs, ascending by document and term; a term is its hash's first 40 bits."""
-    key = np.unique((owner.astype(np.uint64) << np.uint64(40)) | (h >> np.uint64(24)))
+    key = (owner.astype(np.uint64) << np.uint64(40)) | (h >> np.uint64(24))
+    key.sort()
+    key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
     return key & np.uint64((1 << 40) - 1), (key >> np.uint64(40)).astype(np.int64)
 
 
