@@ -28,6 +28,11 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def mapped(values: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """``table[values]`` of bytes, read-only; several times as fast."""
+    return np.frombuffer(values.tobytes().translate(table.tobytes().ljust(256, b"\0")), table.dtype)
+
+
 def byte_class(chars: bytes) -> np.ndarray:
     """Membership table of the given bytes."""
     table = np.zeros(256, bool)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitalframe.llm.common import LOWER, blocks, hash_spans, numbered
+from vitalframe.llm.common import LOWER, blocks, hash_spans, mapped, numbered
 from vitalframe.llm.routing import bin_of, corpus_stats, routes
 
 WINDOW = 2048
@@ -71,10 +71,10 @@ def _spans(low: np.ndarray, offsets: np.ndarray):
     if not n:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    c = _CLASS[low]
+    c = mapped(low, _CLASS)
     begin = np.empty(n, bool)
     begin[0] = c[0] != 0
-    begin[1:] = _SPLIT.ravel()[c[:-1] * np.uint8(5) + c[1:]]
+    begin[1:] = mapped(c[:-1] * np.uint8(5) + c[1:], _SPLIT)
     quote = np.flatnonzero(low[:-1] == 39) + 1  # an apostrophe may belong to the letters after it
     begin[quote] &= c[quote] != 1
     after = np.flatnonzero((c[1:] == 3) & (c[:-1] == 4)) + 1  # two-byte Latin letters before punctuation
@@ -174,7 +174,7 @@ class Encoder:
         first positions, and per piece its number in the memo and its document."""
         if len(self.length) > MEMO_WORDS:
             self.clear()
-        low, n = LOWER[buf], len(offsets) - 1
+        low, n = mapped(buf, LOWER), len(offsets) - 1
         odd: dict[int, list[int]] = {}
         marks = np.flatnonzero((buf == 0xCC) | (buf == 0xCD))
         angle = np.flatnonzero(buf[:-1] == 60) if len(buf) else marks

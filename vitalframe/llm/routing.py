@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalframe.llm.common import LOWER, Block, blocks, hash_spans, staged
+from vitalframe.llm.common import LOWER, Block, blocks, hash_spans, mapped, staged
 
 BINS_LOG2 = 20
 # a term is rare when at most one document in this many, or this number of documents, hold it
@@ -56,7 +56,7 @@ def bin_of(h: np.ndarray) -> np.ndarray:
 
 def _terms(b: Block, split: Splitter):
     """Each term's hash and document, all in order."""
-    low = LOWER[b.buf]
+    low = mapped(b.buf, LOWER)
     s, e, first = split(low, b.offsets)
     return hash_spans(low, s, e), np.repeat(np.arange(b.n), np.diff(first))
 
