@@ -1,9 +1,8 @@
 """Quality rules: base rules plus a hashed n-gram log-likelihood ratio against the raw corpus.
 
 Words are whitespace-separated. Unigrams and bigrams are hashed into a fixed
-number of bins; one multinomial is counted over the trusted documents, one over
-all documents (for the trusted one, from a bounded sample). A document's score is
-the mean over its n-grams of log(p_trusted / p_raw). A document passes when its score reaches a threshold
+number of bins; one multinomial is counted over all trusted documents, one over
+all documents. A document's score is the mean over its n-grams of log(p_trusted / p_raw). A document passes when its score reaches a threshold
 that is a fixed low quantile of the trusted documents' own scores, less a
 margin, so equal input always gets equal verdicts.
 
@@ -29,8 +28,10 @@ from vitalframe.llm.common import (NOT_SPACE, blocks, hash_spans, per_document,
                                    windows_inside, covered, word_spans)
 
 BINS_LOG2 = 14
-# documents of the trusted target that its multinomial is fitted on, at most (those of the smallest hash of their id)
-TARGET_DOCS = 50_000
+# trusted ids that are sent to every task (packed, about 9 bytes each); with more of them, rows and ids meet in a shuffle
+PACKED_IDS = 8_000_000
+# ids of one packed row, about
+SLOT_IDS = 64
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
 MAX_REPEAT_PCT = 30
@@ -59,13 +60,29 @@ def ngram_bins(h: np.ndarray, first: np.ndarray, bins_log2: int):
     return one, two, inside
 
 
+def mark_trusted(docs: DataFrame, trusted: DataFrame, packed_ids: int = PACKED_IDS) -> DataFrame:
+    """(text, trusted) of every row of ``docs``.
+
+    Up to ``packed_ids`` ids are dealt into slots by their hash, and each task looks a row's id up in its slot, so no text
+    is shuffled; beyond that, texts and ids are joined by a shuffle. Either way every trusted id counts."""
+    key = F.col("doc_id").cast("long").alias("doc_id")
+    ids = staged(trusted.select(key).filter(F.col("doc_id").isNotNull()).distinct(), "trusted")
+    n = ids.count()
+    docs = docs.select(key, "text")
+    if n > packed_ids:
+        marked = docs.join(ids.withColumn("_trusted", F.lit(True)).hint("shuffle_hash"), "doc_id", "left")
+        return marked.select("text", F.col("_trusted").alias("trusted"))
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(n // SLOT_IDS + 1)).alias("_slot")
+    packed = ids.groupBy(slot).agg(F.collect_list("doc_id").alias("_ids"))
+    marked = docs.select("doc_id", "text", slot).join(F.broadcast(packed), "_slot", "left")
+    return marked.select("text", F.array_contains("_ids", F.col("doc_id")).alias("trusted"))
+
+
 def corpus_counts(docs: DataFrame, trusted: DataFrame, bins_log2: int = BINS_LOG2) -> DataFrame:
-    """(bin, raw, target): n-gram counts of all documents and of those the target is fitted on.
+    """(bin, raw, target): n-gram counts of all documents and of all trusted ones.
 
-    The target's ids are at most TARGET_DOCS, so they go to every task and no text is shuffled; each
-    task sums its documents into two arrays of fixed length, and only those are."""
-    ids = trusted.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(TARGET_DOCS).withColumn("_trusted", F.lit(True))
-    marked = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left").select("text", F.col("_trusted").alias("trusted"))
+    Each task sums its documents into two arrays of fixed length, and only those are shuffled."""
+    marked = mark_trusted(docs, trusted)
     size = 1 << bins_log2
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
