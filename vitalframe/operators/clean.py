@@ -57,7 +57,7 @@ def clip_outliers(df: DataFrame, z_max: float = Z_MAX, mode: str = "patient_max"
     group = list(group)
     stats = df.groupBy(*group).agg(F.avg(value).alias("_mu"), F.stddev_samp(value).alias("_sd"))
     pmax = df.groupBy(*group, key).agg(F.max(value).alias("_pmax"))
-    x = join_same(join_same(df, stats, group), pmax, group + [key])
+    x = join_same(join_same(df, stats, group), pmax, group + [key], hint="merge")
     z = F.try_divide(F.col(value) - F.col("_mu"), F.col("_sd"))
     out = F.coalesce(F.abs(z) >= F.lit(z_max), F.lit(False))
     if mode == "patient_max":
@@ -101,4 +101,4 @@ def min_observations(df: DataFrame, n_max: int = MIN_VITAL_ROWS, key: str = "pat
     any such row are kept, as in the reference)."""
     few = df.filter(F.col("category") == category).groupBy(key).agg(F.count(F.lit(1)).alias("n")) \
         .filter(F.col("n") <= n_max).select(key)
-    return df.join(few, key, "left_anti")
+    return df.join(few.hint("merge"), key, "left_anti")

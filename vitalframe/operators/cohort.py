@@ -120,10 +120,10 @@ def number_patients(obs: DataFrame, patients: DataFrame, key: str = "pat_id", db
                     name: str = "id_nr") -> tuple[DataFrame, DataFrame]:
     """Consecutive ids for patients present in both tables, ordered by (db, key);
     both tables are restricted to those patients and re-keyed."""
-    both = obs.select(db, key).distinct().join(patients.select(db, key).distinct(), [db, key], "left_semi")
+    both = obs.select(db, key).distinct().join(patients.select(db, key).distinct().hint("merge"), [db, key], "left_semi")
     ids = _number(both, [db, key], name)
-    o = obs.join(ids, [db, key], "inner").drop(key).withColumnRenamed(name, key)
-    p = patients.join(ids, [db, key], "inner").drop(key).withColumnRenamed(name, key)
+    o = obs.join(ids.hint("merge"), [db, key], "inner").drop(key).withColumnRenamed(name, key)
+    p = patients.join(ids.hint("merge"), [db, key], "inner").drop(key).withColumnRenamed(name, key)
     return o.select(*obs.columns), p.select(*patients.columns)
 
 

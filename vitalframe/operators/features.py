@@ -80,7 +80,7 @@ def feature_grid(df: DataFrame, bucket_minutes: int, features: Sequence[str] | D
     wide = x.groupBy(key, t).pivot("_f", list(feats)).agg(F.avg(value))
     bounds = x.groupBy(key).agg(F.lit(0).cast("bigint").alias("_lo"), F.max(t).cast("bigint").alias("_hi"))
     grid = explode_grid(bounds, "_lo", "_hi", bucket_minutes, t).select(key, t)
-    out = grid.join(wide, [key, t], "left" if on_grid else "full")
+    out = grid.join(wide.hint("merge"), [key, t], "left" if on_grid else "full")
     drugs = [f for f in feats if f.startswith(drug_prefix)]
     return out.fillna(0.0, subset=drugs) if drugs else out
 

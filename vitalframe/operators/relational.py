@@ -87,11 +87,12 @@ def restore_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumns(real).drop(NULLS)
 
 
-def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Join with NULL keys matching NULL; adds the right side's other columns. For small right sides."""
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", hint: str | None = None) -> DataFrame:
+    """Join with NULL keys matching NULL; adds the right side's other columns. For small right sides, or, with
+    ``hint`` 'merge', for those that grow with the patients."""
     r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+    return left.join(r.hint(hint) if hint else r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def drop_null(df: DataFrame, *cols: str) -> DataFrame:

@@ -69,7 +69,7 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     wc = Window.partitionBy(*keys).orderBy("_chunk")
     summ = summ.select(*keys, "_chunk", F.lag("__last", 1).over(wc).alias("__prev"),
                        F.lead("__first", 1).over(wc).alias("__next"))
-    x = x.join(summ, keys + ["_chunk"], "left")
+    x = x.join(summ.hint("merge"), keys + ["_chunk"], "left")
     return restore_keys(x.withColumns({
         lag_name: F.when(F.col("__rn") == 1, F.col("__prev")).otherwise(F.col("__lag")),
         lead_name: F.when(F.col("__rn") == F.col("__cnt"), F.col("__next")).otherwise(F.col("__lead")),

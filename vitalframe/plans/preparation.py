@@ -6,6 +6,8 @@ phases labelled, resampled coarser, normalised, spread to a wide grid, and label
 and targets attached. The resampled and the cleaned tables are written as stages
 bucketed by patient, so the groupings and joins by patient and time behind them
 need no shuffle; a patient's rows are bounded there by the time bound and the bucket.
+Tables that grow with the patients are merged, never broadcast: the planner takes their size from their
+files, whose compression hides how large their hash table would be in the driver.
 """
 
 from __future__ import annotations
@@ -76,16 +78,16 @@ def training_table(obs: DataFrame, patients: DataFrame, feature_names: Sequence[
     # reference joins its 5-minute ICP table on the hourly rel_time)
     icp = cleaned.filter(F.col("measure") == "ICP").groupBy("pat_id", "rel_time") \
         .agg(F.avg("value").alias("icp_pred"))
-    grid = grid.join(icp, ["pat_id", "rel_time"], "left")
+    grid = grid.join(icp.hint("merge"), ["pat_id", "rel_time"], "left")
     # labels of one hour folded into a map horizon -> labels, joined once on the
     # grid time's hour; the horizons are exploded after the join (the shuffle
     # moves grid rows once)
     lab = labels.groupBy("pat_id", "rel_time_hour").agg(F.map_from_entries(F.collect_list(F.struct(
         F.col("horizon_h"), F.struct("critical_short", "critical_long")))).alias("_m"))
     grid = grid.withColumn("rel_time_hour", F.floor(F.col("rel_time") / F.lit(60)).cast("bigint"))
-    grid = grid.join(lab, ["pat_id", "rel_time_hour"], "left").drop("rel_time_hour")
+    grid = grid.join(lab.hint("merge"), ["pat_id", "rel_time_hour"], "left").drop("rel_time_hour")
     targets = cohort.target_table(cohort.impute_by_group(patients), STATIC_NUMERIC, static_levels, exitus="died")
-    grid = grid.join(staged_by(targets, "targets", "pat_id"), "pat_id", "left")
+    grid = grid.join(staged_by(targets, "targets", "pat_id").hint("merge"), "pat_id", "left")
     # the horizons come last: nothing is joined or shuffled fourteen times
     out = grid.withColumn("horizon_h", F.explode(F.array(*[F.lit(int(h)) for h in horizons])))
     hit = F.col("_m")[F.col("horizon_h")]
