@@ -17,11 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalframe.operators.relational import NULLS, fill_keys, restore_keys
-from vitalframe.operators.window import DAY, next_time
+from vitalframe.operators.window import DAY, chunk_of, dealt
 
 
 def rate_points(rows: DataFrame, keys: Sequence[str], extra: Sequence[str], lead_chunk: int = DAY) -> DataFrame:
@@ -29,26 +29,30 @@ def rate_points(rows: DataFrame, keys: Sequence[str], extra: Sequence[str], lead
     value of ``extra``), ``_win`` (the rate and extra that are carried on: closing rows, then the highest rate, win),
     ``_next`` (the next time) and the series' bounds ``_lo``, ``_hi``.
 
-    ``rows``: keys, extra, _t, _rate, _closing, _lo, _hi.
+    ``rows``: keys, extra, _t, _end, _rate, _closing; the bounds are the first _t and the last _end; keys hold no NULL.
+
+    Rows are dealt by (keys, chunk of time) once, and grouped and scanned there; what a chunk must know of the others
+    (the next time, the bounds) comes from a summary of one row per chunk. The first grouping holds plain numbers alone.
     """
     keys, extra = list(keys), list(extra)
-    order = F.struct(F.col("_closing"), F.col("_rate"), *[F.col(c) for c in extra])
-    val = F.struct(F.col("_rate").alias("rate"), *[F.col(c) for c in extra])
-    per_x = rows.groupBy(*keys, "_t", *extra).agg(
-        F.sum("_rate").alias("_sum"), F.count("_rate").alias("_cnt"),
-        F.max(order).alias("_ord"), F.max_by(val, order).alias("_win"),
-        F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
+    chunked = [*keys, "_chunk"]
+    rows = rows.withColumn("_chunk", chunk_of("_t", lead_chunk))
+    summ = rows.groupBy(*chunked).agg(F.min("_t").alias("_first"), F.max("_end").alias("_last"))
+    series = Window.partitionBy(*keys)
+    summ = summ.select(*chunked, F.lead("_first").over(series.orderBy("_chunk")).alias("_after"),
+                       F.min("_first").over(series).alias("_lo"), F.max("_last").over(series).alias("_hi"))
+    per_x = dealt(rows.drop("_end"), chunked).groupBy(*chunked, "_t", *extra).agg(
+        F.sum("_rate").alias("_sum"), F.count("_rate").alias("_cnt"), F.max("_closing").alias("_closes"),
+        F.max(F.when(F.col("_closing") == 0, F.col("_rate"))).alias("_r0"), F.max(F.when(F.col("_closing") == 1, F.col("_rate"))).alias("_r1"))
+    # the highest rate among the closing rows if there are any, or among the others
+    order = F.struct(F.col("_closes"), F.when(F.col("_closes") == 1, F.col("_r1")).otherwise(F.col("_r0")).alias("rate"), *[F.col(c) for c in extra])
     # one entry per value of ``extra`` (the units of one drug at one time)
-    per_t = per_x.groupBy(*keys, "_t").agg(
-        F.collect_list(F.struct(*[F.col(c) for c in extra], F.col("_sum"), F.col("_cnt"))).alias("_real"),
-        F.max_by("_win", "_ord").alias("_win"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
-    return next_time(per_t, keys, "_t", "_next", lead_chunk)
-
-
-def with_bounds(rows: DataFrame, keys: Sequence[str], end: str) -> DataFrame:
-    """``rows`` with their series' first time ``_lo`` and last ``end`` as ``_hi``; keys hold no NULL."""
-    bounds = rows.groupBy(*keys).agg(F.min("_t").alias("_lo"), F.max(end).alias("_hi"))
-    return rows.join(bounds, list(keys))
+    per_t = per_x.groupBy(*chunked, "_t").agg(
+        F.collect_list(F.struct(*[F.col(c) for c in extra], F.col("_sum"), F.col("_cnt"))).alias("_real"), F.max(order).alias("_win"))
+    x = per_t.withColumn("_lead", F.lead("_t").over(Window.partitionBy(*chunked).orderBy("_t")))
+    x = x.join(summ.hint("merge"), chunked)
+    win = F.struct(*[F.col(f"_win.{c}").alias(c) for c in ("rate", *extra)])
+    return x.select(*keys, "_t", "_real", win.alias("_win"), "_lo", "_hi", F.coalesce("_lead", "_after").alias("_next"))
 
 
 def infusion_points(df: DataFrame, keys: Sequence[str], start: str, end: str, rate: str, close_keys: Sequence[str] = (),
@@ -66,15 +70,16 @@ def infusion_points(df: DataFrame, keys: Sequence[str], start: str, end: str, ra
         closing = base.groupBy(*keys, *extra).agg(F.max("_end").alias("_t"))
     closing = closing.select(*keys, *extra, "_t", F.col("_t").alias("_end"), F.lit(0.0).alias("_rate"), F.lit(1).alias("_closing"))
     rows = base.withColumn("_closing", F.lit(0)).unionByName(closing)
-    return rate_points(with_bounds(rows, keys, "_end").drop("_end"), keys, extra, chunk)
+    return rate_points(rows, keys, extra, chunk)
 
 
 def charted_points(df: DataFrame, keys: Sequence[str], t: str, rate: str, carry: Sequence[str] = (), chunk: int = DAY) -> DataFrame:
     """Points of charted rates, from the first charting to the last (text rates are read as numbers)."""
     given, carry = list(keys), list(carry)
     x, keys = fill_keys(df.select(*given, *carry, F.col(t).cast("bigint").alias("_t"),
+                                  F.col(t).cast("bigint").alias("_end"),
                                   F.col(rate).try_cast("double").alias("_rate"), F.lit(0).alias("_closing")), given)
-    return rate_points(with_bounds(x, keys, "_t"), keys, carry, chunk)
+    return rate_points(x, keys, carry, chunk)
 
 
 def runs_of_points(points: DataFrame, keys: Sequence[str], extra: Sequence[str]) -> DataFrame:

@@ -24,28 +24,38 @@ _UNB = Window.unboundedPreceding
 DAY = 1440
 
 
-def _chunk_col(t: str, chunk: int) -> F.Column:
+def chunk_of(t: str, chunk: int) -> F.Column:
     """Chunk number of a time; NULL times come first, as in an ascending order."""
     return F.coalesce(F.floor(F.col(t) / F.lit(chunk)).cast("bigint"), F.lit(-(1 << 62)))
 
 
+def dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows dealt by ``keys`` into as many partitions as the session has shuffle partitions. A partition is not merged with
+    others for its size: for short rows that are multiplied behind, whose tasks would be few however much they make. Rows that
+    are grouped by these keys already are dealt by a hash of them, as the planner would leave them where they are."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def locf(df: DataFrame, keys: Sequence[str], t: str, cols: Sequence[str],
          chunk: int = DAY, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Carry the last non-NULL value forward along ``t`` within ``keys``."""
     given, cols = list(keys), list(cols)
     x, keys = fill_keys(df, given)
     order = [F.col(t)] + [F.col(c) for c in tiebreak]
-    x = x.withColumn("_chunk", _chunk_col(t, chunk))
+    x = x.withColumn("_chunk", chunk_of(t, chunk))
+    # last non-NULL value of each chunk, then carried across earlier chunks; taken from the rows before they are
+    # filled, so nothing is sorted for it, and ordered by the plain time where it can be, which a hash aggregate holds
+    ties = [F.col(c) for c in tiebreak if c not in cols]
+    at = F.struct(F.col(t), *ties) if ties else F.coalesce(F.col(t), F.lit(-(1 << 62)))
+    raw = x
     wl = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(_UNB, 0)
     x = x.withColumns({c: F.last(c, ignorenulls=True).over(wl) for c in cols})
-    # last non-NULL value of each chunk, then carried across earlier chunks
-    at = F.struct(F.col(t), *[F.col(c) for c in tiebreak if c not in cols])
-    summ = x.groupBy(*keys, "_chunk").agg(*[
+    summ = raw.groupBy(*keys, "_chunk").agg(*[
         F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(f"_last_{c}") for c in cols])
     wc = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(_UNB, -1)
     summ = summ.select(*keys, "_chunk", *[
         F.last(f"_last_{c}", ignorenulls=True).over(wc).alias(f"_in_{c}") for c in cols])
-    x = x.join(summ, keys + ["_chunk"], "left")
+    x = x.join(summ.hint("merge"), keys + ["_chunk"], "left")
     x = x.withColumns({c: F.coalesce(F.col(c), F.col(f"_in_{c}")) for c in cols}) \
          .drop("_chunk", *[f"_in_{c}" for c in cols])
     return restore_keys(x, given)
@@ -58,7 +68,7 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     ``order[0]`` is the numeric time axis."""
     given, order = list(keys), list(order)
     x, keys = fill_keys(df, given)
-    x = x.withColumn("_chunk", _chunk_col(order[0], chunk))
+    x = x.withColumn("_chunk", chunk_of(order[0], chunk))
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     wall = Window.partitionBy(*keys, "_chunk")
     x = x.withColumns({"__lag": F.lag(value, 1).over(w), "__lead": F.lead(value, 1).over(w),
@@ -82,11 +92,11 @@ def next_time(df: DataFrame, keys: Sequence[str], t: str, name: str, chunk: int
     A row without a successor in its chunk takes the first time of the next chunk that has rows."""
     given = list(keys)
     x, keys = fill_keys(df, given)
-    x = x.withColumn("_chunk", _chunk_col(t, chunk))
+    x = x.withColumn("_chunk", chunk_of(t, chunk))
     x = x.withColumn("__lead", F.lead(t).over(Window.partitionBy(*keys, "_chunk").orderBy(t)))
     summ = x.groupBy(*keys, "_chunk").agg(F.min(t).alias("__first"))
     summ = summ.select(*keys, "_chunk", F.lead("__first").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("__next"))
-    x = x.join(summ, keys + ["_chunk"], "left")
+    x = x.join(summ.hint("merge"), keys + ["_chunk"], "left")
     return restore_keys(x.withColumn(name, F.coalesce("__lead", "__next")).drop("_chunk", "__lead", "__next"), given)
 
 
