@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vitalframe.functions.scalar import floor_to, minutes_between
 from vitalframe.operators import intervals as IV
 from vitalframe.operators.relational import NULLS, fill_keys, restore_keys
-from vitalframe.operators.window import DAY, next_time
+from vitalframe.operators.window import DAY, dealt, next_time
 
 OBS_KEYS = ("pat_id", "db", "category", "measure", "measure_norm")
 
@@ -53,7 +53,7 @@ def complete_grid(df: DataFrame, keys: Sequence[str], t: str, step: int,
     hi = F.max(t) if end is None else F.max(end)
     bounds = df.groupBy(*keys).agg((lo - F.lit(start_offset)).cast("bigint").alias("_lo"),
                                    hi.cast("bigint").alias("_hi"))
-    grid = explode_grid(bounds.filter(F.col("_lo") <= F.col("_hi")), "_lo", "_hi", step, t) \
+    grid = explode_grid(dealt(bounds.filter(F.col("_lo") <= F.col("_hi")), [F.xxhash64(*keys)]), "_lo", "_hi", step, t) \
         .drop("_lo", "_hi")
     have = df.select(*keys, t).distinct()
     missing = grid.join(have, keys + [t], "left_anti")
