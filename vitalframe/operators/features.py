@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vitalframe.operators.relational import with_scalars
 from vitalframe.operators.timegrid import explode_grid, feature_name
+from vitalframe.operators.window import dealt
 from vitalframe.session import staged
 
 DROP_FEATURES = ("Labor_TZ",)
@@ -79,7 +80,7 @@ def feature_grid(df: DataFrame, bucket_minutes: int, features: Sequence[str] | D
         x = x.withColumn("_f", F.when(known, F.col("_f")).otherwise(F.raise_error(text).cast("string")))
     wide = x.groupBy(key, t).pivot("_f", list(feats)).agg(F.avg(value))
     bounds = x.groupBy(key).agg(F.lit(0).cast("bigint").alias("_lo"), F.max(t).cast("bigint").alias("_hi"))
-    grid = explode_grid(bounds, "_lo", "_hi", bucket_minutes, t).select(key, t)
+    grid = explode_grid(bounds if on_grid else dealt(bounds, [F.xxhash64(key)]), "_lo", "_hi", bucket_minutes, t).select(key, t)
     out = grid.join(wide.hint("merge"), [key, t], "left" if on_grid else "full")
     drugs = [f for f in feats if f.startswith(drug_prefix)]
     return out.fillna(0.0, subset=drugs) if drugs else out

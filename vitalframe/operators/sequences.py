@@ -44,11 +44,13 @@ def to_sequences(df: DataFrame, key: str, t: str, features: Sequence[str],
     Rows without a time are no steps; a NULL key is a sequence like any other."""
     feats, tgts = list(features), list(targets)
     x, keys = fill_keys(df.filter(F.col(t).isNotNull()), [key])
-    one = x.groupBy(*keys, t).agg(*[F.avg(c).alias(c) for c in feats + tgts])
+    # dealt by block at once: duplicates meet in their block, so neither grouping shuffles the steps again
+    x = x.select(*keys, t, *feats, *tgts, _block(t, block_span)).repartition(*keys, "block")
+    one = x.groupBy(*keys, "block", t).agg(*[F.avg(c).alias(c) for c in feats + tgts])
     step = F.struct(F.col(t).alias("t"),
                     F.array(*[F.col(c).cast("double") for c in feats]).alias("x"),
                     F.array(*[F.col(c).cast("double") for c in tgts]).alias("y"))
-    blocks = one.groupBy(*keys, _block(t, block_span)).agg(F.array_sort(F.collect_list(step)).alias("steps"))
+    blocks = one.groupBy(*keys, "block").agg(F.array_sort(F.collect_list(step)).alias("steps"))
     blocks = staged(blocks.withColumn("n", F.size("steps").cast("bigint")), "blocks")
     out = blocks.drop("n").join(directory(blocks.select(*keys, "block", "n"), keys), [*keys, "block"])
     return restore_keys(out, [key]).select(key, "block", "before", "seq_len", "steps")

@@ -51,8 +51,9 @@ select pat_id, cast(seq_len as integer) as seq_len, cast(pos as integer) as pos,
 def sequence_cache(spark, sf):
     """Sequences built once, stored under their content's fingerprint, and read from the store the second time."""
     path = stage_path(spark, "sequences")
-    io.cache_sequences(_sequences(spark, sf), path, {"span": SQ.BLOCK_SPAN})
-    seq = io.cache_sequences(_sequences(spark, sf), path, {"span": SQ.BLOCK_SPAN})
+    options = {"span": SQ.BLOCK_SPAN, "features": FEATURES}
+    for _ in range(2):
+        seq = io.cache_sequences(_feature_grid(spark, sf), path, options, lambda fg: SQ.to_sequences(fg, "pat_id", "rel_time", FEATURES))
     return _positions(seq).select("pat_id", "seq_len", "pos", F.col("step.t").alias("t"), F.col("step.x")[1].alias("hf"))
 
 

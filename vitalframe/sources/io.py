@@ -6,7 +6,7 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -135,10 +135,12 @@ def fingerprint(df: DataFrame, options: dict | None = None) -> str:
     return hashlib.sha256("\0".join(parts).encode()).hexdigest()
 
 
-def cache_table(df: DataFrame, root: str, options: dict | None = None) -> DataFrame:
+def cache_table(df: DataFrame, root: str, options: dict | None = None, build: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``df`` computed once per content: written below ``root`` under its fingerprint and read back from there by
     every later call with the same input and options; other input files, a changed file, another plan or
-    other options have a folder of their own.
+    other options have a folder of their own. With ``build`` the table is ``build(df)``, filed under the fingerprint of
+    ``df`` and made only if it is not there: for tables that write stages of their own, whose paths are new each time.
+    ``options`` then names what ``build`` depends on.
 
     The completed-write marker is looked up through the Hadoop file system
     of ``root`` (local, HDFS or object store alike)."""
@@ -147,13 +149,13 @@ def cache_table(df: DataFrame, root: str, options: dict | None = None) -> DataFr
     marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
     fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(marker):
-        df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+        (build(df) if build else df).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path) if build else spark.read.schema(df.schema).parquet(path)
 
 
-def cache_sequences(df: DataFrame, root: str, options: dict | None = None) -> DataFrame:
+def cache_sequences(df: DataFrame, root: str, options: dict | None = None, build: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The per-patient sequence table, built once per input and options and reused from Parquet (``cache_table``)."""
-    return cache_table(df, root, options)
+    return cache_table(df, root, options, build)
 
 
 def write_predictions(df: DataFrame, path: str) -> None:
