@@ -1,7 +1,11 @@
 """What grows with the input is spread, merged or made once."""
+import re
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from vitalframe.operators import clean as CL
+from vitalframe.operators import features as FE
 from vitalframe.operators import intervals as IV
 from vitalframe.operators import sequences as SQ
 from vitalframe.operators import timegrid as TG
@@ -58,3 +62,30 @@ def test_stored_sequences_are_built_once(spark, tmp_path):
         got = io.cache_sequences(spark.read.parquet(src), str(tmp_path / "store"), {"span": 1440}, build)
         assert got.first().seq_len == 2
     assert len(calls) == 1
+
+
+def test_differing_rows_are_compared_by_as_many_tasks_as_they_need(spark):
+    def tasks(n, text=""):
+        x, y = (spark.range(n).groupBy("id").agg((F.max("id") + k).alias("v")).withColumn("s", F.lit(text)) for k in (0, 1))
+        out = FE.diff_tables(x, y)
+        plan = _plan(out)
+        assert len(re.findall(r"Range \(", plan)) == 2  # each side is read once
+        assert Counter((r.side, r["count"]) for r in out.groupBy("side").count().collect()) == {("only_a", n): 1, ("only_b", n): 1}
+        found = re.search(r"hashpartitioning\(_bucket#\w+, _part#\w+, (\d+)\), REPARTITION_BY_NUM", plan)
+        return int(found[1]) if found else 1
+    assert tasks(1000) == 1 and tasks(800_000) == -(-1_600_000 * 88 // FE.TASK_BYTES) and tasks(40_000, "x" * 2000) > 4
+
+
+def test_copies_of_a_differing_row_are_added_up_where_they_are_read(spark, monkeypatch):
+    monkeypatch.setattr(FE, "PART_BYTES", 10_000)
+    x = spark.range(20_000).select(F.when(F.col("id") < 50, F.col("id")).alias("k"), F.lit("c").alias("s"))
+    y = x.filter("k is null").limit(9_000).unionByName(x.filter("k > 4")).unionByName(spark.createDataFrame([(-1, "c"), (-1, "c")], x.schema))
+    out = FE.diff_tables(x, y)
+    assert Counter((r.k, r.s, r.side) for r in out.collect()) == {(None, "c", "only_a"): 10_950, (-1, "c", "only_b"): 2, **{(k, "c", "only_a"): 1 for k in range(5)}}
+    dealt, added = (re.search(p, _plan(out)) for p in (r"LessThanOrEqual\(size,10000\)", r"GreaterThan\(size,10000\)"))
+    assert dealt and added
+
+
+def test_rows_equal_by_their_collation_do_not_differ(spark):
+    x, y = (spark.createDataFrame([(1, a), (2, "b")], "k int, s string").withColumn("s", F.expr("s collate utf8_lcase")) for a in ("A", "a"))
+    assert FE.diff_tables(x, y).count() == x.exceptAll(y).count() == 0

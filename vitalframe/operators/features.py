@@ -121,17 +121,52 @@ SUMS = ("n", "h1_low", "h1_high", "h2_low", "h2_high")
 
 
 def _sums(x: DataFrame, *keys: str) -> DataFrame:
-    """Rows and sums of both halves of both hashes (halves, so that sums of 2^31 rows fit into a long)."""
+    """Rows and sums of both halves of both hashes (halves, so that sums of 2^31 rows fit into a long); the rows' bytes, if ``x`` has them."""
+    size = [F.sum("_size").alias("size")] if "_size" in x.columns else []
     low = {f"h{i}_low": F.sum(F.col(f"_h{i}").bitwiseAND(0xFFFFFFFF)) for i in (1, 2)}
     high = {f"h{i}_high": F.sum(F.shiftright(f"_h{i}", 32)) for i in (1, 2)}
-    return x.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in (low | high).items()]).select(*keys, *SUMS)
+    return x.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in (low | high).items()], *size).select(*keys, *SUMS, *(["size"] if size else []))
 
 
 def _differing(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys whose digests differ."""
+    """Keys whose digests differ, and the bytes that both sides have there, if they were summed up."""
+    size = [F.sum("size").alias("size")] if "size" in a.columns else []
     both = a.withColumn("_w", F.lit(1)).unionByName(b.withColumn("_w", F.lit(-1)))
-    x = both.groupBy(*keys).agg(*[F.sum(F.col(c) * F.col("_w")).alias(c) for c in SUMS])
-    return x.filter(" or ".join(f"{c} != 0" for c in SUMS)).select(*keys)
+    x = both.groupBy(*keys).agg(*[F.sum(F.col(c) * F.col("_w")).alias(c) for c in SUMS], *size)
+    return x.filter(" or ".join(f"{c} != 0" for c in SUMS)).select(*keys, *(["size"] if size else []))
+
+
+# bytes of rows that one task compares, and of a part above which its rows are copies of a few or very long ones
+TASK_BYTES, PART_BYTES = 1 << 25, 1 << 23
+
+
+def _row_bytes(df: DataFrame) -> F.Column:
+    """What a row takes up in a table of groups, about: a fixed part, 8 bytes a column and the length of what has one."""
+    long = [F.col(c) if k in ("string", "binary") else F.col(c).cast("string") for c, k in df.dtypes
+            if k.startswith(("string", "binary", "varchar", "char", "array", "map", "struct", "variant"))]
+    return sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in long), F.lit(64 + 8 * len(df.columns)).cast("bigint"))
+
+
+def _compared(x: DataFrame, y: DataFrame, parts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of two tables in the differing parts that one side has more often: (columns, _n), ``_n`` the times more in ``x``.
+
+    The parts' bytes were summed up with their digests, so they are dealt to as many tasks as they need: a task's memory
+    does not grow with the tables. A part beyond ``PART_BYTES`` is not dealt: the planner's grouping adds up its copies before it shuffles them.
+    """
+    at = ["_bucket", "_part"]
+    light, heavy = F.col("size") <= PART_BYTES, F.col("size") > PART_BYTES
+    size, hot = parts.agg(F.sum(F.when(light, F.col("size"))), F.count(F.when(heavy, 1))).first()
+
+    def signed(some: DataFrame) -> DataFrame:
+        p, q = (t.join(some, at, "left_semi").select(*at, *columns, F.lit(w).alias("_n")) for t, w in ((x, 1), (y, -1)))
+        return p.unionByName(q)
+
+    out = signed(parts.filter(light)).repartition(-(-(size or 1) // TASK_BYTES), *at) \
+        .groupBy(*at, *columns).agg(F.sum("_n").alias("_n")).filter("_n != 0").drop(*at)
+    if hot:
+        out = out.unionByName(signed(parts.filter(heavy)).drop(*at))
+    # once more by the columns alone: rows that are equal by their collation can be of several parts
+    return out.groupBy(*columns).agg(F.sum("_n").alias("_n")).filter("_n != 0")
 
 
 def diff_tables(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -139,7 +174,7 @@ def diff_tables(a: DataFrame, b: DataFrame) -> DataFrame:
 
     A digest tree narrows the comparison down: order-free hash sums per bucket are compared first, then those of the parts of
     the buckets that differ, and only rows in parts that differ are shuffled and compared one by one. Equal tables exchange
-    a few thousand sums. The sums are written (eager), so the rows are read three times at most.
+    a few thousand sums. The sums are written (eager), so the rows are read three times at most (four if a part holds many copies of a row).
     """
     b = b.toDF(*a.columns)
     if a.dtypes != b.dtypes:
@@ -149,10 +184,11 @@ def diff_tables(a: DataFrame, b: DataFrame) -> DataFrame:
     first = staged(_differing(_sums(x, "_bucket"), _sums(y, "_bucket"), ["_bucket"]), "diff-buckets")
     if first.isEmpty():
         return a.limit(0).withColumn("side", F.lit("only_a"))
-    x, y = (t.join(first, "_bucket", "left_semi") for t in (x, y))
+    x, y = (t.join(first, "_bucket", "left_semi").withColumn("_size", _row_bytes(a)) for t in (x, y))
     second = staged(_differing(_sums(x, "_bucket", "_part"), _sums(y, "_bucket", "_part"), ["_bucket", "_part"]), "diff-parts")
-    p, q = (t.join(second, ["_bucket", "_part"], "left_semi").select(*a.columns) for t in (x, y))
-    return p.exceptAll(q).withColumn("side", F.lit("only_a")).unionByName(q.exceptAll(p).withColumn("side", F.lit("only_b")))
+    more = _compared(x, y, second, a.columns).withColumns({"_one": F.lit(1), "_times": F.abs("_n")})
+    side = F.when(F.col("_n") > 0, "only_a").otherwise("only_b")
+    return explode_grid(more, "_one", "_times", 1, "_copy").select(*a.columns, side.alias("side"))
 
 
 # fixed values: laboratory inputs that ``block_labs`` removes
