@@ -11,10 +11,11 @@ is one entry per block, however common it is.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,28 +23,70 @@ from vitalframe.llm.common import Block, blocks, staged
 
 # bytes of text in a stored block: a task holds one at a time, with a few numbers per word
 STORED_BYTES = 3 << 20
-
-BLOCKS = T.StructType([T.StructField("block", T.LongType()), T.StructField("part", T.IntegerType()),
+STORED_DOCS = 10_000  # and documents in it, which may all be empty
+# bytes of an Arrow batch: an executor holds one several times for each task (the JVM's buffers as they grow, the worker's copy)
+ARROW_BYTES = 4 << 20
+# of tables whose rows hold a block: a reader decompresses a row group into buffers of its own, so it is as short as a block
+LONG_ROWS = {"parquet.block.size": STORED_BYTES, "parquet.page.size.row.check.min": 1}
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+BLOCKS = T.StructType([T.StructField("block", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("size", T.LongType()),
                        T.StructField("doc_ids", T.ArrayType(T.LongType())), T.StructField("offsets", T.BinaryType()),
                        T.StructField("text", T.BinaryType())])
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of about ``ARROW_BYTES`` for what is run inside; the session's own setting comes back behind it."""
+    before = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, str(ARROW_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH)
+        else:
+            spark.conf.set(_BATCH, before)
+
+
 def store_blocks(docs: DataFrame, name: str, part_of: Callable | None = None) -> DataFrame:
-    """The documents as a table of blocks; ``part_of(doc_ids)`` gives each document a part, and blocks hold one part."""
+    """The documents as a table of blocks; ``part_of(doc_ids)`` gives each document a part, and blocks hold one part.
+
+    A block is filled from as many batches as it takes, so it doesn't depend on their length."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         block = TaskContext.get().partitionId() << 32
+        held: dict[int, list[tuple[list, np.ndarray, bytes]]] = {}
+
+        def filled(p: int) -> pa.RecordBatch:
+            nonlocal block
+            pieces = held.pop(p)
+            ids = [d for piece in pieces for d in piece[0]]
+            offsets = np.concatenate([[0], np.cumsum(np.concatenate([piece[1] for piece in pieces]))]).astype(np.int64)
+            out = pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int64()), pa.array([p], pa.int32()), pa.array([int(offsets[-1])], pa.int64()),
+                 pa.array([ids], pa.list_(pa.int64())), pa.array([offsets.tobytes()], pa.binary()),
+                 pa.array([b"".join(piece[2] for piece in pieces)], pa.binary())], BLOCKS.names)
+            block += 1
+            return out
+
         for batch in batches:
             part = np.zeros(batch.num_rows, np.int32) if part_of is None else part_of(batch.column(0).to_pylist())
             for p in np.unique(part).tolist():
-                for b in blocks(iter([batch.filter(pa.array(part == p)) if part_of else batch]), STORED_BYTES):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([block], pa.int64()), pa.array([p], pa.int32()),
-                         pa.array([b.rest.column(0).to_pylist()], pa.list_(pa.int64())),
-                         pa.array([b.offsets.tobytes()], pa.binary()), pa.array([b.buf.tobytes()], pa.binary())], BLOCKS.names)
-                    block += 1
+                for b in blocks(iter([batch.filter(pa.array(part == p)) if part_of else batch]), STORED_BYTES // 8):
+                    if p in held and (sum(len(piece[2]) for piece in held[p]) + len(b.buf) > STORED_BYTES
+                                      or sum(len(piece[0]) for piece in held[p]) + b.n > STORED_DOCS):
+                        yield filled(p)
+                    held.setdefault(p, []).append((b.rest.column(0).to_pylist(), np.diff(b.offsets), b.buf.tobytes()))
+        for p in sorted(held):
+            yield filled(p)
+
+    return staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, BLOCKS), name, "zstd", LONG_ROWS)
+
 
-    return staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, BLOCKS), name, "zstd")
+def stored_bytes(stored: DataFrame) -> int:
+    """Bytes of text in all blocks."""
+    return stored.agg(F.sum("size")).first()[0] or 0
 
 
 def read_block(row: dict) -> Block:
@@ -55,6 +98,7 @@ def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for i in range(batch.num_rows):
             yield {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}
+        del batch  # before the next one is read
 
 
 def to_planes(values: np.ndarray, width: int) -> bytes:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from vitalframe.llm.common import LOWER, NOT_SPACE, hash_spans, id_bucket_py, per_document, scramble, staged, word_spans
 from vitalframe.llm.exchange import (answers_by_block, ascending, buckets_log2, from_ascending, from_planes, parts_of, read_block,
-                                     rows, store_blocks, to_planes)
+                                     rows, small_batches, store_blocks, stored_bytes, to_planes)
 
 FOLDS = 10
 # parts of the documents: scored only, deleted (weights), counted
@@ -125,11 +125,11 @@ def _answer(asked: DataFrame, p: int) -> DataFrame:
             parts.append((total, int((sums > 0).sum())))
         edge = np.concatenate([[0], np.cumsum([r["n"] for r in got])])
         answers = [b"".join(to_planes(total[a:b], COUNT_BYTES) for total, _ in parts) for a, b in zip(edge[:-1], edge[1:], strict=True)]
-        return pa.table({"block": pa.array([r["block"] for r in got], pa.int64()), "bucket": pa.array([r["bucket"] for r in got], pa.int32()),
-                         "answer": pa.array(answers, pa.binary()),
+        return pa.table({"block": pa.array([r["block"] for r in got], pa.int64()), "part": pa.array([r["part"] for r in got], pa.int32()),
+                         "bucket": pa.array([r["bucket"] for r in got], pa.int32()), "answer": pa.array(answers, pa.binary()),
                          "learned": pa.array([parts[0][1] if kind == 0 and i == 0 else 0 for i in range(len(got))], pa.int64())})
 
-    return asked.groupBy("bucket").applyInArrow(run, "block long, bucket int, answer binary, learned long")
+    return asked.groupBy("bucket").applyInArrow(run, "block long, part int, bucket int, answer binary, learned long")
 
 
 @dataclass
@@ -202,15 +202,23 @@ def learn_weights(bucket: np.ndarray, one: np.ndarray, two: np.ndarray, n: np.nd
 
 def score(docs: DataFrame) -> DataFrame:
     """SCORES of every row of ``docs``; all but held-out documents are learned from."""
+    with small_batches(docs.sparkSession):
+        return staged(_scores(docs), "lm-scores")
+
+
+def _scores(docs: DataFrame) -> DataFrame:
     stored = store_blocks(docs, "lm-blocks", part_of)
-    size = stored.agg(F.sum(F.length("text"))).first()[0] or 0
-    p = buckets_log2(size // 6, BUCKET_KEYS)  # a word takes about six bytes
+    p = buckets_log2(stored_bytes(stored) // 6, BUCKET_KEYS)  # a word takes about six bytes
     answers = staged(_answer(_ask(stored, p), p), "lm-counts", "zstd")
-    answered = stored.join(answers_by_block(answers), "block")
+
+    def answered(blocks: DataFrame, found: DataFrame) -> DataFrame:
+        return blocks.join(answers_by_block(found), "block")
+
     per_part = {r["part"]: (r["tokens"], r["docs"]) for r in _sizes(stored).collect()}
     counted = per_part.get(COUNTED, (0, 0))
     totals = Totals(counted[0] + per_part.get(DELETED, (0, 0))[0], answers.agg(F.sum("learned")).first()[0] or 0, *counted)
-    cells = _cells(answered.filter(F.col("part") == DELETED), totals, p).toPandas()  # bounded by the numbers of buckets and cells
+    deleted = answered(*(x.filter(F.col("part") == DELETED) for x in (stored, answers)))
+    cells = _cells(deleted, totals, p).toPandas()  # bounded by the numbers of buckets and cells
     weights = learn_weights(*(cells[c].to_numpy() for c in ("bucket", "one", "two", "n")))
     if not totals.counted:
         weights[:] = [1.0, 0.0, 0.0]
@@ -229,7 +237,7 @@ def score(docs: DataFrame) -> DataFrame:
                  pa.array(np.add.reduceat(base, t.first[:-1])), pa.array(np.add.reduceat(model, t.first[:-1]))],
                 ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return answered.mapInArrow(run, SCORES)
+    return answered(stored, answers).mapInArrow(run, SCORES)
 
 
 def _sizes(stored: DataFrame) -> DataFrame:

@@ -75,11 +75,11 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def staged(df: DataFrame, name: str = "stage", compression: str = "snappy") -> DataFrame:
+def staged(df: DataFrame, name: str = "stage", compression: str = "snappy", options: dict | None = None) -> DataFrame:
     """Write ``df`` once below the checkpoint folder and read it back: every later
     read sees the same rows in the same partitions, also after an executor is lost."""
     path = stage_path(df.sparkSession, name)
-    df.write.parquet(path, compression=compression)
+    df.write.options(**(options or {})).parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
