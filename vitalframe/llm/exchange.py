@@ -26,8 +26,8 @@ STORED_BYTES = 3 << 20
 STORED_DOCS = 10_000  # and documents in it, which may all be empty
 # bytes of an Arrow batch: an executor holds one several times for each task (the JVM's buffers as they grow, the worker's copy)
 ARROW_BYTES = 4 << 20
-# of tables whose rows hold a block: a reader decompresses a row group into buffers of its own, so it is as short as a block
-LONG_ROWS = {"parquet.block.size": STORED_BYTES, "parquet.page.size.row.check.min": 1}
+# of tables whose rows hold a block: a reader decompresses a row group into buffers of its own, so it is one row
+LONG_ROWS = {"parquet.block.row.count.limit": 1}
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 BLOCKS = T.StructType([T.StructField("block", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("size", T.LongType()),

@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalframe.llm.common import (NOT_SPACE, Block, covered, hash_spans, staged, window_hashes, windows_inside, word_spans)
-from vitalframe.llm.exchange import (answers_by_block, ascending, buckets_log2, from_ascending, parts_of, read_block, rows,
-                                     store_blocks)
+from vitalframe.llm.exchange import (LONG_ROWS, answers_by_block, ascending, buckets_log2, from_ascending, parts_of, read_block, rows,
+                                     small_batches, store_blocks, stored_bytes)
 
 WINDOW = 50
 # keys that one bucket gets, about, and key bits inside a bucket
@@ -184,7 +184,7 @@ def _extend(stored: DataFrame, answers: DataFrame, window: int, anchor: int, p:
                                                                 ("n_removed", pa.int64()), ("kept_sha256", pa.string())])))]))
 
     both = stored.join(answers_by_block(answers), "block", "left").select("block", "doc_ids", "offsets", "text", "answers")
-    return staged(both.mapInArrow(run, CANDIDATES), "candidates", "zstd")
+    return staged(both.mapInArrow(run, CANDIDATES), "candidates", "zstd", LONG_ROWS)
 
 
 class Repeats:
@@ -272,10 +272,10 @@ def _cut(candidates: DataFrame, answers: DataFrame, window: int, p: int) -> Data
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256: one row per row of ``docs``."""
     anchor = window // 2
-    stored = store_blocks(docs, "blocks")
-    size = stored.agg(F.sum(F.length("text"))).first()[0] or 0
-    p = buckets_log2(size // 6, BUCKET_KEYS)  # a word takes about six bytes
-    candidates = _extend(stored, staged(_answer_probes(_ask_probes(stored, anchor, p)), "live"), window, anchor, p)
-    cut = _cut(candidates, staged(_answer_repeats(_ask_repeats(candidates, window, p)), "repeats"), window, p)
+    with small_batches(docs.sparkSession):
+        stored = store_blocks(docs, "blocks")
+        p = buckets_log2(stored_bytes(stored) // 6, BUCKET_KEYS)  # a word takes about six bytes
+        candidates = _extend(stored, staged(_answer_probes(_ask_probes(stored, anchor, p)), "live"), window, anchor, p)
+        cut = staged(_cut(candidates, staged(_answer_repeats(_ask_repeats(candidates, window, p)), "repeats"), window, p), "cut")
     whole = candidates.select(F.explode("whole").alias("r")).select("r.doc_id", "r.n_words", "r.n_removed", "r.kept_sha256")
     return whole.union(cut)
