@@ -106,3 +106,31 @@ def test_hot_key_paths_agree(spark):
     c = TG.expand_charted(df, ["pat_id", "drug"], "s", "r")
     d = TG.expand_charted(df, ["pat_id", "drug"], "s", "r", chunk=100)
     assert sorted(c.collect()) == sorted(d.select(*c.columns).collect())
+
+
+def test_carried_grid_equals_the_general_scan(spark):
+    rows = [(k, t, (None if (t * 7 + len(k or "")) % 3 == 0 else float(t % 17)), t % 5) for k in ("a", "bb", None)
+            for t in (3, 63, 64, 130, 363, 1003, 5003, 5003 + 60 * 5000, 5003 + 60 * 5000 + 1)]
+    rows += [("n", None, 4.0, 1), ("n", 10, None, 2), ("n", 200, None, 3), ("only", None, 1.0, 0), ("late", 5, None, 0), ("late", 400, None, 0),
+             ("late", 777, 2.5, 0), ("late", 1000, None, 0)]
+    df = spark.createDataFrame(rows, "k string, t int, v double, other int")
+    for chunk in (50, 360, 1440):
+        full = TG.complete_grid(df, ["k"], "t", 60)
+        got = WN.locf(full, ["k"], "t", ["v"], chunk=chunk)
+        short = WN._locf_grid(full._grid, ["v"], chunk, (), points=7)  # many spans
+        want = WN.locf(full.select("*"), ["k"], "t", ["v"], chunk=chunk)
+        assert got.dtypes == short.dtypes == want.dtypes
+        assert sorted(map(str, got.collect())) == sorted(map(str, short.collect())) == sorted(map(str, want.collect()))
+    twice = spark.createDataFrame([(1, 0, 1.0, 1), (1, 0, 2.0, 2), (1, 0, None, 3), (1, 180, None, 1), (1, 180, 7.0, 0)], "k int, t long, v double, n int")
+    got = WN.locf(TG.complete_grid(twice, ["k"], "t", 60), ["k"], "t", ["v"], tiebreak=["n"])
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, 0, 1.0, 1), (1, 0, 2.0, 2), (1, 0, 2.0, 3), (1, 120, 2.0, None), (1, 180, 7.0, 0),
+                                                          (1, 180, 7.0, 1), (1, 60, 2.0, None)]
+
+
+def test_grid_points_are_not_dealt_to_carry_values(spark):
+    df = spark.createDataFrame([(k, t, 1.0) for k in range(20) for t in (0, 60_000)], "k int, t long, v double").repartition(4)
+    out = WN.locf(TG.complete_grid(df, ["k"], "t", 60), ["k"], "t", ["v"])
+    plan = out._jdf.queryExecution().executedPlan().toString().split("\n")
+    made = max(i for i, line in enumerate(plan) if "Generate " in line)
+    assert not any("Exchange" in line for line in plan[:made])  # nothing above the points is an exchange
+    assert out.count() == 20 * 1001

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vitalframe.functions.scalar import floor_to, minutes_between
 from vitalframe.operators import intervals as IV
 from vitalframe.operators.relational import NULLS, fill_keys, restore_keys
-from vitalframe.operators.window import DAY, dealt, next_time
+from vitalframe.operators.window import DAY, Grid, dealt, next_time
 
 OBS_KEYS = ("pat_id", "db", "category", "measure", "measure_norm")
 
@@ -47,7 +47,7 @@ def complete_grid(df: DataFrame, keys: Sequence[str], t: str, step: int,
     or a column holding each group's start) minus ``start_offset``, to max(t)
     (or max(``end``)), step ``step``. Added rows carry NULL in other columns.
     """
-    given = list(keys)
+    given, rows = list(keys), df
     df, keys = fill_keys(df, given)
     lo = F.min(t) if start is None else (F.lit(start) if isinstance(start, int) else F.min(start))
     hi = F.max(t) if end is None else F.max(end)
@@ -57,7 +57,10 @@ def complete_grid(df: DataFrame, keys: Sequence[str], t: str, step: int,
         .drop("_lo", "_hi")
     have = df.select(*keys, t).distinct()
     missing = grid.join(have, keys + [t], "left_anti")
-    return restore_keys(df.unionByName(missing, allowMissingColumns=True), given)
+    out = restore_keys(df.unionByName(missing, allowMissingColumns=True), given)
+    if start is None and end is None and start_offset == 0 and dict(rows.dtypes)[t] in ("bigint", "int", "smallint", "tinyint"):
+        out._grid = Grid(rows, tuple(given), t, step)  # points are between rows only, which ``window.locf`` makes use of
+    return out
 
 
 def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:

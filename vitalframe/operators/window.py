@@ -4,7 +4,7 @@ A window partitioned by (patient, measure) would put a whole series in one
 task, and one patient may hold a large share of all rows. ``locf`` and
 ``neighbours`` cut the ordered time axis into chunks of ``chunk`` time units,
 scan per (keys, chunk) in parallel, and carry boundary values across chunks
-through a small summary (one row per chunk). NULL keys are a group like any
+through a small summary (one row per chunk; of a completed grid, one per span of chunks). NULL keys are a group like any
 other, and rows without a time a chunk of their own. Row numbers and running sums are
 taken over range partitions that are written once, so that the partitions'
 offsets belong to the partitions that the rows are in.
@@ -13,6 +13,7 @@ offsets belong to the partitions that the rows are in.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,10 +37,26 @@ def dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+@dataclass(frozen=True)
+class Grid:
+    """Of a frame that ``timegrid.complete_grid`` made (its ``_grid``): the rows that were there, and the keys, time and step
+    of the points added between them. A frame made from it by anything else no longer has it."""
+    rows: DataFrame
+    keys: tuple[str, ...]
+    t: str
+    step: int
+
+
 def locf(df: DataFrame, keys: Sequence[str], t: str, cols: Sequence[str],
          chunk: int = DAY, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Carry the last non-NULL value forward along ``t`` within ``keys``."""
+    """Carry the last non-NULL value forward along ``t`` within ``keys``.
+
+    Of a completed grid only the rows that were there are dealt and scanned; the points between them, which may be many times
+    as many, are added behind that, with the values carried so far."""
     given, cols = list(keys), list(cols)
+    grid = df.__dict__.get("_grid")
+    if grid is not None and (grid.keys, grid.t) == (tuple(given), t) and {*cols, *tiebreak} <= {*df.columns} - {*given, t}:
+        return _locf_grid(grid, cols, chunk, tiebreak)
     x, keys = fill_keys(df, given)
     order = [F.col(t)] + [F.col(c) for c in tiebreak]
     x = x.withColumn("_chunk", chunk_of(t, chunk))
@@ -61,6 +78,39 @@ def locf(df: DataFrame, keys: Sequence[str], t: str, cols: Sequence[str],
     return restore_keys(x, given)
 
 
+def _locf_grid(grid: Grid, cols: list[str], chunk: int, tiebreak: Sequence[str], points: int = 4096) -> DataFrame:
+    """``locf`` of a completed grid. Rows are dealt once, by spans of as many chunks as ``points`` grid points take. Values are carried
+    inside chunks, then from chunk to chunk of a span, then from span to span by a summary (a span's last row), which
+    also has the next span's first time; each row then makes the grid points up to the next one."""
+    given, t, step = list(grid.keys), grid.t, grid.step
+    x, keys = fill_keys(grid.rows.withColumn(t, F.col(t).cast("bigint")), given)
+    x = x.withColumn("_chunk", chunk_of(t, chunk))
+    x = dealt(x.withColumn("_span", F.floor(F.col("_chunk") / F.lit(max(points * step // chunk, 1))).cast("bigint")), [*keys, "_span"])
+    w = Window.partitionBy(*keys, "_span", "_chunk").orderBy(t, *tiebreak)
+    x = x.withColumns({**{c: F.last(c, ignorenulls=True).over(w.rowsBetween(_UNB, 0)) for c in cols}, "_end": F.lead(F.lit(1)).over(w).isNull()})
+    ws = Window.partitionBy(*keys, "_span").orderBy("_chunk", t, *tiebreak)  # the same order
+    x = x.withColumns({**{f"_in_{c}": F.last(F.when(F.col("_end"), F.col(c)), ignorenulls=True).over(ws.rowsBetween(_UNB, -1)) for c in cols},
+                       "_next": F.lead(t).over(ws), "_first": F.min(t).over(ws.rowsBetween(_UNB, 0)), "_end": F.lead(F.lit(1)).over(ws).isNull()})
+    x = x.withColumns({c: F.coalesce(F.col(c), F.col(f"_in_{c}")) for c in cols}).drop(*[f"_in_{c}" for c in cols])
+    wk = Window.partitionBy(*keys).orderBy("_span")
+    summ = x.filter("_end").select(
+        *keys, "_span", *[F.last(c, ignorenulls=True).over(wk.rowsBetween(_UNB, -1)).alias(f"_in_{c}") for c in cols],
+        F.lead("_first").over(wk).alias("_after"), F.first("_first", ignorenulls=True).over(wk.rowsBetween(_UNB, 0)).alias("_lo"))
+    x = x.join(summ.hint("merge"), keys + ["_span"], "left")
+    x = x.withColumns({**{c: F.coalesce(F.col(c), F.col(f"_in_{c}")) for c in cols}, "_next": F.coalesce("_next", "_after")})
+    # the row itself (without a start), and the starts of its arrays of grid points
+    lo, every = F.col("_lo"), F.lit(step).cast("bigint")
+    x = x.withColumns({"_from": lo + (F.floor((F.col(t) - lo) / every).cast("bigint") + 1) * every, "_upto": F.col("_next") - 1})
+    starts = F.when(F.col("_from") <= F.col("_upto"), F.sequence("_from", "_upto", every * points))
+    x = x.withColumn("_start", F.explode(F.concat(F.array(F.lit(None).cast("bigint")), F.coalesce(starts, F.array().cast("array<bigint>")))))
+    real = F.col("_start").isNull()
+    x = x.withColumn("_t", F.explode(F.when(real, F.array(t)).otherwise(
+        F.sequence("_start", F.least(F.col("_start") + every * (points - 1), F.col("_upto")), every))))
+    kept = {*keys, *cols}
+    return restore_keys(x.select(*[F.col("_t").alias(c) if c == t else F.col(c) if c in kept else F.when(real, F.col(c)).alias(c)
+                                   for c in grid.rows.columns], keys[-1]), given)
+
+
 def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
                lag_name: str = "value_lag", lead_name: str = "value_lead",
                chunk: int = DAY) -> DataFrame:
